@@ -156,7 +156,7 @@ class MergeReplay:
 class Encoder:
     """Texts to ids by way of a cache of pieces; the cache is emptied when it has grown to `most` pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 200_000):
         self.replay, self.pattern, self.most, self.known = MergeReplay(ranks), regex.compile(pattern), most, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -180,7 +180,7 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(load_ranks(path), pattern)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = 12_000_000) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = 3_000_000) -> DataFrame:
     """doc_id, ids: the text's ids as little-endian unsigned 32-bit integers.
 
     ranks_path must be readable on every executor. One output row per input row; a null or empty text has no ids;

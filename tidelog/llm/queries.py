@@ -6,8 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat_format, secret_scan
-from tidelog.llm.common import table
+from tidelog.llm import bpe, chat_format, language_id, packing, quality_rules, secret_scan
+from tidelog.llm.common import fold, table
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), teaches=fold("doc_id", 4) != 2)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +53,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_bpe, op9_secret_scan, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op9_secret_scan, op10_chat_format)}
 
 #: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs.
 ORACLE_SQL = {
