@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat_format, language_id, packing, quality_rules, secret_scan
+from tidelog.llm import bpe, chat_format, fingerprints, language_id, packing, quality_model, quality_rules, secret_scan
 from tidelog.llm.common import fold, table
 
 
+def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from=fold("doc_id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "passages")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(table(spark, sf_dir, "documents"), teaches=fold("doc_id", 4) != 2)
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
@@ -30,6 +35,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -53,7 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op9_secret_scan, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_mil_quality, op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
 
 #: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs.
 ORACLE_SQL = {
