@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat_format, fingerprints, language_id, packing, quality_model, quality_rules, secret_scan
+from tidelog.llm import bpe, chat_format, fingerprints, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan
 from tidelog.llm.common import fold, table
 
 
@@ -15,6 +15,10 @@ def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "passages")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), ngram_join.Join(words=3, percent=90))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(table(spark, sf_dir, "documents"), teaches=fold("doc_id", 4) != 2)
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
@@ -62,7 +66,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mil_quality, op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
 
 #: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs.
 ORACLE_SQL = {
