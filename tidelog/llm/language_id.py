@@ -11,7 +11,7 @@ cross-entropy lies beyond what any training text of its length shows are rejecte
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -25,6 +25,8 @@ from tidelog.llm.common import GOLDEN, U64, map_batches, mix64, settled, with_fr
 
 UNKNOWN = "und"
 ORDER, BITS = 4, 20
+#: Symbols worked on at a time; bounds memory, not texts.
+CHUNK = 1_000_000
 
 
 @cache
@@ -57,6 +59,17 @@ def slots(s: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
     return out
 
 
+def joined(texts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' symbols end to end, and which n-grams (by end, from position order-1 on) lie within one text."""
+    s = np.concatenate(texts)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(lengths) - lengths
+    real = np.ones(len(s), bool)
+    for i in range(order - 1):
+        real[begins + i] = False
+    return s, real[order - 1 :]
+
+
 def count_ngrams(docs: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
     """lang, n, slot, suffix, context, n_seen: counts of all n-grams of all texts; suffix, context: slots at n-1."""
 
@@ -66,24 +79,18 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, bits: int = BITS) -> DataF
             if len(s := symbols(text, order)):
                 by_lang.setdefault(lang, []).append(s)
         for lang, parts in by_lang.items():
-            s = np.concatenate(parts)
-            real = np.ones(len(s), bool)
-            begins = np.cumsum([0, *map(len, parts[:-1])])
-            for i in range(order - 1):
-                real[begins + i] = False
-            real = real[order - 1 :]
-            at = slots(s, order, bits)
-            for n in range(1, order + 1):
-                own = at[n - 1]
-                counts = np.bincount(own[real], minlength=1 << bits)
-                used = np.flatnonzero(counts)
-                where = np.zeros(1 << bits, np.int64)
-                where[own[real]] = np.flatnonzero(real)
-                where = where[used]
-                suffix = at[n - 2][where] if n > 1 else np.zeros(len(used), np.int64)
-                # the context's slot is that of the n-1 symbols that end one position earlier
-                before = slots(np.append(np.uint32(32), s)[: len(s)], order, bits)[n - 2][where] if n > 1 else np.zeros(len(used), np.int64)
-                yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "n": pa.array(np.full(len(used), n, np.int32)), "slot": used, "suffix": suffix, "context": before, "n_seen": counts[used]})
+            seen, ends = np.zeros((order, 1 << bits), np.int32), np.zeros((2, order, 1 << bits), np.int32)
+            for own in split(range(len(parts)), [len(x) for x in parts], CHUNK):
+                s, real = joined([parts[i] for i in own], order)
+                at, before = slots(s, order, bits), slots(np.append(np.uint32(32), s)[: len(s)], order, bits)
+                for n in range(order):
+                    slot = at[n][real]
+                    seen[n] += np.bincount(slot, minlength=1 << bits).astype(np.int32)
+                    if n:  # an n-gram's suffix ends where it ends, its context one symbol earlier
+                        ends[0, n, slot], ends[1, n, slot] = at[n - 1][real], before[n - 1][real]
+            for n in range(order):
+                used = np.flatnonzero(seen[n])
+                yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "n": pa.array(np.full(len(used), n + 1, np.int32)), "slot": used, "suffix": ends[0, n, used].astype(np.int64), "context": ends[1, n, used].astype(np.int64), "n_seen": seen[n, used].astype(np.int64)})
 
     parts = map_batches(with_free_names(docs, ["lang", "text"]), run, "lang string, n int, slot bigint, suffix bigint, context bigint, n_seen bigint")
     return parts.groupBy("lang", "n", "slot").agg(F.max("suffix").alias("suffix"), F.max("context").alias("context"), F.sum("n_seen").alias("n_seen"))
@@ -114,22 +121,16 @@ class Model:
 
     def cross_entropy(self, texts: list[np.ndarray]) -> np.ndarray:
         """Nats per symbol, a row per text (symbols, none empty) and a column per language."""
-        s = np.concatenate(texts)
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        begins = np.cumsum(lengths) - lengths
-        real = np.ones(len(s), bool)
-        for i in range(self.order - 1):
-            real[begins + i] = False
-        real = real[self.order - 1 :]
+        s, real = joined(texts, self.order)
         at = [x[real] for x in slots(s, self.order, self.bits)]
-        rows, weights = self.directories()
+        rows = self.directories()[0]
         found = rows[-1][at[-1]]
         logp = self.logp[-1][found]
         missing = np.flatnonzero(found < 0)
         if len(missing):
             before = [x[real][missing] for x in slots(np.append(np.uint32(32), s)[: len(s)], self.order, self.bits)]
             logp[missing] = self.backed_off([x[missing] for x in at], before, self.order - 1)
-        counts = lengths - (self.order - 1)
+        counts = np.fromiter(map(len, texts), np.int64, len(texts)) - (self.order - 1)
         return -np.add.reduceat(logp, np.cumsum(counts) - counts, axis=0) / counts[:, None]
 
     def backed_off(self, at: list[np.ndarray], before: list[np.ndarray], k: int) -> np.ndarray:
@@ -195,7 +196,7 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         texts = [symbols(t, m.order) for t in b.column("text").to_pylist()]
         full = [i for i, s in enumerate(texts) if len(s)]
         best, entropy, margin = [None] * len(texts), [None] * len(texts), [None] * len(texts)
-        for part in split(full, [len(texts[i]) for i in full], 4_000_000):
+        for part in split(full, [len(texts[i]) for i in full], CHUNK):
             e = m.cross_entropy([texts[i] for i in part])
             order = np.sort(e, axis=1)
             for i, j, low, gap in zip(part, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, len(m.langs) - 1)] - order[:, 0]).tolist(), strict=True):
@@ -206,7 +207,7 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", lang_best string, n_symbols bigint, entropy double, margin double")
 
 
-def split(items: list[int], sizes: list[int], most: int) -> Iterator[list[int]]:
+def split(items: Iterable[int], sizes: list[int], most: int) -> Iterator[list[int]]:
     part, total = [], 0
     for i, n in zip(items, sizes, strict=True):
         part.append(i)
