@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat_format, fingerprints, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan
+from tidelog.llm import bpe, chat_format, fingerprints, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan, suffix_dedup
 from tidelog.llm.common import fold, table
 
 
@@ -33,6 +33,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_summary(table(spark, sf_dir, "documents"), length=200).drop("begins", "ends")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
@@ -66,7 +70,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op6_suffix_dedup, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
 
 #: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs.
 ORACLE_SQL = {
