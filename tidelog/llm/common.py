@@ -49,6 +49,17 @@ def with_free_names(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def by_size(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """df, broadcast only if it has at most most_rows rows (of ids: some 16 MB)."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
+def with_rid(docs: DataFrame) -> DataFrame:
+    """docs with rid: never 0, the same for rows of equal doc_id and text."""
+    h = F.xxhash64(F.col("doc_id"), F.col("text"))
+    return docs.withColumn("rid", F.when(h == 0, F.lit(1)).otherwise(h).cast("bigint"))
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow for a function of one batch; empty batches are left out."""
 

@@ -219,8 +219,8 @@ def split(items: Iterable[int], sizes: list[int], most: int) -> Iterator[list[in
         yield part
 
 
-def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, order: int = ORDER, bits: int = BITS) -> DataFrame:
-    """doc_id, lang_pred, score, rejected, n_symbols, entropy; a row per row of docs (doc_id, text, lang).
+def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, order: int = ORDER, bits: int = BITS, key: str = "doc_id") -> DataFrame:
+    """doc_id (or the column key), lang_pred, score, rejected, n_symbols, entropy; a row per row of docs (doc_id, text, lang).
 
     teaches: condition over docs' columns that picks the rows to learn from (default all); rows with a null lang or
     without a letter teach nothing. A text that is null, empty or without a letter is `und` with score 0 and rejected.
@@ -230,19 +230,19 @@ def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0,
     text all are `und` and rejected. Other columns are ignored.
     """
     df = docs.withColumn("teaches", (F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))) & F.col("lang").isNotNull())
-    df = with_free_names(df, ["doc_id", "text", "lang", "teaches"])
+    df = with_free_names(df, [key, "text", "lang", "teaches"])
     counts = count_ngrams(df.filter("teaches").select(F.col("lang").cast("string").alias("lang"), "text"), order, bits).toPandas()
     if counts.empty:
         none = F.lit(None).cast("double")
-        return df.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(0).cast("bigint").alias("n_symbols"), none.alias("entropy"))
-    scored = score_texts(df, build_model(counts, order, bits), ["doc_id", "teaches"])
+        return df.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(0).cast("bigint").alias("n_symbols"), none.alias("entropy"))
+    scored = score_texts(df, build_model(counts, order, bits), [key, "teaches"])
     scored = settled(scored.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_symbols"), F.lit(1)))).cast("int")), "languages")
     ceilings = {r["size"]: r["most"] for r in scored.filter("teaches and entropy is not null").groupBy("size").agg(F.max("entropy").alias("most")).collect()}
     ceiling = F.lit(max(ceilings.values()))
     for size in sorted(ceilings, reverse=True):  # a shorter text varies more, so its ceiling is that of no longer text's
         ceiling = F.when(F.col("size") <= size, F.lit(max(v for k, v in ceilings.items() if k >= size))).otherwise(ceiling)
     return scored.select(
-        "doc_id",
+        key,
         F.coalesce("lang_best", F.lit(UNKNOWN)).alias("lang_pred"),
         F.coalesce(1 / (1 + F.exp(-F.col("margin") * F.least(F.col("n_symbols"), F.lit(50)))), F.lit(0.0)).alias("score"),
         F.coalesce(F.col("entropy") > ceiling + slack, F.lit(True)).alias("rejected"),

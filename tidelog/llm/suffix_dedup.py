@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import U64, map_batches, mix64, settled, with_free_names
+from tidelog.llm.common import U64, by_size, map_batches, mix64, settled, with_free_names, with_rid
 
 LENGTH, GRAM = 200, 32
 #: A suffix is in the sample if its first gram has the least hash of so many.
@@ -253,9 +253,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
     """rid, begins, ends, kept: per distinct row (rid: with_rid) with something to remove, its maximal runs and remaining bytes."""
     df = with_rid(docs).select("rid", "text").filter(F.octet_length("text") >= length)
     anchors = settled(repeated(map_batches(df, first_suffixes(length), PACKED)), "anchors").withColumnRenamed("prints", "anchors")
-    chosen = anchors.select("rid")
-    some = df.join(F.broadcast(chosen), "rid", "left_semi") if chosen.count() <= most_broadcast else df
-    texts = settled(some.join(anchors, "rid"), "texts")
+    texts = settled(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi").join(anchors, "rid"), "texts")
     strings = settled(repeated(map_batches(texts, text_suffixes(length, False), PACKED)), "strings").withColumnRenamed("prints", "strings")
     texts = settled(texts.join(strings, "rid", "left"), "texts")
 
@@ -282,12 +280,6 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
     return settled(found, "repeats").dropDuplicates(["rid"])
 
 
-def with_rid(docs: DataFrame) -> DataFrame:
-    """docs with rid: never 0, the same for rows of equal doc_id and text and for no others."""
-    h = F.xxhash64(F.col("doc_id"), F.col("text"))
-    return docs.withColumn("rid", F.when(h == 0, F.lit(1)).otherwise(h).cast("bigint"))
-
-
 def repeat_summary(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (begins, ends): a row per row of docs.
 
@@ -308,13 +300,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Rows, their number and other columns stay; a null text stays null.
     """
-    found = find_repeats(docs.select("doc_id", "text"), length).select("rid", F.col("kept").alias("_kept"))
-    names = docs.columns
+    found = find_repeats(docs.select("doc_id", "text"), length)
 
     def decode(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([x.decode("utf-8", "ignore") for x in b.column("_kept").to_pylist()], pa.string())], names=["rid", "_kept"])
-
-    done = with_rid(docs).join(map_batches(found, decode, "rid bigint, _kept string"), "rid", "left").withColumn("text", F.coalesce("_kept", "text"))
-    if "n_chars" in names:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*[f"`{c}`" for c in names])
+        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()], pa.string())], names=["_rid", "_kept"])
+
+    keyed = with_rid(docs)
+    ids = by_size(found.select("rid"))
+    cut = keyed.join(ids, "rid", "left_semi").join(map_batches(found.select("rid", "kept"), decode, "_rid bigint, _kept string"), F.col("rid") == F.col("_rid")).withColumn("text", F.col("_kept"))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return keyed.join(ids, "rid", "left_anti").select(*names).unionByName(cut.select(*names))
