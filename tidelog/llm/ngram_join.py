@@ -27,6 +27,8 @@ from tidelog.llm.components import components
 ONE = U64(1)
 #: Sets of up to so many n-grams are emitted whole in the first round.
 SMALL = 64
+#: 64-bit words of a set's bitmap; two sets differ in at least as many n-grams as their bitmaps in bits.
+WORDS = 16
 
 
 @dataclass(frozen=True)
@@ -113,7 +115,11 @@ def fragment_rows(sids: list[int], sets: list[np.ndarray], join: Join, first: bo
 
 
 def count_shared(rows: DataFrame) -> DataFrame:
-    """sid, shared: n-grams of each set that occur in another one too, from fragment_rows."""
+    """sid, shared: n-grams of each set that occur in another one too, from fragment_rows.
+
+    A fragment's partial counts leave it packed, in one row for each of `parts` groups of sets; a group then sums them.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(t: pa.Table) -> pa.Table:
         g = np.frombuffer(b"".join(t.column("grams").to_pylist()), U64)
@@ -128,10 +134,19 @@ def count_shared(rows: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
             sizes = np.diff(np.append(starts, len(g)))
             own, counts = np.unique(o[np.repeat((sizes > 1) | (o[starts] == 0), sizes) & ((o & ONE) == ONE)], return_counts=True)
-        return pa.table({"sid": signed(own & ~ONE), "shared": counts.astype(np.int64)})
+        group = ((own >> ONE) % U64(parts)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(parts + 1))
+        packed = [(k, own[order[a:b]].tobytes(), counts[order[a:b]].astype(np.int64).tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        return pa.table({"part": pa.array([x[0] for x in packed], pa.int64()), "sids": pa.array([x[1] for x in packed], pa.binary()), "counts": pa.array([x[2] for x in packed], pa.binary())})
+
+    def total(t: pa.Table) -> pa.Table:
+        own, at = np.unique(np.frombuffer(b"".join(t.column("sids").to_pylist()), U64), return_inverse=True)
+        shared = np.bincount(at, weights=np.frombuffer(b"".join(t.column("counts").to_pylist()), np.int64), minlength=len(own))
+        return pa.table({"sid": signed(own & ~ONE), "shared": shared.astype(np.int64)})
 
-    parts = rows.groupBy("fragment").applyInArrow(count, "sid bigint, shared bigint")
-    return parts.groupBy("sid").agg(F.sum("shared").alias("shared"))
+    partial = rows.groupBy("fragment").applyInArrow(count, "part bigint, sids binary, counts binary")
+    return partial.groupBy("part").applyInArrow(total, "sid bigint, shared bigint")
 
 
 def first_round(docs: DataFrame, join: Join, fragments: int) -> DataFrame:
@@ -176,7 +191,7 @@ def full_sets(docs: DataFrame, chosen: DataFrame, join: Join, most_broadcast: in
 
 
 def prefixes(sets: DataFrame, join: Join) -> DataFrame:
-    """gram, sid, n: the n-grams of each set in which every linked set must meet it, rarest first."""
+    """gram, sid, n: the n-grams of each set in which every linked set must meet it, rarest first; with the place of each."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         grams = [np.frombuffer(x, np.int64) for x in b.column("grams").to_pylist()]
@@ -188,9 +203,33 @@ def prefixes(sets: DataFrame, join: Join) -> DataFrame:
     rows = map_batches(sets, run, "gram bigint, sid bigint, n bigint")
     common = rows.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     near = rows.join(common, "gram").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("by_df"))  # a set's own n-grams
-    open_slots = spare(join) + 1 - (F.col("n") - F.size("by_df"))  # n-grams of no other set fill the first places
-    near = near.select("sid", "n", F.explode(F.slice("by_df", F.lit(1), F.greatest(open_slots, F.lit(0)).cast("int"))).alias("x"))
-    return settled(near.select(F.col("x.gram").alias("gram"), "sid", "n"), "prefixes")
+    alone = F.col("n") - F.size("by_df")  # n-grams of no other set fill the first places
+    near = near.select("sid", "n", alone.alias("alone"), F.posexplode(F.slice("by_df", F.lit(1), F.greatest(spare(join) + 1 - alone, F.lit(0)).cast("int"))).alias("i", "x"))
+    return settled(near.select(F.col("x.gram").alias("gram"), "sid", "n", (F.col("alone") + F.col("i")).alias("place")), "prefixes")
+
+
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """sid, bits: a bit for each n-gram's hash."""
+
+    def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        out = []
+        for x in b.column("grams").to_pylist():
+            at = (np.frombuffer(x, U64) >> U64(7)) % U64(64 * WORDS)
+            flags = np.zeros(64 * WORDS, np.uint8)
+            flags[at.astype(np.int64)] = 1
+            out.append(np.packbits(flags).view(np.int64).tolist())
+        yield pa.RecordBatch.from_arrays([b.column("sid"), pa.array(out, pa.list_(pa.int64()))], names=["sid", "bits"])
+
+    return map_batches(sets.select("sid", "grams"), run, "sid bigint, bits array<bigint>")
+
+
+def may_link(join: Join):
+    """Condition on a pair of prefix rows (columns …_a, …_b): sizes, places and bitmaps allow the similarity."""
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    need = (n_a + n_b) * join.percent / (100 + join.percent) - 1e-6
+    open_ = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))  # both sets in one order: no more can be shared from here on
+    apart = sum((F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))).cast("double") for i in range(WORDS)), F.lit(0.0))
+    return alike_in_size("n_a", "n_b", join) & (open_ + F.least(F.col("place_a"), F.col("place_b")) >= need) & (apart <= n_a + n_b - 2 * need)
 
 
 def alike_in_size(a: str, b: str, join: Join):
@@ -238,10 +277,11 @@ def links(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
     roots = components(found)
     labelled = settled(prefix.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
     mixed = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
-    open_ = labelled.join(mixed, "gram")
-    x, y = (open_.select("gram", F.col("sid").alias(s), F.col("n").alias(f"n_{s}"), F.col("root").alias(f"root_{s}")) for s in "ab")
-    rest = x.join(y, "gram").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike_in_size("n_a", "n_b", join)).select("a", "b").distinct()
-    return found.unionByName(verified(rest, sets, join))
+    open_ = settled(labelled.join(mixed, "gram").join(bitmaps(sets), "sid"), "open")
+    words = [F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)]
+    x, y = (open_.select("gram", "sid", "n", "root", "place", *words).select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "root", "place", *(f"w{i}" for i in range(WORDS)))]) for s in "ab")
+    rest = x.alias("x").join(y.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & may_link(join))
+    return found.unionByName(verified(rest.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct(), sets, join))
 
 
 def ngram_components(docs: DataFrame, join: Join | None = None) -> DataFrame:
