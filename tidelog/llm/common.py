@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.plans.storage import shared_dir
+
 U64 = np.uint64
 #: Odd multipliers of the 64-bit mixers (public splitmix64 constants).
 MIX1, MIX2, GOLDEN = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3779B97F4A7C15)
@@ -25,17 +26,6 @@ def fold(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only an unset one (tests) becomes a local temporary folder."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = spark.sparkContext.getCheckpointDir()
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(conf)
-    return conf.rstrip("/")
-
-
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and what a lost executor held is still there."""
     spark = df.sparkSession
@@ -44,6 +34,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """df as a table in the shared folder, bucketed by key: joins on the key don't shuffle it again."""
+    spark = df.sparkSession
+    table_name = f"{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", f"{shared_dir(spark)}/{table_name}").option("compression", "zstd").bucketBy(n, key).sortBy(key).saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def with_free_names(df: DataFrame, columns: list[str]) -> DataFrame:
     """Only the named columns, so that extra columns of the input, whatever their names, can't clash with ours."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -1,12 +1,13 @@
 """Removal of repeated byte strings by a distributed suffix sort.
 
 A suffix of a text stands for the byte string it leads with. Not every suffix is sorted: in every `length` bytes the
-`GRAM` bytes with the least hash make an anchor, so equal strings of that length have an anchor at the same place. A
-sort of the anchors' suffixes finds anchors that occur again; only texts with such anchors go on. There a sample of the
+`GRAM` bytes with the least hash make an anchor, so equal strings of that length have an anchor at the same place, and
+with it at least half of the other bytes on one of its sides. A sort of the suffixes that begin at anchors, and that far
+before them, finds the sides of anchors that occur again; only texts with such anchors go on. There a sample of the
 suffixes, picked by what they lead with and so the same wherever a string occurs, is sorted by the leading `length`
 bytes; what lies between two repeats is covered then. Where that leaves a text open, the suffixes around the anchors
 concerned are sorted, in every text that has them. Each of the three sorts works alike: splitters sampled from the suffixes range-partition them by
-their leading bytes, buckets are sorted by leading bytes and then by a fingerprint of the whole string, and equal
+their leading bytes, buckets are sorted by leading bytes and then by fingerprints of the whole string, and equal
 neighbours are repeats. Suffixes that are equal within a batch of rows are sent on once, so that no string, however
 common, fills a bucket; splitters never part equal suffixes, so that neighbours across a boundary are never equal.
 """
@@ -21,15 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import U64, by_size, map_batches, mix64, settled, with_free_names, with_rid
+from tidelog.llm.common import U64, bucketed, by_size, map_batches, mix64, settled, with_free_names, with_rid
 
 LENGTH, GRAM = 200, 32
 #: A suffix is in the sample if its first gram has the least hash of so many.
-SAMPLE = 64
+SAMPLE = 48
+#: Distances to an anchor are told apart in steps of so many bytes.
+PLACES = 16
+#: Sets right sides' keys apart from left ones'.
+RIGHT = U64(0x5555)
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 BYTE = mix64(np.arange(1, 257, dtype=U64))
-PACKED = "kind int, lead binary, print binary, rid binary"
+PACKED = "kind int, print binary, check binary, rid binary"
 
 
 def power(n: int) -> np.uint64:
@@ -52,7 +57,8 @@ class Chunk:
             h = h[:-width] * power(width) + h[width:] if len(h) > width else h[:0]
             width *= 2
             hashes[width] = h
-        self.grams, self.prints = (mix64(self.compose(hashes, k)) for k in (gram, length))
+        self.side = gram + (length - gram) // 2
+        self.grams, self.sides, self.prints = (mix64(self.compose(hashes, k)) for k in (gram, self.side, length))
 
     def compose(self, hashes: dict[int, np.ndarray], k: int) -> np.ndarray:
         n = max(0, len(self.a) - k + 1)
@@ -83,8 +89,15 @@ class Chunk:
         out[: len(m)] = np.where(self.full[: len(m)], m, -1)
         return out
 
-    def lead(self, at: np.ndarray) -> np.ndarray:
-        return self.a[at[:, None] + np.arange(8)].copy().view(">u8").ravel().astype(U64)
+    def keys(self, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Sort keys of the suffixes at these positions: their first two bytes, then their hash."""
+        first = (self.a[at].astype(U64) << U64(8)) | self.a[at + 1].astype(U64)
+        return (first << U64(48)) | (hashes[at] >> U64(16))
+
+    def sides_of(self, anchors: np.ndarray, owner_begin: np.ndarray, owner_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where the right and the left side of each anchor begin, and which of them lie within their text."""
+        right, left = anchors, anchors + self.gram - self.side
+        return right, right + self.side <= owner_end, left, left >= owner_begin
 
 
 def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[range]:
@@ -96,81 +109,93 @@ def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[range]:
             begin, size = i + 1, 0
 
 
-def suffix_rows(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """(lead, print, rid) arrays of a batch as one packed row of suffixes to compare (kind 0) and one of repeats seen here (kind 1)."""
-    if not found:
-        return
-    lead, prints, rid = (np.concatenate(x) for x in zip(*found, strict=True))
-    if not len(lead):
+def suffix_rows(found: list[tuple[np.ndarray, np.ndarray | None, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(print, check, rid) arrays of a batch as one packed row of suffixes to compare (kind 0) and one of repeats seen here (kind 1).
+
+    print: sort key; check: a second fingerprint, or None where a chance repeat does no harm.
+    """
+    if not found or not sum(len(x[0]) for x in found):
         return
-    order = np.lexsort((prints, lead))
-    lead, prints, rid = lead[order], prints[order], rid[order]
-    new = np.append(True, (prints[1:] != prints[:-1]) | (lead[1:] != lead[:-1]))
+    prints, rid = (np.concatenate([x[i] for x in found]) for i in (0, 2))
+    check = None if found[0][1] is None else np.concatenate([x[1] for x in found])
+    order = np.argsort(prints, kind="stable") if check is None else np.lexsort((check, prints))
+    prints, rid = prints[order], rid[order]
+    new = np.append(True, prints[1:] != prints[:-1])
+    if check is not None:
+        check = check[order]
+        new[1:] |= check[1:] != check[:-1]
     starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, len(lead)))
+    sizes = np.diff(np.append(starts, len(prints)))
     again = np.repeat(sizes > 1, sizes)
     rid_out = np.where(sizes > 1, 0, rid[starts])  # rid 0: seen twice already, nobody waits for the answer
-    rows = [(0, lead[starts].tobytes(), prints[starts].tobytes(), rid_out.tobytes())]
+    rows = [(0, prints[starts].tobytes(), b"" if check is None else check[starts].tobytes(), rid_out.tobytes())]
     if again.any():
-        rows.append((1, b"", prints[again].tobytes(), rid[again].tobytes()))
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["kind", "lead", "print", "rid"])
+        rows.append((1, prints[again].tobytes(), b"", rid[again].tobytes()))
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["kind", "print", "check", "rid"])
+
+
+def by_part(prints: np.ndarray, rid: np.ndarray, parts: int) -> pa.Table:
+    """Answers packed into a row for each of `parts` groups of owners."""
+    part = (mix64(rid.view(U64)) % U64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    rows = [(k, prints[order[a:b]].tobytes(), rid[order[a:b]].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), "print": pa.array([r[1] for r in rows], pa.binary()), "rid": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def by_owner(prints: np.ndarray, rid: np.ndarray) -> pa.Table:
-    order = np.argsort(rid, kind="stable")
+def by_owner(t: pa.Table) -> pa.Table:
+    """A row per owner with its answers packed."""
+    prints, rid = np.frombuffer(b"".join(t.column("print").to_pylist()), U64), np.frombuffer(b"".join(t.column("rid").to_pylist()), np.int64)
+    order = np.lexsort((prints, rid))
     prints, rid = prints[order], rid[order]
-    starts = np.flatnonzero(np.append(True, rid[1:] != rid[:-1])) if len(rid) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(rid)) if len(rid) else starts
-    return pa.table({"rid": pa.array(rid[starts], pa.int64()), "prints": pa.array([prints[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
+    starts = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
+    return pa.table({"rid": pa.array(rid[starts], pa.int64()), "prints": pa.array([prints[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rid)), strict=True)], pa.binary())})
 
 
-def repeated(rows: DataFrame, most_splitters: int = 16_384) -> DataFrame:
-    """rid, prints: the fingerprints of each owner's suffixes that occur more than once, packed."""
-    rows = settled(rows, "suffixes")
-    n = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def splitters(rows: DataFrame, buckets: int, most: int = 16_384) -> np.ndarray:
+    """Sort keys that cut the suffixes into buckets of about equal size, from a bounded sample of keys."""
 
     def sample(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for lead, prints in zip(b.column("lead").to_pylist(), b.column("print").to_pylist(), strict=True):
-            x, y = np.frombuffer(lead, U64), np.frombuffer(prints, U64)
-            own = np.argsort(y)[:256]
-            yield pa.RecordBatch.from_arrays([pa.array(x[own].view(np.int64)), pa.array(y[own].view(np.int64))], names=["lead", "print"])
+        for prints in b.column("print").to_pylist():
+            x = np.frombuffer(prints, U64)
+            yield pa.RecordBatch.from_arrays([pa.array(x[np.argsort(mix64(x))[:256]].view(np.int64))], names=["print"])
 
-    drawn = map_batches(rows.filter("kind = 0").select("lead", "print"), sample, "lead bigint, print bigint").orderBy(F.xxhash64("print")).limit(most_splitters).toPandas()
-    keys = sorted(zip(drawn["lead"].to_numpy(np.int64).view(U64).tolist(), drawn["print"].to_numpy(np.int64).view(U64).tolist(), strict=True))
-    cuts = [keys[i * len(keys) // n] for i in range(1, n)] if keys else []
-    cut_lead, cut_print = np.array([c[0] for c in cuts], U64), np.array([c[1] for c in cuts], U64)
+    drawn = map_batches(rows.filter("kind = 0").select("print"), sample, "print bigint").orderBy(F.xxhash64("print")).limit(most).toPandas()
+    drawn = np.sort(drawn["print"].to_numpy(np.int64).view(U64))
+    return drawn[[i * len(drawn) // buckets for i in range(1, buckets)]] if len(drawn) else drawn
+
+
+def repeated(rows: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
+    """rid, prints: the sort keys of each owner's suffixes that occur more than once, packed."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def partition(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for lead, prints, rid in zip(*[b.column(c).to_pylist() for c in ("lead", "print", "rid")], strict=True):
-            x, y, r = np.frombuffer(lead, U64), np.frombuffer(prints, U64), np.frombuffer(rid, np.int64)
-            lo, hi = np.searchsorted(cut_lead, x, "left"), np.searchsorted(cut_lead, x, "right")
-            bucket = hi.copy()
-            for i in np.flatnonzero(hi > lo).tolist():  # splitters with the same leading bytes: the fingerprint decides
-                bucket[i] = lo[i] + np.searchsorted(cut_print[lo[i] : hi[i]], y[i], "right")
-            edges = np.searchsorted(bucket, np.arange(n + 1))  # rows come sorted
-            cut = [(k, x[s:e].tobytes(), y[s:e].tobytes(), r[s:e].tobytes()) for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "lead", "print", "rid"])
+        for kind, prints, check, rid in zip(*[b.column(c).to_pylist() for c in ("kind", "print", "check", "rid")], strict=True):
+            x, r = np.frombuffer(prints, U64), np.frombuffer(rid, np.int64)
+            y = np.frombuffer(check, np.uint16)
+            edges = [0, *np.searchsorted(x, cuts).tolist(), len(x)]  # rows come sorted
+            cut = [(k if kind == 0 else -1 - k, x[s:e].tobytes(), y[s:e].tobytes(), r[s:e].tobytes()) for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "print", "check", "rid"])
 
     def compare(t: pa.Table) -> pa.Table:
-        lead, prints = (np.frombuffer(b"".join(t.column(c).to_pylist()), U64) for c in ("lead", "print"))
-        rid = np.frombuffer(b"".join(t.column("rid").to_pylist()), np.int64)
-        order = np.lexsort((prints, lead))
-        lead, prints, rid = lead[order], prints[order], rid[order]
-        same = (prints[1:] == prints[:-1]) & (lead[1:] == lead[:-1])
+        prints, rid = np.frombuffer(b"".join(t.column("print").to_pylist()), U64), np.frombuffer(b"".join(t.column("rid").to_pylist()), np.int64)
+        check = np.frombuffer(b"".join(t.column("check").to_pylist()), np.uint16)
+        if t.column("bucket")[0].as_py() < 0:  # repeats seen within a batch
+            return by_part(prints, rid, parts)
+        order = np.lexsort((check, prints)) if len(check) else np.argsort(prints, kind="stable")
+        prints, rid = prints[order], rid[order]
+        same = prints[1:] == prints[:-1]
+        if len(check):
+            same &= check[order][1:] == check[order][:-1]
         again = (np.append(False, same) | np.append(same, False)) & (rid != 0)
-        return by_owner(prints[again], rid[again])
+        return by_part(prints[again], rid[again], parts)
 
-    def here(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for prints, rid in zip(b.column("print").to_pylist(), b.column("rid").to_pylist(), strict=True):
-            yield from by_owner(np.frombuffer(prints, U64), np.frombuffer(rid, np.int64)).to_batches()
+    found = map_batches(rows, partition, "bucket bigint, print binary, check binary, rid binary").groupBy("bucket").applyInArrow(compare, "part bigint, print binary, rid binary")
+    return found.groupBy("part").applyInArrow(by_owner, "rid bigint, prints binary")
 
-    across = map_batches(rows.filter("kind = 0").select("lead", "print", "rid"), partition, "bucket bigint, lead binary, print binary, rid binary").groupBy("bucket").applyInArrow(compare, "rid bigint, prints binary")
-    local = map_batches(rows.filter("kind = 1").select("print", "rid"), here, "rid bigint, prints binary")
-    return across.unionByName(local).groupBy("rid").agg(F.collect_list("prints").alias("prints"))  # all of one text's own
 
-
-def packed_set(prints: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(prints or []), U64))
+def packed_set(prints: bytes | None) -> np.ndarray:
+    return np.unique(np.frombuffer(prints or b"", U64))
 
 
 def within(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -185,7 +210,7 @@ def as_bytes(texts: list[str | None]) -> list[bytes]:
 
 
 def first_suffixes(length: int) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-    """Suffixes at all anchors."""
+    """Suffixes at both sides of all anchors."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, rid, found = as_bytes(b.column("text").to_pylist()), b.column("rid").to_numpy(), []
@@ -193,42 +218,57 @@ def first_suffixes(length: int) -> Callable[[pa.RecordBatch], Iterator[pa.Record
             c = Chunk(texts[part.start : part.stop], length)
             at = c.anchors()
             at = np.unique(at[at >= 0])
-            owner = rid[part.start : part.stop][np.searchsorted(c.begins, at, "right") - 1] if len(at) else at
-            found.append((c.lead(at), c.grams[at], owner))
+            if not len(at):
+                continue
+            own = np.searchsorted(c.begins, at, "right") - 1
+            right, fits, left, fits_left = c.sides_of(at, c.begins[own], c.begins[own] + c.sizes[own])
+            owner = rid[part.start : part.stop][own]
+            found.append((RIGHT ^ c.keys(right[fits], c.sides), None, owner[fits]))
+            found.append((c.keys(left[fits_left], c.sides), None, owner[fits_left]))
         yield from suffix_rows(found)
 
     return run
 
 
 class Text:
-    """One text with its repeated anchors (fingerprints)."""
+    """One text with the repeated sides of its anchors (sort keys)."""
 
     def __init__(self, data: bytes, repeats: np.ndarray, length: int):
         self.c, self.length, self.n = Chunk([data], length), length, len(data)
-        self.anchor = self.c.anchors()[: max(0, self.n - length + 1)]  # by the string's begin
+        c = self.c
+        self.anchor = c.anchors()[: max(0, self.n - length + 1)]  # by the string's begin
         own = np.unique(self.anchor)
-        marked = np.zeros(self.n, bool)
-        marked[own[within(self.c.grams[own], repeats)]] = True
-        self.may = marked[self.anchor]  # only these strings can occur again
-        sampled = self.c.least(min(SAMPLE, length - self.c.gram + 1))[: len(self.anchor)] == np.arange(len(self.anchor))
+        right, fits, left, fits_left = c.sides_of(own, np.zeros(len(own), np.int64), np.full(len(own), self.n))
+        marked = np.zeros((2, self.n), bool)
+        marked[0, own[fits]] = within(RIGHT ^ c.keys(right[fits], c.sides), repeats)
+        marked[1, own[fits_left]] = within(c.keys(left[fits_left], c.sides), repeats)
+        # An anchor near the string's begin has its right side within the string, any other one its left side.
+        begin = np.arange(len(self.anchor))
+        on_right = self.anchor + c.side <= begin + length
+        self.may = np.where(on_right, marked[0, self.anchor], marked[1, self.anchor])  # only these strings can occur again
+        sampled = c.least(min(SAMPLE, length - c.gram + 1))[: len(self.anchor)] == begin
         self.tested, self.rest = np.flatnonzero(self.may & sampled), np.flatnonzero(self.may & ~sampled)
+        self.place = mix64(c.grams[self.anchor[self.rest]] + ((self.anchor[self.rest] - self.rest) // PLACES).astype(U64))
 
-    def open_grams(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Repeated anchors' fingerprints, and whether strings around them are neither sampled nor covered by sampled repeats."""
-        hit = self.tested[within(self.c.prints[self.tested], repeated)]
+    def open_places(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors with the strings' distance to them, and whether some such string is neither sampled nor covered by sampled repeats."""
+        hit = self.tested[within(self.keys(self.tested), repeated)]
         covered = np.zeros(self.n + 1, np.int64)
         near = np.flatnonzero(np.diff(hit) <= self.length)
         np.add.at(covered, hit[near], 1)
         np.add.at(covered, hit[near + 1], -1)
-        grams, at = np.unique(self.c.grams[self.anchor[self.rest]], return_inverse=True)
-        return grams, np.bincount(at, weights=np.cumsum(covered)[self.rest] == 0, minlength=len(grams)) > 0
+        places, at = np.unique(self.place, return_inverse=True)
+        return places, np.bincount(at, weights=np.cumsum(covered)[self.rest] == 0, minlength=len(places)) > 0
+
+    def keys(self, at: np.ndarray) -> np.ndarray:
+        return self.c.keys(at, self.c.prints)
 
-    def wanted(self, grams: np.ndarray) -> np.ndarray:
-        return self.rest[within(self.c.grams[self.anchor[self.rest]], grams)]
+    def wanted(self, places: np.ndarray) -> np.ndarray:
+        return self.rest[within(self.place, places)]
 
     def spans(self, repeated: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begins and ends of the maximal runs covered by repeated strings."""
-        at = np.sort(np.concatenate((self.tested[within(self.c.prints[self.tested], repeated)], self.rest[within(self.c.prints[self.rest], more)])))
+        at = np.sort(np.concatenate((self.tested[within(self.keys(self.tested), repeated)], self.rest[within(self.keys(self.rest), more)])))
         if not len(at):
             return at, at
         first = np.append(True, at[1:] > at[:-1] + self.length)
@@ -236,35 +276,46 @@ class Text:
 
 
 def text_suffixes(length: int, wanted: bool) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-    """The sampled suffixes, or those around the anchors in column wanted."""
+    """The sampled suffixes, or those at the places in column wanted."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
         for i, (data, rid, anchors) in enumerate(zip(as_bytes(b.column("text").to_pylist()), b.column("rid").to_pylist(), b.column("anchors").to_pylist(), strict=True)):
             t = Text(data, packed_set(anchors), length)
             at = t.wanted(np.unique(np.array(b.column("wanted")[i].as_py(), np.int64).view(U64))) if wanted else t.tested
-            found.append((t.c.lead(at), t.c.prints[at], np.full(len(at), rid, np.int64)))
+            found.append((t.keys(at), t.c.prints[at].astype(np.uint16), np.full(len(at), rid, np.int64)))
         yield from suffix_rows(found)
 
     return run
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_000_000) -> DataFrame:
-    """rid, begins, ends, kept: per distinct row (rid: with_rid) with something to remove, its maximal runs and remaining bytes."""
+    """rid, begins, ends, kept: per distinct row (rid: with_rid) with something to remove, its maximal runs and remaining bytes.
+
+    A text is shuffled once, if it has repeated anchors.
+    """
     df = with_rid(docs).select("rid", "text").filter(F.octet_length("text") >= length)
-    anchors = settled(repeated(map_batches(df, first_suffixes(length), PACKED)), "anchors").withColumnRenamed("prints", "anchors")
-    texts = settled(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi").join(anchors, "rid"), "texts")
-    strings = settled(repeated(map_batches(texts, text_suffixes(length, False), PACKED)), "strings").withColumnRenamed("prints", "strings")
-    texts = settled(texts.join(strings, "rid", "left"), "texts")
+    buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = settled(map_batches(df, first_suffixes(length), PACKED), "suffixes")
+    anchors = settled(repeated(rows, splitters(rows, buckets), buckets), "anchors").withColumnRenamed("prints", "anchors")
+    texts = bucketed(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi").join(anchors, "rid"), "texts", "rid")
+    rows = settled(map_batches(texts, text_suffixes(length, False), PACKED), "suffixes")
+    cuts = splitters(rows, buckets)
+    strings = settled(repeated(rows, cuts, buckets), "strings").withColumnRenamed("prints", "strings")
+    known = texts.join(strings, "rid", "left")
 
     def ask(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = []
         for data, rid, own, some in zip(as_bytes(b.column("text").to_pylist()), *[b.column(c).to_pylist() for c in ("rid", "anchors", "strings")], strict=True):
-            grams, is_open = Text(data, packed_set(own), length).open_grams(packed_set(some))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), rid, np.int64)), pa.array(grams.view(np.int64)), pa.array(is_open)], names=["rid", "gram", "open"])
+            places, is_open = Text(data, packed_set(own), length).open_places(packed_set(some))
+            found.append((np.full(len(places), rid, np.int64), places.view(np.int64), is_open))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["rid", "place", "open"])
 
-    grams = settled(map_batches(texts, ask, "rid bigint, gram bigint, open boolean"), "grams")
-    wanted = grams.select("rid", "gram").join(grams.filter("open").select("gram").distinct(), "gram").groupBy("rid").agg(F.collect_list("gram").alias("wanted"))  # one text's own
-    more = repeated(map_batches(texts.select("rid", "text", "anchors").join(wanted, "rid"), text_suffixes(length, True), PACKED)).withColumnRenamed("prints", "more")
+    places = settled(map_batches(known.select("rid", "text", "anchors", "strings"), ask, "rid bigint, place bigint, open boolean"), "places")
+    wanted = places.select("rid", "place").join(places.filter("open").select("place").distinct(), "place").groupBy("rid").agg(F.collect_list("place").alias("wanted"))  # one text's own
+    rows = map_batches(texts.join(wanted, "rid").select("rid", "text", "anchors", "wanted"), text_suffixes(length, True), PACKED)
+    more = repeated(rows, cuts, buckets).withColumnRenamed("prints", "more")
 
     def cover(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
@@ -276,7 +327,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["rid", "begins", "ends", "kept"])
 
-    found = map_batches(texts.join(more, "rid", "left").select("rid", "text", "anchors", "strings", "more"), cover, "rid bigint, begins array<bigint>, ends array<bigint>, kept binary")
+    found = map_batches(known.join(more, "rid", "left").select("rid", "text", "anchors", "strings", "more"), cover, "rid bigint, begins array<bigint>, ends array<bigint>, kept binary")
     return settled(found, "repeats").dropDuplicates(["rid"])
 
 
