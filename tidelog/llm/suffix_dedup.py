@@ -28,7 +28,10 @@ LENGTH, GRAM = 200, 32
 #: A suffix is in the sample if its first gram has the least hash of so many.
 SAMPLE = 48
 #: Distances to an anchor are told apart in steps of so many bytes.
-PLACES = 16
+PLACES = 4
+#: Bits of the filter of open places; the filter is 16 MB whatever the input, and a fuller one only lets more suffixes through.
+FILTER_BITS = 27
+FILTER_PARTS = 16
 #: Sets right sides' keys apart from left ones'.
 RIGHT = U64(0x5555)
 CHUNK = 1 << 20
@@ -135,18 +138,22 @@ def suffix_rows(found: list[tuple[np.ndarray, np.ndarray | None, np.ndarray]]) -
 
 
 def by_part(prints: np.ndarray, rid: np.ndarray, parts: int) -> pa.Table:
-    """Answers packed into a row for each of `parts` groups of owners."""
+    """Answers packed into a row for each of `parts` groups of owners: owners, how many answers each has, and these."""
     part = (mix64(rid.view(U64)) % U64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    rows = [(k, prints[order[a:b]].tobytes(), rid[order[a:b]].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-    return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), "print": pa.array([r[1] for r in rows], pa.binary()), "rid": pa.array([r[2] for r in rows], pa.binary())})
+    order = np.lexsort((rid, part))
+    prints, rid, part = prints[order], rid[order], part[order]
+    starts = np.flatnonzero(np.append(True, rid[1:] != rid[:-1])) if len(rid) else np.zeros(0, np.int64)
+    owners, counts = rid[starts], np.diff(np.append(starts, len(rid))).astype(np.uint32)
+    cuts, at = np.searchsorted(part, np.arange(parts + 1)), np.searchsorted(part[starts], np.arange(parts + 1))
+    rows = [(k, prints[cuts[k] : cuts[k + 1]].tobytes(), owners[at[k] : at[k + 1]].tobytes(), counts[at[k] : at[k + 1]].tobytes()) for k in range(parts) if cuts[k + 1] > cuts[k]]
+    return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in enumerate(("print", "rid", "n"), 1)}})
 
 
 def by_owner(t: pa.Table) -> pa.Table:
     """A row per owner with its answers packed."""
-    prints, rid = np.frombuffer(b"".join(t.column("print").to_pylist()), U64), np.frombuffer(b"".join(t.column("rid").to_pylist()), np.int64)
-    order = np.lexsort((prints, rid))
+    prints, owners, counts = (np.frombuffer(b"".join(t.column(c).to_pylist()), k) for c, k in (("print", U64), ("rid", np.int64), ("n", np.uint32)))
+    rid = np.repeat(owners, counts)
+    order = np.argsort(rid, kind="stable")
     prints, rid = prints[order], rid[order]
     starts = np.flatnonzero(np.append(True, rid[1:] != rid[:-1]))
     return pa.table({"rid": pa.array(rid[starts], pa.int64()), "prints": pa.array([prints[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rid)), strict=True)], pa.binary())})
@@ -190,7 +197,7 @@ def repeated(rows: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
         again = (np.append(False, same) | np.append(same, False)) & (rid != 0)
         return by_part(prints[again], rid[again], parts)
 
-    found = map_batches(rows, partition, "bucket bigint, print binary, check binary, rid binary").groupBy("bucket").applyInArrow(compare, "part bigint, print binary, rid binary")
+    found = map_batches(rows, partition, "bucket bigint, print binary, check binary, rid binary").groupBy("bucket").applyInArrow(compare, "part bigint, print binary, rid binary, n binary")
     return found.groupBy("part").applyInArrow(by_owner, "rid bigint, prints binary")
 
 
@@ -248,23 +255,23 @@ class Text:
         self.may = np.where(on_right, marked[0, self.anchor], marked[1, self.anchor])  # only these strings can occur again
         sampled = c.least(min(SAMPLE, length - c.gram + 1))[: len(self.anchor)] == begin
         self.tested, self.rest = np.flatnonzero(self.may & sampled), np.flatnonzero(self.may & ~sampled)
-        self.place = mix64(c.grams[self.anchor[self.rest]] + ((self.anchor[self.rest] - self.rest) // PLACES).astype(U64))
+        place = mix64(c.grams[self.anchor[self.rest]] + ((self.anchor[self.rest] - self.rest) // PLACES).astype(U64))
+        self.place = (place >> U64(64 - FILTER_BITS)).astype(np.int64)
 
-    def open_places(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Anchors with the strings' distance to them, and whether some such string is neither sampled nor covered by sampled repeats."""
+    def open_places(self, repeated: np.ndarray) -> np.ndarray:
+        """Filter bits of anchors and distances of the strings that are neither sampled nor covered by sampled repeats."""
         hit = self.tested[within(self.keys(self.tested), repeated)]
         covered = np.zeros(self.n + 1, np.int64)
         near = np.flatnonzero(np.diff(hit) <= self.length)
         np.add.at(covered, hit[near], 1)
         np.add.at(covered, hit[near + 1], -1)
-        places, at = np.unique(self.place, return_inverse=True)
-        return places, np.bincount(at, weights=np.cumsum(covered)[self.rest] == 0, minlength=len(places)) > 0
+        return np.unique(self.place[np.cumsum(covered)[self.rest] == 0])
 
     def keys(self, at: np.ndarray) -> np.ndarray:
         return self.c.keys(at, self.c.prints)
 
-    def wanted(self, places: np.ndarray) -> np.ndarray:
-        return self.rest[within(self.place, places)]
+    def wanted(self, open_bits: np.ndarray) -> np.ndarray:
+        return self.rest[(open_bits[self.place >> 3] >> (self.place & 7).astype(np.uint8)) & 1 == 1]
 
     def spans(self, repeated: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begins and ends of the maximal runs covered by repeated strings."""
@@ -275,20 +282,44 @@ class Text:
         return at[first], at[np.append(first[1:], True)] + self.length
 
 
-def text_suffixes(length: int, wanted: bool) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-    """The sampled suffixes, or those at the places in column wanted."""
+def text_suffixes(length: int, open_bits=None) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """The sampled suffixes, or those at open places (a broadcast filter)."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
-        for i, (data, rid, anchors) in enumerate(zip(as_bytes(b.column("text").to_pylist()), b.column("rid").to_pylist(), b.column("anchors").to_pylist(), strict=True)):
+        for data, rid, anchors in zip(as_bytes(b.column("text").to_pylist()), b.column("rid").to_pylist(), b.column("anchors").to_pylist(), strict=True):
             t = Text(data, packed_set(anchors), length)
-            at = t.wanted(np.unique(np.array(b.column("wanted")[i].as_py(), np.int64).view(U64))) if wanted else t.tested
+            at = t.tested if open_bits is None else t.wanted(open_bits.value)
             found.append((t.keys(at), t.c.prints[at].astype(np.uint16), np.full(len(at), rid, np.int64)))
         yield from suffix_rows(found)
 
     return run
 
 
+def open_filter(known: DataFrame, length: int) -> np.ndarray:
+    """Bits of all places where some text is open (rid, text, anchors, strings), each part put together by one group."""
+    bits = FILTER_BITS - FILTER_PARTS.bit_length() + 1
+
+    def ask(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = [Text(data, packed_set(own), length).open_places(packed_set(some)) for data, own, some in zip(as_bytes(b.column("text").to_pylist()), *[b.column(c).to_pylist() for c in ("anchors", "strings")], strict=True)]
+        at = np.unique(np.concatenate(found))
+        cuts = np.searchsorted(at >> bits, np.arange(FILTER_PARTS + 1))
+        rows = [(k, at[x:y].astype(np.uint32).tobytes()) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "places"])
+
+    def combine(t: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << bits, np.uint8)
+        for x in t.column("places").to_pylist():
+            flags[np.frombuffer(x, np.uint32).astype(np.int64) & ((1 << bits) - 1)] = 1
+        return pa.table({"part": t.column("part").slice(0, 1), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros((FILTER_PARTS, 1 << (bits - 3)), np.uint8)
+    for r in map_batches(known.select("text", "anchors", "strings"), ask, "part bigint, places binary").groupBy("part").applyInArrow(combine, "part bigint, bits binary").collect():
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
 def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_000_000) -> DataFrame:
     """rid, begins, ends, kept: per distinct row (rid: with_rid) with something to remove, its maximal runs and remaining bytes.
 
@@ -299,22 +330,13 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
     rows = settled(map_batches(df, first_suffixes(length), PACKED), "suffixes")
     anchors = settled(repeated(rows, splitters(rows, buckets), buckets), "anchors").withColumnRenamed("prints", "anchors")
     texts = bucketed(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi").join(anchors, "rid"), "texts", "rid")
-    rows = settled(map_batches(texts, text_suffixes(length, False), PACKED), "suffixes")
+    rows = settled(map_batches(texts, text_suffixes(length), PACKED), "suffixes")
     cuts = splitters(rows, buckets)
     strings = settled(repeated(rows, cuts, buckets), "strings").withColumnRenamed("prints", "strings")
     known = texts.join(strings, "rid", "left")
 
-    def ask(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = []
-        for data, rid, own, some in zip(as_bytes(b.column("text").to_pylist()), *[b.column(c).to_pylist() for c in ("rid", "anchors", "strings")], strict=True):
-            places, is_open = Text(data, packed_set(own), length).open_places(packed_set(some))
-            found.append((np.full(len(places), rid, np.int64), places.view(np.int64), is_open))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["rid", "place", "open"])
-
-    places = settled(map_batches(known.select("rid", "text", "anchors", "strings"), ask, "rid bigint, place bigint, open boolean"), "places")
-    wanted = places.select("rid", "place").join(places.filter("open").select("place").distinct(), "place").groupBy("rid").agg(F.collect_list("place").alias("wanted"))  # one text's own
-    rows = map_batches(texts.join(wanted, "rid").select("rid", "text", "anchors", "wanted"), text_suffixes(length, True), PACKED)
+    open_bits = df.sparkSession.sparkContext.broadcast(open_filter(known, length))
+    rows = map_batches(texts.select("rid", "text", "anchors"), text_suffixes(length, open_bits), PACKED)
     more = repeated(rows, cuts, buckets).withColumnRenamed("prints", "more")
 
     def cover(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
