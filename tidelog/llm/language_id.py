@@ -74,14 +74,16 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, bits: int = BITS) -> DataF
     """lang, n, slot, suffix, context, n_seen: counts of all n-grams of all texts; suffix, context: slots at n-1."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        by_lang: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            if len(s := symbols(text, order)):
-                by_lang.setdefault(lang, []).append(s)
-        for lang, parts in by_lang.items():
+        by_lang: dict[str, list[int]] = {}
+        for i, lang in enumerate(b.column("lang").to_pylist()):
+            by_lang.setdefault(lang, []).append(i)
+        texts = b.column("text").to_pylist()
+        for lang, rows in by_lang.items():
             seen, ends = np.zeros((order, 1 << bits), np.int32), np.zeros((2, order, 1 << bits), np.int32)
-            for own in split(range(len(parts)), [len(x) for x in parts], CHUNK):
-                s, real = joined([parts[i] for i in own], order)
+            for own in split(rows, [len(texts[i] or "") for i in rows], CHUNK):
+                if not (parts := [s for i in own if len(s := symbols(texts[i], order))]):
+                    continue
+                s, real = joined(parts, order)
                 at, before = slots(s, order, bits), slots(np.append(np.uint32(32), s)[: len(s)], order, bits)
                 for n in range(order):
                     slot = at[n][real]
@@ -192,16 +194,17 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        texts = [symbols(t, m.order) for t in b.column("text").to_pylist()]
-        full = [i for i, s in enumerate(texts) if len(s)]
-        best, entropy, margin = [None] * len(texts), [None] * len(texts), [None] * len(texts)
-        for part in split(full, [len(texts[i]) for i in full], CHUNK):
-            e = m.cross_entropy([texts[i] for i in part])
+        m, texts = model.value, b.column("text").to_pylist()
+        best, entropy, margin, sizes = [None] * len(texts), [None] * len(texts), [None] * len(texts), [0] * len(texts)
+        for part in split(range(len(texts)), [len(t or "") for t in texts], CHUNK):
+            found = {i: s for i in part if len(s := symbols(texts[i], m.order))}
+            if not found:
+                continue
+            e = m.cross_entropy(list(found.values()))
             order = np.sort(e, axis=1)
-            for i, j, low, gap in zip(part, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, len(m.langs) - 1)] - order[:, 0]).tolist(), strict=True):
-                best[i], entropy[i], margin[i] = m.langs[j], low, gap
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(best, pa.string()), pa.array([max(0, len(s) - m.order + 1) for s in texts], pa.int64()), pa.array(entropy, pa.float64()), pa.array(margin, pa.float64())], names=[*keep, "lang_best", "n_symbols", "entropy", "margin"])
+            for i, j, low, gap in zip(found, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, len(m.langs) - 1)] - order[:, 0]).tolist(), strict=True):
+                best[i], entropy[i], margin[i], sizes[i] = m.langs[j], low, gap, len(found[i]) - m.order + 1
+        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(best, pa.string()), pa.array(sizes, pa.int64()), pa.array(entropy, pa.float64()), pa.array(margin, pa.float64())], names=[*keep, "lang_best", "n_symbols", "entropy", "margin"])
 
     df = with_free_names(docs, [*keep, "text"])
     return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", lang_best string, n_symbols bigint, entropy double, margin double")
