@@ -55,10 +55,11 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
 
     def chain(item) -> tuple[int, Exception | None]:
         (destination, partition), segments = item
-        done = 0
+        done, folder = 0, f"{files.root}/{destination}/{partition}"
+        files.make(folder)
         for first, last, path in sorted(segments):
             try:
-                files.rename(path, f"{files.root}/{destination}/{partition}/{first:020d}-{last:020d}.{ENDINGS[fmt]}")
+                files.rename(path, f"{folder}/{first:020d}-{last:020d}.{ENDINGS[fmt]}")
             except Exception as e:
                 return done, e
             done += 1

@@ -23,7 +23,8 @@ class Files:
         self.jvm, self.root = spark.sparkContext._jvm, root.rstrip("/")
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.fs = self.path(root).getFileSystem(self.conf)
-        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(root).toUri(), self.conf) if "://" in root or root.startswith("/") else None
+        self.local = self.fs.getScheme() == "file"
+        self.context = None if self.local else self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(root).toUri(), self.conf)
 
     def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(name)
@@ -38,12 +39,19 @@ class Files:
         return found
 
     def rename(self, source: str, target: str) -> None:
-        """Raises if the target exists."""
+        """Raises if the target exists; never replaces it, not even in a race."""
+        if self.local:  # a link is put in place or fails, and needs no process for the file's state as the generic call does
+            files, at = self.jvm.java.nio.file.Files, lambda name: self.jvm.java.io.File(self.path(name).toUri().getPath()).toPath()
+            files.createLink(at(target), at(source))
+            files.delete(at(source))
+            return
         none = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
         array = self.jvm.java.lang.reflect.Array.newInstance(none.getClass(), 1)
         self.jvm.java.lang.reflect.Array.set(array, 0, none)
-        self.fs.mkdirs(self.path(target).getParent())
         self.context.rename(self.path(source), self.path(target), array)
 
+    def make(self, folder: str) -> None:
+        self.fs.mkdirs(self.path(folder))
+
     def delete(self, name: str) -> None:
         self.fs.delete(self.path(name), True)

@@ -48,6 +48,13 @@ def the_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_log(spark, sf_dir).select(*ENVELOPE.fieldNames())
 
 
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a table, for queries that scan it again and again."""
+    path = fresh_root(spark, "log")
+    the_log(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(ENVELOPE).parquet(path)
+
+
 def committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed segments of STEP rows with their payload bytes, and the last row's time as commit time."""
     rows = segments.by_count(full_log(spark, sf_dir), STEP)
@@ -251,19 +258,19 @@ def audit_mirror(spark, sf_dir):
 
 
 def append_log(spark, sf_dir):
-    log = the_log(spark, sf_dir)
+    log = stored_log(spark, sf_dir)
     held = log.filter(f"offset < {STEP}")
     return shown(held.unionByName(mirror.append_log(log, held, "source", 1_700_000_000_000)))
 
 
 def append_log_restamped(spark, sf_dir):
-    log = the_log(spark, sf_dir)
+    log = stored_log(spark, sf_dir)
     return shown(mirror.append_log(log, log.filter(f"offset < {STEP}"), "destination", 1_700_000_000_000))
 
 
 def _written(spark, sf_dir, fmt):
     root = fresh_root(spark, f"archive-{fmt}")
-    mirror.mirror_once(spark, the_log(spark, sf_dir), root, fmt=fmt, drain=True, max_offsets=STEP)
+    mirror.mirror_once(spark, stored_log(spark, sf_dir), root, fmt=fmt, drain=True, max_offsets=STEP)
     return root
 
 
@@ -291,33 +298,33 @@ def _catalogue(spark, root):
 
 def commit_segments(spark, sf_dir):
     root = fresh_root(spark, "commit")
-    mirror.mirror_once(spark, the_log(spark, sf_dir), root, max_offsets=STEP)
+    mirror.mirror_once(spark, stored_log(spark, sf_dir), root, max_offsets=STEP)
     return _catalogue(spark, root)
 
 
 def mirror_once(spark, sf_dir):
     root = fresh_root(spark, "once")
-    mirror.mirror_once(spark, the_log(spark, sf_dir), root, drain=True, max_offsets=ROWS, max_bytes=BYTES, max_time_ms=TIME_MS)
+    mirror.mirror_once(spark, stored_log(spark, sf_dir), root, drain=True, max_offsets=ROWS, max_bytes=BYTES, max_time_ms=TIME_MS)
     return _catalogue(spark, root).drop("name")
 
 
 def resume_from_destination(spark, sf_dir):
     """Stopped hard after 170 rows of each log and started again: the lost tail is read anew."""
-    root, log = fresh_root(spark, "resume"), the_log(spark, sf_dir)
+    root, log = fresh_root(spark, "resume"), stored_log(spark, sf_dir)
     mirror.mirror_once(spark, log.filter("offset < 170"), root, max_offsets=STEP)
     mirror.mirror_once(spark, log, root, drain=True, max_offsets=STEP)
     return _catalogue(spark, root)
 
 
 def parallel_mirrors(spark, sf_dir):
-    root, log = fresh_root(spark, "parallel"), the_log(spark, sf_dir)
+    root, log = fresh_root(spark, "parallel"), stored_log(spark, sf_dir)
     mirror.mirror_once(spark, log, root, mirrors=mirrors_of(log), drain=True, max_offsets=STEP)
     return _catalogue(spark, root).drop("name")
 
 
 def _streamed(spark, sf_dir):
     source, root = fresh_root(spark, "source"), fresh_root(spark, "streamed")
-    log = the_log(spark, sf_dir)
+    log = stored_log(spark, sf_dir)
     for low, high in ((0, 180), (180, 390), (390, 2**60)):
         log.filter(f"offset >= {low} and offset < {high}").coalesce(1).write.mode("append").parquet(source)
     query = streaming.mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=1, max_offsets=STEP)
