@@ -191,7 +191,7 @@ def full_sets(docs: DataFrame, chosen: DataFrame, join: Join, most_broadcast: in
 
 
 def prefixes(sets: DataFrame, join: Join) -> DataFrame:
-    """gram, sid, n: the n-grams of each set in which every linked set must meet it, rarest first; with the place of each."""
+    """gram, sid, n, place, alone: the n-grams of each set in which every linked set must meet it, with their place, rarest first; alone: n-grams of no other set."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         grams = [np.frombuffer(x, np.int64) for x in b.column("grams").to_pylist()]
@@ -205,7 +205,7 @@ def prefixes(sets: DataFrame, join: Join) -> DataFrame:
     near = rows.join(common, "gram").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("by_df"))  # a set's own n-grams
     alone = F.col("n") - F.size("by_df")  # n-grams of no other set fill the first places
     near = near.select("sid", "n", alone.alias("alone"), F.posexplode(F.slice("by_df", F.lit(1), F.greatest(spare(join) + 1 - alone, F.lit(0)).cast("int"))).alias("i", "x"))
-    return settled(near.select(F.col("x.gram").alias("gram"), "sid", "n", (F.col("alone") + F.col("i")).alias("place")), "prefixes")
+    return settled(near.select(F.col("x.gram").alias("gram"), "sid", "n", (F.col("alone") + F.col("i")).alias("place"), "alone"), "prefixes")
 
 
 def bitmaps(sets: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def links(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
     for _ in range(3):
         sets = next_round(sets, join, fragments)
     prefix = prefixes(sets, join)
-    hubs = prefix.groupBy("gram").agg(F.min(F.struct("sid", "n")).alias("hub"))
+    hubs = prefix.groupBy("gram").agg(F.min(F.struct("alone", "sid", "n")).alias("hub"))  # the set with least of its own is nearest to all others
     first = prefix.join(hubs, "gram").select(F.col("hub.sid").alias("a"), F.col("hub.n").alias("n_a"), F.col("sid").alias("b"), F.col("n").alias("n_b")).filter("a != b")
     found = settled(verified(first.filter(alike_in_size("n_a", "n_b", join)).select("a", "b").distinct(), sets, join), "links")
     roots = components(found)
