@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ SAMPLE = 48
 PLACES = 4
 #: Bits of the filter of open places; the filter is 16 MB whatever the input, and a fuller one only lets more suffixes through.
 FILTER_BITS = 27
-FILTER_PARTS = 16
+FILTER_PARTS = 256
 #: Sets right sides' keys apart from left ones'.
 RIGHT = U64(0x5555)
 CHUNK = 1 << 20
@@ -174,18 +175,24 @@ def splitters(rows: DataFrame, buckets: int, most: int = 16_384) -> np.ndarray:
 
 def repeated(rows: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
     """rid, prints: the sort keys of each owner's suffixes that occur more than once, packed."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, buckets // 2)
 
     def partition(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for kind, prints, check, rid in zip(*[b.column(c).to_pylist() for c in ("kind", "print", "check", "rid")], strict=True):
             x, r = np.frombuffer(prints, U64), np.frombuffer(rid, np.int64)
             y = np.frombuffer(check, np.uint16)
             edges = [0, *np.searchsorted(x, cuts).tolist(), len(x)]  # rows come sorted
-            cut = [(k if kind == 0 else -1 - k, x[s:e].tobytes(), y[s:e].tobytes(), r[s:e].tobytes()) for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "print", "check", "rid"])
+            cut = []
+            for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                if e > s:
+                    owners, of = np.unique(r[s:e], return_inverse=True)  # owners once, then short numbers
+                    wide = len(owners) > 1 << 16
+                    cut.append((k if kind == 0 else -1 - k, x[s:e].tobytes(), y[s:e].tobytes(), owners.tobytes(), of.astype(np.uint32 if wide else np.uint16).tobytes(), wide))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cut, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()), strict=True)], names=["bucket", "print", "check", "owners", "of", "wide"])
 
     def compare(t: pa.Table) -> pa.Table:
-        prints, rid = np.frombuffer(b"".join(t.column("print").to_pylist()), U64), np.frombuffer(b"".join(t.column("rid").to_pylist()), np.int64)
+        prints = np.frombuffer(b"".join(t.column("print").to_pylist()), U64)
+        rid = np.concatenate([np.frombuffer(o, np.int64)[np.frombuffer(i, np.uint32 if w else np.uint16)] for o, i, w in zip(*[t.column(c).to_pylist() for c in ("owners", "of", "wide")], strict=True)])
         check = np.frombuffer(b"".join(t.column("check").to_pylist()), np.uint16)
         if t.column("bucket")[0].as_py() < 0:  # repeats seen within a batch
             return by_part(prints, rid, parts)
@@ -197,7 +204,7 @@ def repeated(rows: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
         again = (np.append(False, same) | np.append(same, False)) & (rid != 0)
         return by_part(prints[again], rid[again], parts)
 
-    found = map_batches(rows, partition, "bucket bigint, print binary, check binary, rid binary").groupBy("bucket").applyInArrow(compare, "part bigint, print binary, rid binary, n binary")
+    found = map_batches(rows, partition, "bucket bigint, print binary, check binary, owners binary, of binary, wide boolean").groupBy("bucket").applyInArrow(compare, "part bigint, print binary, rid binary, n binary")
     return found.groupBy("part").applyInArrow(by_owner, "rid bigint, prints binary")
 
 
@@ -212,6 +219,21 @@ def within(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
+def packed_texts(df: DataFrame) -> DataFrame:
+    """rid and the text as compressed bytes, for the shuffle and the passes after it."""
+
+    def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(level=3)
+        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([c.compress(t) for t in as_bytes(b.column("text").to_pylist())], pa.binary())], names=["rid", "packed"])
+
+    return map_batches(df.select("rid", "text"), run, "rid bigint, packed binary")
+
+
+def unpacked(b: pa.RecordBatch) -> Iterator[bytes]:
+    d = zstandard.ZstdDecompressor()
+    return (d.decompress(x.as_py()) for x in b.column("packed"))
+
+
 def as_bytes(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
 
@@ -287,7 +309,7 @@ def text_suffixes(length: int, open_bits=None) -> Callable[[pa.RecordBatch], Ite
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
-        for data, rid, anchors in zip(as_bytes(b.column("text").to_pylist()), b.column("rid").to_pylist(), b.column("anchors").to_pylist(), strict=True):
+        for data, rid, anchors in zip(unpacked(b), b.column("rid").to_pylist(), b.column("anchors").to_pylist(), strict=True):
             t = Text(data, packed_set(anchors), length)
             at = t.tested if open_bits is None else t.wanted(open_bits.value)
             found.append((t.keys(at), t.c.prints[at].astype(np.uint16), np.full(len(at), rid, np.int64)))
@@ -301,7 +323,7 @@ def open_filter(known: DataFrame, length: int) -> np.ndarray:
     bits = FILTER_BITS - FILTER_PARTS.bit_length() + 1
 
     def ask(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [Text(data, packed_set(own), length).open_places(packed_set(some)) for data, own, some in zip(as_bytes(b.column("text").to_pylist()), *[b.column(c).to_pylist() for c in ("anchors", "strings")], strict=True)]
+        found = [Text(data, packed_set(own), length).open_places(packed_set(some)) for data, own, some in zip(unpacked(b), *[b.column(c).to_pylist() for c in ("anchors", "strings")], strict=True)]
         at = np.unique(np.concatenate(found))
         cuts = np.searchsorted(at >> bits, np.arange(FILTER_PARTS + 1))
         rows = [(k, at[x:y].astype(np.uint32).tobytes()) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
@@ -315,7 +337,7 @@ def open_filter(known: DataFrame, length: int) -> np.ndarray:
         return pa.table({"part": t.column("part").slice(0, 1), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
     out = np.zeros((FILTER_PARTS, 1 << (bits - 3)), np.uint8)
-    for r in map_batches(known.select("text", "anchors", "strings"), ask, "part bigint, places binary").groupBy("part").applyInArrow(combine, "part bigint, bits binary").collect():
+    for r in map_batches(known.select("packed", "anchors", "strings"), ask, "part bigint, places binary").groupBy("part").applyInArrow(combine, "part bigint, bits binary").collect():
         out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
@@ -326,22 +348,22 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
     A text is shuffled once, if it has repeated anchors.
     """
     df = with_rid(docs).select("rid", "text").filter(F.octet_length("text") >= length)
-    buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = settled(map_batches(df, first_suffixes(length), PACKED), "suffixes")
-    anchors = settled(repeated(rows, splitters(rows, buckets), buckets), "anchors").withColumnRenamed("prints", "anchors")
-    texts = bucketed(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi").join(anchors, "rid"), "texts", "rid")
-    rows = settled(map_batches(texts, text_suffixes(length), PACKED), "suffixes")
-    cuts = splitters(rows, buckets)
+    cuts = splitters(rows, buckets)  # strings lead with the same bytes as anchors' sides, so they serve all three sorts
+    anchors = settled(repeated(rows, cuts, buckets), "anchors").withColumnRenamed("prints", "anchors")
+    texts = bucketed(packed_texts(df.join(by_size(anchors.select("rid"), most_broadcast), "rid", "left_semi")).join(anchors, "rid"), "texts", "rid")
+    rows = map_batches(texts.select("rid", "packed", "anchors"), text_suffixes(length), PACKED)
     strings = settled(repeated(rows, cuts, buckets), "strings").withColumnRenamed("prints", "strings")
     known = texts.join(strings, "rid", "left")
 
     open_bits = df.sparkSession.sparkContext.broadcast(open_filter(known, length))
-    rows = map_batches(texts.select("rid", "text", "anchors"), text_suffixes(length, open_bits), PACKED)
+    rows = map_batches(texts.select("rid", "packed", "anchors"), text_suffixes(length, open_bits), PACKED)
     more = repeated(rows, cuts, buckets).withColumnRenamed("prints", "more")
 
     def cover(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
-        for data, rid, own, some, rest in zip(as_bytes(b.column("text").to_pylist()), *[b.column(c).to_pylist() for c in ("rid", "anchors", "strings", "more")], strict=True):
+        for data, rid, own, some, rest in zip(unpacked(b), *[b.column(c).to_pylist() for c in ("rid", "anchors", "strings", "more")], strict=True):
             begins, ends = Text(data, packed_set(own), length).spans(packed_set(some), packed_set(rest))
             if len(begins):
                 kept = b"".join(data[e:s] for e, s in zip([0, *ends.tolist()], [*begins.tolist(), len(data)], strict=True))
@@ -349,7 +371,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, most_broadcast: int = 1_
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["rid", "begins", "ends", "kept"])
 
-    found = map_batches(known.join(more, "rid", "left").select("rid", "text", "anchors", "strings", "more"), cover, "rid bigint, begins array<bigint>, ends array<bigint>, kept binary")
+    found = map_batches(known.join(more, "rid", "left").select("rid", "packed", "anchors", "strings", "more"), cover, "rid bigint, begins array<bigint>, ends array<bigint>, kept binary")
     return settled(found, "repeats").dropDuplicates(["rid"])
 
 
