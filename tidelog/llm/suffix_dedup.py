@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,8 @@ FILTER_BITS = 27
 FILTER_PARTS = 256
 #: Sets right sides' keys apart from left ones'.
 RIGHT = U64(0x5555)
-CHUNK = 1 << 20
+#: Bytes worked on at a time; bounds memory, not texts.
+CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 BYTE = mix64(np.arange(1, 257, dtype=U64))
 PACKED = "kind int, print binary, check binary, rid binary"
@@ -104,11 +106,11 @@ class Chunk:
         return right, right + self.side <= owner_end, left, left >= owner_begin
 
 
-def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[range]:
+def chunks(sizes: list[int], most: int = CHUNK) -> Iterator[range]:
     begin, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most or i == len(texts) - 1:
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= most or i == len(sizes) - 1:
             yield range(begin, i + 1)
             begin, size = i + 1, 0
 
@@ -224,7 +226,7 @@ def packed_texts(df: DataFrame) -> DataFrame:
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
-        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array([c.compress(t) for t in as_bytes(b.column("text").to_pylist())], pa.binary())], names=["rid", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array((c.compress(t.as_py()) for t in b.column("text").cast(pa.binary())), pa.binary())], names=["rid", "packed"])
 
     return map_batches(df.select("rid", "text"), run, "rid bigint, packed binary")
 
@@ -234,17 +236,13 @@ def unpacked(b: pa.RecordBatch) -> Iterator[bytes]:
     return (d.decompress(x.as_py()) for x in b.column("packed"))
 
 
-def as_bytes(texts: list[str | None]) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-
-
 def first_suffixes(length: int) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
     """Suffixes at both sides of all anchors."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, rid, found = as_bytes(b.column("text").to_pylist()), b.column("rid").to_numpy(), []
-        for part in chunks(texts):
-            c = Chunk(texts[part.start : part.stop], length)
+        texts, rid, found = b.column("text").cast(pa.binary()), b.column("rid").to_numpy(), []  # texts have at least length bytes, so none is null
+        for part in chunks(pc.binary_length(texts).to_pylist()):
+            c = Chunk(texts.slice(part.start, len(part)).to_pylist(), length)
             at = c.anchors()
             at = np.unique(at[at >= 0])
             if not len(at):
