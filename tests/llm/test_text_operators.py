@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter
@@ -153,6 +154,20 @@ def test_languages(spark, sf, docs, none):
     assert {r["lang_pred"] for r in language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_no_language_is_rejected_though_it_taught(spark, sf):
+    import corpus_pipeline
+
+    r = random.Random(3)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 9)))
+    odd = [" ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (30, 100, 400)] + [" ".join(word("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(n)) for n in (30, 100, 400)]
+    clean = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    planted = clean.unionByName(spark.createDataFrame([(-1 - i, t, ("en", "de", "fr")[i % 3]) for i, t in enumerate(odd)], clean.schema))
+    kept = corpus_pipeline.keep_known_languages(spark, planted, sf)
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in clean.collect()}
+    got = language_id.identify(planted, teaches=F.col("doc_id") % 4 != 2).filter("doc_id < 0 or rejected").collect()
+    assert {r["doc_id"] for r in got} == {-1 - i for i in range(len(odd))} and all(r["rejected"] for r in got)
+
+
 def test_language_model_sums_to_one(spark):
     rows = [(0, "abc abd abe bad cab", "x", None, None, None, None, None), (1, "zzz yyy zyx", "y", None, None, None, None, None)]
     counts = language_id.count_ngrams(spark.createDataFrame(rows, DOCS)).toPandas()

@@ -4,8 +4,9 @@ Counts of character n-grams come from every training text and are summed by Spar
 slots, so a model has at most 2**bits entries an order and language, however large the corpus: the tables that reach
 the driver and the tasks are bounded by orders * 2**bits * languages. Per order a model keeps a sorted array of slots
 and, beside it, the interpolated log-probability of each slot in each language; a task turns the sorted array into a
-directory from slot to row once. A text's language is that of the lowest cross-entropy per character; texts whose
-cross-entropy lies beyond what any training text of its length shows are rejected.
+directory from slot to row once. A text's language is that of the lowest cross-entropy per character. Rejection goes by
+models of half of the training texts each: every text is scored by the one that has not seen it (copies share a half),
+and rejected if it lies beyond what training texts of its language and length show there.
 """
 
 from __future__ import annotations
@@ -21,12 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import GOLDEN, U64, map_batches, mix64, settled, with_free_names
+from tidelog.llm.common import GOLDEN, U64, map_batches, mix64, release, settled, with_free_names
 
 UNKNOWN = "und"
 ORDER, BITS = 4, 20
 #: Symbols worked on at a time; bounds memory, not texts.
 CHUNK = 1_000_000
+#: The quantile of a length class of at least LEAST training texts that rejection starts from; up to a twentieth may be no language.
+HIGH, LEAST = 0.95, 100
+#: Leads the languages learned from both folds.
+ALL = "2"
 
 
 @cache
@@ -138,7 +143,7 @@ class Model:
     def backed_off(self, at: list[np.ndarray], before: list[np.ndarray], k: int) -> np.ndarray:
         """Log-probability of n-grams of order k+1 that no language has seen: the context's weight and the lower order."""
         if k == 0:
-            return np.full((len(at[0]), len(self.langs)), self.floor)
+            return np.full((len(at[0]), len(self.langs)), self.floor) + self.logw[0][0]
         rows, weights = self.directories()
         found = rows[k - 1][at[k - 1]]
         low = self.logp[k - 1][found]
@@ -148,11 +153,14 @@ class Model:
         return low + np.where((known >= 0)[:, None], self.logw[k][known], 0.0)
 
 
-def build_model(counts: pd.DataFrame, order: int = ORDER, bits: int = BITS) -> Model:
-    """Interpolated Kneser-Ney from the summed counts: raw counts at the top order, continuation counts below."""
+def build_model(counts: pd.DataFrame, order: int = ORDER, bits: int = BITS, n_symbols: int | None = None) -> Model:
+    """Interpolated Kneser-Ney from the summed counts: raw counts at the top order, continuation counts below.
+
+    n_symbols: how many symbols all languages have together (default: those in counts).
+    """
     langs = sorted(counts["lang"].unique())
     size = 1 << bits
-    seen_symbols = max(2, int((counts["n"] == 1).sum()))
+    seen_symbols = max(2, int((counts["n"] == 1).sum()) if n_symbols is None else n_symbols)
     floor = -float(np.log(seen_symbols + 1))
     all_slots, all_logp, all_contexts, all_logw = [], [], [], []
     for n in range(1, order + 1):
@@ -189,25 +197,48 @@ def build_model(counts: pd.DataFrame, order: int = ORDER, bits: int = BITS) -> M
     return Model(langs, order, bits, all_slots, all_logp, all_contexts, all_logw, floor)
 
 
+def by_fold(counts: DataFrame) -> pd.DataFrame:
+    """Counts by languages led by a fold's digit, and beside them the sums over the folds, led by ALL; names and small numbers to spare the driver."""
+    counts = settled(counts, "ngrams")
+    labels = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    names = sorted({*labels, *(ALL + name[1:] for name in labels)})
+    code = F.array_position(F.array(*map(F.lit, names)).cast("array<string>"), F.col("lang")) - 1
+    own = counts.select(code.cast("int").alias("lang"), F.col("n").cast("tinyint").alias("n"), *[F.col(c).cast("int").alias(c) for c in ("slot", "suffix", "context")], "n_seen").toPandas()
+    whole = own.assign(lang=np.array([names.index(ALL + name[1:]) for name in names], np.int32)[own["lang"]])
+    whole = whole.groupby(["lang", "n", "slot"], as_index=False, sort=False).agg({"suffix": "max", "context": "max", "n_seen": "sum"})
+    both = pd.concat([own, whole], ignore_index=True)
+    return both.assign(lang=pd.Categorical.from_codes(both["lang"], names))
+
+
 def score_texts(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """keep, lang_best, n_symbols, entropy (of the best), margin (to the next); nulls where a text has no letter."""
+    """keep, lang_best, n_symbols, entropy (of the best), margin (to the next), lang_held, held; nulls where a text has no letter.
+
+    lang_held and held: the best language and its entropy by the model of the other fold alone, which has not seen the
+    text; null if that fold taught nothing. docs has the column fold.
+    """
+    columns = {fold: [j for j, name in enumerate(model.langs) if name[0] == fold] for fold in ("0", "1", ALL)}
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        m, texts = model.value, b.column("text").to_pylist()
-        best, entropy, margin, sizes = [None] * len(texts), [None] * len(texts), [None] * len(texts), [0] * len(texts)
+        m, texts, folds = model.value, b.column("text").to_pylist(), b.column("fold").to_pylist()
+        best, entropy, margin, sizes, lang_held, held = [None] * len(texts), [None] * len(texts), [None] * len(texts), [0] * len(texts), [None] * len(texts), [None] * len(texts)
         for part in split(range(len(texts)), [len(t or "") for t in texts], CHUNK):
             found = {i: s for i in part if len(s := symbols(texts[i], m.order))}
             if not found:
                 continue
-            e = m.cross_entropy(list(found.values()))
+            all_e = m.cross_entropy(list(found.values()))
+            e = all_e[:, columns[ALL]]
             order = np.sort(e, axis=1)
-            for i, j, low, gap in zip(found, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, len(m.langs) - 1)] - order[:, 0]).tolist(), strict=True):
-                best[i], entropy[i], margin[i], sizes[i] = m.langs[j], low, gap, len(found[i]) - m.order + 1
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(best, pa.string()), pa.array(sizes, pa.int64()), pa.array(entropy, pa.float64()), pa.array(margin, pa.float64())], names=[*keep, "lang_best", "n_symbols", "entropy", "margin"])
+            for i, j, low, gap in zip(found, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, e.shape[1] - 1)] - order[:, 0]).tolist(), strict=True):
+                best[i], entropy[i], margin[i], sizes[i] = m.langs[columns[ALL][j]][1:], low, gap, len(found[i]) - m.order + 1
+            for row, i in enumerate(found):
+                if other := columns["10"[folds[i]]]:
+                    j = other[int(all_e[row, other].argmin())]
+                    lang_held[i], held[i] = m.langs[j][1:], float(all_e[row, j])
+        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(best, pa.string()), pa.array(sizes, pa.int64()), pa.array(entropy, pa.float64()), pa.array(margin, pa.float64()), pa.array(lang_held, pa.string()), pa.array(held, pa.float64())], names=[*keep, "lang_best", "n_symbols", "entropy", "margin", "lang_held", "held"])
 
-    df = with_free_names(docs, [*keep, "text"])
-    return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", lang_best string, n_symbols bigint, entropy double, margin double")
+    df = with_free_names(docs, [*keep, "text", "fold"])
+    return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", lang_best string, n_symbols bigint, entropy double, margin double, lang_held string, held double")
 
 
 def split(items: Iterable[int], sizes: list[int], most: int) -> Iterator[list[int]]:
@@ -222,33 +253,51 @@ def split(items: Iterable[int], sizes: list[int], most: int) -> Iterator[list[in
         yield part
 
 
+def ceilings(scored: DataFrame, langs: set[str]) -> DataFrame:
+    """lang_held, size, ceiling: the quantile HIGH of the held-out entropies of the training texts of that language and length class.
+
+    A class of under LEAST training texts takes the quantile of its length in all languages, or else that of all texts.
+    """
+    found = scored.filter("teaches and held is not null").cube("lang_held", "size").agg(F.count("*").alias("n"), F.percentile_approx("held", F.lit(HIGH), F.lit(10_000)).alias("ceiling")).collect()
+    known = {(r["lang_held"], r["size"]): r["ceiling"] for r in found if r["n"] >= LEAST or r["lang_held"] is None and r["size"] is None}
+    rows = []
+    for lang in sorted(langs):
+        for size in range(32):
+            own = next((known[c] for c in ((lang, size), (None, size), (None, None)) if known.get(c) is not None), None)
+            rows.append((lang, size, own))
+    return scored.sparkSession.createDataFrame(rows, "lang_held string, size int, ceiling double")
+
+
 def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, order: int = ORDER, bits: int = BITS, key: str = "doc_id") -> DataFrame:
     """doc_id (or the column key), lang_pred, score, rejected, n_symbols, entropy; a row per row of docs (doc_id, text, lang).
 
     teaches: condition over docs' columns that picks the rows to learn from (default all); rows with a null lang or
     without a letter teach nothing. A text that is null, empty or without a letter is `und` with score 0 and rejected.
-    score: share of the best language against the next, from the margin over the text's symbols. rejected: the
-    cross-entropy lies more than slack nats above the largest that a training text at least about as long (in powers of
-    two) has. Ties go to the language first in order. Without any training
+    score: share of the best language against the next, from the margin over the text's symbols. rejected: by the model
+    of the half of the training texts that the text is not in, its cross-entropy lies more than slack nats (of n
+    symbols, 1 + 4 / sqrt(n) times as much) above the ceiling of its language and length class in powers of two (ceilings).
+    If that half is empty, nothing can be told and the text stays. Ties go to the language first in order. Without any training
     text all are `und` and rejected. Other columns are ignored.
     """
     df = docs.withColumn("teaches", (F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))) & F.col("lang").isNotNull())
-    df = with_free_names(df, [key, "text", "lang", "teaches"])
-    counts = count_ngrams(df.filter("teaches").select(F.col("lang").cast("string").alias("lang"), "text"), order, bits).toPandas()
+    df = with_free_names(df, [key, "text", "lang", "teaches"]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))  # copies share a fold
+    counts = by_fold(count_ngrams(df.filter("teaches").select(F.concat("fold", F.col("lang").cast("string")).alias("lang"), "text"), order, bits))
     if counts.empty:
         none = F.lit(None).cast("double")
         return df.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(0).cast("bigint").alias("n_symbols"), none.alias("entropy"))
-    scored = score_texts(df, build_model(counts, order, bits), [key, "teaches"])
+    whole = counts["lang"].isin([name for name in counts["lang"].cat.categories if name[0] == ALL])
+    model = build_model(counts, order, bits, int((whole & (counts["n"] == 1)).sum()))
+    del counts, whole
+    release()
+    scored = score_texts(df, model, [key, "teaches"])
     scored = settled(scored.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_symbols"), F.lit(1)))).cast("int")), "languages")
-    ceilings = {r["size"]: r["most"] for r in scored.filter("teaches and entropy is not null").groupBy("size").agg(F.max("entropy").alias("most")).collect()}
-    ceiling = F.lit(max(ceilings.values()))
-    for size in sorted(ceilings, reverse=True):  # a shorter text varies more, so its ceiling is that of no longer text's
-        ceiling = F.when(F.col("size") <= size, F.lit(max(v for k, v in ceilings.items() if k >= size))).otherwise(ceiling)
+    scored = scored.join(F.broadcast(ceilings(scored, {name[1:] for name in model.langs})), ["lang_held", "size"], "left")
+    room = slack * (1 + 4 / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1))))
     return scored.select(
         key,
         F.coalesce("lang_best", F.lit(UNKNOWN)).alias("lang_pred"),
         F.coalesce(1 / (1 + F.exp(-F.col("margin") * F.least(F.col("n_symbols"), F.lit(50)))), F.lit(0.0)).alias("score"),
-        F.coalesce(F.col("entropy") > ceiling + slack, F.lit(True)).alias("rejected"),
+        (F.col("entropy").isNull() | F.coalesce(F.col("held") > F.col("ceiling") + room, F.lit(False))).alias("rejected"),
         "n_symbols",
         "entropy",
     )
