@@ -120,6 +120,31 @@ def test_secrets(spark, docs, none):
     assert clean[0]["text"] == "é [SECRET] [SECRET] [SECRET] [SECRET] [SECRET] [SECRET] token: short" and clean[0]["n_chars"] == len(clean[0]["text"]) and clean[1]["text"] is None
 
 
+def test_keys_in_armour_of_every_length(spark):
+    def der(size):
+        """size bytes that are built as a PKCS#1 key."""
+        body = size - 4
+        numbers = [b"\x02\x01\x00", *[b"\x02\x0c" + bytes(range(1, 13))] * 7]
+        last = body - sum(map(len, numbers)) - 4
+        return b"\x30\x82" + body.to_bytes(2, "big") + b"".join(numbers) + b"\x02\x82" + last.to_bytes(2, "big") + b"\x05" * last
+
+    for size in (400, 401, 402):
+        key = base64.b64encode(der(size)).decode()
+        assert len(der(size)) == size
+        for width, breaks in ((64, "\n"), (64, "\r\n"), (76, "\n"), (len(key), "\n")):
+            lines = breaks.join(key[i : i + width] for i in range(0, len(key), width))
+            for before, after in (("-----BEGIN RSA PRIVATE KEY-----" + breaks, breaks + "-----END RSA PRIVATE KEY-----" + breaks), ("", breaks + "word and more"), ("ab" * 20 + breaks, "\nwords\n"), ("", "-----END")):
+                text = before + lines + after
+                assert (len(before), len(before + lines), "der") in secret_scan.find_spans(text), (size, width, before, after)
+                clean = secret_scan.redact_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["text"] if width == 64 and before[:1] == "-" else None
+                assert clean is None or clean == before + "[SECRET]" + after
+    block = lambda b: len(b).to_bytes(4, "big") + b
+    for n in (90, 91, 92):
+        key = base64.b64encode(b"openssh-key-v1\0" + block(b"none") * 2 + block(b"") + b"\0\0\0\1" + block(b"p" * 33) + block(b"s" * n)).decode()
+        assert (0, len(key), "openssh") in secret_scan.find_spans(key + "\nword")
+    assert (0, 800, "der") in secret_scan.find_spans(der(400).hex() + "abcdef0123")
+
+
 def test_fingerprints_and_edits(docs, none, spark):
     found = fingerprints.fingerprint_edits(docs).collect()
     assert len(found) == docs.count()

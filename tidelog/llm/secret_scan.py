@@ -7,8 +7,10 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -26,7 +28,8 @@ KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
 #: Candidates for the structural check.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]{1,76})*={0,2}")
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]+)*={0,2}")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 HEX_ANY = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
 #: Cheap test that picks the texts worth a closer look.
 HINT = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{32}|eyJ"
@@ -45,18 +48,23 @@ def der_length(data: bytes, at: int) -> tuple[int, int] | None:
     return int.from_bytes(data[at + 1 : at + 1 + n], "big"), at + 1 + n
 
 
-def is_der_key(data: bytes) -> bool:
-    """A SEQUENCE whose nested lengths fill it exactly and that begins as PKCS#1, PKCS#8, SEC1 or SPKI keys do."""
-    if len(data) < 16 or data[0] != 0x30 or not (outer := der_length(data, 1)):
-        return False
-    size, at = outer
-    if size < 12 or at + size > len(data) or len(data) - (at + size) > 2:
-        return False
-    end, tags = at + size, []
+def der_size(data: bytes) -> int | None:
+    """Bytes of the SEQUENCE that data begins with, header included, whether or not they are all there."""
+    if data[:1] != b"\x30" or not (outer := der_length(data, 1)) or outer[0] < 12:
+        return None
+    return outer[0] + outer[1]
+
+
+def der_key(data: bytes) -> int | None:
+    """Bytes of the key that data begins with: a SEQUENCE that its nested lengths fill and that begins as PKCS#1, PKCS#8, SEC1 or SPKI keys do."""
+    end = der_size(data)
+    if end is None or not 16 <= end <= len(data):
+        return None
+    at, tags = der_length(data, 1)[1], []
     while at < end:
         tag = data[at]
         if not (inner := der_length(data, at + 1)) or inner[1] + inner[0] > end:
-            return False
+            return None
         tags.append((tag, data[inner[1] : inner[1] + inner[0]]))
         at = inner[1] + inner[0]
     kinds = [t for t, _ in tags]
@@ -64,19 +72,32 @@ def is_der_key(data: bytes) -> bool:
     wrapped = kinds[:3] == [0x02, 0x30, 0x04] and tags[1][1][:1] == b"\x06"  # PKCS#8
     curve = kinds[:2] == [0x02, 0x04] and tags[0][1] == b"\x01"  # SEC1
     public = kinds == [0x30, 0x03] and tags[0][1][:1] == b"\x06"
-    return integers or wrapped or curve or public
+    return end if integers or wrapped or curve or public else None
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """The magic, then three length-prefixed fields and a key count that fit the data."""
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
-        return False
-    at = len(magic)
+MAGIC = b"openssh-key-v1\0"
+
+
+def openssh_key(data: bytes) -> int | None:
+    """Bytes of the key that data begins with: the magic, three length-prefixed fields, a key count and, if they fit, the keys; else all of data."""
+    if not data.startswith(MAGIC):
+        return None
+
+    def field(at: int) -> int | None:
+        return at + 4 + int.from_bytes(data[at : at + 4], "big") if at + 4 <= len(data) else None
+
+    at: int | None = len(MAGIC)
     for _ in range(3):
-        if at + 4 > len(data) or (at := at + 4 + int.from_bytes(data[at : at + 4], "big")) > len(data):
-            return False
-    return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
+        if (at := field(at)) is None or at > len(data):
+            return None
+    n = int.from_bytes(data[at : at + 4], "big")
+    if at + 4 > len(data) or not 1 <= n <= 16:
+        return None
+    at += 4
+    for _ in range(n + 1):  # the public keys and the private section
+        if (at := field(at)) is None or at > len(data):
+            return len(data)
+    return at
 
 
 def is_token_header(segment: str) -> bool:
@@ -88,8 +109,46 @@ def is_token_header(segment: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
-def key_kind(data: bytes) -> str | None:
-    return "der" if is_der_key(data) else "openssh" if is_openssh_key(data) else None
+def key_at(data: bytes) -> tuple[str, int] | None:
+    """Kind and bytes of the key that data begins with."""
+    if size := der_key(data):
+        return "der", size
+    return ("openssh", size) if (size := openssh_key(data)) else None
+
+
+def base64_keys(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """Spans of the keys that begin a line of the base64 run text[start:end]; a key ends where its own lengths say."""
+    lines = [(m.start(), m.end()) for m in BASE64_LINE.finditer(text, start, end)]
+    begins = np.cumsum([0, *(e - s for s, e in lines)]).tolist()  # places in run
+    run = "".join(text[s:e] for s, e in lines).replace("-", "+").replace("_", "/")
+
+    def decoded(at: int, chars: int) -> bytes:
+        part = run[at : at + chars]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        return base64.b64decode(part + "=" * (-len(part) % 4))
+
+    done = 0
+    for i, at in enumerate(begins[:-1]):
+        if at < done or run[at] not in "Mb":  # 0x30 and the magic's first byte encode to these
+            continue
+        head = decoded(at, 20)
+        if (size := der_size(head)) is not None:
+            chars = -(-4 * size // 3)
+            if at + chars > len(run):
+                continue
+        elif head.startswith(MAGIC):
+            chars = len(run) - at
+        else:
+            continue
+        if not (found := key_at(decoded(at, chars))):
+            continue
+        kind, size = found
+        done = min(at + -(-4 * size // 3), len(run))
+        last = bisect_left(begins, done) - 1
+        stop = lines[last][0] + done - begins[last]
+        while stop < end and text[stop] == "=":
+            stop += 1
+        yield lines[i][0], stop, kind
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -102,19 +161,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates whose decoded bytes parse as a key, and tokens whose header decodes."""
     out = []
     for m in BASE64_RUN.finditer(text):
-        run = re.sub(r"[\r\n=]", "", m[0]).replace("-", "+").replace("_", "/")
-        whole = run[: len(run) - (len(run) % 4 == 1)]
-        if run[0] not in "Mb":  # 0x30 and the magic's first byte encode to these
-            continue
-        try:
-            kind = key_kind(base64.b64decode(whole + "=" * (-len(whole) % 4)))
-        except (ValueError, binascii.Error):
-            continue
-        if kind:
-            out.append((m.start(), m.end(), kind))
+        out += base64_keys(text, m.start(), m.end())
     for m in HEX_ANY.finditer(text):
-        if (m[0].startswith("30") or m[0].lower().startswith("6f70")) and (kind := key_kind(bytes.fromhex(m[0]))):
-            out.append((m.start(), m.end(), kind))
+        if (m[0].startswith("30") or m[0].lower().startswith("6f70")) and (found := key_at(bytes.fromhex(m[0]))):
+            out.append((m.start(), m.start() + 2 * found[1], found[0]))
     return out + [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_token_header(m[1])]
 
 
