@@ -145,6 +145,13 @@ def test_keys_in_armour_of_every_length(spark):
     assert (0, 800, "der") in secret_scan.find_spans(der(400).hex() + "abcdef0123")
 
 
+def test_long_text_resembles_its_half():
+    text = np.random.default_rng(1).integers(97, 123, (1 << 20) + 100, np.uint8).tobytes().decode()
+    whole, half = fingerprints.fingerprint(text), fingerprints.fingerprint(text[: len(text) // 2])
+    assert fingerprints.likeness(whole, half) > 0.1
+    assert fingerprints.likeness(whole, fingerprints.fingerprint(text[: 1 << 20])) > 0.9
+
+
 def test_fingerprints_and_edits(docs, none, spark):
     found = fingerprints.fingerprint_edits(docs).collect()
     assert len(found) == docs.count()

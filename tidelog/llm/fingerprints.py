@@ -42,9 +42,14 @@ def fingerprint(text: str, k: int = K, bin_bits: int = BIN_BITS, picks: int = PI
     n = len(h)
     if not n:
         return out
-    pos_bits = U64(max(20, n.bit_length()))
-    s = np.sort(((h >> pos_bits) << pos_bits) | np.arange(n, dtype=U64))
-    kmer, pos = s >> pos_bits, s & ((U64(1) << pos_bits) - U64(1))
+    low = U64(20)  # the same for every text, or texts of different sizes would have no k-mer in common
+    if n <= 1 << 20:  # the place fits beside the k-mer
+        s = np.sort(((h >> low) << low) | np.arange(n, dtype=U64))
+        kmer, pos = s >> low, s & ((U64(1) << low) - U64(1))
+    else:
+        kmer = h >> low
+        pos = np.argsort(kmer, kind="stable")
+        kmer = kmer[pos]
     first = np.append(True, kmer[1:] != kmer[:-1])
     index = np.arange(n)
     nth = index - np.maximum.accumulate(np.where(first, index, 0))
