@@ -4,11 +4,14 @@ A document is the set of its word shingles, hashed to 64 bits; equal sets are on
 universe is cut into fragments by hash. Fragments work independently: each counts, for the part of every set that falls
 into it, how many n-grams also occur in another set, and these partial counts are summed per set. A set linked with any
 other shares at least its size less the allowed difference, so a set with fewer shared n-grams has no link. This is
-first asked of a slice of the universe for all sets, then of all n-grams for the sets that remain, until hardly any
-drops out. For the rest, n-grams are ordered by frequency, rarest first; only sets that meet in a prefix of that order
-can link. In every prefix list all sets are first compared with one of them; the links found are contracted to
-components, and only sets of different components are compared after that, so that a group of near copies doesn't
-yield all its pairs. Overlaps of pairs are counted fragment by fragment and summed per pair.
+first asked of a slice of the universe for all sets, then of all n-grams for the sets that remain.
+
+For the rest, n-grams are ordered by frequency, rarest first; only sets that meet in a prefix of that order can link. In
+every prefix list all sets are first compared with one of them, and the links found are contracted to components. Then
+fragments count again, now only n-grams that sets of different components share: what a component shares within itself
+links it with nothing else, so most components are complete and drop out, however large they are. Only sets that remain
+are compared with each other, and a pair is formed only where it can be the first n-gram that both share. Overlaps of
+pairs are counted fragment by fragment and summed per pair.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import U64, map_batches, settled, token_hashes, windows, with_free_names
+from tidelog.llm.common import U64, by_size, map_batches, settled, token_hashes, windows, with_free_names
 from tidelog.llm.components import components
 
 ONE = U64(1)
@@ -29,6 +32,8 @@ ONE = U64(1)
 SMALL = 64
 #: 64-bit words of a set's bitmap; two sets differ in at least as many n-grams as their bitmaps in bits.
 WORDS = 16
+#: N-grams to a fragment and to a bundle of sets, and sets to a group that sums partial counts: memory of a task, whatever the input.
+FRAGMENT, BUNDLE, GROUP = 200_000, 1_000_000, 20_000
 
 
 @dataclass(frozen=True)
@@ -114,12 +119,12 @@ def fragment_rows(sids: list[int], sets: list[np.ndarray], join: Join, first: bo
     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["fragment", "grams", "sids"])
 
 
-def count_shared(rows: DataFrame) -> DataFrame:
+def count_shared(rows: DataFrame, parts: int) -> DataFrame:
     """sid, shared: n-grams of each set that occur in another one too, from fragment_rows.
 
     A fragment's partial counts leave it packed, in one row for each of `parts` groups of sets; a group then sums them.
+    Empty rows aren't made, so there are never more of them than n-grams.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(t: pa.Table) -> pa.Table:
         g = np.frombuffer(b"".join(t.column("grams").to_pylist()), U64)
@@ -149,22 +154,13 @@ def count_shared(rows: DataFrame) -> DataFrame:
     return partial.groupBy("part").applyInArrow(total, "sid bigint, shared bigint")
 
 
-def first_round(docs: DataFrame, join: Join, fragments: int) -> DataFrame:
+def first_round(docs: DataFrame, join: Join, fragments: int, parts: int) -> DataFrame:
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = {set_id(s): s for t in b.column("text").to_pylist() if len(s := join.shingles(t))}
         if sets:
             yield from fragment_rows(list(sets), list(sets.values()), join, True, fragments)
 
-    return count_shared(map_batches(with_free_names(docs, ["text"]), run, "fragment bigint, grams binary, sids binary"))
-
-
-def next_round(sets: DataFrame, join: Join, fragments: int) -> DataFrame:
-    def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        grams = [np.frombuffer(x, U64) for x in b.column("grams").to_pylist()]
-        yield from fragment_rows(b.column("sid").to_numpy().view(U64).tolist(), grams, join, False, fragments)
-
-    shared = count_shared(map_batches(sets.select("sid", "grams"), run, "fragment bigint, grams binary, sids binary"))
-    return settled(sets.join(shared, "sid").filter(F.col("shared") >= F.col("n") - spare(join)).drop("shared"), "sets")
+    return count_shared(map_batches(with_free_names(docs, ["text"]), run, "fragment bigint, grams binary, sids binary"), parts)
 
 
 def spare(join: Join):
@@ -190,22 +186,103 @@ def full_sets(docs: DataFrame, chosen: DataFrame, join: Join, most_broadcast: in
     return settled(map_batches(df.select("sid", "text"), run, "sid bigint, n bigint, grams binary").dropDuplicates(["sid"]), "sets")
 
 
-def prefixes(sets: DataFrame, join: Join) -> DataFrame:
-    """gram, sid, n, place, alone: the n-grams of each set in which every linked set must meet it, with their place, rarest first; alone: n-grams of no other set."""
+def bundled(sets: DataFrame) -> DataFrame:
+    """Sets (sid, root, n, grams) packed into bundles of bounded size, each known by the sid of its first set."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        grams = [np.frombuffer(x, np.int64) for x in b.column("grams").to_pylist()]
-        sizes = np.array([len(x) for x in grams])
-        for i in range(0, len(grams), 200):
-            part = slice(i, i + 200)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams[part])), pa.array(np.repeat(b.column("sid").to_numpy()[part], sizes[part])), pa.array(np.repeat(b.column("n").to_numpy()[part], sizes[part]))], names=["gram", "sid", "n"])
+        sids, roots, grams = b.column("sid").to_numpy(), b.column("root").to_numpy(), b.column("grams").to_pylist()
+        sizes = np.array([len(g) // 8 for g in grams], np.int64)
+        for part in runs(sizes.tolist(), BUNDLE):
+            packed = [sids[part].tobytes(), roots[part].tobytes(), sizes[part].tobytes(), b"".join(grams[part])]
+            yield pa.RecordBatch.from_arrays([pa.array(sids[part][:1]), *[pa.array([x], pa.binary()) for x in packed]], names=["bundle", "sids", "roots", "sizes", "grams"])
+
+    return settled(map_batches(sets.select("sid", "root", "grams"), run, "bundle bigint, sids binary, roots binary, sizes binary, grams binary"), "bundles")
+
 
-    rows = map_batches(sets, run, "gram bigint, sid bigint, n bigint")
-    common = rows.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
-    near = rows.join(common, "gram").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("by_df"))  # a set's own n-grams
-    alone = F.col("n") - F.size("by_df")  # n-grams of no other set fill the first places
-    near = near.select("sid", "n", alone.alias("alone"), F.posexplode(F.slice("by_df", F.lit(1), F.greatest(spare(join) + 1 - alone, F.lit(0)).cast("int"))).alias("i", "x"))
-    return settled(near.select(F.col("x.gram").alias("gram"), "sid", "n", (F.col("alone") + F.col("i")).alias("place"), "alone"), "prefixes")
+def runs(sizes: list[int], most: int) -> Iterator[slice]:
+    """Consecutive slices whose sizes sum to at most `most`, or of one item."""
+    begin, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > begin and total + n > most:
+            yield slice(begin, i)
+            begin, total = i, 0
+        total += n
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
+def arrays(b: pa.RecordBatch | pa.Table, i: int, *names: str) -> list[np.ndarray]:
+    return [np.frombuffer(b.column(c)[i].as_py(), np.int64) for c in names]
+
+
+def foreign(bundles: DataFrame, fragments: int) -> DataFrame:
+    """The bundles with known (array of packed grams and counts): their n-grams that sets of several roots hold, and how many sets hold them.
+
+    A bundle asks once for each n-gram, whatever the number of its sets that hold it.
+    """
+
+    def ask(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i in range(b.num_rows):
+            roots, sizes, g = arrays(b, i, "roots", "sizes", "grams")
+            order = np.argsort(g, kind="stable")
+            g, r = g[order], np.repeat(roots, sizes)[order]
+            starts = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            least, most = np.minimum.reduceat(r, starts), np.maximum.reduceat(r, starts)
+            g, root, held = g[starts], np.where(least == most, least, 0), np.diff(np.append(starts, len(g)))
+            f = (g.view(U64) % U64(fragments)).astype(np.int64)
+            order = np.argsort(f, kind="stable")
+            cuts = np.searchsorted(f[order], np.arange(fragments + 1)).tolist()
+            rows = [(k, b.column("bundle")[i].as_py(), *[x[order[s:e]].tobytes() for x in (g, root, held)]) for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if e > s]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["fragment", "bundle", "grams", "roots", "held"])
+
+    def answer(t: pa.Table) -> pa.Table:
+        g, root, held = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.int64) for c in ("grams", "roots", "held"))
+        of = np.repeat(np.arange(t.num_rows), [len(x.as_py()) // 8 for x in t.column("grams")])
+        order = np.argsort(g, kind="stable")
+        starts = np.flatnonzero(np.append(True, g[order][1:] != g[order][:-1]))
+        sizes, r = np.diff(np.append(starts, len(g))), root[order]
+        least, most = np.minimum.reduceat(r, starts), np.maximum.reduceat(r, starts)
+        several = (least != most) | (np.logical_or.reduceat(r == 0, starts))
+        total, told = np.zeros(len(g), np.int64), np.zeros(len(g), bool)
+        total[order], told[order] = np.repeat(np.add.reduceat(held[order], starts), sizes), np.repeat(several, sizes)
+        cuts = np.searchsorted(of[told], np.arange(t.num_rows + 1)).tolist()
+        g, total = g[told], total[told]
+        rows = [(to, g[s:e].tobytes(), total[s:e].tobytes()) for to, s, e in zip(t.column("bundle").to_pylist(), cuts[:-1], cuts[1:], strict=True) if e > s]
+        return pa.table({"bundle": pa.array([x[0] for x in rows], pa.int64()), "grams": pa.array([x[1] for x in rows], pa.binary()), "held": pa.array([x[2] for x in rows], pa.binary())})
+
+    asked = map_batches(bundles.select("bundle", "roots", "sizes", "grams"), ask, "fragment bigint, bundle bigint, grams binary, roots binary, held binary")
+    told = asked.groupBy("fragment").applyInArrow(answer, "bundle bigint, grams binary, held binary").groupBy("bundle").agg(F.collect_list(F.struct("grams", "held")).alias("known"))
+    return settled(bundles.join(told, "bundle"), "known")
+
+
+def prefixes(known: DataFrame, join: Join) -> DataFrame:
+    """gram, sid, root, n, place, shared: the n-grams of each set in which every set it links with, of another root, must meet it.
+
+    place: of all n-grams that several roots hold, rarest first, from 0; shared: how many of these the set has. Sets that
+    share too few with other roots have no rows.
+    """
+
+    def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i in range(b.num_rows):
+            sids, roots, n, g = arrays(b, i, "sids", "roots", "sizes", "grams")
+            told = b.column("known")[i].as_py()
+            grams, held = (np.frombuffer(b"".join(x[c] for x in told), np.int64) for c in ("grams", "held"))
+            order = np.argsort(grams)
+            grams, held = grams[order], held[order]
+            at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
+            own = np.repeat(np.arange(len(n)), n)
+            hit = grams[at] == g
+            g, own, rare = g[hit], own[hit], held[at[hit]]
+            shared = np.bincount(own, minlength=len(n))
+            room = n - (join.percent * n + 99) // 100 + 1 - (n - shared)  # places in the prefix that such n-grams take
+            order = np.lexsort((g, rare, own))
+            g, own = g[order], own[order]
+            place = np.arange(len(own)) - np.repeat(np.cumsum(shared) - shared, shared)
+            keep = place < room[own]
+            g, own, place = g[keep], own[keep], place[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g, sids[own], roots[own], n[own], place, shared[own])], names=["gram", "sid", "root", "n", "place", "shared"])
+
+    return settled(map_batches(known, run, "gram bigint, sid bigint, root bigint, n bigint, place bigint, shared bigint"), "prefixes")
 
 
 def bitmaps(sets: DataFrame) -> DataFrame:
@@ -224,12 +301,15 @@ def bitmaps(sets: DataFrame) -> DataFrame:
 
 
 def may_link(join: Join):
-    """Condition on a pair of prefix rows (columns …_a, …_b): sizes, places and bitmaps allow the similarity."""
+    """Condition on a pair of prefix rows (columns …_a, …_b): sizes, places and bitmaps allow the similarity.
+
+    The n-gram counts as the first that both share, so no more are shared than either has from there on.
+    """
     n_a, n_b = F.col("n_a"), F.col("n_b")
     need = (n_a + n_b) * join.percent / (100 + join.percent) - 1e-6
-    open_ = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))  # both sets in one order: no more can be shared from here on
+    open_ = F.least(F.col("shared_a") - F.col("place_a"), F.col("shared_b") - F.col("place_b"))
     apart = sum((F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))).cast("double") for i in range(WORDS)), F.lit(0.0))
-    return alike_in_size("n_a", "n_b", join) & (open_ + F.least(F.col("place_a"), F.col("place_b")) >= need) & (apart <= n_a + n_b - 2 * need)
+    return alike_in_size("n_a", "n_b", join) & (open_ >= need) & (apart <= n_a + n_b - 2 * need)
 
 
 def alike_in_size(a: str, b: str, join: Join):
@@ -263,25 +343,32 @@ def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 def links(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
     """Links (a, b) between different sets that connect the same sets as all links do."""
-    fragments = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    reps = described.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"), F.min("looked").alias("looked"))
-    shared = first_round(docs, join, fragments)
+    reps = settled(described.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"), F.min("looked").alias("looked")), "sets")
+    n_sets, n_grams = reps.agg(F.count("*"), F.coalesce(F.sum("looked"), F.lit(0))).first()
+    shared = first_round(docs, join, pieces(n_grams, FRAGMENT), pieces(n_sets, GROUP))
     kept = reps.join(shared, "sid", "left").filter(F.coalesce("shared", F.lit(0)) >= F.col("looked") - spare(join)).filter("doc_id is not null").select("doc_id", "sid", "n")
     sets = full_sets(docs, settled(kept, "chosen").drop("n"), join)
-    for _ in range(3):
-        sets = next_round(sets, join, fragments)
-    prefix = prefixes(sets, join)
-    hubs = prefix.groupBy("gram").agg(F.min(F.struct("alone", "sid", "n")).alias("hub"))  # the set with least of its own is nearest to all others
+    fragments = pieces(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], FRAGMENT)
+
+    prefix = prefixes(foreign(bundled(sets.withColumn("root", F.col("sid"))), fragments), join)
+    hubs = prefix.groupBy("gram").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), "sid", "n")).alias("hub"))  # the set with least of its own is nearest to all others
     first = prefix.join(hubs, "gram").select(F.col("hub.sid").alias("a"), F.col("hub.n").alias("n_a"), F.col("sid").alias("b"), F.col("n").alias("n_b")).filter("a != b")
     found = settled(verified(first.filter(alike_in_size("n_a", "n_b", join)).select("a", "b").distinct(), sets, join), "links")
-    roots = components(found)
-    labelled = settled(prefix.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
-    mixed = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
-    open_ = settled(labelled.join(mixed, "gram").join(bitmaps(sets), "sid"), "open")
+
+    roots = by_size(components(found).withColumnRenamed("node", "sid"))
+    rest = sets.join(by_size(prefix.select("sid").distinct()), "sid", "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    prefix = prefixes(foreign(bundled(rest), fragments), join)
+    mixed = prefix.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
     words = [F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)]
-    x, y = (open_.select("gram", "sid", "n", "root", "place", *words).select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "root", "place", *(f"w{i}" for i in range(WORDS)))]) for s in "ab")
-    rest = x.alias("x").join(y.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & may_link(join))
-    return found.unionByName(verified(rest.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct(), sets, join))
+    rows = settled(prefix.join(mixed, "gram").join(bitmaps(sets.join(by_size(prefix.select("sid").distinct()), "sid", "left_semi")), "sid").select(*prefix.columns, *words), "open")
+    x, y = (rows.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "gram"]) for s in "ab")
+    pairs = x.join(y, "gram").filter((F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & may_link(join))
+    return found.unionByName(verified(pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct(), sets, join))
+
+
+def pieces(total: int, each: int) -> int:
+    """How many pieces of about `each` a total makes; some at least, for small tables to use all cores."""
+    return max(24, -(-total // each))
 
 
 def ngram_components(docs: DataFrame, join: Join | None = None) -> DataFrame:
