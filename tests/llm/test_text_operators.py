@@ -200,13 +200,74 @@ def test_no_language_is_rejected_though_it_taught(spark, sf):
     assert {r["doc_id"] for r in got} == {-1 - i for i in range(len(odd))} and all(r["rejected"] for r in got)
 
 
-def test_language_model_sums_to_one(spark):
-    rows = [(0, "abc abd abe bad cab", "x", None, None, None, None, None), (1, "zzz yyy zyx", "y", None, None, None, None, None)]
-    counts = language_id.count_ngrams(spark.createDataFrame(rows, DOCS)).toPandas()
-    model = language_id.build_model(counts)
-    assert all(np.exp(p).max() <= 1.0001 for p in model.logp)
-    e = model.cross_entropy([language_id.symbols("abc bad"), language_id.symbols("zyx zzz")])
-    assert e[0].argmin() == 0 and e[1].argmin() == 1
+def units(text):
+    """What the language models see: lower-case letters and single blanks, led by three marks."""
+    out = []
+    for c in text.replace("\0", " "):
+        x = (c.lower()[0] if ord(c) < 1 << 16 else c) if c.isalpha() else " "
+        if x != " " or not out or out[-1] != " ":
+            out += np.frombuffer(x.encode("utf-16-le"), np.uint16).tolist() if x != " " else [" "]
+    return [0, 0, 0, *out] if any(x != " " for x in out) else []
+
+
+def brute_kneser_ney(texts, n_symbols):
+    """Log-probability of a 4-gram, straight from the definition."""
+    counts = {4: Counter(tuple(u[i : i + 4]) for u in map(units, texts) for i in range(len(u) - 3))}
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / (n_symbols + 1)
+        ones, twos = (sum(c == k for c in counts[n].values()) for k in (1, 2))
+        d = ones / (ones + 2 * twos) if ones else 0.5
+        after = [c for h, c in counts[n].items() if h[:-1] == g[:-1]]
+        return (max(counts[n][g] - d, 0) + d * len(after) * p(g[1:])) / sum(after) if after else p(g[1:])
+
+    return p
+
+
+def test_language_models_equal_brute_force(spark):
+    r = random.Random(4)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(1, 5)))
+    taught = [(lang, fold, " ".join(word(x) for _ in range(60))) for fold in (0, 1) for lang, x in (("x", "abcdE"), ("y", "cdéf\U00010414"))] + [("x", 0, "A1b\0 \U0001F600 c"), ("y", 1, "?!"), ("z", 0, "αβγ γα"), ("w", 1, "12")]
+    df = spark.createDataFrame(taught, "lang string, fold int, text string").repartition(3)
+    langs, table, unseen = language_id.model_table(language_id.count_ngrams(df, ["w", "x", "y", "z"]), ["w", "x", "y", "z"])
+    assert langs == ["x", "y", "z"]
+    model = language_id.Model.of(table.toArrow(), langs, unseen)
+    asked = ["abc dec", "éff zé", "γα ab", "\U00010414c", "q"]
+    n_symbols = len({g[3] for _, _, t in taught for u in [units(t)] for g in zip(u, u[1:], u[2:], u[3:], strict=False)})
+    for half in (0, 1):
+        got, sizes = model.sums(half, asked)
+        for j, lang in enumerate(langs):
+            own = [t for of, fold, t in taught if of == lang and (fold == half or lang == "z")]
+            p = brute_kneser_ney(own, n_symbols)
+            for i, t in enumerate(asked):
+                u = units(t)
+                assert sizes[i] == len(u) - 3
+                assert got[i, j] == pytest.approx(sum(np.log(p(tuple(u[k : k + 4]))) for k in range(len(u) - 3)), rel=1e-4)
+    symbols = {u for _, _, t in taught for u in units(t)} - {0}
+    p = brute_kneser_ney([t for of, fold, t in taught if of == "x" and fold == 0], n_symbols)
+    assert sum(p((0, 97, 98, u)) for u in symbols) + p((0, 97, 98, "never")) == pytest.approx(1)
+
+
+def test_languages_do_not_depend_on_partitions_or_the_way_of_scoring(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("bigint")))
+    rows = lambda df: Counter((r["doc_id"], r["lang_pred"], round(r["score"], 6), r["rejected"], r["n_symbols"], None if r["entropy"] is None else round(r["entropy"], 6)) for r in df.collect())
+    taught = F.col("doc_id") % 4 != 2
+    want = rows(language_id.identify(docs.repartition(3), teaches=taught))
+    assert rows(language_id.identify(docs.repartition(7), teaches=taught)) == want
+    joined = rows(language_id.identify(docs, teaches=taught, most_model=0))
+    assert {x[:2] + x[3:5] for x in joined} == {x[:2] + x[3:5] for x in want} and sum(joined.values()) == sum(want.values())
+
+
+def test_long_texts_are_cut_into_pieces():
+    text = " ".join(random.Random(5).choice(["ab", "c1", "  ", "é"]) for _ in range(200_000))
+    texts = ["a b", text, None, "?", text[: language_id.CHUNK], "z"]
+    s, begins, sizes = language_id.stream(texts)
+    assert [s[b : b + n].tolist() for b, n in zip(begins, sizes, strict=True)] == [[32 if x == " " else x for x in units(t or "")[3:]] for t in texts]
 
 
 def test_quality_model(spark, sf, docs, none):

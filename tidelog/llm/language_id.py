@@ -1,303 +1,386 @@
 """Language identification with interpolated Kneser-Ney character models.
 
-Counts of character n-grams come from every training text and are summed by Spark. N-grams are hashed into 2**bits
-slots, so a model has at most 2**bits entries an order and language, however large the corpus: the tables that reach
-the driver and the tasks are bounded by orders * 2**bits * languages. Per order a model keeps a sorted array of slots
-and, beside it, the interpolated log-probability of each slot in each language; a task turns the sorted array into a
-directory from slot to row once. A text's language is that of the lowest cross-entropy per character. Rejection goes by
-models of half of the training texts each: every text is scored by the one that has not seen it (copies share a half),
-and rejected if it lies beyond what training texts of its language and length show there.
+A text is a stream of letters, as UTF-16 units, and blanks; four of them make a 4-gram, a 64-bit number that stands for
+just that 4-gram. Spark sums the 4-grams of all training texts per language; the orders below follow from them, as
+Kneser-Ney counts there how many different symbols an n-gram follows. Joins and sums make the model table: interpolated
+log-probabilities per n-gram and log-weights per context. It grows with the n-grams of the corpus. Up to a checked size
+tasks hold it as arrays sorted by hash, with a directory by the hash's leading bits; beyond, texts' n-grams are joined
+with it.
+
+Training texts are dealt to two halves by their content, each half has its own counts, and every text is scored by the
+half that it is not in. So no text is judged by what it taught itself: its language is that of the lowest cross-entropy
+per symbol, and it is rejected if that lies beyond what training texts of its language and length show.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import GOLDEN, U64, map_batches, mix64, release, settled, with_free_names
+from tidelog.llm.common import GOLDEN, U64, map_batches, release, settled, with_free_names
 
 UNKNOWN = "und"
-ORDER, BITS = 4, 20
+ORDER = 4
+BLANK = 32
 #: Symbols worked on at a time; bounds memory, not texts.
-CHUNK = 1_000_000
+CHUNK = 1 << 17
 #: The quantile of a length class of at least LEAST training texts that rejection starts from; up to a twentieth may be no language.
 HIGH, LEAST = 0.95, 100
-#: Leads the languages learned from both folds.
-ALL = "2"
+#: Bytes up to which tasks get the whole model.
+MOST_MODEL = 64 << 20
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 
 
 @cache
 def letters() -> np.ndarray:
-    """For every code point: itself if it is a letter, else 32."""
-    codes = np.arange(0x110000, dtype=np.uint32)
-    alpha = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000)
-    return np.where(alpha, codes, 32).astype(np.uint32)
-
-
-def symbols(text: str | None, order: int = ORDER) -> np.ndarray:
-    """Lower-case letters, every run of other characters as one blank, led by order-1 blanks; empty without a letter."""
-    s = letters()[np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-    blank = s == 32
-    if blank.all():
-        return np.zeros(0, np.uint32)
-    keep = ~blank
-    keep[1:] |= ~blank[:-1]
-    return np.concatenate((np.full(order - 1, 32, np.uint32), s[keep]))
-
-
-def slots(s: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
-    """Slot of the n-gram that ends at each position, for n = 1 .. order; positions from order-1 on."""
-    n = len(s) - order + 1
-    key, out = np.zeros(n, U64), []
-    for k in range(order):
-        part = s[order - 1 - k : order - 1 - k + n].astype(U64)
-        key = key * U64(0x100000001B3) + part * GOLDEN + U64(k + 1)
-        out.append((mix64(key) >> U64(64 - bits)).astype(np.int64))
-    return out
-
-
-def joined(texts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' symbols end to end, and which n-grams (by end, from position order-1 on) lie within one text."""
-    s = np.concatenate(texts)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    begins = np.cumsum(lengths) - lengths
-    real = np.ones(len(s), bool)
-    for i in range(order - 1):
-        real[begins + i] = False
-    return s, real[order - 1 :]
-
-
-def count_ngrams(docs: DataFrame, order: int = ORDER, bits: int = BITS) -> DataFrame:
-    """lang, n, slot, suffix, context, n_seen: counts of all n-grams of all texts; suffix, context: slots at n-1."""
+    """For every UTF-16 unit: its lower case if it is a letter, itself if it is half a letter or the mark between texts (0), else a blank."""
+    lower = [ord(c) if "\ud800" <= (c := chr(u)) <= "\udfff" else ord(c.lower()[0]) if unicodedata.category(c)[0] == "L" else BLANK for u in range(1 << 16)]
+    return np.array([0, *[u if u < 1 << 16 else BLANK for u in lower[1:]]], np.uint16)
+
+
+def symbols(text: str) -> np.ndarray:
+    """Letters and blanks of a text without 0; every run of other characters is one blank."""
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    if len(units) != len(text):
+        text = ASTRAL.sub(lambda m: m[0] if unicodedata.category(m[0])[0] == "L" else " ", text)
+        units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    s = letters()[units]
+    keep = s != BLANK
+    keep[1:] |= keep[:-1].copy()
+    return s[keep]
+
+
+def stream(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of the texts end to end, each led by ORDER-1 zeros; where each text begins, and how many symbols it has (0 if it has no letter)."""
+    mark, parts, short = "\0" * (ORDER - 1), [], []
+
+    def flush() -> None:
+        if short:
+            parts.append(symbols(mark + mark.join(short)))
+            short.clear()
+
+    for t in texts:
+        t = (t or "").replace("\0", " ")
+        if len(t) <= CHUNK:
+            short.append(t)
+            continue
+        flush()
+        parts.append(np.zeros(ORDER - 1, np.uint16))
+        last = 0
+        for i in range(0, len(t), CHUNK):
+            s = symbols("\0" + t[i : i + CHUNK])[1:]
+            parts.append(s[int(last == s[0] == BLANK) :])
+            last = s[-1]
+    flush()
+    s = np.concatenate(parts)
+    zeros = np.flatnonzero(s == 0)
+    begins = zeros[ORDER - 2 :: ORDER - 1] + 1
+    sizes = np.append(zeros[ORDER - 1 :: ORDER - 1], len(s)) - begins
+    return s, begins, np.where((sizes == 1) & (s[np.minimum(begins, len(s) - 1)] == BLANK), 0, sizes)
+
+
+def grams(s: np.ndarray) -> np.ndarray:
+    """The 4-gram that ends at each position from ORDER-1 on."""
+    two = (s[:-1].astype(np.uint32) << np.uint32(16)) | s[1:]
+    return (two[:-2].astype(U64) << U64(32)) | two[2:]
+
+
+def slices(n: int) -> Iterator[tuple[int, int]]:
+    """Ranges of positions from ORDER-1 to n."""
+    for a in range(ORDER - 1, n, CHUNK):
+        yield a, min(a + CHUNK, n)
+
+
+def split(items: list[int], sizes: list[int], most: int = CHUNK) -> Iterator[list[int]]:
+    part, total = [], 0
+    for i, n in zip(items, sizes, strict=True):
+        part.append(i)
+        total += n
+        if total >= most:
+            yield part
+            part, total = [], 0
+    if part:
+        yield part
+
+
+def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their counts."""
+    if counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.diff(np.append(starts, len(keys))) if counts is None else np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def count_ngrams(docs: DataFrame, langs: list[str]) -> DataFrame:
+    """gram and c0 .. : how often each 4-gram occurs in docs (lang, fold, text), by fold * len(langs) + language."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        by_lang: dict[str, list[int]] = {}
-        for i, lang in enumerate(b.column("lang").to_pylist()):
-            by_lang.setdefault(lang, []).append(i)
-        texts = b.column("text").to_pylist()
-        for lang, rows in by_lang.items():
-            seen, ends = np.zeros((order, 1 << bits), np.int32), np.zeros((2, order, 1 << bits), np.int32)
-            for own in split(rows, [len(texts[i] or "") for i in rows], CHUNK):
-                if not (parts := [s for i in own if len(s := symbols(texts[i], order))]):
-                    continue
-                s, real = joined(parts, order)
-                at, before = slots(s, order, bits), slots(np.append(np.uint32(32), s)[: len(s)], order, bits)
-                for n in range(order):
-                    slot = at[n][real]
-                    seen[n] += np.bincount(slot, minlength=1 << bits).astype(np.int32)
-                    if n:  # an n-gram's suffix ends where it ends, its context one symbol earlier
-                        ends[0, n, slot], ends[1, n, slot] = at[n - 1][real], before[n - 1][real]
-            for n in range(order):
-                used = np.flatnonzero(seen[n])
-                yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "n": pa.array(np.full(len(used), n + 1, np.int32)), "slot": used, "suffix": ends[0, n, used].astype(np.int64), "context": ends[1, n, used].astype(np.int64), "n_seen": seen[n, used].astype(np.int64)})
-
-    parts = map_batches(with_free_names(docs, ["lang", "text"]), run, "lang string, n int, slot bigint, suffix bigint, context bigint, n_seen bigint")
-    return parts.groupBy("lang", "n", "slot").agg(F.max("suffix").alias("suffix"), F.max("context").alias("context"), F.sum("n_seen").alias("n_seen"))
+        texts, rows = b.column("text").to_pylist(), {}
+        for i, at in enumerate(zip(b.column("fold").to_pylist(), b.column("lang").to_pylist(), strict=True)):
+            rows.setdefault(at, []).append(i)
+        for (fold, lang), own in rows.items():
+            found = []
+            for part in split(own, [len(texts[i] or "") for i in own]):
+                s, _, sizes = stream([texts[i] for i in part])
+                if sizes.any():
+                    found += [summed(grams(s[a - ORDER + 1 : e])[s[a:e] != 0]) for a, e in slices(len(s))]
+            if found:
+                keys, counts = summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), fold * len(langs) + langs.index(lang), np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["of", "gram", "n"])
+
+    parts = map_batches(with_free_names(docs, ["lang", "fold", "text"]), run, "of int, gram bigint, n bigint")
+    return parts.groupBy("gram").agg(*[F.coalesce(F.sum(F.when(F.col("of") == j, F.col("n"))), F.lit(0)).alias(f"c{j}") for j in range(2 * len(langs))])
+
+
+def suffix(gram: Column, n: int) -> Column:
+    """The n-gram without its first symbol."""
+    return gram.bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1))
+
+
+def context(gram: Column) -> Column:
+    """The n-gram without its last symbol."""
+    return F.shiftrightunsigned(gram, 16)
+
+
+def model_table(counts: DataFrame, langs: list[str]) -> tuple[list[str], DataFrame, list[float]] | None:
+    """The languages that any text taught; kind, gram, v (an array, by fold and language) with log-probabilities of n-grams (kind n) and log-weights of contexts of n-grams (kind 10 + n); log-probabilities of an unseen symbol.
+
+    Raw counts at the top, below how many symbols an n-gram follows; one discount for each order and language. A half
+    that has taught a language nothing borrows the other half's counts.
+    """
+    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in counts.columns[1:]]).first()
+    half = len(langs)
+    taught = [j for j in range(half) if total[j] or total[half + j]]
+    if not taught:
+        return None
+    pick = [f * half + j if total[f * half + j] else (1 - f) * half + j for f in (0, 1) for j in taught]
+    m = range(len(pick))
+    by_order = {ORDER: counts.select("gram", *[F.col(f"c{j}").alias(f"c{i}") for i, j in enumerate(pick)])}
+    for n in range(ORDER, 1, -1):
+        below = by_order[n].groupBy(suffix(F.col("gram"), n).alias("gram")).agg(*[F.sum((F.col(f"c{i}") > 0).cast("bigint")).alias(f"c{i}") for i in m])
+        by_order[n - 1] = settled(below, "orders")
+
+    facts = {n: t.agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for i in m for c in [F.col(f"c{i}")] for x in ((c == 1).cast("bigint"), (c == 2).cast("bigint"), c, (c > 0).cast("bigint"))]).first() for n, t in by_order.items()}
+    discount = {n: [r[4 * i + 1] / (r[4 * i + 1] + 2 * r[4 * i + 2]) if r[4 * i + 1] else 0.5 for i in m] for n, r in facts.items()}
+    even = 1 / (facts[1][0] + 1)  # one place is kept for symbols never seen
+    weight = [discount[1][i] * facts[1][4 * i + 4] / facts[1][4 * i + 3] for i in m]
+    array = lambda kind, gram, values: (F.lit(kind).alias("kind"), gram.alias("gram"), F.array(*[F.log(v).cast("float") for v in values]).alias("v"))
+    over = lambda n, i: F.greatest(F.col(f"c{i}") - F.lit(discount[n][i]), F.lit(0.0))
+    p = by_order[1].select("gram", *[(over(1, i) / facts[1][4 * i + 3] + weight[i] * even).alias(f"p{i}") for i in m])
+    tables = [p.select(*array(1, F.col("gram"), [F.col(f"p{i}") for i in m]))]
+    for n in range(2, ORDER + 1):
+        own = by_order[n].withColumn("context", context(F.col("gram"))).withColumn("suffix", suffix(F.col("gram"), n))
+        of = own.groupBy("context").agg(*[F.sum(f"c{i}").alias(f"s{i}") for i in m], *[F.sum((F.col(f"c{i}") > 0).cast("bigint")).alias(f"k{i}") for i in m])
+        of = settled(of.select("context", *[f"s{i}" for i in m], *[F.when(F.col(f"s{i}") > 0, F.lit(discount[n][i]) * F.col(f"k{i}") / F.col(f"s{i}")).otherwise(1.0).alias(f"w{i}") for i in m]), "contexts")
+        low = p.select(F.col("gram").alias("suffix"), *[F.col(f"p{i}").alias(f"low{i}") for i in m])
+        p = own.join(of, "context").join(low, "suffix").select("gram", *[(over(n, i) / F.greatest(F.col(f"s{i}"), F.lit(1)) + F.col(f"w{i}") * F.col(f"low{i}")).alias(f"p{i}") for i in m])
+        p = settled(p, "orders")
+        tables += [p.select(*array(n, F.col("gram"), [F.col(f"p{i}") for i in m])), of.select(*array(10 + n, F.col("context"), [F.col(f"w{i}") for i in m]))]
+    return [langs[j] for j in taught], settled(reduce(DataFrame.unionByName, tables), "model"), [float(np.log(w * even)) for w in weight]
+
+
+@dataclass
+class Sorted:
+    """N-grams sorted by hash with a column of values each; the hash is one to one."""
+
+    hashes: np.ndarray
+    values: np.ndarray
+    first: np.ndarray
+    shift: int
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> Sorted:
+        h = keys.view(U64) * GOLDEN
+        order = np.argsort(h)
+        h, bits = h[order], max(4, 1 + int(len(h)).bit_length())
+        return cls(h, np.ascontiguousarray(values[:, order]), np.searchsorted(h, np.arange(1 << bits, dtype=U64) << U64(64 - bits)).astype(np.int32), 64 - bits)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 if there is none."""
+        h = keys * GOLDEN
+        at = self.first[(h >> U64(self.shift)).astype(np.int64)]
+        got = self.hashes[np.minimum(at, len(self.hashes) - 1)]
+        out = np.where((at < len(self.hashes)) & (got == h), at, np.int32(-1))
+        left = np.flatnonzero((got < h) & (at < len(self.hashes) - 1))
+        while len(left):
+            at[left] += 1
+            got = self.hashes[at[left]]
+            hit = got == h[left]
+            out[left[hit]] = at[left[hit]]
+            left = left[(got < h[left]) & (at[left] < len(self.hashes) - 1)]
+        return out
 
 
 @dataclass
 class Model:
-    """langs; per order the sorted slots with log-probabilities, and the sorted contexts with log-weights, by language."""
+    """For each half: n-grams by order, contexts by order, log-probabilities of an unseen symbol; a column per language."""
 
     langs: list[str]
-    order: int
-    bits: int
-    slots: list[np.ndarray]
-    logp: list[np.ndarray]
-    contexts: list[np.ndarray]
-    logw: list[np.ndarray]
-    floor: float
-
-    def directories(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        def directory(keys: np.ndarray) -> np.ndarray:
-            d = np.full(1 << self.bits, -1, np.int32)
-            d[keys] = np.arange(len(keys))
-            return d
-
-        if not hasattr(self, "_dirs"):
-            self._dirs = [directory(k) for k in self.slots], [directory(k) for k in self.contexts]
-        return self._dirs
-
-    def cross_entropy(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Nats per symbol, a row per text (symbols, none empty) and a column per language."""
-        s, real = joined(texts, self.order)
-        at = [x[real] for x in slots(s, self.order, self.bits)]
-        rows = self.directories()[0]
-        found = rows[-1][at[-1]]
-        logp = self.logp[-1][found]
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            before = [x[real][missing] for x in slots(np.append(np.uint32(32), s)[: len(s)], self.order, self.bits)]
-            logp[missing] = self.backed_off([x[missing] for x in at], before, self.order - 1)
-        counts = np.fromiter(map(len, texts), np.int64, len(texts)) - (self.order - 1)
-        return -np.add.reduceat(logp, np.cumsum(counts) - counts, axis=0) / counts[:, None]
-
-    def backed_off(self, at: list[np.ndarray], before: list[np.ndarray], k: int) -> np.ndarray:
-        """Log-probability of n-grams of order k+1 that no language has seen: the context's weight and the lower order."""
-        if k == 0:
-            return np.full((len(at[0]), len(self.langs)), self.floor) + self.logw[0][0]
-        rows, weights = self.directories()
-        found = rows[k - 1][at[k - 1]]
-        low = self.logp[k - 1][found]
-        if len(missing := np.flatnonzero(found < 0)):
-            low[missing] = self.backed_off([x[missing] for x in at], [x[missing] for x in before], k - 1)
-        known = weights[k][before[k - 1]]
-        return low + np.where((known >= 0)[:, None], self.logw[k][known], 0.0)
-
-
-def build_model(counts: pd.DataFrame, order: int = ORDER, bits: int = BITS, n_symbols: int | None = None) -> Model:
-    """Interpolated Kneser-Ney from the summed counts: raw counts at the top order, continuation counts below.
-
-    n_symbols: how many symbols all languages have together (default: those in counts).
-    """
-    langs = sorted(counts["lang"].unique())
-    size = 1 << bits
-    seen_symbols = max(2, int((counts["n"] == 1).sum()) if n_symbols is None else n_symbols)
-    floor = -float(np.log(seen_symbols + 1))
-    all_slots, all_logp, all_contexts, all_logw = [], [], [], []
-    for n in range(1, order + 1):
-        own = counts[counts["n"] == n]
-        union = np.unique(own["slot"].to_numpy())
-        contexts = np.unique(own["context"].to_numpy()) if n > 1 else np.zeros(1, np.int64)
-        row_of = np.full(size, -1, np.int64)
-        row_of[union] = np.arange(len(union))
-        suffix, context = np.zeros(len(union), np.int64), np.zeros(len(union), np.int64)
-        r = row_of[own["slot"].to_numpy()]
-        suffix[r], context[r] = own["suffix"].to_numpy(), own["context"].to_numpy()
-        logp, logw = np.zeros((len(union), len(langs)), np.float32), np.zeros((len(contexts), len(langs)), np.float32)
-        for j, lang in enumerate(langs):
-            mine = own[own["lang"] == lang]
-            c = np.zeros(len(union))
-            if n == order:
-                c[row_of[mine["slot"].to_numpy()]] = mine["n_seen"].to_numpy()
-            else:
-                above = counts[(counts["n"] == n + 1) & (counts["lang"] == lang)]["suffix"].to_numpy()
-                c = np.bincount(above, minlength=size)[union].astype(float)
-            ones, twos = np.count_nonzero(c == 1), np.count_nonzero(c == 2)
-            discount = ones / (ones + 2 * twos) if ones else 0.5
-            total = np.bincount(context, weights=c, minlength=size)
-            types = np.bincount(context, weights=c > 0, minlength=size)
-            weight = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
-            low = np.full(len(union), np.exp(floor)) if n == 1 else np.exp(all_logp[-1][np.searchsorted(all_slots[-1], suffix), j].astype(float))
-            p = np.maximum(c - discount, 0) / np.maximum(total[context], 1) + weight[context] * low
-            logp[:, j] = np.log(np.maximum(p, 1e-30))
-            logw[:, j] = np.log(weight[contexts])
-        all_slots.append(union)
-        all_logp.append(logp)
-        all_contexts.append(contexts)
-        all_logw.append(logw)
-    return Model(langs, order, bits, all_slots, all_logp, all_contexts, all_logw, floor)
-
-
-def by_fold(counts: DataFrame) -> pd.DataFrame:
-    """Counts by languages led by a fold's digit, and beside them the sums over the folds, led by ALL; names and small numbers to spare the driver."""
-    counts = settled(counts, "ngrams")
-    labels = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    names = sorted({*labels, *(ALL + name[1:] for name in labels)})
-    code = F.array_position(F.array(*map(F.lit, names)).cast("array<string>"), F.col("lang")) - 1
-    own = counts.select(code.cast("int").alias("lang"), F.col("n").cast("tinyint").alias("n"), *[F.col(c).cast("int").alias(c) for c in ("slot", "suffix", "context")], "n_seen").toPandas()
-    whole = own.assign(lang=np.array([names.index(ALL + name[1:]) for name in names], np.int32)[own["lang"]])
-    whole = whole.groupby(["lang", "n", "slot"], as_index=False, sort=False).agg({"suffix": "max", "context": "max", "n_seen": "sum"})
-    both = pd.concat([own, whole], ignore_index=True)
-    return both.assign(lang=pd.Categorical.from_codes(both["lang"], names))
+    known: list[dict[int, Sorted]]
+    unseen: list[np.ndarray]
+
+    @classmethod
+    def of(cls, table: pa.Table, langs: list[str], unseen: list[float]) -> Model:
+        kind, keys = table.column("kind").to_numpy(), table.column("gram").to_numpy()
+        values = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(keys), 2 * len(langs)).T
+        cut = [slice(0, len(langs)), slice(len(langs), None)]
+        return cls(langs, [{int(k): Sorted.of(keys[kind == k], values[c][:, kind == k]) for k in np.unique(kind)} for c in cut], [np.array(unseen[c], np.float32) for c in cut])
+
+    def logs(self, half: int, keys: np.ndarray, n: int = ORDER) -> np.ndarray:
+        """Log-probability of n-grams, a row per language; one that is not known has its context's weight and the lower order."""
+        if n == 0:
+            return np.repeat(self.unseen[half][:, None], len(keys), 1)
+        own = self.known[half][n]
+        at = own.find(keys)
+        out = np.stack([np.take(v, at) for v in own.values])
+        if len(miss := np.flatnonzero(at < 0)):
+            out[:, miss] = self.logs(half, keys[miss] & U64((1 << 16 * (n - 1)) - 1), n - 1)
+            if n > 1:
+                weights = self.known[half][10 + n]
+                of = weights.find(keys[miss] >> U64(16))
+                out[:, miss[of >= 0]] += weights.values[:, of[of >= 0]]
+        return out
+
+    def sums(self, half: int, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's log-probability in each language, and its number of symbols."""
+        s, begins, sizes = stream(texts)
+        out = np.zeros((len(texts), len(self.langs)))
+        if not sizes.any():
+            return out, sizes
+        for a, e in slices(len(s)):
+            logs = self.logs(half, grams(s[a - ORDER + 1 : e]))
+            logs[:, s[a:e] == 0] = 0
+            i, j = np.searchsorted(begins, a, "right") - 1, np.searchsorted(begins, e, "left")
+            for k, row in enumerate(logs):
+                out[i:j, k] += np.add.reduceat(row, np.maximum(begins[i:j] - a, 0), dtype=np.float64)
+        return out, sizes
+
+
+def rated(sums: np.ndarray, sizes: np.ndarray, langs: list[str]) -> list[list]:
+    """lang_best, n_symbols, entropy, margin per text; nulls where it has no symbol."""
+    e = -sums / np.maximum(sizes, 1)[:, None]
+    low = np.sort(e, axis=1)
+    best, margin, some = e.argmin(axis=1), low[:, min(1, len(langs) - 1)] - low[:, 0], sizes > 0
+    return [[langs[j] if x else None for j, x in zip(best, some, strict=True)], sizes.tolist(), *[[v if x else None for v, x in zip(of.tolist(), some, strict=True)] for of in (low[:, 0], margin)]]
+
+
+RATED = "lang_best string, n_symbols bigint, entropy double, margin double"
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """keep, lang_best, n_symbols, entropy (of the best), margin (to the next), lang_held, held; nulls where a text has no letter.
-
-    lang_held and held: the best language and its entropy by the model of the other fold alone, which has not seen the
-    text; null if that fold taught nothing. docs has the column fold.
-    """
-    columns = {fold: [j for j, name in enumerate(model.langs) if name[0] == fold] for fold in ("0", "1", ALL)}
+    """keep and RATED of docs (text, fold) by the whole model in every task."""
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        m, texts, folds = model.value, b.column("text").to_pylist(), b.column("fold").to_pylist()
-        best, entropy, margin, sizes, lang_held, held = [None] * len(texts), [None] * len(texts), [None] * len(texts), [0] * len(texts), [None] * len(texts), [None] * len(texts)
-        for part in split(range(len(texts)), [len(t or "") for t in texts], CHUNK):
-            found = {i: s for i in part if len(s := symbols(texts[i], m.order))}
-            if not found:
-                continue
-            all_e = m.cross_entropy(list(found.values()))
-            e = all_e[:, columns[ALL]]
-            order = np.sort(e, axis=1)
-            for i, j, low, gap in zip(found, e.argmin(axis=1).tolist(), order[:, 0].tolist(), (order[:, min(1, e.shape[1] - 1)] - order[:, 0]).tolist(), strict=True):
-                best[i], entropy[i], margin[i], sizes[i] = m.langs[columns[ALL][j]][1:], low, gap, len(found[i]) - m.order + 1
-            for row, i in enumerate(found):
-                if other := columns["10"[folds[i]]]:
-                    j = other[int(all_e[row, other].argmin())]
-                    lang_held[i], held[i] = m.langs[j][1:], float(all_e[row, j])
-        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(best, pa.string()), pa.array(sizes, pa.int64()), pa.array(entropy, pa.float64()), pa.array(margin, pa.float64()), pa.array(lang_held, pa.string()), pa.array(held, pa.float64())], names=[*keep, "lang_best", "n_symbols", "entropy", "margin", "lang_held", "held"])
+        m, texts, folds = model.value, b.column("text").to_pylist(), b.column("fold").to_numpy()
+        sums, sizes = np.zeros((len(texts), len(m.langs))), np.zeros(len(texts), np.int64)
+        for fold in (0, 1):
+            own = np.flatnonzero(folds == fold).tolist()
+            for part in split(own, [len(texts[i] or "") for i in own]):
+                sums[part], sizes[part] = m.sums(1 - fold, [texts[i] for i in part])
+        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *[pa.array(x, t) for x, t in zip(rated(sums, sizes, m.langs), (pa.string(), pa.int64(), pa.float64(), pa.float64()), strict=True)]], names=[*keep, *(x.split()[0] for x in RATED.split(", "))])
 
     df = with_free_names(docs, [*keep, "text", "fold"])
-    return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", lang_best string, n_symbols bigint, entropy double, margin double, lang_held string, held double")
+    return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", " + RATED)
 
 
-def split(items: Iterable[int], sizes: list[int], most: int) -> Iterator[list[int]]:
-    part, total = [], 0
-    for i, n in zip(items, sizes, strict=True):
-        part.append(i)
-        total += n
-        if total >= most:
-            yield part
-            part, total = [], 0
-    if part:
-        yield part
+def score_by_joins(docs: DataFrame, table: DataFrame, langs: list[str], unseen: list[float], keep: list[str]) -> DataFrame:
+    """What score_texts returns, by joins of the texts' 4-grams with the model table, however large that is."""
 
-
-def ceilings(scored: DataFrame, langs: set[str]) -> DataFrame:
-    """lang_held, size, ceiling: the quantile HIGH of the held-out entropies of the training texts of that language and length class.
+    def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for t, fold, text_id in zip(b.column("text").to_pylist(), b.column("fold").to_pylist(), b.column("text_id").to_pylist(), strict=True):
+            s, _, sizes = stream([t])
+            if sizes[0]:
+                found = [summed(grams(s[a - ORDER + 1 : e])[s[a:e] != 0]) for a, e in slices(len(s))]
+                keys, counts = summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), text_id)), pa.array(np.full(len(keys), fold, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["text_id", "fold", "gram", "m"])
+
+    named = docs.withColumn("text_id", F.xxhash64("text"))
+    texts = named.select("text_id", "text", "fold").dropDuplicates(["text_id"])
+    rows = settled(map_batches(texts, run, "text_id bigint, fold int, gram bigint, m bigint"), "grams")
+    seen, own = rows.select("gram").distinct(), F.col("gram")
+    for n in range(ORDER, 0, -1):
+        seen = seen.withColumn("at", own)
+        seen = seen.join(table.filter(F.col("kind") == n).select(F.col("gram").alias("at"), F.col("v").alias(f"p{n}")), "at", "left")
+        seen = seen.withColumn("at", context(own))
+        if n > 1:
+            seen = seen.join(table.filter(F.col("kind") == 10 + n).select(F.col("gram").alias("at"), F.col("v").alias(f"w{n}")), "at", "left")
+        own = suffix(own, n) if n > 1 else own
+    p = F.array(*map(F.lit, unseen)).cast("array<float>")
+    for n in range(1, ORDER + 1):
+        low = p if n == 1 else F.when(F.col(f"w{n}").isNull(), p).otherwise(F.zip_with(p, f"w{n}", lambda x, y: x + y))
+        p = F.coalesce(f"p{n}", low)
+    joined = rows.join(seen.select("gram", p.alias("p")), "gram")
+    k = len(langs)
+    sums = joined.groupBy("text_id").agg(F.sum("m").alias("n_symbols"), *[F.sum(F.col("m") * F.col("p")[(1 - F.col("fold")) * k + j]).alias(f"s{j}") for j in range(k)])
+
+    def rate(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = rated(np.column_stack([b.column(f"s{j}").to_numpy() for j in range(k)]), b.column("n_symbols").to_numpy(), langs)
+        yield pa.RecordBatch.from_arrays([b.column("text_id"), *[pa.array(x, t) for x, t in zip(found, (pa.string(), pa.int64(), pa.float64(), pa.float64()), strict=True)]], names=["text_id", *(x.split()[0] for x in RATED.split(", "))])
+
+    found = map_batches(sums, rate, "text_id bigint, " + RATED)
+    return named.join(found, "text_id", "left").select(*keep, "lang_best", F.coalesce("n_symbols", F.lit(0)).alias("n_symbols"), "entropy", "margin")
+
+
+def ceilings(scored: DataFrame, langs: list[str]) -> DataFrame:
+    """lang_best, size, ceiling: the quantile HIGH of the entropies of the training texts of that language and length class.
 
     A class of under LEAST training texts takes the quantile of its length in all languages, or else that of all texts.
     """
-    found = scored.filter("teaches and held is not null").cube("lang_held", "size").agg(F.count("*").alias("n"), F.percentile_approx("held", F.lit(HIGH), F.lit(10_000)).alias("ceiling")).collect()
-    known = {(r["lang_held"], r["size"]): r["ceiling"] for r in found if r["n"] >= LEAST or r["lang_held"] is None and r["size"] is None}
+    found = scored.filter("teaches and entropy is not null").cube("lang_best", "size").agg(F.count("*").alias("n"), F.percentile_approx("entropy", F.lit(HIGH), F.lit(10_000)).alias("ceiling")).collect()
+    known = {(r["lang_best"], r["size"]): r["ceiling"] for r in found if r["n"] >= LEAST or r["lang_best"] is None and r["size"] is None}
     rows = []
-    for lang in sorted(langs):
-        for size in range(32):
+    for lang in langs:
+        for size in range(48):
             own = next((known[c] for c in ((lang, size), (None, size), (None, None)) if known.get(c) is not None), None)
             rows.append((lang, size, own))
-    return scored.sparkSession.createDataFrame(rows, "lang_held string, size int, ceiling double")
+    return scored.sparkSession.createDataFrame(rows, "lang_best string, size int, ceiling double")
 
 
-def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, order: int = ORDER, bits: int = BITS, key: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, key: str = "doc_id", most_model: int = MOST_MODEL) -> DataFrame:
     """doc_id (or the column key), lang_pred, score, rejected, n_symbols, entropy; a row per row of docs (doc_id, text, lang).
 
     teaches: condition over docs' columns that picks the rows to learn from (default all); rows with a null lang or
     without a letter teach nothing. A text that is null, empty or without a letter is `und` with score 0 and rejected.
-    score: share of the best language against the next, from the margin over the text's symbols. rejected: by the model
-    of the half of the training texts that the text is not in, its cross-entropy lies more than slack nats (of n
-    symbols, 1 + 4 / sqrt(n) times as much) above the ceiling of its language and length class in powers of two (ceilings).
-    If that half is empty, nothing can be told and the text stays. Ties go to the language first in order. Without any training
-    text all are `und` and rejected. Other columns are ignored.
+    score: share of the best language against the next, from the margin over the text's symbols. rejected: the text's
+    cross-entropy, by the half of the training texts that it is not in, lies more than slack nats (of n symbols,
+    1 + 4 / sqrt(n) times as much) above the ceiling of its language and length class in powers of two (ceilings).
+    Ties go to the language first in order. Without any training text all are `und` and rejected. Other columns are
+    ignored. most_model: bytes of a model that every task may hold; a larger one is joined.
     """
     df = docs.withColumn("teaches", (F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))) & F.col("lang").isNotNull())
     df = with_free_names(df, [key, "text", "lang", "teaches"]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))  # copies share a fold
-    counts = by_fold(count_ngrams(df.filter("teaches").select(F.concat("fold", F.col("lang").cast("string")).alias("lang"), "text"), order, bits))
-    if counts.empty:
+    taught = df.filter("teaches").select(F.col("lang").cast("string").alias("lang"), "fold", "text")
+    langs = sorted(r["lang"] for r in taught.select("lang").distinct().collect())
+    made = model_table(settled(count_ngrams(taught, langs), "ngrams"), langs) if langs else None
+    if made is None:
         none = F.lit(None).cast("double")
         return df.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(0).cast("bigint").alias("n_symbols"), none.alias("entropy"))
-    whole = counts["lang"].isin([name for name in counts["lang"].cat.categories if name[0] == ALL])
-    model = build_model(counts, order, bits, int((whole & (counts["n"] == 1)).sum()))
-    del counts, whole
-    release()
-    scored = score_texts(df, model, [key, "teaches"])
+    langs, table, unseen = made
+    if table.count() * (12 + 8 * len(langs)) <= most_model:
+        scored = score_texts(df, Model.of(table.toArrow(), langs, unseen), [key, "teaches"])
+        release()
+    else:
+        scored = score_by_joins(df, table, langs, unseen, [key, "teaches"])
     scored = settled(scored.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_symbols"), F.lit(1)))).cast("int")), "languages")
-    scored = scored.join(F.broadcast(ceilings(scored, {name[1:] for name in model.langs})), ["lang_held", "size"], "left")
+    scored = scored.join(F.broadcast(ceilings(scored, langs)), ["lang_best", "size"], "left")
     room = slack * (1 + 4 / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1))))
     return scored.select(
         key,
         F.coalesce("lang_best", F.lit(UNKNOWN)).alias("lang_pred"),
-        F.coalesce(1 / (1 + F.exp(-F.col("margin") * F.least(F.col("n_symbols"), F.lit(50)))), F.lit(0.0)).alias("score"),
-        (F.col("entropy").isNull() | F.coalesce(F.col("held") > F.col("ceiling") + room, F.lit(False))).alias("rejected"),
+        F.coalesce(F.round(1 / (1 + F.exp(-F.col("margin") * F.least(F.col("n_symbols"), F.lit(50)))), 9), F.lit(0.0)).alias("score"),
+        (F.col("entropy").isNull() | F.coalesce(F.col("entropy") > F.col("ceiling") + room, F.lit(False))).alias("rejected"),
         "n_symbols",
         "entropy",
     )
