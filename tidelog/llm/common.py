@@ -32,7 +32,19 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what settled or bucketed has written; nothing that is still to run may read it."""
+    for df in tables:
+        spark = df.sparkSession
+        if getattr(df, "_table", None):
+            spark.sql(f"drop table if exists {df._table}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._settled)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -40,8 +52,11 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     spark = df.sparkSession
     table_name = f"{name}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.option("path", f"{shared_dir(spark)}/{table_name}").option("compression", "zstd").bucketBy(n, key).sortBy(key).saveAsTable(table_name)
-    return spark.table(table_name)
+    path = f"{shared_dir(spark)}/{table_name}"
+    df.write.option("path", path).option("compression", "zstd").bucketBy(n, key).sortBy(key).saveAsTable(table_name)
+    out = spark.table(table_name)
+    out._settled, out._table = path, table_name
+    return out
 
 
 def with_free_names(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -54,10 +69,18 @@ def by_size(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
-def with_rid(docs: DataFrame) -> DataFrame:
-    """docs with rid: never 0, the same for rows of equal doc_id and text."""
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with as many underscores behind it as make it none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_rid(docs: DataFrame, name: str = "rid") -> DataFrame:
+    """docs with the column name: never 0, the same for rows of equal doc_id and text."""
     h = F.xxhash64(F.col("doc_id"), F.col("text"))
-    return docs.withColumn("rid", F.when(h == 0, F.lit(1)).otherwise(h).cast("bigint"))
+    return docs.withColumn(name, F.when(h == 0, F.lit(1)).otherwise(h).cast("bigint"))
 
 
 def release() -> None:

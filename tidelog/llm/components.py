@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import settled
+from tidelog.llm.common import forget, settled
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -24,7 +24,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("n").agg(F.min("m").alias("to"))
         joined = large.join(least, "n")
         small = joined.select(F.greatest("m", "to").alias("hi"), F.least("m", "to").alias("lo")).filter("hi != lo").unionByName(least.select(F.col("n").alias("hi"), F.col("to").alias("lo"))).distinct()
-        edges = settled(small.select("lo", "hi"), "edges")
+        old, edges = edges, settled(small.select("lo", "hi"), "edges")
+        forget(old)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first())
         if now == before:
             roots = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import U64, by_size, map_batches, settled, token_hashes, windows, with_free_names
+from tidelog.llm.common import U64, by_size, forget, map_batches, settled, token_hashes, windows, with_free_names
 from tidelog.llm.components import components
 
 ONE = U64(1)
@@ -252,7 +252,7 @@ def foreign(bundles: DataFrame, fragments: int) -> DataFrame:
 
     asked = map_batches(bundles.select("bundle", "roots", "sizes", "grams"), ask, "fragment bigint, bundle bigint, grams binary, roots binary, held binary")
     told = asked.groupBy("fragment").applyInArrow(answer, "bundle bigint, grams binary, held binary").groupBy("bundle").agg(F.collect_list(F.struct("grams", "held")).alias("known"))
-    return settled(bundles.join(told, "bundle"), "known")
+    return bundles.join(told, "bundle")
 
 
 def prefixes(known: DataFrame, join: Join) -> DataFrame:
@@ -347,23 +347,31 @@ def links(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
     n_sets, n_grams = reps.agg(F.count("*"), F.coalesce(F.sum("looked"), F.lit(0))).first()
     shared = first_round(docs, join, pieces(n_grams, FRAGMENT), pieces(n_sets, GROUP))
     kept = reps.join(shared, "sid", "left").filter(F.coalesce("shared", F.lit(0)) >= F.col("looked") - spare(join)).filter("doc_id is not null").select("doc_id", "sid", "n")
-    sets = full_sets(docs, settled(kept, "chosen").drop("n"), join)
+    kept = settled(kept, "chosen")
+    sets = full_sets(docs, kept.drop("n"), join)
+    forget(kept, reps)
     fragments = pieces(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], FRAGMENT)
 
-    prefix = prefixes(foreign(bundled(sets.withColumn("root", F.col("sid"))), fragments), join)
+    bundles = bundled(sets.withColumn("root", F.col("sid")))
+    prefix = prefixes(foreign(bundles, fragments), join)
+    forget(bundles)
     hubs = prefix.groupBy("gram").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), "sid", "n")).alias("hub"))  # the set with least of its own is nearest to all others
     first = prefix.join(hubs, "gram").select(F.col("hub.sid").alias("a"), F.col("hub.n").alias("n_a"), F.col("sid").alias("b"), F.col("n").alias("n_b")).filter("a != b")
     found = settled(verified(first.filter(alike_in_size("n_a", "n_b", join)).select("a", "b").distinct(), sets, join), "links")
 
     roots = by_size(components(found).withColumnRenamed("node", "sid"))
     rest = sets.join(by_size(prefix.select("sid").distinct()), "sid", "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    prefix = prefixes(foreign(bundled(rest), fragments), join)
+    bundles, whole = bundled(rest), prefix
+    prefix = prefixes(foreign(bundles, fragments), join)
+    forget(bundles, whole)
     mixed = prefix.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("gram")
     words = [F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)]
     rows = settled(prefix.join(mixed, "gram").join(bitmaps(sets.join(by_size(prefix.select("sid").distinct()), "sid", "left_semi")), "sid").select(*prefix.columns, *words), "open")
     x, y = (rows.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "gram"]) for s in "ab")
     pairs = x.join(y, "gram").filter((F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & may_link(join))
-    return found.unionByName(verified(pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct(), sets, join))
+    done = settled(found.unionByName(verified(pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct(), sets, join)), "links")
+    forget(found, rows, prefix, sets)
+    return done
 
 
 def pieces(total: int, each: int) -> int:
