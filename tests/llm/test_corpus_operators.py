@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.helpers import DOCS, documents, pairs, texts
@@ -88,6 +89,39 @@ def test_repeats_equal_brute_force(spark, length):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found) == brute_repeats(pairs(docs), length)
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_large_groups_are_counted_string_by_string(spark, hot):
+    docs = documents(spark, [*texts(3, 10), "ab " * 300, "ab " * 200 + "z"]).filter("doc_id is not null").dropDuplicates(["doc_id"]).cache()
+    found = suffix_dedup.find_repeats(docs, 64, hot).join(suffix_dedup.with_rid(docs), "rid").collect()
+    want = {d: (removed, sha) for d, _, removed, _, sha in brute_repeats(pairs(docs), 64) if removed}
+    assert {r["doc_id"]: (sum(e - b for b, e in zip(r["begins"], r["ends"], strict=True)), hashlib.sha256(r["kept"]).hexdigest()) for r in found} == want
+
+
+def test_multikey_order_is_that_of_bytes():
+    r = np.random.default_rng(2)
+    rows, group = r.integers(0, 2, (400, 29), np.uint8), np.sort(r.integers(0, 20, 400))
+    rows[100:300] = rows[100 + r.integers(0, 3, 200)]
+    order = suffix_dedup.multikey(rows, group)
+    assert [(group[i], rows[i].tobytes()) for i in order] == sorted((g, x.tobytes()) for g, x in zip(group, rows, strict=True))
+
+
+def test_pieces_of_long_texts_have_the_same_anchors(monkeypatch):
+    r = np.random.default_rng(3)
+    found = [bytes(r.integers(97, 100, n, np.uint8)) for n in (10, 5000, 199, 200, 201, 3000)]
+    anchors = lambda: {(i, p, h) for own, place, of in suffix_dedup.anchor_sides(found, 200) for i, p, h in zip(own.tolist(), place.tolist(), of.tolist(), strict=True)}
+    want = anchors()
+    for chunk in (1, 100, 777):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        assert anchors() == want
+
+
+def test_equal_hashes_of_different_strings_are_told_apart(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "hashes", lambda sums, width: np.zeros((sums.shape[0], sums.shape[1] - width), np.uint64))
+    x = suffix_dedup.Suffixes.joined([suffix_dedup.Suffixes.at(t, i + 1, np.array([40]), 64) for i, t in enumerate((b"a" * 20 + b"m" * 100, b"b" * 30 + b"m" * 90, b"c" * 200))])
+    rid, begin, end = suffix_dedup.by_string(x)
+    assert sorted(zip(rid.tolist(), begin.tolist(), end.tolist(), strict=True)) == [(1, 30, 104), (2, 30, 104)]
+
+
 def test_removal_keeps_rows(spark):
     docs = documents(spark).cache()
     done = suffix_dedup.remove_repeats(docs)

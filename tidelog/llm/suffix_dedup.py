@@ -414,19 +414,19 @@ def compare_sorted(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             x = Suffixes.read(b, length)
             x = x if rest is None else Suffixes.joined([rest, x])
             starts = x.leads()
-            yield from blocks(x, starts[:-1], starts[-1])
+            yield from blocks(x, starts.tolist())
             rest = x.take(slice(starts[-1], None))
         if rest is not None:
             yield from compared(rest)
 
-    def blocks(x: Suffixes, starts: np.ndarray, end: int) -> Iterator[pa.RecordBatch]:
+    def blocks(x: Suffixes, edges: list[int]) -> Iterator[pa.RecordBatch]:
         begin = 0
-        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), int(end)], strict=True):
+        for start, stop in zip(edges[:-1], edges[1:], strict=True):
             if stop - begin > BLOCK and start > begin:
                 yield from compared(x.take(slice(begin, start)))
                 begin = start
-        if end > begin:
-            yield from compared(x.take(slice(begin, end)))
+        if edges[-1] > begin:
+            yield from compared(x.take(slice(begin, edges[-1])))
 
     return run
 
