@@ -33,7 +33,7 @@ SMALL = 64
 #: 64-bit words of a set's bitmap; two sets differ in at least as many n-grams as their bitmaps in bits.
 WORDS = 16
 #: N-grams to a fragment and to a bundle of sets, and sets to a group that sums partial counts: memory of a task, whatever the input.
-FRAGMENT, BUNDLE, GROUP = 200_000, 1_000_000, 20_000
+FRAGMENT, BUNDLE, GROUP = 200_000, 300_000, 20_000
 
 
 @dataclass(frozen=True)
