@@ -165,13 +165,24 @@ def test_pipeline(spark, sf):
     assert {r["doc_id"] for r in done.select("doc_id").collect()} == {d for d, _, c in want if d == c}
 
 
+def test_near_copies_go_by_row(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, text), (2, text + " x"), (2, "another text of its own"), (2, "another text of its own"), (None, text), (None, "alone"), (None, None), (3, None), (3, None), (4, "")]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, text), (2, "another text of its own"), (None, "alone"), (None, None), (3, None), (4, "")], key=str)
+
+
 def test_pipeline_stages_on_awkward_rows(spark):
     import corpus_pipeline
 
-    docs = documents(spark, texts(7)).drop("spans").cache()
+    clashing = ("rid", "_rid", "RID_", "_kept", "cut", "stage", "teaches", "fold", "bundle", "low")
+    docs = documents(spark, texts(7)).withColumns({c: F.concat(F.lit(c), F.coalesce("doc_id", F.lit(-1))) for c in clashing}).cache()
     for _, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, "").cache()
         assert after.columns == docs.columns and 0 < after.count() <= docs.count()
+        assert all(r[c] == f"{c}{-1 if r['doc_id'] is None else r['doc_id']}" for r in after.collect() for c in clashing)
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").agg(F.count_distinct("doc_id")).first()[0] == docs.filter("doc_id is not null").select("doc_id").distinct().count()
     none = spark.createDataFrame([], DOCS)

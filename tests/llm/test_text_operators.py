@@ -120,6 +120,30 @@ def test_secrets(spark, docs, none):
     assert clean[0]["text"] == "é [SECRET] [SECRET] [SECRET] [SECRET] [SECRET] [SECRET] token: short" and clean[0]["n_chars"] == len(clean[0]["text"]) and clean[1]["text"] is None
 
 
+def test_scan_finds_what_a_look_at_every_text_finds(spark, sf, docs):
+    token = lambda head: base64.urlsafe_b64encode(head.encode()).rstrip(b"=").decode() + ".abcd."
+    odd = ['{ "alg":"none" }', '{"alg":"none"}', ' {"alg":""}', '\n{"typ":"JWT","alg":"HS256"}', '{"typ":"JWT"}']
+    every = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(docs.select("doc_id", "text")).unionByName(spark.createDataFrame([(-1 - i, "a " + token(t)) for i, t in enumerate(odd)], "doc_id bigint, text string"))
+    got = Counter((r["doc_id"], tuple((s["start"], s["end"], s["kind"]) for s in r["spans"])) for r in secret_scan.scan_secrets(every).collect())
+    assert got == Counter((d, tuple(secret_scan.find_spans(t or ""))) for d, t in pairs(every))
+    assert [bool(s) for d, s in sorted(got, key=str) if d is not None and d < 0] == [True, True, True, True, False]
+
+
+def plain_base(text):
+    """The base spans, by the words of the contract."""
+    out = []
+    for kind, pattern, group, least in (("assign", r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24)):
+        out += [(m.start(), ("assign", "access", "hex").index(kind), f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return ",".join(x[2] for x in sorted(out))
+
+
+def test_base_spans_equal_a_plain_scan(spark, sf):
+    from tidelog.llm.queries import QUERIES
+
+    want = {d: hashlib.sha256(plain_base(t or "").encode()).hexdigest() for d, t in pairs(spark.read.parquet(f"{sf}/documents.parquet"))}
+    assert {r["doc_id"]: r["base_sha256"] for r in QUERIES["op9_secret_scan"](spark, sf).collect()} == want
+
+
 def test_keys_in_armour_of_every_length(spark):
     def der(size):
         """size bytes that are built as a PKCS#1 key."""

@@ -67,12 +67,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("learned").cast("bigint").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "valid",
+        F.col("first_bad_turn").cast("bigint").alias("first_bad_turn"),
     )
 
 
 QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op6_suffix_dedup, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
 
-#: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs.
+#: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs. The role
+#: machine's language is a regular expression over the roles' initials; what it allows at all is a prefix of that.
 ORACLE_SQL = {
     "op10_chat_format": r"""
 with c as (
@@ -83,12 +86,16 @@ e as (
   select conv_id, turn, role, text,
     length(text) + len(regexp_extract_all(text, '(<\\*(s|/s)>|\[\\*(INST|/INST|SYS|/SYS|TOOL|/TOOL|TURN|/TURN|AS)\])'))
       + case role when 'system' then 11 when 'user' then 13 when 'assistant' then 7 when 'tool' then 13
-        else 17 + length(role) + len(regexp_extract_all(role, '(<\\*(s|/s)>|\[\\*(INST|/INST|SYS|/SYS|TOOL|/TOOL|TURN|/TURN|AS)\])')) end as n
-  from c)
+        else 17 + length(role) + len(regexp_extract_all(role, '(<\\*(s|/s)>|\[\\*(INST|/INST|SYS|/SYS|TOOL|/TOOL|TURN|/TURN|AS)\])')) end as n,
+    case when role in ('system', 'user', 'assistant', 'tool') then role[1] else 'x' end as r
+  from c),
+m as (select conv_id, string_agg(r, '' order by turn, role, text) as roles from e group by conv_id)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-  sum(n)::bigint as formatted_chars
-from e group by conv_id""",
+  sum(n)::bigint as formatted_chars,
+  regexp_full_match(any_value(roles), 's?ua(t+a|ua)*') as valid,
+  nullif(length(regexp_extract(any_value(roles), '^s?(u(a(t+a|ua)*(t+|u)?)?)?')), count(*)) as first_bad_turn
+from e join m using (conv_id) group by conv_id""",
 }

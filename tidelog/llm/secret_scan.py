@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 from bisect import bisect_left
@@ -21,7 +20,6 @@ from tidelog.llm.common import map_batches, with_free_names
 #: The base patterns and least lengths of the contract; kinds are listed in reporting order.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
@@ -31,8 +29,8 @@ JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]+)*={0,2}")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 HEX_ANY = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
-#: Cheap test that picks the texts worth a closer look.
-HINT = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{32}|eyJ"
+#: Cheap test that picks the texts worth a closer look: whatever any pattern above matches, this one does.
+HINT = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{32}|[A-Za-z0-9_-]{10}\\.[A-Za-z0-9_-]{2,}\\."
 
 
 def der_length(data: bytes, at: int) -> tuple[int, int] | None:
@@ -194,7 +192,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 def redact_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """docs with every reported span of text replaced by mask (overlapping spans by one mask) and n_chars, if present, brought up to date.
 
-    Rows, their number and their other columns stay; a null text stays null.
+    Rows, their number, repeated ones included, and their other columns, whatever their names, stay; a null text stays
+    null, an empty one empty, an empty table empty. Texts are scanned whole.
     """
     names, schema = docs.columns, docs.schema
 
@@ -212,7 +211,3 @@ def redact_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     done = docs.mapInArrow(lambda bs: (y for b in bs if b.num_rows for y in redact(b)), schema)
     return done.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else done
-
-
-def digest(spans: list[tuple[int, int, str]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in spans).encode()).hexdigest()
