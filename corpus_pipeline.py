@@ -1,7 +1,7 @@
 """A corpus pipeline of five operators: language ID, near copies, repeated strings, secrets, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns
-of documents. Extra columns are carried along, but must not be called rid.
+of documents. Extra columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,33 +11,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import language_id, ngram_join, packing, secret_scan, suffix_dedup
-from tidelog.llm.common import by_size, settled, table, with_rid
+from tidelog.llm.common import by_size, free_name, settled, table, with_rid
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that language identification rejects: no letter, or like no training text."""
-    keyed = with_rid(docs)
-    found = language_id.identify(keyed, key="rid")
-    return keyed.join(by_size(found.filter("rejected").select("rid").distinct()), "rid", "left_anti").drop("rid")
+    """Without the documents that language identification rejects: no letter, or like no training text.
+
+    Rows of equal doc_id and text share their fate; a null lang teaches nothing; an empty table stays empty.
+    """
+    rid = free_name(docs, "rid")
+    keyed = with_rid(docs, rid)
+    found = language_id.identify(keyed, key=rid)
+    return keyed.join(by_size(found.filter("rejected").select(rid).distinct()), rid, "left_anti").select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents (five-word shingles, similarity 0.8) the one with the least doc_id.
 
-    A document is known by its doc_id: rows that repeat a doc_id and a text are one, rows without doc_id all stay.
+    A document is a doc_id with a text: of rows that repeat both one stays, of those that share a doc_id but not a text
+    each goes by its own text, and rows without doc_id come last. Texts without words all stay, repeated rows aside.
     """
-    found = ngram_join.ngram_components(docs, ngram_join.Join(words=5, percent=80))
-    copies = by_size(found.filter("component_id != doc_id").select("doc_id").distinct())
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if again.isEmpty():
-        return kept
-    again = by_size(again)
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*docs.columns)
+    rid = free_name(docs, "rid")
+    keyed = with_rid(docs, rid)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(rid).alias("rid"))
+    found = settled(ngram_join.ngram_components(keyed.select(rank.alias("doc_id"), "text"), ngram_join.Join(words=5, percent=80)), "near")
+    copies = by_size(found.filter("component_id.rid != doc_id.rid").select(F.col("doc_id.rid").alias(rid)).distinct())
+    again = settled(found.groupBy(F.col("doc_id.rid").alias(rid)).count().filter("count > 1").select(rid), "again")
+    kept = keyed.join(copies, rid, "left_anti")
+    if not again.isEmpty():
+        again = by_size(again)
+        kept = kept.join(again, rid, "left_anti").unionByName(kept.join(again, rid, "left_semi").dropDuplicates([rid]))
+    return kept.select(*docs.columns)
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 200 bytes that occur again in the corpus; every document stays."""
+    """Texts without the strings of 200 bytes that occur again in the corpus; every document stays, a null text null."""
     return suffix_dedup.remove_repeats(docs, length=200)
 
 
@@ -47,7 +55,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids in windows of 1024, a row per piece."""
+    """The documents' token ids in windows of 1024, a row per piece; a null text is empty, repeated rows are packed each."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
