@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import json
+import os
 import random
 import re
 import zlib
@@ -169,6 +170,39 @@ def test_keys_in_armour_of_every_length(spark):
     assert (0, 800, "der") in secret_scan.find_spans(der(400).hex() + "abcdef0123")
 
 
+def brute_order_minhash(text):
+    """Straight from the definition, with plain integers."""
+    mask, golden = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def mix(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            x = (x ^ (x >> shift)) * factor & mask
+        return x
+
+    k = min(8, len(text))
+    seen, bins = Counter(), {}
+    for at in range(len(text) - k + 1 if text else 0):
+        h = 0
+        for c in text[at : at + k]:
+            h = (h * golden + ord(c)) & mask
+        kmer = mix((h + k) & mask) >> 20
+        rank = mix((kmer + seen[kmer] * golden) & mask)
+        seen[kmer] += 1
+        bins.setdefault(rank >> 57, []).append((rank, at, kmer))
+    out = [0] * 128
+    for b, found in bins.items():
+        t = 0
+        for j, (_, _, kmer) in enumerate(sorted(sorted(found)[:2], key=lambda x: x[1])):
+            t = mix((t * golden + kmer + j + 1) & mask)
+        out[b] = t % 65535 + 1
+    return out
+
+
+def test_fingerprints_equal_brute_force(docs):
+    for _, t in pairs(docs):
+        assert fingerprints.fingerprint(t or "").tolist() == brute_order_minhash(t or "")
+
+
 def test_long_text_resembles_its_half():
     text = np.random.default_rng(1).integers(97, 123, (1 << 20) + 100, np.uint8).tobytes().decode()
     whole, half = fingerprints.fingerprint(text), fingerprints.fingerprint(text[: len(text) // 2])
@@ -304,6 +338,34 @@ def test_quality_model(spark, sf, docs, none):
     assert quality_model.score_quality(none, labels).count() == 0
 
 
+def test_quality_of_labels_that_nothing_was_learned_from(spark, sf):
+    from tidelog.llm.queries import QUERIES
+
+    sf = os.path.join(os.path.dirname(sf), "sf0.01") if os.path.isdir(os.path.join(os.path.dirname(sf), "sf0.01")) else sf
+    got = QUERIES["op1_mil_quality"](spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good, bad = [r["score"] for r in got if r["quality"]], [r["score"] for r in got if not r["quality"]]
+    assert len(good) > 3 < len(bad) and np.mean([[(g > b) + (g == b) / 2 for b in bad] for g in good]) > 0.95
+
+
+def test_attention_gradient_equals_differences():
+    r = np.random.default_rng(1)
+    bags, y = [r.normal(size=(k, 5)).astype(np.float32) for k in (1, 3, 4, 2)], np.array([0.0, 1, 1, 0])
+    model = quality_model.train(bags, y, rounds=3)
+    x, begins = np.concatenate(bags).astype(np.float64), np.array([0, 1, 4, 8])
+    loss = lambda: -np.mean(np.where(y > 0, np.log(p := model.forward(x, begins)["p"]), np.log(1 - p)))
+    for name, g in model.gradient(x, begins, y).items():
+        w = np.atleast_1d(model.w[name])
+        for at in list(np.ndindex(w.shape))[::7]:
+            both = []
+            for step in (1e-6, -1e-6):
+                moved = w.copy()
+                moved[at] += step
+                model.w[name] = moved.reshape(np.shape(model.w[name]))
+                both.append(loss())
+            model.w[name] = w.reshape(np.shape(model.w[name]))
+            assert (both[0] - both[1]) / 2e-6 == pytest.approx(np.atleast_1d(g)[at], abs=1e-6)
+
+
 def test_attention_gradient():
     r = np.random.default_rng(0)
     bags, y = [r.normal(size=(k, 5)).astype(np.float32) for k in (1, 3, 4, 2)], np.array([0.0, 1, 1, 0])

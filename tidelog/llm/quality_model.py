@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import U64, map_batches, token_hashes, with_free_names
@@ -77,6 +77,19 @@ class Model:
         return self.forward(np.concatenate(bags), np.cumsum(sizes) - sizes)["p"]
 
 
+    def gradient(self, x: np.ndarray, begins: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the documents' mean cross-entropy, by weight."""
+        w, f = self.w, self.forward(x, begins)
+        d = (f["p"] - labels) / len(labels)
+        wide = np.repeat(d[:, None] * w["score"], f["sizes"], axis=0)
+        d_a = (wide * f["h"]).sum(1)
+        d_e = f["a"] * (d_a - np.repeat(np.add.reduceat(f["a"] * d_a, begins), f["sizes"]))
+        d_vu = d_e[:, None] * w["attend"]
+        d_v, d_u = d_vu * f["u"] * (1 - f["v"] ** 2), d_vu * f["v"] * f["u"] * (1 - f["u"])
+        d_h = (wide * f["a"][:, None] + d_v @ w["value"].T + d_u @ w["gate"].T) * (1 - f["h"] ** 2)
+        return {"encode": f["z"].T @ d_h, "bias": d_h.sum(0), "value": f["h"].T @ d_v, "gate": f["h"].T @ d_u, "attend": (f["v"] * f["u"]).T @ d_e, "score": f["bag"].T @ d, "offset": d.sum()}
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7, rounds: int = 250, rate: float = 0.02, decay: float = 1e-4) -> Model:
     """Full-batch Adam on the documents' cross-entropy."""
     x = np.concatenate(bags).astype(np.float64)
@@ -88,16 +101,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7, rounds: int
     model = Model(x.mean(0), x.std(0) + 1e-3, w)
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     for t in range(1, rounds + 1):
-        f = model.forward(x, begins)
-        d = (f["p"] - labels) / len(labels)
-        d_bag = d[:, None] * w["score"]
-        wide = np.repeat(d_bag, f["sizes"], axis=0)
-        d_a = (wide * f["h"]).sum(1)
-        d_e = f["a"] * (d_a - np.repeat(np.add.reduceat(f["a"] * d_a, begins), f["sizes"]))
-        d_vu = d_e[:, None] * w["attend"]
-        d_v, d_u = d_vu * f["u"] * (1 - f["v"] ** 2), d_vu * f["v"] * f["u"] * (1 - f["u"])
-        d_h = (wide * f["a"][:, None] + d_v @ w["value"].T + d_u @ w["gate"].T) * (1 - f["h"] ** 2)
-        g = {"encode": f["z"].T @ d_h, "bias": d_h.sum(0), "value": f["h"].T @ d_v, "gate": f["h"].T @ d_u, "attend": (f["v"] * f["u"]).T @ d_e, "score": f["bag"].T @ d, "offset": d.sum()}
+        g = model.gradient(x, begins, labels)
         for k in w:
             step = g[k] + decay * w[k] * (k != "offset")
             m1[k] = 0.9 * m1[k] + 0.1 * step
@@ -116,8 +120,8 @@ def featurise(docs: DataFrame, keep: list[str], size: int = SIZE) -> DataFrame:
     return map_batches(df, run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", features binary")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 3000, most_passages: int = 400, size: int = SIZE) -> Model | None:
-    """A model from at most most_docs labelled documents of at most most_passages passages; None without two classes' labels.
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 3000, most_passages: int = 400, most_in_all: int = 200_000, size: int = SIZE) -> Model | None:
+    """A model from at most most_docs labelled documents of at most most_passages passages, most_in_all together; None without two classes' labels.
 
     The sample takes the least hashes of doc_id and label, so it does not hang on the order of rows; longer documents
     are left out of training only. docs: doc_id, text; labels: doc_id, quality; a doc_id labelled twice has its least label.
@@ -125,7 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 3000, most_passages
     marked = with_free_names(labels, ["doc_id", "quality"]).filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     drawn = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
     rows = featurise(with_free_names(docs, ["doc_id", "text"]).join(F.broadcast(drawn), "doc_id"), ["doc_id", "quality"], size).filter(F.octet_length("features") <= 4 * N_FEATURES * most_passages)
-    got = rows.toPandas().sort_values("doc_id", kind="stable")
+    so_far = F.sum(F.octet_length("features")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of at most most_docs rows
+    got = rows.withColumn("so_far", so_far).filter(F.col("so_far") <= 4 * N_FEATURES * most_in_all).drop("so_far").toPandas().sort_values("doc_id", kind="stable")
     if got["quality"].nunique() < 2:
         return None
     return train([np.frombuffer(f, np.float32).reshape(-1, N_FEATURES) for f in got["features"]], got["quality"].to_numpy(np.float64))
