@@ -76,6 +76,28 @@ def test_commit_never_overwrites(spark, root):
         archive.commit_segments(spark, root, archive.stage_segments(rows, root))
 
 
+def test_of_two_writers_the_second_fails(spark, root):
+    def staged(count):
+        rows = segments.by_count(records(spark, 40).withColumn("destination", F.col("topic")), count)
+        ends = rows.groupBy("from_offset").agg(F.max("offset").alias("to_offset"))
+        return archive.stage_segments(rows.join(ends, "from_offset"), root)
+
+    ten, seven = staged(10), staged(7)
+    assert archive.commit_segments(spark, root, ten) == 4
+    with pytest.raises(FileExistsError, match="reach|exist"):
+        archive.commit_segments(spark, root, seven)
+    assert names(spark, root) == [f"{a:020d}-{a + 9:020d}.parquet" for a in (0, 10, 20, 30)]
+    assert chains.violations(archive.archived(spark, root), "parquet", ("topic", "partition")).count() == 0
+
+
+def test_a_dead_writers_staging_is_cleared(spark, root):
+    rows = records(spark, 10).withColumn("destination", F.col("topic")).withColumn("from_offset", F.lit(0)).withColumn("to_offset", F.lit(9))
+    archive.stage_segments(rows, root)
+    assert archive.clean_staging(spark, root) == 0 and archive.clean_staging(spark, root, stale_ms=-60_000) == 1
+    assert archive.replay(spark, root).count() == 0
+    assert mirror.mirror_once(spark, records(spark, 10), root, drain=True, max_offsets=10) == 1
+
+
 def test_corrupt_chain_stops(spark, root):
     rows = records(spark, 10, first=10).withColumn("destination", F.col("topic")).withColumn("from_offset", F.lit(10)).withColumn("to_offset", F.lit(19))
     archive.commit_segments(spark, root, archive.stage_segments(rows, root))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
@@ -15,6 +17,7 @@ from tidelog.schema import ENDINGS, ENVELOPE
 from tidelog.sources.log import normalised
 
 STAGING = "_staging"
+SEGMENT = re.compile(rf"(\d+)-(\d+)\.(?:{'|'.join(re.escape(x) for x in ENDINGS.values())})")
 #: Codec names of the archive and what Spark calls them.
 CODECS = {"zstd": "zstd", "snappy": "snappy", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
 
@@ -44,7 +47,9 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
 def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "parquet", threads: int = 16) -> int:
     """Give staged segments their names, chain by chain in ascending order, never over an existing name; returns how many.
 
-    A chain stops at its first failure, so what is visible is always a gap-free beginning; then the failure is raised.
+    A chain that already reaches what is to be committed refuses it; after the last name the chain is looked at again, so
+    that of two writers who cut one log differently at the same time the one that sees the other's segments fails. A
+    chain stops at its first failure, so what is visible is always a gap-free beginning; then the failure is raised.
     Only names pass through the driver.
     """
     files, chains = Files(spark, root), {}
@@ -57,12 +62,19 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
         (destination, partition), segments = item
         done, folder = 0, f"{files.root}/{destination}/{partition}"
         files.make(folder)
-        for first, last, path in sorted(segments):
+        segments = sorted(segments)
+        if (reach := max((e for _, e in ranges(files.names(folder))), default=-1)) >= segments[0][0]:
+            return 0, FileExistsError(f"{destination}/{partition}: segments exist up to offset {reach}, the first to commit begins at {segments[0][0]}")
+        for first, last, path in segments:
             try:
                 files.rename(path, f"{folder}/{first:020d}-{last:020d}.{ENDINGS[fmt]}")
             except Exception as e:
                 return done, e
             done += 1
+        found = sorted(ranges(files.names(folder)))
+        for (first, last), (begin, _) in zip(found, found[1:], strict=False):
+            if begin <= last:
+                return done, ValueError(f"{destination}/{partition}: segments overlap, {first}-{last} and one from {begin}; another writer is at work")
         return done, None
 
     with ThreadPoolExecutor(threads) as pool:
@@ -74,6 +86,20 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
     return sum(n for n, _ in results)
 
 
+def ranges(names: list[str]) -> list[tuple[int, int]]:
+    """Offset ranges of the segment-shaped ones among names."""
+    return [(int(m[1]), int(m[2])) for n in names if (m := SEGMENT.fullmatch(n))]
+
+
+def clean_staging(spark: SparkSession, root: str, stale_ms: int = 86_400_000) -> int:
+    """Delete staging folders that nothing has changed for stale_ms, left by writers that died; returns how many."""
+    files = Files(spark, root)
+    found = files.stale(f"{files.root}/{STAGING}", int(time.time() * 1000) - stale_ms)
+    for folder in found:
+        files.delete(folder)
+    return len(found)
+
+
 def archived(spark: SparkSession, root: str) -> DataFrame:
     """The catalogue of root: topic (destination), partition, from_offset, to_offset, ext, dir, name, length, path."""
     files = list_files(spark, root).filter(~F.col("path").contains(f"/{STAGING}/"))

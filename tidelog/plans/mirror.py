@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import chains, segments
-from tidelog.plans.archive import archived, commit_segments, stage_segments
+from tidelog.plans.archive import archived, clean_staging, commit_segments, stage_segments
 from tidelog.schema import LOG
 from tidelog.sources.log import assigned, high_watermark
 
@@ -23,9 +23,10 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
 
     All logs of one call are mirrored by the same jobs, in parallel. mirrors (see assigned) choose logs and name their
     destinations; by default every log goes to its topic. Rows of an open segment stay unwritten unless drain, and are
-    read again next time. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
+    read again next time; what a writer that died has left in the staging folder is cleared after a day. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
     """
     rows = log.withColumn("destination", F.col("topic")) if mirrors is None else assigned(log, mirrors).drop("mirror")
+    clean_staging(spark, root)
     at = positions(spark, root, fmt).withColumnRenamed("topic", "destination")
     rows = rows.join(at, ["destination", "partition"], "left").filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0)))
     starts = rows.groupBy(*LOG).agg(F.first(F.coalesce("next_offset", F.lit(0))).alias("next_offset"))

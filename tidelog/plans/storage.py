@@ -50,6 +50,14 @@ class Files:
         self.jvm.java.lang.reflect.Array.set(array, 0, none)
         self.context.rename(self.path(source), self.path(target), array)
 
+    def names(self, folder: str) -> list[str]:
+        return [x.getPath().getName() for x in self.fs.listStatus(self.path(folder))]
+
+    def stale(self, folder: str, before_ms: int) -> list[str]:
+        """What lies in folder and hasn't changed since before_ms."""
+        at = self.path(folder)
+        return [x.getPath().toString() for x in self.fs.listStatus(at) if x.getModificationTime() < before_ms] if self.fs.exists(at) else []
+
     def make(self, folder: str) -> None:
         self.fs.mkdirs(self.path(folder))
 
