@@ -19,13 +19,13 @@ def catalogue(files: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """dir, name, length, path of all files below root, listed by tasks; no rows if root doesn't exist."""
+    """dir, name, length, modified, path of all files below root; no rows if root doesn't exist."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], "dir string, name string, length bigint, path string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.element_at(F.split("path", "/"), -1).alias("name"), "length", "path")
+        return spark.createDataFrame([], "dir string, name string, length bigint, modified timestamp, path string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modified", "path")
 
 
 def violations(segments: DataFrame, fmt: str = "parquet", by: tuple[str, ...] = ("dir",)) -> DataFrame:
@@ -69,19 +69,25 @@ def same_key(proposed: DataFrame, existing: DataFrame, by: tuple[str, ...] = ("t
     return proposed.join(existing.select(*by, "from_offset", "to_offset"), [*by, "from_offset", "to_offset"], "left_semi").select(*proposed.columns)
 
 
-def gate_contiguous(rows: DataFrame, positions: DataFrame | None = None, arrival: str | None = None) -> DataFrame:
+def gate_contiguous(rows: DataFrame, positions: DataFrame | None = None, arrival: str | None = None, bits: int = 20) -> DataFrame:
     """Rows whose offset isn't the expected one: topic, partition, expected, actual.
 
-    The first of a log is expected at its position (default 0), any other one after the row before, by arrival or else
-    by offset.
+    The first of a log is expected at its position (default 0), any other one after the row before, by arrival (a number
+    or time; ties by offset) or else by offset. A log is looked at in stretches of 2^bits steps of that order, each of
+    which only needs the last offset of the stretch before, so one big log is many tasks.
     """
-    w = Window.partitionBy(*LOG).orderBy(arrival or "offset")
-    rows = rows.select(*LOG, "offset", *([arrival] if arrival else [])).withColumn("_before", F.lag("offset").over(w))
+    here, order = [*LOG, "_stretch"], F.col(arrival or "offset")
+    rows = rows.select(*LOG, "offset", order.alias("_at"), F.shiftright(order.cast("bigint"), bits).alias("_stretch"))
+    before = F.lag("_last").over(Window.partitionBy(*LOG).orderBy("_stretch"))
+    last = rows.groupBy(*here).agg(F.max(F.struct("_at", "offset"))["offset"].alias("_last")).withColumn("_before", before)
     if positions is not None:
-        rows = rows.join(positions.select(*LOG, "next_offset"), LOG, "left")
+        last = last.join(positions.select(*LOG, "next_offset"), LOG, "left")
     else:
-        rows = rows.withColumn("next_offset", F.lit(0))
-    return rows.withColumn("expected", F.coalesce(F.col("_before") + 1, "next_offset", F.lit(0)).cast("bigint")).filter("offset != expected").select(*LOG, "expected", F.col("offset").alias("actual"))
+        last = last.withColumn("next_offset", F.lit(0))
+    last = last.select(*here, F.coalesce(F.col("_before") + 1, "next_offset", F.lit(0)).cast("bigint").alias("_opens"))
+    within = F.lag("offset").over(Window.partitionBy(*here).orderBy("_at", "offset")) + 1
+    found = rows.withColumn("_within", within).join(last, here)
+    return found.withColumn("expected", F.coalesce("_within", "_opens")).filter("offset != expected").select(*LOG, "expected", F.col("offset").alias("actual"))
 
 
 def gate_position(batch: DataFrame, positions: DataFrame) -> DataFrame:

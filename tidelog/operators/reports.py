@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from tidelog.schema import LOG
 
 
-def status(mirrors: DataFrame, high: DataFrame, positions: DataFrame) -> DataFrame:
+def status(mirrors: DataFrame, high: DataFrame, positions: DataFrame, renamed: bool = False) -> DataFrame:
     """name, source_high, dest_next, lag, error per mirror.
 
     high: topic, partition, high, error; a source with an error hides the destination. lag is never below 0, and null
-    if either side is unknown; a destination without segments is at 0.
+    if either side is unknown; a destination without segments is at 0. Positions may have an error too, which is then
+    the row's. renamed: positions go by the destinations' names (override, else topic), not by the sources'.
     """
-    joined = mirrors.join(high.select(*LOG, "high", F.col("error").alias("source_error")), LOG, "left").join(positions.select(*LOG, "next_offset"), LOG, "left")
-    error = F.when(F.col("source_error").isNotNull(), F.col("source_error")).when(F.col("high").isNull(), F.lit("source has no such log"))
+    if renamed:
+        mirrors = mirrors.withColumn("_dest", F.coalesce("destination_name_override", "topic"))
+    else:
+        mirrors = mirrors.withColumn("_dest", F.col("topic"))
+    failed = F.col("error") if "error" in positions.columns else F.lit(None).cast("string")
+    joined = mirrors.join(high.select(*LOG, "high", F.col("error").alias("source_error")), LOG, "left")
+    joined = joined.join(positions.select(F.col("topic").alias("_dest"), "partition", "next_offset", failed.alias("_failed")), ["_dest", "partition"], "left")
+    error = F.when(F.col("source_error").isNotNull(), F.col("source_error")).when(F.col("high").isNull(), F.lit("source has no such log")).when(F.col("_failed").isNotNull(), F.concat(F.lit("destination: "), "_failed"))
     dest = F.when(error.isNull(), F.coalesce("next_offset", F.lit(0))).cast("bigint")
     source = F.when(F.col("source_error").isNull(), F.col("high"))
     return joined.select("name", source.alias("source_high"), dest.alias("dest_next"), F.when(source.isNotNull() & dest.isNotNull(), F.greatest(F.lit(0), source - dest)).cast("bigint").alias("lag"), error.alias("error"))

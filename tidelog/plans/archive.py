@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import re
 import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidelog.functions.columns import parsed_name
 from tidelog.operators.chains import catalogue, list_files
-from tidelog.plans.storage import Files
+from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENDINGS, ENVELOPE
 from tidelog.sources.log import normalised
 
@@ -50,32 +55,98 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
     A chain that already reaches what is to be committed refuses it; after the last name the chain is looked at again, so
     that of two writers who cut one log differently at the same time the one that sees the other's segments fails. A
     chain stops at its first failure, so what is visible is always a gap-free beginning; then the failure is raised.
-    Only names pass through the driver.
+    On file systems of folders tasks commit, a chain in each; a task that is run again knows its own links. Elsewhere
+    (object stores) the driver gives the names, after a claim that only one writer can create (Files.publish).
     """
-    files, chains = Files(spark, root), {}
-    for path in files.walk(staged):
-        parts = dict(x.split("=", 1) for x in path.split("/")[-5:] if "=" in x)
-        if "_f" in parts and path.rsplit("/", 1)[1].startswith("part-"):
-            chains.setdefault((unquote(parts["_d"]), parts["_p"]), []).append((int(parts["_f"]), int(parts["_t"]), path))
+    if Files(spark, root).local:
+        sums = _commit_in_tasks(spark, root, staged, fmt).agg(F.sum("done").alias("done"), F.min(F.struct("kind", "message")).alias("failure")).first()
+        Files(spark, root).delete(staged)
+        if (failure := sums["failure"]) is not None and failure["message"] is not None:
+            raise {"exists": FileExistsError, "overlap": ValueError}.get(failure["kind"], OSError)(failure["message"])
+        return sums["done"] or 0
+    return _commit_by_claims(spark, root, staged, fmt, threads)
+
+
+def staged_segments(spark: SparkSession, staged: str) -> DataFrame:
+    """destination, partition, first, last, path of the files of a staging folder."""
+    files = list_files(spark, staged).filter(F.col("name").startswith("part-"))
+    part = lambda key: F.regexp_extract("path", f"/_{key}=([^/]*)/", 1)
+    return files.select(part("d").alias("destination"), part("p").alias("partition"), part("f").cast("bigint").alias("first"), part("t").cast("bigint").alias("last"), "path")
+
+
+def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> DataFrame:
+    """done, kind and message of the failure (or null) per chain. Staged files stay as second links of what they became."""
+    base, ending = plain(root), ENDINGS[fmt]
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chain, done, failure, folder = None, 0, None, ""
+
+        def end() -> pd.DataFrame:
+            kind, message = failure or overlap(os.listdir(folder), chain) or (None, None)
+            return pd.DataFrame({"done": [done], "kind": [kind], "message": [message]})
+
+        for b in batches:
+            for destination, partition, first, last, path in b.itertuples(index=False):
+                path = plain(path)
+                if (destination, partition) != chain:
+                    if chain is not None:
+                        yield end()
+                    chain, done, failure = (destination, partition), 0, None
+                    folder = os.path.join(base, unquote(destination), partition)
+                    os.makedirs(folder, exist_ok=True)
+                    failure = reached(os.listdir(folder), chain, first)
+                    if failure and _only_own(folder, path, first):  # this chain's task was run before
+                        failure = None
+                if failure:
+                    continue
+                target = os.path.join(folder, f"{first:020d}-{last:020d}.{ending}")
+                try:
+                    os.link(path, target)
+                except FileExistsError:
+                    if not os.path.samefile(path, target):
+                        failure = ("exists", f"{target} exists")
+                        continue
+                except OSError as e:
+                    failure = ("other", str(e))
+                    continue
+                done += 1
+        if chain is not None:
+            yield end()
+
+    n = spark.sparkContext.defaultParallelism
+    dealt = staged_segments(spark, staged).repartition(n, "destination", "partition").sortWithinPartitions("destination", "partition", "first", "last")
+    return dealt.mapInPandas(links, "done bigint, kind string, message string")
+
+
+def _only_own(folder: str, path: str, first: int) -> bool:
+    """Whether all segments in folder that end at first or later are links of the same chain's staged files."""
+    below = os.path.dirname(os.path.dirname(os.path.dirname(path)))
+    own = {os.stat(os.path.join(at, name)).st_ino for at, _, names in os.walk(below) for name in names}
+    late = [name for name in os.listdir(folder) if (m := SEGMENT.fullmatch(name)) and int(m[2]) >= first]
+    return all(os.stat(os.path.join(folder, name)).st_ino in own for name in late)
+
+
+def _commit_by_claims(spark: SparkSession, root: str, staged: str, fmt: str, threads: int) -> int:
+    files, chains, owner = Files(spark, root), {}, staged.rstrip("/").rsplit("/", 1)[1]
+    for r in staged_segments(spark, staged).toLocalIterator():
+        chains.setdefault((unquote(r["destination"]), r["partition"]), []).append((r["first"], r["last"], r["path"]))
 
     def chain(item) -> tuple[int, Exception | None]:
         (destination, partition), segments = item
         done, folder = 0, f"{files.root}/{destination}/{partition}"
         files.make(folder)
         segments = sorted(segments)
-        if (reach := max((e for _, e in ranges(files.names(folder))), default=-1)) >= segments[0][0]:
-            return 0, FileExistsError(f"{destination}/{partition}: segments exist up to offset {reach}, the first to commit begins at {segments[0][0]}")
+        if failure := reached(files.names(folder), (destination, partition), segments[0][0]):
+            return 0, FileExistsError(failure[1])
         for first, last, path in segments:
+            name = f"{first:020d}-{last:020d}.{ENDINGS[fmt]}"
             try:
-                files.rename(path, f"{folder}/{first:020d}-{last:020d}.{ENDINGS[fmt]}")
+                files.publish(path, f"{folder}/{name}", f"{files.root}/{STAGING}/claim-{quote(destination, safe='')}-{partition}-{name}", owner)
             except Exception as e:
                 return done, e
             done += 1
-        found = sorted(ranges(files.names(folder)))
-        for (first, last), (begin, _) in zip(found, found[1:], strict=False):
-            if begin <= last:
-                return done, ValueError(f"{destination}/{partition}: segments overlap, {first}-{last} and one from {begin}; another writer is at work")
-        return done, None
+        failure = overlap(files.names(folder), (destination, partition))
+        return done, ValueError(failure[1]) if failure else None
 
     with ThreadPoolExecutor(threads) as pool:
         results = list(pool.map(chain, chains.items()))
@@ -91,6 +162,20 @@ def ranges(names: list[str]) -> list[tuple[int, int]]:
     return [(int(m[1]), int(m[2])) for n in names if (m := SEGMENT.fullmatch(n))]
 
 
+def reached(names: list[str], chain: tuple[str, str], first: int) -> tuple[str, str] | None:
+    """What forbids to commit from first on: segments that end there or later."""
+    reach = max((end for _, end in ranges(names)), default=-1)
+    return ("exists", f"{'/'.join(chain)}: segments exist up to offset {reach}, the first to commit begins at {first}") if reach >= first else None
+
+
+def overlap(names: list[str], chain: tuple[str, str]) -> tuple[str, str] | None:
+    found = sorted(ranges(names))
+    for (first, last), (begin, _) in zip(found, found[1:], strict=False):
+        if begin <= last:
+            return "overlap", f"{'/'.join(chain)}: segments overlap, {first}-{last} and one from {begin}; another writer is at work"
+    return None
+
+
 def clean_staging(spark: SparkSession, root: str, stale_ms: int = 86_400_000) -> int:
     """Delete staging folders that nothing has changed for stale_ms, left by writers that died; returns how many."""
     files = Files(spark, root)
@@ -101,34 +186,57 @@ def clean_staging(spark: SparkSession, root: str, stale_ms: int = 86_400_000) ->
 
 
 def archived(spark: SparkSession, root: str) -> DataFrame:
-    """The catalogue of root: topic (destination), partition, from_offset, to_offset, ext, dir, name, length, path."""
+    """The catalogue of root's segments: topic (destination), partition, from_offset, to_offset, n_records, encoded_bytes,
+    committed_at (when the file was written), ext, dir, name, length, modified, path."""
     files = list_files(spark, root).filter(~F.col("path").contains(f"/{STAGING}/"))
     found = catalogue(files).withColumn("topic", F.element_at(F.split("dir", "/"), -2)).withColumn("partition", F.element_at(F.split("dir", "/"), -1).try_cast("int"))
-    return found.filter("partition is not null")
+    rows = (F.col("to_offset") - F.col("from_offset") + 1).try_cast("bigint")
+    return found.filter("partition is not null").withColumns({"n_records": rows, "encoded_bytes": F.col("length"), "committed_at": F.col("modified")})
 
 
-def scan_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Envelopes of Parquet segments: columns by name, foreign offset types cast, unknown timestamp types replaced."""
-    return normalised(spark.read.parquet(*paths))
+def scan_parquet(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Envelopes of Parquet segments: columns by name, foreign offset types cast, unknown timestamp types replaced.
+
+    paths: files or folders. With a schema no file is opened to find it, and all must be of it.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return normalised((reader.schema(schema) if schema else reader).parquet(*([paths] if isinstance(paths, str) else paths)))
 
 
-def scan_ndjson(spark: SparkSession, paths: list[str]) -> DataFrame:
+def scan_ndjson(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Envelopes of JSON-lines segments: blank lines and unknown fields are skipped, a malformed line fails the read."""
-    return normalised(spark.read.schema(ENVELOPE).option("mode", "FAILFAST").json(paths))
+    return normalised(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").option("mode", "FAILFAST").json(paths))
+
 
+def segment_files(spark: SparkSession, root: str, fmt: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of the segment files below root, as stored, with the range of their file's name as _first and _last.
 
-def replay(spark: SparkSession, root: str, fmt: str = "parquet", first: int | None = None, last: int | None = None) -> DataFrame:
+    No path is gathered: Spark lists root once, and filters on _first and _last choose files before any is opened.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ENDINGS[fmt]}")
+    if fmt == "ndjson":
+        rows = reader.schema(ENVELOPE).option("mode", "FAILFAST").json(root)
+    else:
+        rows = (reader.schema(schema) if schema else reader).parquet(root)
+    name = parsed_name(F.col("_metadata.file_name"))
+    chain = F.element_at(F.split("_metadata.file_path", "/"), -2).try_cast("int")
+    return rows.withColumns({"_first": name["first"], "_last": name["last"], "_chain": chain}).filter("_first is not null and _chain is not null").drop("_chain")
+
+
+def replay(spark: SparkSession, root: str, fmt: str = "parquet", first: int | None = None, last: int | None = None, schema: T.StructType | None = ENVELOPE) -> DataFrame:
     """All rows of root's chains, or those with offsets first..last; segments outside are never opened. No root: no rows.
 
-    Rows keep no order; sort by topic, partition and offset where order matters. Chains are not validated.
+    Rows keep no order; sort by topic, partition and offset where order matters. Chains are not validated. schema: what
+    Parquet segments hold; None takes it from one of them, for archives of foreign types.
     """
-    found = archived(spark, root).filter(F.col("ext") == ENDINGS[fmt])
+    if not Files(spark, root).exists(root):
+        return spark.createDataFrame([], ENVELOPE)
+    rows = segment_files(spark, root, fmt, schema)
     if first is not None:
-        found = found.filter(F.col("to_offset") >= first)
+        rows = rows.filter(F.col("_last") >= first)
     if last is not None:
-        found = found.filter(F.col("from_offset") <= last)
-    paths = [r["path"] for r in found.select("path").toLocalIterator()]
-    if not paths:
-        return spark.createDataFrame([], ENVELOPE)
-    rows = (scan_parquet if fmt == "parquet" else scan_ndjson)(spark, paths)
+        rows = rows.filter(F.col("_first") <= last)
+    rows = normalised(rows)
+    if first is None and last is None:
+        return rows
     return rows.filter(F.col("offset").between(first if first is not None else 0, last if last is not None else 2**63 - 1))

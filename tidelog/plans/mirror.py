@@ -7,30 +7,51 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import chains, segments
 from tidelog.plans.archive import archived, clean_staging, commit_segments, stage_segments
-from tidelog.schema import LOG
-from tidelog.sources.log import assigned, high_watermark
+from tidelog.plans.storage import Files, shared_dir
+from tidelog.schema import ENVELOPE, LOG
+from tidelog.sources.log import assigned, high_watermark, seek
 
 
 def positions(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """topic (destination), partition, next_offset of a valid archive; a broken chain raises."""
-    found = archived(spark, root).select("topic", "partition", "from_offset", "to_offset", "ext")
-    chains.require_none(chains.violations(found, fmt, ("topic", "partition")), "corrupt chain")
-    return segments.next_expected(found)
+    found = verified(spark, root, fmt)
+    chains.require_none(found.filter("error is not null"), "corrupt chain")
+    return found.drop("error")
 
 
-def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", **limits: int) -> int:
+def verified(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """topic (destination), partition, next_offset, error (the first violation, which leaves next_offset null) per chain.
+
+    The archive is listed once; the result, a row a chain, is kept in the checkpoint folder.
+    """
+    shared_dir(spark)
+    found = archived(spark, root).select("topic", "partition", "from_offset", "to_offset", "ext").checkpoint()
+    wrong = chains.violations(found, fmt, LOG).groupBy(*LOG).agg(F.min(F.struct("from_offset", "to_offset", "kind")).alias("_w"))
+    text = F.concat("_w.kind", F.lit(" at "), F.col("_w.from_offset").cast("string"), F.lit("-"), F.col("_w.to_offset").cast("string"))
+    known = segments.next_expected(found).join(wrong, LOG, "left")
+    return known.select(*LOG, F.when(F.col("_w").isNull(), F.col("next_offset")).alias("next_offset"), text.alias("error")).checkpoint()
+
+
+def starting(at: DataFrame, mirrors: DataFrame | None = None) -> DataFrame:
+    """topic, partition, next_offset of the source logs, from destinations' positions."""
+    if mirrors is None:
+        return at
+    names = mirrors.select(*LOG, F.coalesce("destination_name_override", "topic").alias("destination"))
+    return names.join(at.withColumnRenamed("topic", "destination"), ["destination", "partition"]).select(*LOG, "next_offset")
+
+
+def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", at: DataFrame | None = None, **limits: int) -> int:
     """Bring the archive at root up to log: position, seek, gate, cut, write, commit; returns the segments committed.
 
     All logs of one call are mirrored by the same jobs, in parallel. mirrors (see assigned) choose logs and name their
     destinations; by default every log goes to its topic. Rows of an open segment stay unwritten unless drain, and are
     read again next time; what a writer that died has left in the staging folder is cleared after a day. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
+    at: the archive's positions where the caller has them already.
     """
     rows = log.withColumn("destination", F.col("topic")) if mirrors is None else assigned(log, mirrors).drop("mirror")
     clean_staging(spark, root)
-    at = positions(spark, root, fmt).withColumnRenamed("topic", "destination")
-    rows = rows.join(at, ["destination", "partition"], "left").filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0)))
-    starts = rows.groupBy(*LOG).agg(F.first(F.coalesce("next_offset", F.lit(0))).alias("next_offset"))
-    rows = rows.drop("next_offset")
+    starts = starting(positions(spark, root, fmt) if at is None else at, mirrors)
+    rows = seek(rows, starts)
     found = chains.gate_contiguous(rows, starts)
     if on_gap == "commit_prefix":
         gaps = found.groupBy(*LOG).agg(F.min("actual").alias("_gap"))
@@ -59,3 +80,21 @@ def append_log(delta: DataFrame, destination: DataFrame, timestamps: str = "sour
     chains.require_none(chains.gate_contiguous(rows, at), "unexpected position")
     own = F.lit(timestamps == "source") & F.col("timestamp_ms").isNotNull()
     return rows.withColumn("timestamp_type", F.when(own, "create_time").otherwise("log_append_time")).withColumn("timestamp_ms", F.when(own, F.col("timestamp_ms")).otherwise(F.lit(ingest_ms)).cast("bigint"))
+
+
+def append_once(spark: SparkSession, log: DataFrame, path: str, timestamps: str = "source", ingest_ms: int | None = None) -> int:
+    """Append to the log table at path what it lacks of log, then look whether every row is at its own offset; returns the rows added.
+
+    The position is the table's own high watermark, so a call again adds nothing; a row that isn't where it was sent raises.
+    """
+    def table() -> DataFrame:
+        return spark.read.schema(ENVELOPE).parquet(path) if Files(spark, path).exists(path) else spark.createDataFrame([], ENVELOPE)
+
+    before = table()
+    shared_dir(spark)
+    high = high_watermark(before).withColumnRenamed("high", "next_offset").checkpoint()
+    append_log(log, before, timestamps, ingest_ms).write.mode("append").parquet(path)
+    after = seek(table(), high)
+    chains.require_none(chains.gate_contiguous(after, high), "produced offsets")
+    chains.require_none(chains.gate_produced(seek(log, high), after), "produced offsets")
+    return after.count()

@@ -16,39 +16,61 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def plain(path: str) -> str:
+    """The path of a file URI on this machine."""
+    return "/" + path.removeprefix("file:").lstrip("/")
+
+
 class Files:
-    """Renames and listings that only touch names, on whatever file system the root is on."""
+    """Moves and listings that only touch names, on whatever file system the root is on."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.jvm, self.root = spark.sparkContext._jvm, root.rstrip("/")
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.fs = self.path(root).getFileSystem(self.conf)
         self.local = self.fs.getScheme() == "file"
-        self.context = None if self.local else self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(root).toUri(), self.conf)
+        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(root).toUri(), self.conf)
 
     def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(name)
 
-    def walk(self, below: str) -> list[str]:
-        at = self.path(below)
-        if not self.fs.exists(at):
-            return []
-        found, files = [], self.fs.listFiles(at, True)
-        while files.hasNext():
-            found.append(files.next().getPath().toString())
-        return found
-
-    def rename(self, source: str, target: str) -> None:
-        """Raises if the target exists; never replaces it, not even in a race."""
-        if self.local:  # a link is put in place or fails, and needs no process for the file's state as the generic call does
-            files, at = self.jvm.java.nio.file.Files, lambda name: self.jvm.java.io.File(self.path(name).toUri().getPath()).toPath()
-            files.createLink(at(target), at(source))
-            files.delete(at(source))
-            return
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.path(name))
+
+    def claim(self, name: str, owner: str) -> None:
+        """Create the small file name with owner in it; raises if another owner has it. Stores that can create on condition do."""
+        at = self.path(name)
+        try:
+            out = self.fs.createFile(at).overwrite(False).opt("fs.option.create.conditional.overwrite", "true").recursive().build()
+            out.write(owner.encode())
+            out.close()
+        except Exception as e:
+            if not self.fs.exists(at):
+                raise
+            if self.text(name) != owner:
+                raise FileExistsError(f"{name}: another writer commits this segment") from e
+
+    def text(self, name: str) -> str:
+        stream = self.fs.open(self.path(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def publish(self, source: str, target: str, claim: str, owner: str) -> None:
+        """Move source to target, which must not exist, not even in a race: of several writers one gets the claim.
+
+        The claim goes once target is there for all to see. One that a dead writer left is cleared with its staging.
+        """
+        self.claim(claim, owner)
+        if self.fs.exists(self.path(target)):
+            self.delete(claim)
+            raise FileExistsError(f"{target} exists")
         none = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
         array = self.jvm.java.lang.reflect.Array.newInstance(none.getClass(), 1)
         self.jvm.java.lang.reflect.Array.set(array, 0, none)
         self.context.rename(self.path(source), self.path(target), array)
+        self.delete(claim)
 
     def names(self, folder: str) -> list[str]:
         return [x.getPath().getName() for x in self.fs.listStatus(self.path(folder))]

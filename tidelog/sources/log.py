@@ -24,10 +24,10 @@ def make_log(df: DataFrame, order: list[str], stretches: int | None = None) -> D
     elif kind == "date":
         by = F.unix_date(by)
     elif kind == "string":
-        by = F.lit(0)
+        by = F.conv(F.rpad(F.hex(F.substring(by.cast("binary"), 1, 6)), 12, "0"), 16, 10)  # six bytes: exact as a double
     df = df.withColumn("_by", by.cast("double"))
     cuts = sorted(set(df.approxQuantile("_by", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else []
-    df = df.withColumn("_stretch", _bucket(F.col("_by"), cuts, 0)).drop("_by")
+    df = df.withColumn("_stretch", _bucket(F.col("_by"), cuts)).drop("_by")
     counts = df.groupBy(*LOG, "_stretch").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*LOG).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(*LOG, "_stretch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
@@ -35,12 +35,14 @@ def make_log(df: DataFrame, order: list[str], stretches: int | None = None) -> D
     return df.withColumn("_nth", nth).join(first, [*LOG, "_stretch"]).withColumn("offset", (F.col("_first") + F.col("_nth") - 1).cast("bigint")).drop("_stretch", "_nth", "_first")
 
 
-def _bucket(by: Column, cuts: list[float], first: int) -> Column:
-    """Number of cuts not above the value, as a balanced tree of comparisons; null is in front."""
+def _bucket(by: Column, cuts: list[float]) -> Column:
+    """Number of cuts not above the value, by a binary search in an array of them; 0 for null."""
     if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(by >= cuts[mid], _bucket(by, cuts[mid + 1 :], first + mid + 1)).otherwise(_bucket(by, cuts[:mid], first))
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    known = F.lit(cuts)
+    further = lambda at, step: F.when((at + step <= len(cuts)) & (by >= F.get(known, at + step - 1)), at + step).otherwise(at)
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def envelope(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import payload_bytes
-from tidelog.plans.mirror import mirror_once
+from tidelog.plans.mirror import mirror_once, positions, starting
 from tidelog.schema import ENVELOPE, LOG
 
 
@@ -16,7 +16,7 @@ def mirror_stream(spark: SparkSession, source: str, root: str, checkpoint: str,
     """Start mirroring the growing folder of envelope files at source into the archive at root.
 
     A batch's highest offsets bound what mirror_once reads, from the archive's own positions on, out of read() (default:
-    the source as a table). A lost or stale checkpoint thus neither loses nor repeats rows. The query's progress holds
+    the source as a table); both bounds reach the scan as filters, so only the open tails and the batch are decoded. A lost or stale checkpoint thus neither loses nor repeats rows. The query's progress holds
     the observed rows and payload bytes.
     """
     read = read or (lambda: spark.read.schema(ENVELOPE).parquet(source))
@@ -28,13 +28,41 @@ def mirror_stream(spark: SparkSession, source: str, root: str, checkpoint: str,
     def handle(batch: DataFrame, _: int) -> None:
         upto = batch.groupBy(*LOG).agg(F.max("offset").alias("_upto")).collect()  # a row per log, and the batch is read just once
         upto = spark.createDataFrame(upto, "topic string, partition int, _upto bigint")
-        known = read().join(upto, LOG).filter("offset <= _upto").drop("_upto")
-        mirror_once(spark, known, root, **options)
+        at = positions(spark, root, options.get("fmt", "parquet"))
+        known = open_ranges(read(), seek_bounds(upto, starting(at, options.get("mirrors"))))
+        mirror_once(spark, known, root, at=at, **options)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def seek_bounds(upto: DataFrame, starts: DataFrame) -> DataFrame:
+    """topic, partition, _from, _upto of the logs in upto that have something to read."""
+    return upto.join(starts, LOG, "left").select(*LOG, F.coalesce("next_offset", F.lit(0)).alias("_from"), "_upto").filter("_from <= _upto")
+
+
+def open_ranges(log: DataFrame, bounds: DataFrame, most: int = 128) -> DataFrame:
+    """log's rows within the bounds (topic, partition, _from, _upto).
+
+    The join decides; the filter before it only lets the scan skip. Up to `most` logs have a condition each, more share
+    one by partition number.
+    """
+    wanted = [tuple(r) for r in bounds.collect()]  # a row per log
+    if len(wanted) > most:
+        wanted = [(None, p, min(w[2] for w in wanted if w[1] == p), max(w[3] for w in wanted if w[1] == p)) for p in {w[1] for w in wanted}]
+    if len(wanted) > most:
+        wanted = [(None, None, min(w[2] for w in wanted), max(w[3] for w in wanted))]
+    pick = F.lit(False)
+    for topic, partition, first, last in wanted:
+        this = F.col("offset").between(first, last)
+        if partition is not None:
+            this &= F.col("partition") == partition
+        if topic is not None:
+            this &= F.col("topic") == topic
+        pick |= this
+    return log.filter(pick).join(bounds, LOG).filter("offset between _from and _upto").drop("_from", "_upto")
+
+
 def progress(query) -> list[dict]:
     """batch_id, n_records, payload_bytes of the query's recent batches."""
     found = []
