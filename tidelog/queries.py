@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -268,6 +269,15 @@ def append_log_restamped(spark, sf_dir):
     return shown(mirror.append_log(log, log.filter(f"offset < {STEP}"), "destination", 1_700_000_000_000))
 
 
+def append_once(spark, sf_dir):
+    """A log table that holds the first rows, brought up to the log; the second call finds nothing to add."""
+    log, path = stored_log(spark, sf_dir), fresh_root(spark, "table")
+    log.filter(f"offset < {STEP}").write.parquet(path)
+    for _ in range(2):
+        mirror.append_once(spark, log, path, "source", 1_700_000_000_000)
+    return shown(spark.read.schema(ENVELOPE).parquet(path))
+
+
 def _written(spark, sf_dir, fmt):
     root = fresh_root(spark, f"archive-{fmt}")
     mirror.mirror_once(spark, stored_log(spark, sf_dir), root, fmt=fmt, drain=True, max_offsets=STEP)
@@ -308,6 +318,27 @@ def mirror_once(spark, sf_dir):
     return _catalogue(spark, root).drop("name")
 
 
+def status_archive(spark, sf_dir):
+    """Status of a written archive; each chain of partition 1 has a segment far behind the others, which is its row's error."""
+    root, log = fresh_root(spark, "status"), stored_log(spark, sf_dir)
+    mirrors = mirrors_of(log)
+    mirror.mirror_once(spark, log, root, mirrors=mirrors, max_offsets=STEP)
+    stray = log.filter("partition = 1 and offset = 0").withColumn("offset", F.lit(2**40)).withColumns({"destination": F.col("topic"), "from_offset": F.col("offset"), "to_offset": F.col("offset")})
+    archive.commit_segments(spark, root, archive.stage_segments(stray, root))
+    high = logs.high_watermark(log).withColumn("error", F.lit(None).cast("string"))
+    return reports.status(mirrors, high, mirror.verified(spark, root), renamed=True)
+
+
+def archive_report(spark, sf_dir):
+    """Counters, gauges, flush age and intervals of the files of a written archive; times are only compared with now."""
+    begin = int(time.time())
+    found = archive.archived(spark, _written(spark, sf_dir, "ndjson"))
+    now = spark.range(1).select(F.date_format(F.now(), "yyyy-MM-dd HH:mm:ss").alias("now")).first()["now"]
+    report = reports.counters(found).join(reports.gauges(found), LOG).join(reports.flush_age(found, now, 3_600_000), LOG)
+    intervals = segments.flush_intervals(found).groupBy(*LOG).agg(F.count("interval_ms").alias("n_intervals"))
+    return report.join(intervals, LOG).select(*LOG, "records_total", "bytes_total", "flushes_total", "offset_verified", "n_intervals", "alert", (F.col("last_flush") >= begin - 1).alias("flushed"))
+
+
 def resume_from_destination(spark, sf_dir):
     """Stopped hard after 170 rows of each log and started again: the lost tail is read anew."""
     root, log = fresh_root(spark, "resume"), stored_log(spark, sf_dir)
@@ -342,7 +373,7 @@ def progress_metrics(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics,
+    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics,
 )}
 
 # -- SQL ----------------------------------------------------------------------------------------------------------
@@ -411,6 +442,14 @@ _STATUS = """, status as (
     case when m."partition" = 1 and h.high is not null then 'timed out' when h.high is null then 'source has no such log' end as error
   from mirrors m left join high h using (topic, "partition") left join next_expected n using (topic, "partition"))"""
 
+#: A row as the line that an archive holds.
+_LINE = """'{"topic":"' || topic || '","partition":' || "partition" || ',"offset":' || "offset"
+  || case when timestamp_ms is null then '' else ',"timestamp_ms":' || timestamp_ms end || ',"timestamp_type":"' || timestamp_type || '"'
+  || case when key is null then '' else ',"key":"' || base64(key) || '"' end || case when value is null then '' else ',"value":"' || base64(value) || '"' end
+  || case when event_id % 4 = 0 then '' else ',"headers":[{"key":"trace-id","value":"' || base64(encode('t' || event_id)) || '"},{"key":"null-value"}]' end || '}'"""
+_APPENDED = _sql(f"""select {SHOWN} from (select * replace (case when "offset" < 100 then timestamp_ms else coalesce(timestamp_ms, 1700000000000) end as timestamp_ms,
+  case when "offset" < 100 then timestamp_type when timestamp_ms is null then 'log_append_time' else 'create_time' end as timestamp_type) from log)""")
+
 ORACLE_SQL = {
     "summary": _sql('select topic, "partition", count(distinct "offset" // 100) as n_segments, sum(size)::bigint as payload_bytes, max("offset") + 1 as next_offset from sized group by 1, 2'),
     "make_log": _sql('select event_id, topic, "partition", "offset" from log'),
@@ -462,16 +501,16 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
     "end_to_end_lag": _sql('select topic, "partition", high - next_offset as lag from high join next_expected using (topic, "partition")'),
     "audit_mirror": _sql("""select topic, "partition", count(*) as n_source, count(*) filter ("offset" % 97 != 5) + count(*) filter ("offset" % 211 = 3) as n_destination, count(*) filter ("offset" % 97 = 5) as missing,
   count(*) filter ("offset" % 211 = 3) as extra, count(*) filter ("offset" % 97 != 5 and "offset" % 89 = 7) as changed from log group by 1, 2"""),
-    "append_log": _sql(f"""select {SHOWN} from (select * replace (case when "offset" < 100 then timestamp_ms else coalesce(timestamp_ms, 1700000000000) end as timestamp_ms,
-  case when "offset" < 100 then timestamp_type when timestamp_ms is null then 'log_append_time' else 'create_time' end as timestamp_type) from log)"""),
+    "append_log": _APPENDED,
+    "append_once": _APPENDED,
     "append_log_restamped": _sql(f"""select {SHOWN} from (select * replace (1700000000000::bigint as timestamp_ms, 'log_append_time' as timestamp_type) from log where "offset" >= 100)"""),
     "scan_parquet": _sql(f"select {SHOWN} from log"),
     "scan_ndjson": _sql(f"select {SHOWN} from log"),
     "replay": _sql(f'select {SHOWN} from log where "offset" between 150 and 349'),
-    "write_archive": _sql("""select topic, "partition", count(*) as n_lines, sum(length('{"topic":"' || topic || '","partition":' || "partition" || ',"offset":' || "offset"
-  || case when timestamp_ms is null then '' else ',"timestamp_ms":' || timestamp_ms end || ',"timestamp_type":"' || timestamp_type || '"'
-  || case when key is null then '' else ',"key":"' || base64(key) || '"' end || case when value is null then '' else ',"value":"' || base64(value) || '"' end
-  || case when event_id % 4 = 0 then '' else ',"headers":[{"key":"trace-id","value":"' || base64(encode('t' || event_id)) || '"},{"key":"null-value"}]' end || '}'))::bigint as n_chars from log group by 1, 2"""),
+    "write_archive": _sql(f'select topic, "partition", count(*) as n_lines, sum(length({_LINE}))::bigint as n_chars from log group by 1, 2'),
+    "archive_report": _sql(f'select topic, "partition", count(*) as records_total, sum(length({_LINE}) + 1)::bigint as bytes_total, count(distinct "offset" // 100) as flushes_total, max("offset") + 1 as offset_verified, count(distinct "offset" // 100) as n_intervals, false as alert, true as flushed from log group by 1, 2'),
+    "status_archive": _sql("""select m.name, h.high as source_high, case when m."partition" != 1 then h.high // 100 * 100 end as dest_next, case when m."partition" != 1 then h.high % 100 end as lag,
+  case when h.high is null then 'source has no such log' when m."partition" = 1 then 'destination: gap_or_overlap at 1099511627776-1099511627776' end as error from mirrors m left join high h using (topic, "partition")"""),
     "commit_segments": _sql(_SEGMENT_LIST.format(_COMMITTED)),
     "mirror_once": _greedy(ROWS, BYTES, TIME_MS, 'select topic, "partition", from_offset, to_offset from segs'),
     "resume_from_destination": _sql(_SEGMENT_LIST.format(_BY_STEP)),
