@@ -1,3 +1,4 @@
+import os
 import random
 import uuid
 
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import chains, segments
 from tidelog.plans import archive, mirror
+from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENVELOPE
 from tidelog.sources import log as logs
+from tidelog.streaming.mirror import mirror_stream
 
 
 def records(spark, n, topic="t", partition=0, first=0):
@@ -140,3 +143,117 @@ def test_empty_and_missing(spark, root):
 def test_broker_options():
     options = logs.broker_options({"t": {1: 5, 0: 3}}, "host:1")
     assert options["startingOffsets"] == '{"t": {"0": 3, "1": 5}}' and options["assign"] == '{"t": [0, 1]}'
+
+
+def test_commit_again_after_a_lost_task(spark, root):
+    """A task that linked some segments and died is run again: it knows its own links and goes on."""
+    rows = segments.by_count(records(spark, 30).withColumn("destination", F.col("topic")), 10)
+    ends = rows.groupBy("from_offset").agg(F.max("offset").alias("to_offset"))
+    staged = archive.stage_segments(rows.join(ends, "from_offset"), root)
+    first = archive.staged_segments(spark, staged).orderBy("first").first()
+    folder = os.path.join(plain(root), "t", "0")
+    os.makedirs(folder)
+    os.link(plain(first["path"]), os.path.join(folder, f"{0:020d}-{9:020d}.parquet"))
+    assert archive.commit_segments(spark, root, staged) == 3
+    assert names(spark, root) == [f"{a:020d}-{a + 9:020d}.parquet" for a in (0, 10, 20)]
+    assert same(archive.replay(spark, root), records(spark, 30))
+
+
+def test_commit_by_claims(spark, root):
+    """Where names can't be linked a claim decides: another writer's claim stops a chain before that segment."""
+    def staged():
+        rows = segments.by_count(records(spark, 30).withColumn("destination", F.col("topic")), 10)
+        ends = rows.groupBy("from_offset").agg(F.max("offset").alias("to_offset"))
+        return archive.stage_segments(rows.join(ends, "from_offset"), root)
+
+    files = Files(spark, root)
+    claim = f"{root}/{archive.STAGING}/claim-t-0-{20:020d}-{29:020d}.parquet"
+    files.claim(claim, "other")
+    with pytest.raises(FileExistsError, match="another writer"):
+        archive._commit_by_claims(spark, root, staged(), "parquet", 2)
+    assert names(spark, root) == [f"{a:020d}-{a + 9:020d}.parquet" for a in (0, 10)]
+    with pytest.raises(FileExistsError, match="reach|exist"):
+        archive._commit_by_claims(spark, root, staged(), "parquet", 2)
+    with pytest.raises(FileExistsError):
+        files.publish(f"{root}/t/0/{0:020d}-{9:020d}.parquet", f"{root}/t/0/{10:020d}-{19:020d}.parquet", f"{claim}-b", "me")
+    files.claim(claim, "other")  # its owner may ask again
+
+
+def test_cut_equals_row_by_row(spark):
+    """Rows, bytes and times at random, null and backward times among them, against the rule applied row by row."""
+    r = random.Random(11)
+    rows = []
+    for partition in range(3):
+        now = 1000
+        for i in range(700):
+            now += r.choice([-40, 0, 1, 5, 30])
+            rows.append(("t", partition, i, None if r.random() < 0.2 else now, "create_time", None, bytes(r.choice([0, 0, 3, 50])), []))
+    log = spark.createDataFrame(rows, ENVELOPE).cache()
+    for most, size, age in ((9, 90, 60), (2**62, 200, 2**62), (2**62, 2**62, 25), (1, 1, 1), (5, 0, 10), (400, 4000, 0)):
+        want = []
+        for partition in range(3):
+            seg = None
+            for _, p, i, t, _, _, value, _ in rows:
+                if p != partition:
+                    continue
+                seg = seg or {"first": i, "n": 0, "bytes": 0, "since": None, "top": None}
+                seg["n"], seg["bytes"] = seg["n"] + 1, seg["bytes"] + len(value)
+                if t is not None:
+                    seg["since"] = t if seg["since"] is None else seg["since"]
+                    seg["top"] = t if seg["top"] is None else max(seg["top"], t)
+                if seg["n"] >= most or seg["bytes"] >= size or (seg["since"] is not None and seg["top"] - seg["since"] >= age):
+                    want.append((p, seg["first"], i, seg["n"], seg["bytes"], True))
+                    seg = None
+            if seg:
+                want.append((partition, seg["first"], 699, seg["n"], seg["bytes"], False))
+        got = segments.cut(log, most, size, age).select("partition", "from_offset", "to_offset", "n_records", "buffered_bytes", "closed")
+        assert sorted(tuple(x) for x in got.collect()) == sorted(want)
+
+
+def test_gate_in_stretches(spark):
+    """Short stretches find what one window over each log finds, between stretches too."""
+    r = random.Random(5)
+    rows = [("t", p, i) for p in (0, 1) for i in range(200) for _ in range(r.choice([0, 1, 1, 1, 1, 2]))]
+    log, at = spark.createDataFrame(rows, "topic string, partition int, offset long"), spark.createDataFrame([("t", 0, 3)], "topic string, partition int, next_offset long")
+    for bits in (0, 2, 5, 20):
+        want = []
+        for p, start in ((0, 3), (1, 0)):
+            expected = start
+            for i in sorted(o for _, q, o in rows if q == p):
+                want += [("t", p, expected, i)] if i != expected else []
+                expected = i + 1
+        assert sorted(tuple(x) for x in chains.gate_contiguous(log, at, bits=bits).collect()) == sorted(want)
+
+
+def test_text_order_is_cut_into_stretches(spark):
+    words = [f"{chr(97 + i % 26)}{i:05}" for i in range(300)] + ["", "é", "é"]
+    log = spark.createDataFrame([("t", 0, w) for w in words] + [("t", 0, None)], "topic string, partition int, w string")
+    found = logs.make_log(log, ["w"], 16).orderBy("offset").collect()
+    assert [x["offset"] for x in found] == list(range(304)) and [x["w"] for x in found] == [None, *sorted(words)]
+
+
+def test_replay_opens_only_what_it_needs(spark, root):
+    mirror.mirror_once(spark, records(spark, 100), root, drain=True, max_offsets=10)
+    open(os.path.join(plain(root), "t", "0", "notes.parquet"), "w").close()  # not a segment
+    some = archive.replay(spark, root, first=25, last=44)
+    assert same(some, records(spark, 20, first=25))
+    files = some.select(F.col("offset"), F.col("topic"))
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "_metadata" in plan or "file_name" in plan
+
+
+def test_stream_with_a_lost_checkpoint(spark, root):
+    source = f"{root}-source"
+    for n, (low, high) in enumerate(((0, 25), (25, 47), (47, 80))):
+        records(spark, high - low, first=low).write.mode("append").parquet(source)
+        mirror_stream(spark, source, root, f"{root}-checkpoint-{n}", files_per_batch=1, max_offsets=10).awaitTermination()
+    assert names(spark, root) == [f"{a:020d}-{a + 9:020d}.parquet" for a in range(0, 80, 10)]
+    assert same(archive.replay(spark, root), records(spark, 80))
+
+
+def test_status_keeps_other_rows(spark, root):
+    mirror.mirror_once(spark, records(spark, 20).unionByName(records(spark, 20, topic="u")), root, max_offsets=10)
+    stray = records(spark, 1, first=50).withColumns({"destination": F.lit("u"), "from_offset": F.lit(50), "to_offset": F.lit(50)})
+    archive.commit_segments(spark, root, archive.stage_segments(stray, root))
+    found = {r["topic"]: (r["next_offset"], r["error"]) for r in mirror.verified(spark, root).collect()}
+    assert found == {"t": (20, None), "u": (None, "gap_or_overlap at 50-50")}

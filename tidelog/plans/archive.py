@@ -39,13 +39,15 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
     Segments are dealt to tasks whole and each task writes its segments one by one in offset order.
     """
     folder = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    keys = {"d": F.col("destination"), "p": F.col("partition"), "f": F.col("from_offset"), "t": F.col("to_offset")}
-    dealt = rows.withColumns({f"_{k}": c for k, c in keys.items()}).repartition("destination", "partition", "from_offset").sortWithinPartitions("_d", "_p", "_f", "_t", "offset")
-    by = [f"_{k}" for k in keys]
+    keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
+    dealt = rows.withColumns(keys).repartition("destination", "partition", "from_offset").sortWithinPartitions(*keys, "offset")
+    columns = [ndjson_line().alias("value")] if fmt == "ndjson" else ENVELOPE.fieldNames()
+    # Tasks put their files in place themselves: nobody reads the folder before the job has ended, and a task that is run again writes the same names.
+    writer = dealt.select(*columns, *keys).write.partitionBy(*keys).option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 0)
     if fmt == "ndjson":
-        dealt.select(ndjson_line().alias("value"), *by).write.partitionBy(*by).text(folder)
+        writer.text(folder)
     else:
-        dealt.select(*ENVELOPE.fieldNames(), *by).write.partitionBy(*by).option("compression", CODECS[codec]).option("maxRecordsPerFile", 0).parquet(folder)
+        writer.option("compression", CODECS[codec]).parquet(folder)
     return folder
 
 
@@ -71,7 +73,7 @@ def staged_segments(spark: SparkSession, staged: str) -> DataFrame:
     """destination, partition, first, last, path of the files of a staging folder."""
     files = list_files(spark, staged).filter(F.col("name").startswith("part-"))
     part = lambda key: F.regexp_extract("path", f"/_{key}=([^/]*)/", 1)
-    return files.select(part("d").alias("destination"), part("p").alias("partition"), part("f").cast("bigint").alias("first"), part("t").cast("bigint").alias("last"), "path")
+    return files.select(part("d").alias("destination"), part("p").alias("partition"), F.substring_index(part("s"), "-", 1).cast("bigint").alias("first"), F.substring_index(part("s"), "-", -1).cast("bigint").alias("last"), "path")
 
 
 def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> DataFrame:
@@ -120,7 +122,7 @@ def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> D
 
 def _only_own(folder: str, path: str, first: int) -> bool:
     """Whether all segments in folder that end at first or later are links of the same chain's staged files."""
-    below = os.path.dirname(os.path.dirname(os.path.dirname(path)))
+    below = os.path.dirname(os.path.dirname(path))
     own = {os.stat(os.path.join(at, name)).st_ino for at, _, names in os.walk(below) for name in names}
     late = [name for name in os.listdir(folder) if (m := SEGMENT.fullmatch(name)) and int(m[2]) >= first]
     return all(os.stat(os.path.join(folder, name)).st_ino in own for name in late)
