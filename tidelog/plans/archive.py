@@ -77,54 +77,60 @@ def staged_segments(spark: SparkSession, staged: str) -> DataFrame:
 
 
 def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> DataFrame:
-    """done, kind and message of the failure (or null) per chain. Staged files stay as second links of what they became."""
-    base, ending = plain(root), ENDINGS[fmt]
+    """done, kind and message of the failure (or null) per chain. Staged files stay as second links of what they became.
+
+    The driver names the chains, tasks list what is staged of theirs.
+    """
+    base, ending, below = plain(root), ENDINGS[fmt], plain(staged)
+    chains = [(d, p) for d in _folders(below, "_d=") for p in _folders(os.path.join(below, d), "_p=")]
+
+    def link(d: str, p: str) -> tuple[int, str | None, str | None]:
+        chain, segments, done = (unquote(d[3:]), p[3:]), _staged_in(os.path.join(below, d, p)), 0
+        if not segments:
+            return 0, None, None
+        folder = os.path.join(base, *chain)
+        os.makedirs(folder, exist_ok=True)
+        failure = reached(os.listdir(folder), chain, segments[0][0])
+        if failure and not _only_own(folder, segments):  # all own: this chain's task was run before
+            return 0, *failure
+        for first, last, path in segments:
+            target = os.path.join(folder, f"{first:020d}-{last:020d}.{ending}")
+            try:
+                os.link(path, target)
+            except FileExistsError:
+                if not os.path.samefile(path, target):
+                    return done, "exists", f"{target} exists"
+            except OSError as e:
+                return done, "other", str(e)
+            done += 1
+        return done, *(overlap(os.listdir(folder), chain) or (None, None))
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chain, done, failure, folder = None, 0, None, ""
+        for b in batches:
+            for d, p in b.itertuples(index=False):
+                yield pd.DataFrame([link(d, p)], columns=["done", "kind", "message"])
 
-        def end() -> pd.DataFrame:
-            kind, message = failure or overlap(os.listdir(folder), chain) or (None, None)
-            return pd.DataFrame({"done": [done], "kind": [kind], "message": [message]})
+    given = spark.createDataFrame(chains, "d string, p string").repartition(max(1, min(len(chains), spark.sparkContext.defaultParallelism)))
+    return given.mapInPandas(links, "done bigint, kind string, message string")
 
-        for b in batches:
-            for destination, partition, first, last, path in b.itertuples(index=False):
-                path = plain(path)
-                if (destination, partition) != chain:
-                    if chain is not None:
-                        yield end()
-                    chain, done, failure = (destination, partition), 0, None
-                    folder = os.path.join(base, unquote(destination), partition)
-                    os.makedirs(folder, exist_ok=True)
-                    failure = reached(os.listdir(folder), chain, first)
-                    if failure and _only_own(folder, path, first):  # this chain's task was run before
-                        failure = None
-                if failure:
-                    continue
-                target = os.path.join(folder, f"{first:020d}-{last:020d}.{ending}")
-                try:
-                    os.link(path, target)
-                except FileExistsError:
-                    if not os.path.samefile(path, target):
-                        failure = ("exists", f"{target} exists")
-                        continue
-                except OSError as e:
-                    failure = ("other", str(e))
-                    continue
-                done += 1
-        if chain is not None:
-            yield end()
-
-    n = spark.sparkContext.defaultParallelism
-    dealt = staged_segments(spark, staged).repartition(n, "destination", "partition").sortWithinPartitions("destination", "partition", "first", "last")
-    return dealt.mapInPandas(links, "done bigint, kind string, message string")
-
-
-def _only_own(folder: str, path: str, first: int) -> bool:
-    """Whether all segments in folder that end at first or later are links of the same chain's staged files."""
-    below = os.path.dirname(os.path.dirname(path))
-    own = {os.stat(os.path.join(at, name)).st_ino for at, _, names in os.walk(below) for name in names}
-    late = [name for name in os.listdir(folder) if (m := SEGMENT.fullmatch(name)) and int(m[2]) >= first]
+
+def _folders(at: str, prefix: str) -> list[str]:
+    return [x.name for x in os.scandir(at) if x.name.startswith(prefix)] if os.path.isdir(at) else []
+
+
+def _staged_in(chain: str) -> list[tuple[int, int, str]]:
+    """First and last offset and path of the segments in a chain's staging folder, in order."""
+    found = []
+    for name in _folders(chain, "_s="):
+        first, last = name[3:].split("-")
+        found += [(int(first), int(last), os.path.join(chain, name, x)) for x in _folders(os.path.join(chain, name), "part-")]
+    return sorted(found)
+
+
+def _only_own(folder: str, segments: list[tuple[int, int, str]]) -> bool:
+    """Whether all segments in folder that end at the first staged one's begin or later are links of staged files."""
+    own = {os.stat(path).st_ino for _, _, path in segments}
+    late = [name for name in os.listdir(folder) if (m := SEGMENT.fullmatch(name)) and int(m[2]) >= segments[0][0]]
     return all(os.stat(os.path.join(folder, name)).st_ino in own for name in late)
 
 
