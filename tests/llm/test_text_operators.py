@@ -40,6 +40,15 @@ def test_bpe_equals_library_and_round_trips(docs, none):
     assert bpe.encode(none, MULTI, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_words_one_by_one_equal_library():
+    library = tiktoken.Encoding(name="t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(MULTI), special_tokens={})
+    replay, r = bpe.MergeReplay(bpe.load_ranks(MULTI)), random.Random(6)
+    for letters, n in (("a", 7), ("a", 30_001), ("ab", 60_000), ("théionsrgé", 60_000), ("abcdefghijklmnopqrstuvwxyz", 300)):
+        word = "".join(r.choice(letters) for _ in range(n)).encode()
+        assert replay.one(replay.byte_ids[np.frombuffer(word, np.uint8)].tolist()) == library._core_bpe.encode_single_piece(word)
+        assert np.frombuffer(replay.encode([word])[0], "<u4").tolist() == library._core_bpe.encode_single_piece(word)
+
+
 def test_packing_covers_every_id_once(docs, none):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     found = packing.pack(docs, FIFTY, public_tokenizers.PATTERN, window=64, max_gap=8, keep_ids=True).collect()

@@ -56,13 +56,23 @@ class MergeReplay:
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
 
     def one(self, ids: list[int]) -> list[int]:
-        """Lowest rank first, leftmost of equals, over one word."""
-        while len(ids) > 1:
-            best, at = min((self.known.get((ids[i] << 24) | ids[i + 1], NONE), i) for i in range(len(ids) - 1))
-            if best >= NONE:
-                break
-            ids[at : at + 2] = [int(best)]
-        return ids
+        """Lowest rank first, leftmost of equals, over one word; a heap of pairs, so that a long word takes n log n steps."""
+        n = len(ids)
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.known.get((ids[i] << 24) | ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, at, left, right = heapq.heappop(heap)
+            if ids[at] != left or (other := nxt[at]) == n or ids[other] != right:
+                continue  # one of the two has been merged since
+            ids[at], ids[other], after = int(rank), END, nxt[other]
+            nxt[at] = after
+            if after < n:
+                prv[after] = at
+            for a, b in ((prv[at], at), (at, after)):
+                if a >= 0 and b < n and (r := self.known.get((ids[a] << 24) | ids[b])) is not None:
+                    heapq.heappush(heap, (r, a, ids[a], ids[b]))
+        return [i for i in ids if i != END]
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece as little-endian unsigned 32-bit integers. A piece that is a token itself is that token."""
