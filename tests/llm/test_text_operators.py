@@ -240,6 +240,21 @@ def test_fingerprints_and_edits(docs, none, spark):
     assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(a[:-3] + "sex")) > 0.5 > fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b))
 
 
+def test_frequent_ids_are_many_stretches(spark):
+    r = random.Random(8)
+    rows = [(None, "".join(r.choice("aé漢\U0001F600z") for _ in range(r.randint(0, 12)))) for _ in range(300)] + [(1 << 60, f"t{i}") for i in range(200)] + [((1 << 60) + i % 3, "x") for i in range(9)] + [(i, f"own {i}") for i in range(200)] + [(None, None)] * 30
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    spread = fingerprints.with_neighbours(df).cache()
+    assert spread.filter("doc_id is null and not guest").select("stretch").distinct().count() > 3
+    assert spread.filter("guest").count() < len(rows) / 4
+    order = sorted(((-(1 << 63) if d is None else d, t or "", d) for d, t in rows), key=lambda x: (-x[0], x[1]))
+    want = Counter()
+    for i, (_, t, d) in enumerate(order):
+        half = len(t) // 2
+        want[(d, hashlib.sha256((t[: len(t) - half] + order[(i + 1) % len(order)][1][:half]).encode()).hexdigest())] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in fingerprints.fingerprint_edits(df).collect()) == want
+
+
 def test_languages(spark, sf, docs, none):
     found = spark.read.parquet(f"{sf}/documents.parquet")
     held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4) == 2

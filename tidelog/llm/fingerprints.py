@@ -9,6 +9,7 @@ stretches change it where a plain MinHash would not notice.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,32 +91,67 @@ def to_text(fp: np.ndarray) -> str:
     return fp.astype(">u2").tobytes().hex()
 
 
+def leading(texts: list[str | None]) -> np.ndarray:
+    """The first seven UTF-8 bytes as a number, turned so that greater texts have smaller ones."""
+    return np.array([(1 << 56) - 1 - int.from_bytes((t or "")[:7].encode("utf-8", "surrogatepass")[:7].ljust(7, b"\0"), "big") for t in texts], np.int64)
+
+
+def quantiles(df: DataFrame, column: str, n: int) -> list[int]:
+    """About n - 1 values that cut the column into equal parts; a frequent value occurs several times."""
+    return [int(x) for x in df.approxQuantile(column, [i / n for i in range(1, n)], 0.1 / n)] if n > 1 else []
+
+
+class Stretches:
+    """Numbers ranges of (key, lead) in ascending order. `cuts` holds, by key, the leads at which a frequent key is cut."""
+
+    def __init__(self, bounds: list[int], cuts: dict[int, list[int]]):
+        self.bounds, self.cuts = np.array(sorted(set(bounds)), np.int64), {k: np.array(v, np.int64) for k, v in cuts.items()}
+        sizes = np.array([1 + (len(self.cuts[k]) + 1 if k in self.cuts else 0) for k in self.bounds.tolist()], np.int64)
+        self.first = np.append(0, np.cumsum(sizes)).astype(np.int64)  # a stretch of smaller keys, then those of the bound itself
+
+    def of(self, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, leads (0 for a key that isn't cut) and stretches of a batch."""
+        keys = b.column("key").to_numpy()
+        out, leads = self.first[np.searchsorted(self.bounds, keys)], np.zeros(len(keys), np.int64)
+        for k, cuts in self.cuts.items():
+            own = np.flatnonzero(keys == k)
+            if len(own):
+                leads[own] = leading(b.column("text").take(pa.array(own)).to_pylist())
+                out[own] += 1 + np.searchsorted(cuts, leads[own])
+        return keys, leads, out
+
+
 def with_neighbours(docs: DataFrame) -> DataFrame:
-    """docs' doc_id and text, with stretch, key and guest: each stretch holds a range of doc_ids and, as guest, the document after its last.
+    """docs' doc_id and text, with stretch, key and guest: each stretch holds a range of documents and, as guest, the document after its last.
 
-    The order is descending doc_id, equal ids by text; null ids come last, and the first document follows the last.
-    Only the bounds of the stretches, four per shuffle partition, reach the driver.
+    The order is descending doc_id, equal ids by text; null ids come last, and the first document follows the last. An
+    id with more rows than a stretch (null ids, say) is cut by its texts' first bytes; texts that share an id and seven
+    bytes stay together. Only the bounds of the stretches, some eight per shuffle partition, reach the driver.
     """
     df = with_free_names(docs, ["doc_id", "text"]).withColumn("key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)))
     n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = np.array(sorted(set(df.approxQuantile("key", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else [])), np.float64)
-
-    def stretches(keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(bounds, keys.astype(np.float64))
+    bounds = [min(max(x, LOWEST), -(LOWEST + 1)) for x in quantiles(df, "key", n)]
 
     def label(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(stretches(b.column("key").to_numpy()))], names=["key", "stretch"])
+        yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(leading(b.column("text").to_pylist()))], names=["key", "lead"])
 
-    tops = {r["stretch"]: r["top"] for r in map_batches(df.select("key"), label, "key bigint, stretch bigint").groupBy("stretch").agg(F.max("key").alias("top")).collect()}
+    leads = lambda of: map_batches(of.select("key", "text"), label, "key bigint, lead bigint")
+    often = {k: m for k, m in Counter(bounds).items() if m > 1}
+    stretches = Stretches(bounds, {k: sorted(set(quantiles(leads(df.filter(F.col("key") == k)), "lead", m + 1))) for k, m in often.items()})
+
+    def place(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in stretches.of(b)], names=["key", "lead", "stretch"])
+
+    tops = {r["stretch"]: (r["top"]["key"], r["top"]["lead"]) for r in map_batches(df.select("key", *(["text"] if often else [])), place, "key bigint, lead bigint, stretch bigint").groupBy("stretch").agg(F.max(F.struct("key", "lead")).alias("top")).collect()}
     used = sorted(tops)
     host = {tops[s]: used[(i + 1) % len(used)] for i, s in enumerate(used)}  # a stretch's first document is the guest of the one above
 
     def spread(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = b.column("key").to_numpy()
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(stretches(keys)), pa.array(np.zeros(len(keys), bool))], names=[*b.schema.names, "stretch", "guest"])
-        guests = [i for i, k in enumerate(keys.tolist()) if k in host]
-        if guests:
-            yield pa.RecordBatch.from_arrays([*b.take(pa.array(guests)).columns, pa.array([host[int(keys[i])] for i in guests]), pa.array([True] * len(guests))], names=[*b.schema.names, "stretch", "guest"])
+        keys, lead, own = stretches.of(b)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own), pa.array(np.zeros(len(keys), bool))], names=[*b.schema.names, "stretch", "guest"])
+        found = [(i, host[x]) for i, x in enumerate(zip(keys.tolist(), lead.tolist(), strict=True)) if x in host]
+        if found:
+            yield pa.RecordBatch.from_arrays([*b.take(pa.array([i for i, _ in found])).columns, pa.array([s for _, s in found]), pa.array([True] * len(found))], names=[*b.schema.names, "stretch", "guest"])
 
     return map_batches(df, spread, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, text string, key bigint, stretch bigint, guest boolean")
 
