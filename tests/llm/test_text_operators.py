@@ -113,6 +113,74 @@ def test_cutoffs_hold_the_risk():
     assert c == quality_rules.CUTOFFS[5]
 
 
+def rule_texts(n, seed):
+    """(id, text, stratum, quality): good texts, of which few look odd, and bad ones with symbols, capitals or repeated lines."""
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        w, bad, odd = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 8))) for _ in range(40)], r.random() < 0.2, r.random()
+        if bad and odd < 0.4 or not bad and odd < 0.002:
+            w = [x + "#$" for x in w]
+        elif bad and odd < 0.6 or not bad and odd < 0.05:
+            w = [x.upper() for x in w]
+        elif bad and odd < 0.8 or not bad and odd < 0.052:
+            w += ["\nsame line"] * 6 + ["\n"]
+        out.append((i, " ".join(w), ("x", "y", None)[min(i % 8, 2)], int(not bad)))
+    return out
+
+
+def brute_cutoffs(rows, rates, risk, level):
+    """Proposals of one fold, tested in sequence by the rest."""
+    paths, strata = {}, {s for _, _, s, _ in rows}
+    for s in strata:
+        own = [(rates[i], q) for i, _, of, q in rows if of == s and zlib.crc32(str(i).encode()) % 4 == 0]
+        path = []
+        for k, rule in enumerate(quality_rules.RULES):
+            best = None
+            for c in quality_rules.CUTOFFS:
+                good, bad = (sum(x[rule] > c for x, q in own if q == want) for want in (1, 0))
+                if good > risk * sum(q for _, q in own):
+                    break
+                if bad > good and (best is None or bad - good > best[0]):
+                    best = (bad - good, good, c)
+            if best:
+                path.append((best[1], -best[0], k, rule, best[2]))
+        if path:
+            paths[s] = [x[3:] for x in sorted(path)]
+    out = {}
+    for s, path in paths.items():
+        own = [rates[i] for i, _, of, q in rows if of == s and q and zlib.crc32(str(i).encode()) % 4]
+        for k in range(len(path)):
+            hit = sum(any(x[rule] > c for rule, c in path[: k + 1]) for x in own)
+            if sum(__import__("math").comb(len(own), j) * risk**j * (1 - risk) ** (len(own) - j) for j in range(hit + 1)) > level / len(paths):
+                break
+            out.setdefault(s, {})[path[k][0]] = path[k][1]
+    return out
+
+
+def test_verdicts_equal_brute_force_and_hold_on_unseen_texts(spark):
+    rows, unseen = rule_texts(4000, 1), rule_texts(4000, 2)
+    schema = "doc_id bigint, text string, lang string, quality int"
+    df = spark.createDataFrame([*rows, *((10_000 + i, *x) for i, *x in unseen)], schema).repartition(3)
+    found = {r["doc_id"]: r for r in quality_rules.apply_rules(df, df.filter("doc_id < 10000").select("doc_id", "quality")).collect()}
+    rates = {}
+    for i, t, _, _ in rows + [(10_000 + i, *x) for i, *x in unseen]:
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        assert not found[i]["base_failed"]
+        chars = sum(map(len, w))
+        rates[i] = {"symbols": min(1.0, sum(t.count(c) for c in "#*$%&|<>") / chars), "dup_lines": (len(lines) - len(set(lines))) / len(lines), "repeats": found[i]["n_repeat_words"] / len(w), "upper": sum("A" <= c <= "Z" for c in t) / chars, "marks": 0.0}
+    cutoffs = brute_cutoffs(rows, rates, 0.02, 0.05)
+    assert {"symbols", "dup_lines"} <= set(cutoffs[None]) and "upper" not in cutoffs[None]
+    strata = {i: s for i, _, s, _ in rows} | {10_000 + i: s for i, _, s, _ in unseen}
+    for i, r in found.items():
+        want = [rule for rule in quality_rules.RULES if rates[i][rule] > cutoffs.get(strata[i], {}).get(rule, 9)]
+        assert r["failed_rules"] == want and r["kept"] == (not want)
+    for s in ("x", "y", None):
+        good = [found[10_000 + i]["kept"] for i, _, of, q in unseen if of == s and q]
+        assert good.count(False) <= 0.02 * len(good)
+    assert not all(found[10_000 + i]["kept"] for i, _, _, q in unseen if not q)
+
+
 def test_secrets(spark, docs, none):
     header = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).rstrip(b"=").decode()
     number = lambda n: b"\x02" + bytes([n]) + bytes([7]) * n
