@@ -105,6 +105,14 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordB
     return df.mapInArrow(run, schema)
 
 
+def arrow_stream(rows: pa.Table | pa.RecordBatch) -> bytes:
+    """rows as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit integers."""
     x = x ^ (x >> U64(30))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat_format, fingerprints, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan, suffix_dedup
+from tidelog.llm import alignment, bpe, chat_format, filter_audit, fingerprints, id_files, language_id, ngram_join, packing, quality_model, quality_rules, secret_scan, suffix_dedup
 from tidelog.llm.common import fold, table
+from tidelog.plans.storage import shared_dir
 
 
 def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +75,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op6_suffix_dedup, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    id_files.write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return id_files.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mil_quality, op2_ngram_jaccard, op3_language_id, op4_packing, op5_quality_rules, op6_suffix_dedup, op7_bpe, op8_order_minhash, op9_secret_scan, op10_chat_format, op11_filter_audit, op12_id_planes, op13_token_alignment)}
 
 #: A mark inside a text gets one backslash, so it adds one character; the marks around a turn add theirs. The role
 #: machine's language is a regular expression over the roles' initials; what it allows at all is a prefix of that.
@@ -98,4 +115,32 @@ select conv_id, count(*) as n_turns,
   regexp_full_match(any_value(roles), 's?ua(t+a|ua)*') as valid,
   nullif(length(regexp_extract(any_value(roles), '^s?(u(a(t+a|ua)*(t+|u)?)?)?')), count(*)) as first_bad_turn
 from e join m using (conv_id) group by conv_id""",
+    "op11_filter_audit": r"""
+with words as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+firsts as (select text, min(doc_id) as first from words group by text),
+failed as (
+  select d.part, len(w) < 50 as a, 100 * len(list_distinct(w)) < 65 * len(w) as b,
+    100 * (length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g'))) > 5 * length(d.text) as c,
+    regexp_matches(d.text, '[#$%&*|]') as d, coalesce(d.doc_id > f.first, false) as e,
+    coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic
+  from words d join firsts f using (text)
+  left join (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id) l on l.doc_id = d.doc_id),
+kinds as (
+  select part, [a, b, c, d, e] as f, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from failed group by all),
+steps as (
+  select o as filter_order, i::int as step, list_position(['A', 'B', 'C', 'D', 'E'], o[i]) as x,
+    [list_position(['A', 'B', 'C', 'D', 'E'], o[j]) for j in range(1, i)] as earlier
+  from (select a || b || c || d || e as o from (values ('A'), ('B'), ('C'), ('D'), ('E')) t(a), (values ('A'), ('B'), ('C'), ('D'), ('E')) u(b),
+      (values ('A'), ('B'), ('C'), ('D'), ('E')) v(c), (values ('A'), ('B'), ('C'), ('D'), ('E')) w(d), (values ('A'), ('B'), ('C'), ('D'), ('E')) y(e)
+    where len(list_distinct([a, b, c, d, e])) = 5) orders, range(1, 6) t(i)),
+seen as (
+  select part, filter_order, step, x, f[x] as fails, coalesce(list_bool_or([f[y] for y in earlier]), false) as gone, list_sum([y::int for y in f]) as n_failed, n, good, toxic
+  from kinds, steps),
+report as (
+  select part, filter_order, step, any_value(x) as x, coalesce(sum(n) filter (not gone and not fails), 0)::bigint as kept, coalesce(sum(n) filter (not gone and fails), 0)::bigint as removed,
+    coalesce(sum(n) filter (gone and fails), 0)::bigint as redundant, coalesce(sum(n) filter (fails and n_failed = 1), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (not gone and fails), 0)::bigint as good_lost, coalesce(sum(toxic) filter (not gone and fails), 0)::bigint as toxic_lost
+  from seen group by part, filter_order, step)
+select * exclude (x), sum(removed) over (partition by part, x)::bigint as shapley from report""",
 }
