@@ -25,11 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, slices
+from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, packed, slices
 from tidelog.llm.common import arrow_stream, release, settled, with_free_names
 
 #: Text of a bundle (or one document), and chunks that are aligned at once.
-MOST_TEXT, MOST_CHUNKS = 6 << 20, 1_000_000
+MOST_TEXT, MOST_CHUNKS = 4 << 20, 600_000
+#: Chunks whose tokens a worker remembers; results don't depend on it.
+MOST_KNOWN = 400_000
 END_BITS = 40
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -54,21 +56,20 @@ class Pair:
             bytes_a[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.bytes = bytes_a, bytes_b
-        self.lengths = tuple(np.array([len(x) for x in table], np.int64) for table in self.bytes)
+        self.bytes = pa.array(bytes_a, pa.binary()), pa.array(bytes_b, pa.binary())
+        self.lengths = tuple(pc.binary_length(table).to_numpy().astype(np.int64) for table in self.bytes)
         self.names = tuple(pa.array([str(i) for i in range(len(table))]) for table in self.bytes)
-        self.remembered = Remembered(self._ask)
+        self.remembered = Remembered(self._ask, MOST_KNOWN)
 
     def _ask(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        found_a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        found_b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        of_a, of_b = self.bytes
-        out = []
-        for chunk, a, b in zip(chunks, found_a, found_b, strict=True):
-            data = chunk.encode()
-            right = b"".join([of_a[i] for i in a]) == data and b"".join([of_b[i] for i in b]) == data
-            out.append((np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes(), right))
-        return out
+        found_a = packed([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)])
+        found_b = packed(self.b.encode([c[1:] for c in chunks], num_threads=1) if chunks else [])
+        data, right = pa.array(chunks, pa.string()).cast(pa.binary()), np.ones(len(chunks), bool)
+        for found, table in zip((found_a, found_b), self.bytes, strict=True):
+            ids = lists(found)
+            joined = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, table.take(ids.values)), b"")
+            right &= pc.equal(joined, data).to_numpy(zero_copy_only=False)
+        return list(zip(found_a, found_b, right.tolist(), strict=True))
 
 
 @cache

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Chunks whose tokens a worker remembers from one batch to the next; results don't depend on it.
-MOST_KNOWN = 400_000
+MOST_KNOWN = 800_000
 
 
 @cache
@@ -63,17 +64,36 @@ class Chunked:
 
 
 class Remembered:
-    """A function of strings, asked for many at once; up to `most` answers are kept for the next time."""
+    """A function of strings, asked for many at once; answers are kept for the next time.
+
+    Two generations of at most `most` / 2 answers (and one call's) each: what is asked for again moves to the younger,
+    and when that is full the older one goes.
+    """
 
     def __init__(self, ask: Callable[[list[str]], list], most: int = MOST_KNOWN):
-        self.ask, self.most, self.known = ask, most, {}
+        self.ask, self.most, self.young, self.old = ask, most, {}, {}
 
     def __call__(self, keys: list[str]) -> list:
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = [k for k in keys if k not in self.known]
-        self.known.update(zip(new, self.ask(new), strict=True))
-        return [self.known[k] for k in keys]
+        if len(self.young) > self.most // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        absent = [k for k in keys if k not in young]
+        new = []
+        for k in absent:
+            if (found := old.get(k)) is None:
+                new.append(k)
+            else:
+                young[k] = found
+        young.update(zip(new, self.ask(new), strict=True))
+        return [young[k] for k in keys]
+
+
+def packed(found: list[list[int]]) -> list[bytes]:
+    """Lists of ids as 32-bit integers each."""
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    data = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())).tobytes()
+    ends = (4 * np.cumsum(lengths)).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
 
 def lists(values: list[bytes]) -> pa.ListArray:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, slices
+from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, packed, slices
 from tidelog.llm.common import arrow_stream, release, with_free_names
 
 MAGIC, TAIL = b"IDPLANES", struct.Struct("<QQQQ8s")
@@ -159,7 +159,7 @@ _KNOWN: dict[str, Remembered] = {}
 def _encoder(path: str) -> Remembered:
     if path not in _KNOWN:
         t = load_tokenizer(path, plain_specials=False)
-        _KNOWN[path] = Remembered(lambda new: [np.array(e.ids, np.int32).tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)])
+        _KNOWN[path] = Remembered(lambda new: packed([e.ids for e in t.encode_batch_fast(new, add_special_tokens=False)]))
     return _KNOWN[path]
 
 
