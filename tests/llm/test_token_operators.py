@@ -128,6 +128,24 @@ def test_chunks_encode_as_whole_texts():
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library_ids(t) for t in [*found, ""]]
 
 
+def test_words_and_marks_encode_as_whole_texts(spark, sf):
+    """Every letter of the plain ones, before and after every mark, in both tokenizers; and whole texts of the table."""
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()] + ["×", "÷", "«", "»", "…"]
+    found = [f"{x}{m}{y} a{x}{m}{m} {x}{m}\n{m}{x}" for x, m, y in zip(letters * 40, marks * len(letters), letters[::-1] * 40, strict=False)] + [" ".join(letters), "".join(letters)]
+    found += [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    ids, counts = id_files.encode(pa.array(found), WORDS, 2)
+    t = Tokenizer.from_file(WORDS)
+    assert [x.tolist()[:-1] for x in np.split(ids, np.cumsum(counts)[:-1])] == [e.ids for e in t.encode_batch(found, add_special_tokens=False)]
+    t = Tokenizer.from_file(BYTES)
+    t.encode_special_tokens = True
+    both = alignment.pair(BYTES, PIECES)
+    cut = chunks.Chunked(pa.array(found), alignment._cuts, " ")
+    known = both.remembered(cut.distinct.to_pylist())
+    got = [np.frombuffer(b"".join(known[i][0] for i in cut.index[a:b]), np.int32).tolist() for a, b in zip(cut.first, cut.first[1:], strict=False)]
+    assert got == [e.ids for e in t.encode_batch([" " + x for x in found], add_special_tokens=False)]
+
+
 def test_random_strings_encode_as_whole_texts():
     r, letters = random.Random(5), ["a", "B", "s", "'", ".", ",", "!", " ", " ", "\n", "\t", "é", "́", "̸", "Σ", "σ", "<", "|", ">", "<|endoftext|>", "1", " ", " ", "ǅ", "İ", "字", "🙂", "‍"]
     found = ["".join(r.choice(letters) for _ in range(r.randint(1, 30))) for _ in range(3000)]

@@ -14,6 +14,7 @@ pairs are joined with the counts.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, packed, slices
+from tidelog.llm.chunks import LETTERS, Chunked, Remembered, Words, byte_alphabet, lists, load_tokenizer, packed, slices
 from tidelog.llm.common import arrow_stream, release, settled, with_free_names
 
 #: Text of a bundle (or one document), and chunks that are aligned at once.
@@ -36,11 +37,7 @@ END_BITS = 40
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies: printable ones themselves, others from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+_WORD = re.compile(rf"( [{LETTERS}]+)([.,;:!?)*$%&#]*)")
 
 
 class Pair:
@@ -48,6 +45,7 @@ class Pair:
 
     def __init__(self, path_a: str, path_b: str):
         self.a = load_tokenizer(path_a, plain_specials=True)
+        self.words_a = Words(self.a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_alphabet()
         vocabulary = self.a.get_vocab()
@@ -61,8 +59,15 @@ class Pair:
         self.names = tuple(pa.array([str(i) for i in range(len(table))]) for table in self.bytes)
         self.remembered = Remembered(self._ask, MOST_KNOWN)
 
+    def _ask_a(self, chunks: list[str]) -> list[list[int]]:
+        """A plain word, and punctuation after it, go to the tokenizer's model, others through the whole tokenizer."""
+        parts = [m.groups() if (m := _WORD.fullmatch(c)) else None for c in chunks]
+        known = {x: self.words_a(x) if x else [] for x in {x for p in parts if p for x in p}}
+        others = iter(self.a.encode_batch_fast([c for c, p in zip(chunks, parts, strict=True) if p is None], add_special_tokens=False))
+        return [known[p[0]] + known[p[1]] if p else next(others).ids for p in parts]
+
     def _ask(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        found_a = packed([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)])
+        found_a = packed(self._ask_a(chunks))
         found_b = packed(self.b.encode([c[1:] for c in chunks], num_threads=1) if chunks else [])
         data, right = pa.array(chunks, pa.string()).cast(pa.binary()), np.ones(len(chunks), bool)
         for found, table in zip((found_a, found_b), self.bytes, strict=True):

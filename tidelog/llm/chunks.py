@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain
@@ -16,6 +17,36 @@ from tokenizers import Tokenizer
 MOST_KNOWN = 800_000
 
 
+#: Letters that every library composes, lowers and counts as letters alike (fixed values).
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN_BYTE, _LATIN_BYTE = (np.array([chr(b) in found for b in range(256)]) for found in (set(string.ascii_letters + string.digits), {chr(b) for b in range(0x80, 0xC0)} - {chr(0x97), chr(0xB7)}))
+
+
+def after_letters(b: np.ndarray) -> np.ndarray:
+    """For each byte whether it comes after an ASCII letter or digit, or one of the other LETTERS."""
+    out = np.zeros(len(b), bool)
+    out[1:] = _PLAIN_BYTE[b[:-1]]
+    out[2:] |= (b[:-2] == 0xC3) & _LATIN_BYTE[b[1:-1]]
+    return out
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones themselves, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class Words:
+    """The ids of single words, from the tokenizer's BPE model itself: what comes before it wouldn't change or cut them."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.model, self.letters = tokenizer.model, {b: c for c, b in byte_alphabet().items()}
+
+    def __call__(self, word: str) -> list[int]:
+        return [x.id for x in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
+
+
 @cache
 def load_tokenizer(path: str, plain_specials: bool) -> Tokenizer:
     """plain_specials: strings of special tokens in texts are ordinary text."""

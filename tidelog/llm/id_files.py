@@ -12,6 +12,7 @@ file. The folder must be one that all machines reach and pyarrow.fs knows (share
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.chunks import Chunked, Remembered, lists, load_tokenizer, packed, slices
+from tidelog.llm.chunks import LETTERS, Chunked, Remembered, Words, after_letters, lists, load_tokenizer, packed, slices
 from tidelog.llm.common import arrow_stream, release, with_free_names
 
 MAGIC, TAIL = b"IDPLANES", struct.Struct("<QQQQ8s")
@@ -144,23 +145,33 @@ class OpenFile:
 # -- tables --------------------------------------------------------------------------------------------------------
 
 
+_BLANK, _MARK = (np.array([chr(b) in found for b in range(256)]) for found in (" \n", ".,;:!?)*$%&#"))
+_WORD = re.compile(rf"[ \n]?([{LETTERS}]+)")
+
+
 def _cuts(b: np.ndarray) -> np.ndarray:
-    """Before blanks and line ends, and before punctuation after an ASCII letter or digit: no token, and nothing that the
+    """Before blanks and line ends, and before punctuation after a plain letter or digit: no token, and nothing that the
     tokenizer normalises or takes as one word, has both sides in it."""
-    word = ((b | 32) >= 97) & ((b | 32) <= 122) | (b >= 48) & (b <= 57)
-    begins = (b == 32) | (b == 10)
-    begins[1:] |= np.isin(b[1:], np.frombuffer(b".,;:!?)", np.uint8)) & word[:-1]
-    return begins
+    return _BLANK[b] | _MARK[b] & after_letters(b)
 
 
 _KNOWN: dict[str, Remembered] = {}
 
 
 def _encoder(path: str) -> Remembered:
-    if path not in _KNOWN:
-        t = load_tokenizer(path, plain_specials=False)
-        _KNOWN[path] = Remembered(lambda new: packed([e.ids for e in t.encode_batch_fast(new, add_special_tokens=False)]))
-    return _KNOWN[path]
+    """Chunks that are one plain word go to the tokenizer's model in lower case, others through the whole tokenizer."""
+    if path in _KNOWN:
+        return _KNOWN[path]
+    tokenizer = load_tokenizer(path, plain_specials=False)
+    of_word = Words(tokenizer)
+
+    def ask(new: list[str]) -> list[bytes]:
+        words = [m[1].lower() if (m := _WORD.fullmatch(c)) else None for c in new]
+        known = {w: of_word(w) for w in set(words) if w is not None}
+        others = iter(tokenizer.encode_batch_fast([c for c, w in zip(new, words, strict=True) if w is None], add_special_tokens=False))
+        return packed([next(others).ids if w is None else known[w] for w in words])
+
+    return _KNOWN.setdefault(path, Remembered(ask))
 
 
 def encode(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +190,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, la
     Documents are in ascending order of doc_id (null first; of equal ids by their texts), over files too: a file is a
     range of that order. A null text is an empty one; rows that repeat are written each; no rows leave no files. Columns:
     part, file, n_docs, n_ids, n_bytes. The table of files is written last, in folder/files, so a folder without it isn't
-    complete. Special tokens' strings in texts are what the tokenizer file makes of them.
+    complete. The tokenizer is a file of byte-level BPE that lowers case and drops white space. Special tokens' strings in
+    texts are what the file makes of them.
     """
     df = with_free_names(docs, ["doc_id", "text"])
     root = folder.rstrip("/")
