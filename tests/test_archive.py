@@ -180,16 +180,20 @@ def test_commit_by_claims(spark, root):
 
 
 def test_cut_equals_row_by_row(spark):
-    """Rows, bytes and times at random, null and backward times among them, against the rule applied row by row."""
+    """Rows, bytes and times at random, null and backward times among them, against the rule applied row by row.
+
+    A log is one stretch, or many that segments lie in, cross or span; some logs begin late.
+    """
     r = random.Random(11)
     rows = []
     for partition in range(3):
         now = 1000
         for i in range(700):
             now += r.choice([-40, 0, 1, 5, 30])
-            rows.append(("t", partition, i, None if r.random() < 0.2 else now, "create_time", None, bytes(r.choice([0, 0, 3, 50])), []))
+            rows.append(("t", partition, i + 90 * partition, None if r.random() < (0.2, 0.9, 0.5)[partition] else now, "create_time", None, bytes(r.choice([0, 0, 3, 50])), []))
     log = spark.createDataFrame(rows, ENVELOPE).cache()
-    for most, size, age in ((9, 90, 60), (2**62, 200, 2**62), (2**62, 2**62, 25), (1, 1, 1), (5, 0, 10), (400, 4000, 0)):
+    far = 2**62
+    for most, size, age, stretch in ((9, 90, 60, far), (5, 0, 10, far), (400, 4000, 0, 64), (9, 90, 60, 16), (far, 200, far, 7), (far, far, 25, 3), (1, 1, 1, 5), (far, far, 2500, 11), (far, 4000, 900, 1), (500, far, 10**6, 50)):
         want = []
         for partition in range(3):
             seg = None
@@ -205,8 +209,9 @@ def test_cut_equals_row_by_row(spark):
                     want.append((p, seg["first"], i, seg["n"], seg["bytes"], True))
                     seg = None
             if seg:
-                want.append((partition, seg["first"], 699, seg["n"], seg["bytes"], False))
-        got = segments.cut(log, most, size, age).select("partition", "from_offset", "to_offset", "n_records", "buffered_bytes", "closed")
+                want.append((partition, seg["first"], 699 + 90 * partition, seg["n"], seg["bytes"], False))
+        assert len(want) >= 3
+        got = segments.cut(log, most, size, age, stretch=stretch).select("partition", "from_offset", "to_offset", "n_records", "buffered_bytes", "closed")
         assert sorted(tuple(x) for x in got.collect()) == sorted(want)
 
 

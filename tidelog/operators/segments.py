@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import payload_bytes
+from tidelog.operators import jumps
 from tidelog.schema import LOG
 
-ENDLESS = 2**62
+ENDLESS = jumps.ENDLESS
 
 
 def sizes(log: DataFrame, mode: str = "directory") -> DataFrame:
@@ -35,14 +32,14 @@ def by_count(log: DataFrame, max_offsets: int, positions: DataFrame | None = Non
     return joined.withColumn("from_offset", start + F.floor((F.col("offset") - start) / step) * step).drop("next_offset")
 
 
-def cut(log: DataFrame, max_offsets: int = ENDLESS, max_bytes: int = ENDLESS, max_time_ms: int = ENDLESS, mode: str = "directory") -> DataFrame:
+def cut(log: DataFrame, max_offsets: int = ENDLESS, max_bytes: int = ENDLESS, max_time_ms: int = ENDLESS, mode: str = "directory", stretch: int = 1 << 17) -> DataFrame:
     """topic, partition, from_offset, to_offset, n_records, buffered_bytes, closed: the logs' segments.
 
     A segment closes with the row that brings it to max_offsets rows or max_bytes bytes, or whose time lies max_time_ms
     or more after its first; time is the running maximum of timestamp_ms, null times inherit it, and it starts at the
     segment's first time. closed is false for the open tail of a log. Offsets must be dense. With no limit but rows, the
-    cut is arithmetic. Otherwise rows are cut in order, one log after the other within a task, by searches in a batch's
-    running sums rather than row by row; only offset, size and time travel, and a task holds no more than a batch.
+    cut is arithmetic. Otherwise a log is cut in stretches of that many rows by jump tables (see jumps), each a task's
+    work; only offset, size and time travel.
     """
     narrow = log.select(*LOG, "offset", payload_bytes(mode).alias("size"), "timestamp_ms")
     if max_bytes >= ENDLESS and max_time_ms >= ENDLESS:
@@ -50,64 +47,7 @@ def cut(log: DataFrame, max_offsets: int = ENDLESS, max_bytes: int = ENDLESS, ma
         found = found.agg(F.max("offset").alias("to_offset"), F.count("*").alias("n_records"), F.sum("size").cast("bigint").alias("buffered_bytes"))
         return found.withColumn("closed", F.col("n_records") >= max(1, max_offsets))
 
-    most = max(1, max_offsets)
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        log, now, out = None, None, []  # now: first offset, last offset, rows, bytes, first time of the open segment
-
-        def leave(closed: bool) -> None:
-            out.append((*log, *now[:4], closed))
-
-        for b in batches:
-            topics, partitions = b["topic"].to_numpy(), b["partition"].to_numpy()
-            offsets, times = b["offset"].to_numpy(), b["timestamp_ms"].to_numpy()
-            upto = np.concatenate([[0], np.cumsum(b["size"].to_numpy())])  # bytes before each row
-            changes = np.flatnonzero((topics[1:] != topics[:-1]) | (partitions[1:] != partitions[:-1])) + 1
-            edges = [0, *changes.tolist(), len(b)] if len(b) else []
-            for begin, end in zip(edges, edges[1:], strict=False):
-                if (topics[begin], partitions[begin]) != log:
-                    if now is not None:
-                        leave(False)
-                    log, now = (topics[begin], partitions[begin]), None
-                i = begin
-                while i < end:
-                    first, _, n, held, since = now or (offsets[i], None, 0, 0, None)
-                    full = int(np.searchsorted(upto, upto[i] + max_bytes - held)) - 1
-                    stop = min(i + most - n - 1, max(full, i))  # the row that closes by count or bytes
-                    at, since = _first_aged(times, i, min(stop, end - 1), since, max_time_ms)
-                    stop = stop if at is None else at
-                    last = min(stop, end - 1)
-                    now = (first, offsets[last], n + last - i + 1, held + int(upto[last + 1] - upto[i]), since)
-                    if stop < end:
-                        leave(True)
-                        now = None
-                    i = last + 1
-            if out:
-                yield pd.DataFrame(out, columns=columns)
-                out.clear()
-        if now is not None:
-            leave(False)
-            yield pd.DataFrame(out, columns=columns)
-
-    columns = [*LOG, "from_offset", "to_offset", "n_records", "buffered_bytes", "closed"]
-    ordered = narrow.withColumn("timestamp_ms", F.col("timestamp_ms").cast("double")).repartition(*LOG).sortWithinPartitions(*LOG, "offset")
-    return ordered.mapInPandas(pack, "topic string, partition int, from_offset bigint, to_offset bigint, n_records bigint, buffered_bytes bigint, closed boolean")
-
-
-def _first_aged(times: np.ndarray, begin: int, last: int, since: float | None, limit: int) -> tuple[int | None, float | None]:
-    """The first of rows begin..last whose time lies limit or more after since, or None; and since (default: the first time there)."""
-    at, width = begin, 256
-    while at <= last:
-        part = times[at : min(at + width, last + 1)]
-        if since is None:
-            if not (known := np.flatnonzero(~np.isnan(part))).size:
-                at, width = at + len(part), width * 2
-                continue
-            since = float(part[known[0]])
-        if (aged := np.flatnonzero(part >= since + limit)).size:
-            return at + int(aged[0]), since
-        at, width = at + len(part), width * 2
-    return None, since
+    return jumps.cut(narrow, jumps.Limits(max_offsets, max_bytes, max_time_ms), stretch)
 
 
 def drained(segments: DataFrame, drain: bool) -> DataFrame:

@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only an unset one (tests) becomes a local temporary folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session (tests) gets a
+    temporary folder of its own; on a cluster that is an error, as no machine would see another's files."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: lineage is cut, and later reads take only the columns they need."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def plain(path: str) -> str:
     """The path of a file URI on this machine."""
     return "/" + path.removeprefix("file:").lstrip("/")
