@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import chains, segments
-from tidelog.plans import archive, mirror
+from tidelog.plans import archive, mirror, storage
+from tidelog.plans import records as commit_records
 from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENVELOPE
 from tidelog.sources import log as logs
@@ -159,24 +160,87 @@ def test_commit_again_after_a_lost_task(spark, root):
     assert same(archive.replay(spark, root), records(spark, 30))
 
 
-def test_commit_by_claims(spark, root):
-    """Where names can't be linked a claim decides: another writer's claim stops a chain before that segment."""
-    def staged():
-        rows = segments.by_count(records(spark, 30).withColumn("destination", F.col("topic")), 10)
-        ends = rows.groupBy("from_offset").agg(F.max("offset").alias("to_offset"))
-        return archive.stage_segments(rows.join(ends, "from_offset"), root)
+@pytest.fixture
+def store(spark, tmp_path):
+    """A folder by a path of another scheme, where nothing is linked or renamed."""
+    name = f"store{uuid.uuid4().hex}"
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./bucket", f"file://{tmp_path}")
+    return f"viewfs://{name}/bucket/archive"
+
+
+def by_tens(spark, n, count=10, topic="t"):
+    rows = segments.by_count(records(spark, n, topic).withColumn("destination", F.col("topic")), count)
+    return rows.join(rows.groupBy("from_offset").agg(F.max("offset").alias("to_offset")), "from_offset")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "ndjson"])
+def test_archive_on_a_store(spark, store, fmt):
+    log = records(spark, 35).unionByName(records(spark, 12, "a b/%+é", 3))
+    assert mirror.mirror_once(spark, log.filter("offset < 25"), store, fmt=fmt, max_offsets=10) == 3
+    assert mirror.mirror_once(spark, log, store, fmt=fmt, drain=True, max_offsets=10) == 3
+    assert mirror.mirror_once(spark, log, store, fmt=fmt, drain=True, max_offsets=10) == 0
+    assert same(archive.replay(spark, store, fmt), log)
+    assert same(archive.replay(spark, store, fmt, first=8, last=21), log.filter("offset between 8 and 21"))
+    found = archive.archived(spark, store)
+    assert sorted((r["topic"], r["partition"], r["name"]) for r in found.collect()) == sorted([("t", 0, f"{a:020d}-{b:020d}.{fmt}") for a, b in ((0, 9), (10, 19), (20, 29), (30, 34))] + [("a b/%+é", 3, f"{a:020d}-{b:020d}.{fmt}") for a, b in ((0, 9), (10, 11))])
+    assert chains.violations(found, fmt, ("topic", "partition")).count() == 0
+    assert {tuple(r) for r in mirror.positions(spark, store, fmt).collect()} == {("t", 0, 35), ("a b/%+é", 3, 12)}
+    assert {tuple(r)[:3] for r in mirror.verified(spark, store, fmt, whole=True).collect()} == {("t", 0, 35), ("a b/%+é", 3, 12)}
+
+
+def test_of_two_writers_to_a_store_one_commits(spark, store):
+    ten, seven = archive.stage_segments(by_tens(spark, 40), store), archive.stage_segments(by_tens(spark, 40, 7), store)
+    assert archive.replay(spark, store).count() == 0
+    assert archive.commit_segments(spark, store, ten) == 4
+    assert archive.commit_segments(spark, store, ten) == 4  # a commit whose answer was lost is asked for again
+    with pytest.raises(FileExistsError):
+        archive.commit_segments(spark, store, seven)
+    assert same(archive.replay(spark, store), records(spark, 40)) and archive.archived(spark, store).count() == 4
+    assert archive.clean_staging(spark, store) == 0 and archive.clean_staging(spark, store, stale_ms=-60_000) == 1
+    assert same(archive.replay(spark, store), records(spark, 40))
 
-    files = Files(spark, root)
-    claim = f"{root}/{archive.STAGING}/claim-t-0-{20:020d}-{29:020d}.parquet"
-    files.claim(claim, "other")
+
+def test_writers_that_meet_at_a_record(spark, store, monkeypatch):
+    """Both have seen the same position: creating the record decides."""
+    ten, seven = archive.stage_segments(by_tens(spark, 40), store), archive.stage_segments(by_tens(spark, 40, 7), store)
+    assert archive.commit_segments(spark, store, ten) == 4
+    monkeypatch.setattr(commit_records, "next_of", lambda files, folder: 0)
     with pytest.raises(FileExistsError, match="another writer"):
-        archive._commit_by_claims(spark, root, staged(), "parquet", 2)
-    assert names(spark, root) == [f"{a:020d}-{a + 9:020d}.parquet" for a in (0, 10)]
-    with pytest.raises(FileExistsError, match="reach|exist"):
-        archive._commit_by_claims(spark, root, staged(), "parquet", 2)
-    with pytest.raises(FileExistsError):
-        files.publish(f"{root}/t/0/{0:020d}-{9:020d}.parquet", f"{root}/t/0/{10:020d}-{19:020d}.parquet", f"{claim}-b", "me")
-    files.claim(claim, "other")  # its owner may ask again
+        archive.commit_segments(spark, store, seven)
+
+
+def test_a_commit_takes_as_many_calls_for_many_segments(spark, store, monkeypatch):
+    calls = []
+    for name in ("create", "names", "exists", "text", "delete"):
+        monkeypatch.setattr(Files, name, lambda self, *a, f=getattr(Files, name): (calls.append(a), f(self, *a))[1])
+    counts = []
+    for n, topic in ((20, "few"), (400, "many")):
+        staged = archive.stage_segments(by_tens(spark, n, topic=topic), store, by_record=True)
+        written = spark.createDataFrame([(topic, 0, 0, n - 1, n // 10)], "destination string, partition int, first bigint, last bigint, segments bigint")
+        calls.clear()
+        assert archive.commit_segments(spark, store, staged, written=written) == n // 10
+        counts.append(len(calls))
+    assert counts[0] == counts[1] <= 4
+
+
+def test_records_with_a_gap_and_empty_records(spark, store):
+    files = Files(spark, store)
+    for first, text in ((0, '{"destination":"t","partition":0,"run":"a","first":0,"last":9,"segments":1,"format":"parquet"}'), (20, '{"destination":"t","partition":0,"run":"b","first":20,"last":29,"segments":1,"format":"parquet"}'), (30, "")):
+        files.create(f"{store}/{commit_records.COMMITS}/t/0/{first:020d}.json", text)
+    assert commit_records.next_of(files, f"{store}/{commit_records.COMMITS}/t/0") == 30
+    with pytest.raises(ValueError, match="corrupt chain"):
+        mirror.positions(spark, store)
+
+
+def test_a_store_without_exclusive_creation_is_refused(spark, store, monkeypatch):
+    files = Files(spark, store)
+    files.create(f"{store}/x", "mine")
+    files.create(f"{store}/x", "mine")
+    with pytest.raises(FileExistsError, match="another writer"):
+        files.create(f"{store}/x", "other")
+    monkeypatch.setattr(storage, "EXCLUSIVE", ())
+    with pytest.raises(ValueError, match="only one writer"):
+        files.create(f"{store}/y", "mine")
 
 
 def test_cut_equals_row_by_row(spark):

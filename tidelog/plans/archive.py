@@ -7,8 +7,7 @@ import re
 import time
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions.columns import parsed_name
 from tidelog.operators.chains import catalogue, list_files
+from tidelog.plans import records
 from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENDINGS, ENVELOPE
 from tidelog.sources.log import normalised
@@ -33,12 +33,17 @@ def ndjson_line() -> Column:
     return F.to_json(F.struct(*fields, F.when(F.size("headers") > 0, F.col("headers")).alias("headers")))
 
 
-def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str = "zstd") -> str:
-    """Write rows (envelope, destination, from_offset, to_offset) below root's staging folder, one file per segment; returns the folder.
+def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str = "zstd", by_record: bool | None = None) -> str:
+    """Write rows (envelope, destination, from_offset, to_offset) below root, one file per segment; returns the folder.
 
-    Segments are dealt to tasks whole and each task writes its segments one by one in offset order.
+    Segments are dealt to tasks whole and each task writes its segments one by one in offset order. by_record: the
+    folder is a run's, where its segments stay (see records; default: what the archive is, or the file system needs);
+    else it is in the staging folder.
     """
-    folder = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    if by_record is None:
+        by_record = records.kept_by_records(rows.sparkSession, root)
+    run = uuid.uuid4().hex
+    folder = records.run_folder(root, run) if by_record else f"{root.rstrip('/')}/{STAGING}/{run}"
     keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
     dealt = rows.withColumns(keys).repartition("destination", "partition", "from_offset").sortWithinPartitions(*keys, "offset")
     columns = [ndjson_line().alias("value")] if fmt == "ndjson" else ENVELOPE.fieldNames()
@@ -51,29 +56,32 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
     return folder
 
 
-def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "parquet", threads: int = 16) -> int:
-    """Give staged segments their names, chain by chain in ascending order, never over an existing name; returns how many.
+def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "parquet", threads: int = 16, written: DataFrame | None = None) -> int:
+    """Make what is staged part of the archive, chain by chain, never over what is there; returns the number of segments.
 
-    A chain that already reaches what is to be committed refuses it; after the last name the chain is looked at again, so
-    that of two writers who cut one log differently at the same time the one that sees the other's segments fails. A
-    chain stops at its first failure, so what is visible is always a gap-free beginning; then the failure is raised.
-    On file systems of folders tasks commit, a chain in each; a task that is run again knows its own links. Elsewhere
-    (object stores) the driver gives the names, after a claim that only one writer can create (Files.publish).
+    Staged segments get their names in tasks, a chain in each, in ascending order; a task that is run again knows its own
+    links. A chain that already reaches what is to be committed refuses it; after the last name the chain is looked at
+    again, so that of two writers who cut one log differently at the same time the one that sees the other's segments
+    fails. A chain stops at its first failure, so what is visible is always a gap-free beginning; then the failure is
+    raised. A run's folder (see records) gets a record per chain; written: its chains' destination, partition, first,
+    last, segments, by default found by listing the folder.
     """
-    if Files(spark, root).local:
-        sums = _commit_in_tasks(spark, root, staged, fmt).agg(F.sum("done").alias("done"), F.min(F.struct("kind", "message")).alias("failure")).first()
-        Files(spark, root).delete(staged)
-        if (failure := sums["failure"]) is not None and failure["message"] is not None:
-            raise {"exists": FileExistsError, "overlap": ValueError}.get(failure["kind"], OSError)(failure["message"])
-        return sums["done"] or 0
-    return _commit_by_claims(spark, root, staged, fmt, threads)
+    if f"/{records.RUNS}/" in staged:
+        if written is None:
+            written = staged_segments(spark, staged).groupBy("destination", F.col("partition").cast("int").alias("partition")).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("segments"))
+        return records.commit_run(spark, root, staged, written, fmt, threads)
+    sums = _commit_in_tasks(spark, root, staged, fmt).agg(F.sum("done").alias("done"), F.min(F.struct("kind", "message")).alias("failure")).first()
+    Files(spark, root).delete(staged)
+    if (failure := sums["failure"]) is not None and failure["message"] is not None:
+        raise {"exists": FileExistsError, "overlap": ValueError}.get(failure["kind"], OSError)(failure["message"])
+    return sums["done"] or 0
 
 
 def staged_segments(spark: SparkSession, staged: str) -> DataFrame:
     """destination, partition, first, last, path of the files of a staging folder."""
     files = list_files(spark, staged).filter(F.col("name").startswith("part-"))
     part = lambda key: F.regexp_extract("path", f"/_{key}=([^/]*)/", 1)
-    return files.select(part("d").alias("destination"), part("p").alias("partition"), F.substring_index(part("s"), "-", 1).cast("bigint").alias("first"), F.substring_index(part("s"), "-", -1).cast("bigint").alias("last"), "path")
+    return files.select(records._decoded(part("d")).alias("destination"), part("p").alias("partition"), F.substring_index(part("s"), "-", 1).cast("bigint").alias("first"), F.substring_index(part("s"), "-", -1).cast("bigint").alias("last"), "path")
 
 
 def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> DataFrame:
@@ -134,37 +142,6 @@ def _only_own(folder: str, segments: list[tuple[int, int, str]]) -> bool:
     return all(os.stat(os.path.join(folder, name)).st_ino in own for name in late)
 
 
-def _commit_by_claims(spark: SparkSession, root: str, staged: str, fmt: str, threads: int) -> int:
-    files, chains, owner = Files(spark, root), {}, staged.rstrip("/").rsplit("/", 1)[1]
-    for r in staged_segments(spark, staged).toLocalIterator():
-        chains.setdefault((unquote(r["destination"]), r["partition"]), []).append((r["first"], r["last"], r["path"]))
-
-    def chain(item) -> tuple[int, Exception | None]:
-        (destination, partition), segments = item
-        done, folder = 0, f"{files.root}/{destination}/{partition}"
-        files.make(folder)
-        segments = sorted(segments)
-        if failure := reached(files.names(folder), (destination, partition), segments[0][0]):
-            return 0, FileExistsError(failure[1])
-        for first, last, path in segments:
-            name = f"{first:020d}-{last:020d}.{ENDINGS[fmt]}"
-            try:
-                files.publish(path, f"{folder}/{name}", f"{files.root}/{STAGING}/claim-{quote(destination, safe='')}-{partition}-{name}", owner)
-            except Exception as e:
-                return done, e
-            done += 1
-        failure = overlap(files.names(folder), (destination, partition))
-        return done, ValueError(failure[1]) if failure else None
-
-    with ThreadPoolExecutor(threads) as pool:
-        results = list(pool.map(chain, chains.items()))
-    files.delete(staged)
-    for _, failure in results:
-        if failure is not None:
-            raise failure
-    return sum(n for n, _ in results)
-
-
 def ranges(names: list[str]) -> list[tuple[int, int]]:
     """Offset ranges of the segment-shaped ones among names."""
     return [(int(m[1]), int(m[2])) for n in names if (m := SEGMENT.fullmatch(n))]
@@ -185,8 +162,10 @@ def overlap(names: list[str], chain: tuple[str, str]) -> tuple[str, str] | None:
 
 
 def clean_staging(spark: SparkSession, root: str, stale_ms: int = 86_400_000) -> int:
-    """Delete staging folders that nothing has changed for stale_ms, left by writers that died; returns how many."""
+    """Delete staging folders, and runs that don't count, that nothing has changed for stale_ms, left by writers that died; returns how many."""
     files = Files(spark, root)
+    if records.kept_by_records(spark, root):
+        return records.clean_runs(spark, root, int(time.time() * 1000) - stale_ms)
     found = files.stale(f"{files.root}/{STAGING}", int(time.time() * 1000) - stale_ms)
     for folder in found:
         files.delete(folder)
@@ -195,7 +174,9 @@ def clean_staging(spark: SparkSession, root: str, stale_ms: int = 86_400_000) ->
 
 def archived(spark: SparkSession, root: str) -> DataFrame:
     """The catalogue of root's segments: topic (destination), partition, from_offset, to_offset, n_records, encoded_bytes,
-    committed_at (when the file was written), ext, dir, name, length, modified, path."""
+    committed_at (when the file was written, or its record), ext, dir, name, length, modified, path."""
+    if records.kept_by_records(spark, root):
+        return records.committed_files(spark, root)
     files = list_files(spark, root).filter(~F.col("path").contains(f"/{STAGING}/"))
     found = catalogue(files).withColumn("topic", F.element_at(F.split("dir", "/"), -2)).withColumn("partition", F.element_at(F.split("dir", "/"), -1).try_cast("int"))
     rows = (F.col("to_offset") - F.col("from_offset") + 1).try_cast("bigint")
@@ -221,6 +202,8 @@ def segment_files(spark: SparkSession, root: str, fmt: str, schema: T.StructType
 
     No path is gathered: Spark lists root once, and filters on _first and _last choose files before any is opened.
     """
+    if records.kept_by_records(spark, root):
+        return records.committed_rows(spark, root, fmt, schema)
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ENDINGS[fmt]}")
     if fmt == "ndjson":
         rows = reader.schema(ENVELOPE).option("mode", "FAILFAST").json(root)

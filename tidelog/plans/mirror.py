@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import chains, segments
+from tidelog.plans import records
 from tidelog.plans.archive import archived, clean_staging, commit_segments, stage_segments
-from tidelog.plans.storage import Files, shared_dir
+from tidelog.plans.storage import Files, shared_dir, stored
 from tidelog.schema import ENVELOPE, LOG
 from tidelog.sources.log import assigned, high_watermark, seek
 
@@ -19,13 +20,16 @@ def positions(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame
     return found.drop("error")
 
 
-def verified(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+def verified(spark: SparkSession, root: str, fmt: str = "parquet", whole: bool = False) -> DataFrame:
     """topic (destination), partition, next_offset, error (the first violation, which leaves next_offset null) per chain.
 
-    The archive is listed once; the result, a row a chain, is kept in the checkpoint folder.
+    The archive is listed once; the result, a row a chain, is kept in the checkpoint folder. Of an archive with commit
+    records only these are read, a range a run, unless whole asks for its segments too.
     """
     shared_dir(spark)
-    found = archived(spark, root).select("topic", "partition", "from_offset", "to_offset", "ext").checkpoint()
+    by_record = records.kept_by_records(spark, root) and not whole
+    found = records.record_positions(spark, root) if by_record else archived(spark, root).select("topic", "partition", "from_offset", "to_offset", "ext")
+    found = found.checkpoint()
     wrong = chains.violations(found, fmt, LOG).groupBy(*LOG).agg(F.min(F.struct("from_offset", "to_offset", "kind")).alias("_w"))
     text = F.concat("_w.kind", F.lit(" at "), F.col("_w.from_offset").cast("string"), F.lit("-"), F.col("_w.to_offset").cast("string"))
     known = segments.next_expected(found).join(wrong, LOG, "left")
@@ -40,13 +44,14 @@ def starting(at: DataFrame, mirrors: DataFrame | None = None) -> DataFrame:
     return names.join(at.withColumnRenamed("topic", "destination"), ["destination", "partition"]).select(*LOG, "next_offset")
 
 
-def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", at: DataFrame | None = None, **limits: int) -> int:
+def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", at: DataFrame | None = None, by_record: bool | None = None, **limits: int) -> int:
     """Bring the archive at root up to log: position, seek, gate, cut, write, commit; returns the segments committed.
 
     All logs of one call are mirrored by the same jobs, in parallel. mirrors (see assigned) choose logs and name their
     destinations; by default every log goes to its topic. Rows of an open segment stay unwritten unless drain, and are
     read again next time; what a writer that died has left in the staging folder is cleared after a day. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
-    at: the archive's positions where the caller has them already.
+    at: the archive's positions where the caller has them already. by_record: segments count by commit records (see
+    records), by default where the archive has them or its file system gives no names afterwards.
     """
     rows = log.withColumn("destination", F.col("topic")) if mirrors is None else assigned(log, mirrors).drop("mirror")
     clean_staging(spark, root)
@@ -62,10 +67,17 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
         step = max(1, limits.get("max_offsets", segments.ENDLESS))
         cut = segments.by_count(rows, step, starts)
         bounds = cut.groupBy(*LOG, "from_offset").agg(F.max("offset").alias("to_offset"), F.count("*").alias("n_records")).withColumn("closed", F.col("n_records") >= step)
-        rows = cut.join(segments.drained(bounds, drain).select(*LOG, "from_offset", "to_offset"), [*LOG, "from_offset"])
+        bounds = segments.drained(bounds, drain)
+        rows = cut.join(bounds.select(*LOG, "from_offset", "to_offset"), [*LOG, "from_offset"])
     else:
-        rows = segments.with_segments(rows, segments.drained(segments.cut(rows, mode=mode, **limits), drain))
-    return commit_segments(spark, root, stage_segments(rows, root, fmt, codec), fmt)
+        bounds = stored(segments.drained(segments.cut(rows, mode=mode, **limits), drain), "segments")
+        rows = segments.with_segments(rows, bounds)
+    if by_record is None:
+        by_record = records.kept_by_records(spark, root)
+    staged = stage_segments(rows, root, fmt, codec, by_record)
+    names = bounds.withColumn("destination", F.col("topic")) if mirrors is None else assigned(bounds, mirrors)
+    written = names.groupBy("destination", "partition").agg(F.min("from_offset").alias("first"), F.max("to_offset").alias("last"), F.count("*").alias("segments"))
+    return commit_segments(spark, root, staged, fmt, written=written)
 
 
 def append_log(delta: DataFrame, destination: DataFrame, timestamps: str = "source", ingest_ms: int | None = None) -> DataFrame:

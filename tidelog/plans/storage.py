@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The option by which stores create a file only if it isn't there, and schemes whose plain creation is so (fixed values).
+CONDITIONAL = "fs.option.create.conditional.overwrite"
+EXCLUSIVE = ("file", "hdfs", "webhdfs", "viewfs", "abfs", "abfss", "gs")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session (tests) gets a
     temporary folder of its own; on a cluster that is an error, as no machine would see another's files."""
@@ -41,7 +46,6 @@ class Files:
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.fs = self.path(root).getFileSystem(self.conf)
         self.local = self.fs.getScheme() == "file"
-        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(root).toUri(), self.conf)
 
     def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(name)
@@ -49,18 +53,28 @@ class Files:
     def exists(self, name: str) -> bool:
         return self.fs.exists(self.path(name))
 
-    def claim(self, name: str, owner: str) -> None:
-        """Create the small file name with owner in it; raises if another owner has it. Stores that can create on condition do."""
+    def create(self, name: str, text: str) -> None:
+        """Create the small file name; if it is there with another text, raise. Of several writers at once one succeeds.
+
+        Stores that create on condition are made to (a store that can't obey the option fails); otherwise only file
+        systems whose creation is exclusive are accepted.
+        """
         at = self.path(name)
+        if self.fs.hasPathCapability(at, CONDITIONAL):
+            build = lambda: self.fs.createFile(at).overwrite(False).must(CONDITIONAL, "true").recursive().build()
+        elif self.fs.getScheme() in EXCLUSIVE:
+            build = lambda: self.fs.create(at, False)
+        else:
+            raise ValueError(f"{self.fs.getScheme()} offers no creation that only one writer can do; the archive can't be written safely")
         try:
-            out = self.fs.createFile(at).overwrite(False).opt("fs.option.create.conditional.overwrite", "true").recursive().build()
-            out.write(owner.encode())
+            out = build()
+            out.write(text.encode())
             out.close()
         except Exception as e:
             if not self.fs.exists(at):
                 raise
-            if self.text(name) != owner:
-                raise FileExistsError(f"{name}: another writer commits this segment") from e
+            if self.text(name) != text:
+                raise FileExistsError(f"{name}: another writer has committed here") from e
 
     def text(self, name: str) -> str:
         stream = self.fs.open(self.path(name))
@@ -69,21 +83,6 @@ class Files:
         finally:
             stream.close()
 
-    def publish(self, source: str, target: str, claim: str, owner: str) -> None:
-        """Move source to target, which must not exist, not even in a race: of several writers one gets the claim.
-
-        The claim goes once target is there for all to see. One that a dead writer left is cleared with its staging.
-        """
-        self.claim(claim, owner)
-        if self.fs.exists(self.path(target)):
-            self.delete(claim)
-            raise FileExistsError(f"{target} exists")
-        none = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
-        array = self.jvm.java.lang.reflect.Array.newInstance(none.getClass(), 1)
-        self.jvm.java.lang.reflect.Array.set(array, 0, none)
-        self.context.rename(self.path(source), self.path(target), array)
-        self.delete(claim)
-
     def names(self, folder: str) -> list[str]:
         return [x.getPath().getName() for x in self.fs.listStatus(self.path(folder))]
 

@@ -318,6 +318,15 @@ def mirror_once(spark, sf_dir):
     return _catalogue(spark, root).drop("name")
 
 
+def mirror_store(spark, sf_dir):
+    """An archive by commit records, stopped after 170 rows of each log and brought up to date; what its segments hold."""
+    root, log = fresh_root(spark, "store"), stored_log(spark, sf_dir)
+    for rows in (log.filter("offset < 170"), log):
+        mirror.mirror_once(spark, rows, root, drain=rows is log, by_record=True, max_offsets=STEP)
+    held = shown(archive.replay(spark, root)).groupBy(*LOG, (F.floor(F.col("offset") / STEP) * STEP).alias("from_offset")).agg(F.count("*").alias("n_rows"), F.sum(F.length("value")).cast("bigint").alias("n_digits"))
+    return _catalogue(spark, root).join(held, [*LOG, "from_offset"])
+
+
 def status_archive(spark, sf_dir):
     """Status of a written archive; each chain of partition 1 has a segment far behind the others, which is its row's error."""
     root, log = fresh_root(spark, "status"), stored_log(spark, sf_dir)
@@ -373,7 +382,7 @@ def progress_metrics(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics,
+    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics,
 )}
 
 # -- SQL ----------------------------------------------------------------------------------------------------------
@@ -513,6 +522,8 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
   case when h.high is null then 'source has no such log' when m."partition" = 1 then 'destination: gap_or_overlap at 1099511627776-1099511627776' end as error from mirrors m left join high h using (topic, "partition")"""),
     "commit_segments": _sql(_SEGMENT_LIST.format(_COMMITTED)),
     "mirror_once": _greedy(ROWS, BYTES, TIME_MS, 'select topic, "partition", from_offset, to_offset from segs'),
+    "mirror_store": _sql("""select topic, "partition", printf('%020d-%020d.parquet', min("offset"), max("offset")) as name, ("offset" // 100) * 100 as from_offset, max("offset") as to_offset,
+  count(*) as n_rows, sum(length(hex(value)))::bigint as n_digits from log group by topic, "partition", "offset" // 100"""),
     "resume_from_destination": _sql(_SEGMENT_LIST.format(_BY_STEP)),
     "parallel_mirrors": _sql('select coalesce(m.destination_name_override, topic) as topic, "partition", ("offset" // 100) * 100 as from_offset, max("offset") as to_offset from log join mirrors m using (topic, "partition") group by 1, 2, 3'),
     "mirror_stream": _sql(_SEGMENT_LIST.format(_COMMITTED)),
