@@ -5,13 +5,14 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators import chains, segments
+from tidelog.operators import chains, reports, segments
 from tidelog.plans import archive, mirror, storage
 from tidelog.plans import records as commit_records
 from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENVELOPE
 from tidelog.sources import log as logs
-from tidelog.streaming.mirror import mirror_stream
+from tidelog.streaming import mirror as streaming_mirror
+from tidelog.streaming.mirror import MirrorProgress, mirror_stream
 
 
 def records(spark, n, topic="t", partition=0, first=0):
@@ -326,3 +327,104 @@ def test_status_keeps_other_rows(spark, root):
     archive.commit_segments(spark, root, archive.stage_segments(stray, root))
     found = {r["topic"]: (r["next_offset"], r["error"]) for r in mirror.verified(spark, root).collect()}
     assert found == {"t": (20, None), "u": (None, "gap_or_overlap at 50-50")}
+
+
+# -- streams, audits, appends --------------------------------------------------------------------------------------
+
+
+def test_a_stream_opens_only_tails_and_batch(spark, root, monkeypatch):
+    """Logs in ten files; the slow one is in the first and the last file alone, and its tail stays open all along."""
+    source, opened = f"{root}-source", []
+    for i in range(10):
+        rows = records(spark, 10, "a", 0, 10 * i).unionByName(records(spark, 10, "a", 1, 10 * i)).unionByName(records(spark, 10, "b", 0, 10 * i))
+        if i in (0, 9):
+            rows = rows.unionByName(records(spark, 3, "slow", 0, 0 if i == 0 else 3))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    whole = streaming_mirror.FileRanges.rows
+    monkeypatch.setattr(streaming_mirror.FileRanges, "rows", lambda self, bounds: (whole(self, bounds), opened.append(len(self.opened)))[0])
+    mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=1, max_offsets=10).awaitTermination()
+    assert opened == [1] * 9 + [2]
+    assert archive.archived(spark, root).count() == 30
+    mirror.mirror_once(spark, spark.read.schema(ENVELOPE).parquet(source), root, drain=True, max_offsets=10)
+    assert archive.replay(spark, root).count() == 306
+
+
+def test_a_lost_index_costs_a_full_read_but_no_row(spark, root):
+    source, checkpoint = f"{root}-source", f"{root}-checkpoint"
+    for i in range(3):
+        records(spark, 7, first=7 * i).coalesce(1).write.mode("append").parquet(source)
+        mirror_stream(spark, source, root, checkpoint, files_per_batch=1, max_offsets=10).awaitTermination()
+        Files(spark, root).delete(f"{checkpoint}-ranges")
+    assert same(archive.replay(spark, root), records(spark, 20))
+
+
+def test_150_batches_are_counted_in_full(spark, root):
+    """More batches than Spark keeps reports of; a batch that is tried again counts once."""
+    source, seen, tries = f"{root}-source", MirrorProgress(), []
+    spark.range(150).selectExpr("id", "cast(id % 3 as int) as p").repartition(150, "id").write.option("maxRecordsPerFile", 1).parquet(source)
+
+    def handle(batch, batch_id):
+        rows = [("t", r["p"], r["n"], r["n"] * 2, 1, r["n"]) for r in batch.groupBy("p").count().withColumnRenamed("count", "n").collect()]
+        seen.seen(batch_id, rows)
+        tries.append(batch_id)
+
+    spark.streams.addListener(seen)
+    query = spark.readStream.schema("id bigint, p int").option("maxFilesPerTrigger", 1).parquet(source).writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}-c").trigger(availableNow=True).start()
+    seen.run = str(query.runId)
+    query.awaitTermination()
+    assert seen.over.wait(60)
+    spark.streams.removeListener(seen)
+    assert seen.batches == len(set(tries)) == 150 and len(query.recentProgress) <= 100
+    assert {tuple(r)[:5] for r in seen.table(spark).collect()} == {("t", p, 50, 100, 50) for p in range(3)}
+
+
+def test_equal_archives_are_audited_by_digests_alone(spark, monkeypatch):
+    log = records(spark, 100).unionByName(records(spark, 30, "u", 2))
+    monkeypatch.setattr(reports, "_audit_rows", None)
+    found = reports.audit(log, log.repartition(5), bits=3)
+    assert {tuple(r) for r in found.collect()} == {("t", 0, 100, 100, 0, 0, 0), ("u", 2, 30, 30, 0, 0, 0)}
+
+
+def test_audits_find_every_kind_of_difference(spark):
+    """Nulls that move between columns or within headers differ; only the blocks that differ are looked at row by row."""
+    def rows(changes):
+        base = {i: ("t", 0, i, 5, "create_time", b"k", b"v", [("a", b"x")]) for i in range(200)}
+        return spark.createDataFrame([r for r in (base | changes).values() if r], ENVELOPE)
+
+    changes = [(b"v", None), (None, b"v"), (b"", b"v"), (b"k", None), (b"kv", b"")]
+    source = rows({i: ("t", 0, i, 5, "create_time", k, v, [("a", None), ("b", b"x")]) for i, (k, v) in enumerate(changes)})
+    for other in changes:
+        own = rows({i: ("t", 0, i, 5, "create_time", *other, [("a", None), ("b", b"x")]) for i in range(5)})
+        assert tuple(reports.audit(source, own, bits=4).first())[4:] == (0, 0, 4)
+    heads = [[("a", None), ("b", b"x")], [("a", b"b"), ("x", None)], [("a", None), ("b", None), ("x", None)], [], None, [(None, None)]]
+    for i, a in enumerate(heads):
+        for j, b in enumerate(heads):
+            two = [rows({7: ("t", 0, 7, 5, "create_time", None, None, h)}) for h in (a, b)]
+            assert tuple(reports.audit(*two, bits=4).first()) == ("t", 0, 200, 200, 0, 0, int(i != j))
+    more = rows({150: None, 151: None, 500: ("t", 0, 500, 5, "create_time", None, None, []), 501: ("t", 1, 0, 5, "create_time", None, None, [])})
+    for few in (0, 1000):
+        assert {tuple(r) for r in reports.audit(rows({}), more, bits=4, most=few).collect()} == {("t", 0, 200, 199, 2, 1, 0), ("t", 1, 0, 1, 0, 1, 0)}
+
+
+def test_of_two_appends_one_becomes_the_next_version(spark, root, monkeypatch):
+    log = records(spark, 40)
+    log.filter("offset < 10").write.parquet(root)
+    assert mirror.append_once(spark, log.filter("offset < 20"), root, "source", 1) == 10
+    assert mirror.append_once(spark, log.filter("offset < 20"), root, "source", 1) == 0
+    before = mirror.log_table(spark, root)
+    monkeypatch.setattr(mirror, "latest_version", lambda files, real=mirror.latest_version: min(real(files), 1))
+    assert mirror.append_once(spark, log.filter("offset < 30"), root, "source", 1) == 10
+    with pytest.raises(FileExistsError, match="another writer"):  # it has seen version 1 too
+        mirror.append_once(spark, log, root, "source", 1)
+    monkeypatch.undo()
+    assert sorted(r["offset"] for r in mirror.log_table(spark, root).collect()) == list(range(30))
+    assert before.count() == 20 and mirror.log_table(spark, root, 1).count() == 20
+    assert mirror.append_once(spark, log, root, "source", 1) == 10
+    assert mirror.latest_version(Files(spark, root)) == 3
+
+
+def test_appends_to_nothing_and_with_a_gap(spark, root):
+    assert mirror.append_once(spark, records(spark, 5), root, "source", 1) == 5
+    with pytest.raises(ValueError, match="position"):
+        mirror.append_once(spark, records(spark, 5, first=7), root, "source", 1)
+    assert mirror.log_table(spark, root).count() == 5

@@ -45,10 +45,10 @@ def violations(segments: DataFrame, fmt: str = "parquet", by: tuple[str, ...] =
     return mixed.unionByName(inverted).unionByName(show(chained.filter("from_offset != _want"), "gap_or_overlap", F.col("_want")))
 
 
-def require_none(found: DataFrame, what: str) -> None:
+def require_none(found: DataFrame, what: str, kind: type[Exception] = ValueError) -> None:
     """Raise with a first example if there is any row."""
     if example := found.first():
-        raise ValueError(f"{what}: {example.asDict()}")
+        raise kind(f"{what}: {example.asDict()}")
 
 
 def conflicts(proposed: DataFrame, existing: DataFrame, by: tuple[str, ...] = ("topic", "partition")) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.plans.storage import stored
 from tidelog.schema import LOG
 
 
@@ -54,9 +55,47 @@ def flush_age(segments: DataFrame, as_of: str, max_time_ms: int) -> DataFrame:
     return segments.groupBy(*LOG).agg(age.alias("age_s")).withColumn("alert", F.col("age_s") * 1000 > 2 * max_time_ms)
 
 
-def audit(source: DataFrame, destination: DataFrame, timestamps: bool = True) -> DataFrame:
-    """Per log: rows on both sides, and how many are missing, extra or changed (key, value, headers, and the time if asked)."""
+def audit(source: DataFrame, destination: DataFrame, timestamps: bool = True, bits: int = 16, most: int = 1_000_000) -> DataFrame:
+    """Per log: rows on both sides, and how many are missing, extra or changed (key, value, headers, and the time if asked).
+
+    Both sides are first compared by blocks of 2^bits offsets: rows, and 128 bits of row hashes that don't depend on
+    order. Only digests are shuffled; rows are joined by offset in the blocks that differ, and nothing is where all are
+    equal. Up to `most` differing blocks are sent to the scans, more are joined. A row that repeats counts as often.
+    """
     columns = ["key", "value", "headers", *(["timestamp_ms"] if timestamps else [])]
+    there = digests(source, columns, bits).select(*LOG, "_block", F.struct("n", "h1", "h2").alias("s"))
+    here = digests(destination, columns, bits).select(*LOG, "_block", F.struct("n", "h1", "h2").alias("d"))
+    blocks = stored(there.join(here, [*LOG, "_block"], "full"), "blocks")
+    same = F.col("s").eqNullSafe(F.col("d"))
+    counts = blocks.filter(same).groupBy(*LOG).agg(F.sum("s.n").alias("n_source"), F.sum("d.n").alias("n_destination"), *[F.lit(0).cast("bigint").alias(c) for c in ("missing", "extra", "changed")])
+    differ = blocks.filter(~same).select(*LOG, "_block")
+    if n := differ.count():
+        counts = counts.unionByName(_audit_rows(*(_in_blocks(df, differ, bits, n <= most) for df in (source, destination)), columns))
+    return counts.groupBy(*LOG).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_source", "n_destination", "missing", "extra", "changed")])
+
+
+def digests(log: DataFrame, columns: list[str], bits: int) -> DataFrame:
+    """topic, partition, _block, n, h1, h2: per block of offsets its rows and two sums modulo 2 of 64-bit row hashes.
+
+    Hashes skip nulls, so every value goes with a mark of whether it is one.
+    """
+    marked = lambda c: (c.isNull(), c)
+    fields = []
+    for c in columns:
+        if c == "headers":
+            fields += [F.coalesce(F.size(c), F.lit(-1)), F.transform(c, lambda h: F.struct(*[x.alias(f"c{i}") for i, x in enumerate((*marked(h["key"]), *marked(h["value"])))]))]
+        else:
+            fields += marked(F.col(c))
+    rows = log.select(*LOG, F.shiftright("offset", bits).alias("_block"), F.xxhash64("offset", *fields).alias("h1"), F.xxhash64(F.lit("second"), *reversed(fields), "offset").alias("h2"))
+    return rows.groupBy(*LOG, "_block").agg(F.count("*").alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
+
+
+def _in_blocks(log: DataFrame, blocks: DataFrame, bits: int, few: bool) -> DataFrame:
+    keyed = log.withColumn("_block", F.shiftright("offset", bits))
+    return keyed.join(F.broadcast(blocks) if few else blocks, [*LOG, "_block"], "left_semi").drop("_block")
+
+
+def _audit_rows(source: DataFrame, destination: DataFrame, columns: list[str]) -> DataFrame:
     side = lambda df, s: df.select(*LOG, "offset", F.struct(*columns).alias(s))
     both = side(source, "s").join(side(destination, "d"), [*LOG, "offset"], "full")
     changed = F.col("s").isNotNull() & F.col("d").isNotNull() & ~F.col("s").eqNullSafe(F.col("d"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators import chains, segments
 from tidelog.plans import records
@@ -13,6 +17,10 @@ from tidelog.schema import ENVELOPE, LOG
 from tidelog.sources.log import assigned, high_watermark, seek
 
 
+class SourceGap(ValueError):
+    """The source's rows don't follow on from the archive, or on each other."""
+
+
 def positions(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """topic (destination), partition, next_offset of a valid archive; a broken chain raises."""
     found = verified(spark, root, fmt)
@@ -62,7 +70,7 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
         gaps = found.groupBy(*LOG).agg(F.min("actual").alias("_gap"))
         rows = rows.join(gaps, LOG, "left").filter("_gap is null or offset < _gap").drop("_gap")
     else:
-        chains.require_none(found, "source offset mismatch")
+        chains.require_none(found, "source offset mismatch", SourceGap)
     if set(limits) <= {"max_offsets"}:  # arithmetic, from each log's own position
         step = max(1, limits.get("max_offsets", segments.ENDLESS))
         cut = segments.by_count(rows, step, starts)
@@ -80,33 +88,71 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
     return commit_segments(spark, root, staged, fmt, written=written)
 
 
-def append_log(delta: DataFrame, destination: DataFrame, timestamps: str = "source", ingest_ms: int | None = None) -> DataFrame:
+def append_log(delta: DataFrame, destination: DataFrame, timestamps: str = "source", ingest_ms: int | None = None, at: DataFrame | None = None) -> DataFrame:
     """What appending delta to the log table destination adds: its rows from the destination's high watermark on.
 
     Offsets are kept, and the first must be the watermark and the rest follow without a gap, else it raises.
     timestamps: `source` keeps timestamp_ms, `destination` stamps ingest_ms; a row without a time is stamped in either
-    case. Kept and stamped times are stored as create_time and log_append_time.
+    case. Kept and stamped times are stored as create_time and log_append_time. at: the table's high watermarks where they
+    are known (as next_offset).
     """
-    at = high_watermark(destination).withColumnRenamed("high", "next_offset")
+    at = high_watermark(destination).withColumnRenamed("high", "next_offset") if at is None else at
     rows = delta.join(at, LOG, "left").filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0))).drop("next_offset")
     chains.require_none(chains.gate_contiguous(rows, at), "unexpected position")
     own = F.lit(timestamps == "source") & F.col("timestamp_ms").isNotNull()
     return rows.withColumn("timestamp_type", F.when(own, "create_time").otherwise("log_append_time")).withColumn("timestamp_ms", F.when(own, F.col("timestamp_ms")).otherwise(F.lit(ingest_ms)).cast("bigint"))
 
 
-def append_once(spark: SparkSession, log: DataFrame, path: str, timestamps: str = "source", ingest_ms: int | None = None) -> int:
-    """Append to the log table at path what it lacks of log, then look whether every row is at its own offset; returns the rows added.
+VERSIONS = "_versions"
+
+
+def log_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The log table at path, or what it was at a version: the files it began with, and the runs that its versions name.
 
-    The position is the table's own high watermark, so a call again adds nothing; a row that isn't where it was sent raises.
+    No table yet: no rows.
     """
-    def table() -> DataFrame:
-        return spark.read.schema(ENVELOPE).parquet(path) if Files(spark, path).exists(path) else spark.createDataFrame([], ENVELOPE)
+    files = Files(spark, path)
+    if not files.exists(path):
+        return spark.createDataFrame([], ENVELOPE)
+    own = spark.read.schema(ENVELOPE).parquet(path)
+    if not (last := latest_version(files) if version is None else version):
+        return own
+    named = spark.read.schema("run string").json(f"{files.root}/{VERSIONS}").filter(F.substring_index(F.col("_metadata.file_name"), ".", 1).cast("bigint") <= last)
+    runs = spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField("_r", T.StringType())])).parquet(f"{files.root}/{records.RUNS}")
+    return own.unionByName(runs.join(named.select(F.col("run").alias("_r")), "_r", "left_semi").select(*ENVELOPE.fieldNames()))
 
-    before = table()
+
+def latest_version(files: Files) -> int:
+    """The number of the table's last version, 0 where it has none."""
+    at = f"{files.root}/{VERSIONS}"
+    return max((int(n.split(".")[0]) for n in files.names(at)), default=0) if files.exists(at) else 0
+
+
+def append_once(spark: SparkSession, log: DataFrame, path: str, timestamps: str = "source", ingest_ms: int | None = None) -> int:
+    """Append to the log table at path what it lacks of log; returns the rows added.
+
+    The position is the table's own high watermark, so a call again adds nothing. What is written is looked at, every row
+    at its own offset, before it is part of the table: that takes the file of the table's next version, which only one
+    writer can create. Of two writers at once the other raises, and none of its rows is ever seen (see log_table).
+    """
+    files = Files(spark, path)
+    version = latest_version(files)
     shared_dir(spark)
+    before = log_table(spark, path, version)
     high = high_watermark(before).withColumnRenamed("high", "next_offset").checkpoint()
-    append_log(log, before, timestamps, ingest_ms).write.mode("append").parquet(path)
-    after = seek(table(), high)
-    chains.require_none(chains.gate_contiguous(after, high), "produced offsets")
-    chains.require_none(chains.gate_produced(seek(log, high), after), "produced offsets")
-    return after.count()
+    run = uuid.uuid4().hex
+    folder = records.run_folder(path, run)
+    append_log(log, before, timestamps, ingest_ms, at=high).write.parquet(folder)
+    added = spark.read.schema(ENVELOPE).parquet(folder)
+    chains.require_none(chains.gate_contiguous(added, high), "produced offsets")
+    chains.require_none(chains.gate_produced(seek(log, high), added), "produced offsets")
+    if not (n := added.count()):
+        files.delete(folder)
+        return 0
+    name = f"{files.root}/{VERSIONS}/{version + 1:020d}.json"
+    try:
+        files.create(name, json.dumps({"run": run}))
+    except FileExistsError:
+        files.delete(folder)
+        raise
+    return n

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.columns import payload_bytes, segment_name
 from tidelog.operators import chains, reports, segments
 from tidelog.plans import archive, mirror
-from tidelog.plans.storage import shared_dir
+from tidelog.plans.storage import Files, shared_dir
 from tidelog.schema import ENVELOPE, HEADERS, LOG
 from tidelog.sources import log as logs
 from tidelog.streaming import mirror as streaming
@@ -275,7 +275,7 @@ def append_once(spark, sf_dir):
     log.filter(f"offset < {STEP}").write.parquet(path)
     for _ in range(2):
         mirror.append_once(spark, log, path, "source", 1_700_000_000_000)
-    return shown(spark.read.schema(ENVELOPE).parquet(path))
+    return shown(mirror.log_table(spark, path))
 
 
 def _written(spark, sf_dir, fmt):
@@ -363,13 +363,20 @@ def parallel_mirrors(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir):
+    """The log as it arrives, in as many files as its longest log has steps of 190 offsets, one file a batch."""
     source, root = fresh_root(spark, "source"), fresh_root(spark, "streamed")
     log = stored_log(spark, sf_dir)
-    for low, high in ((0, 180), (180, 390), (390, 2**60)):
-        log.filter(f"offset >= {low} and offset < {high}").coalesce(1).write.mode("append").parquet(source)
-    query = streaming.mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=1, max_offsets=STEP)
+    log.withColumn("_arrival", F.floor(F.col("offset") / 190)).repartition("_arrival").sortWithinPartitions("_arrival").write.partitionBy("_arrival").parquet(f"{source}-parts")
+    parts = Files(spark, source)
+    parts.make(source)
+    for name in sorted((n for n in parts.names(f"{source}-parts") if "=" in n), key=lambda n: int(n.split("=")[1])):
+        for i, part in enumerate(sorted(n for n in parts.names(f"{source}-parts/{name}") if n.startswith("part-"))):
+            parts.fs.rename(parts.path(f"{source}-parts/{name}/{part}"), parts.path(f"{source}/{name.split('=')[1].zfill(12)}-{i}.parquet"))
+    seen = streaming.MirrorProgress()
+    query = streaming.mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=max(1, len(parts.names(source)) // 4), progress=seen, max_offsets=STEP)
     query.awaitTermination()
-    return root, query
+    seen.over.wait(60)
+    return root, seen
 
 
 def mirror_stream(spark, sf_dir):
@@ -377,12 +384,16 @@ def mirror_stream(spark, sf_dir):
 
 
 def progress_metrics(spark, sf_dir):
-    seen = streaming.progress(_streamed(spark, sf_dir)[1])
-    return spark.createDataFrame([(p["n_records"], p["payload_bytes"]) for p in seen], "n_records bigint, payload_bytes bigint").agg(F.sum("n_records").alias("n_records"), F.sum("payload_bytes").alias("payload_bytes"))
+    """What the stream's batches add up to, by the listener's sums per log."""
+    return _streamed(spark, sf_dir)[1].table(spark).agg(F.sum("records_total").cast("bigint").alias("n_records"), F.sum("bytes_total").cast("bigint").alias("payload_bytes"))
+
+
+def progress_by_log(spark, sf_dir):
+    return _streamed(spark, sf_dir)[1].table(spark).drop("flushes_total")
 
 
 QUERIES = {f.__name__: f for f in (
-    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics,
+    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics, progress_by_log,
 )}
 
 # -- SQL ----------------------------------------------------------------------------------------------------------
@@ -527,5 +538,6 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
     "resume_from_destination": _sql(_SEGMENT_LIST.format(_BY_STEP)),
     "parallel_mirrors": _sql('select coalesce(m.destination_name_override, topic) as topic, "partition", ("offset" // 100) * 100 as from_offset, max("offset") as to_offset from log join mirrors m using (topic, "partition") group by 1, 2, 3'),
     "mirror_stream": _sql(_SEGMENT_LIST.format(_COMMITTED)),
+    "progress_by_log": _sql('select topic, "partition", count(*) as records_total, sum(size)::bigint as bytes_total, (count(*) // 100) * 100 as expected from sized group by 1, 2'),
     "progress_metrics": _sql("select count(*) as n_records, sum(size)::bigint as payload_bytes from sized"),
 }

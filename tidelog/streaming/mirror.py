@@ -3,37 +3,92 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import payload_bytes
-from tidelog.plans.mirror import mirror_once, positions, starting
+from tidelog.plans.mirror import SourceGap, mirror_once, positions, starting
+from tidelog.plans.storage import Files, stored
 from tidelog.schema import ENVELOPE, LOG
+from tidelog.streaming.progress import MirrorProgress
 
 
-def mirror_stream(spark: SparkSession, source: str, root: str, checkpoint: str, read: Callable[[], DataFrame] | None = None, available_now: bool = True, interval: str = "2 seconds", files_per_batch: int | None = None, **options):
+def mirror_stream(spark: SparkSession, source: str, root: str, checkpoint: str, read: Callable[[], DataFrame] | None = None, available_now: bool = True, interval: str = "2 seconds", files_per_batch: int | None = None, progress: MirrorProgress | None = None, **options):
     """Start mirroring the growing folder of envelope files at source into the archive at root.
 
     A batch's highest offsets bound what mirror_once reads, from the archive's own positions on, out of read() (default:
-    the source as a table); both bounds reach the scan as filters, so only the open tails and the batch are decoded. A lost or stale checkpoint thus neither loses nor repeats rows. The query's progress holds
-    the observed rows and payload bytes.
+    the source's files). A lost or stale checkpoint thus neither loses nor repeats rows. Which offsets a source file
+    holds is kept in an index beside the checkpoint, of the files not yet archived to their end (see FileRanges): a batch
+    opens only files that meet an open tail or came with it. The index is no authority: if the rows it leads to have a
+    gap, the whole source is read. progress: counts what each batch did.
     """
-    read = read or (lambda: spark.read.schema(ENVELOPE).parquet(source))
     stream = spark.readStream.schema(ENVELOPE)
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    rows = stream.parquet(source).observe("mirror", F.count("*").alias("n_records"), F.sum(payload_bytes()).alias("payload_bytes"))
-
-    def handle(batch: DataFrame, _: int) -> None:
-        upto = batch.groupBy(*LOG).agg(F.max("offset").alias("_upto")).collect()  # a row per log, and the batch is read just once
-        upto = spark.createDataFrame(upto, "topic string, partition int, _upto bigint")
+    rows = stream.parquet(source).withColumn("_file", F.col("_metadata.file_path")).observe("mirror", F.count("*").alias("n_records"), F.sum(payload_bytes()).alias("payload_bytes"))
+    index = None if read else FileRanges(spark, f"{checkpoint.rstrip('/')}-ranges")
+    whole = read or (lambda: spark.read.schema(ENVELOPE).parquet(source))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ranges = stored(batch.groupBy(*LOG, "_file").agg(F.min("offset").alias("_first"), F.max("offset").alias("_last"), F.count("*").alias("n"), F.sum(payload_bytes()).cast("bigint").alias("size")), "ranges")  # the batch is read just once
+        counts = ranges.groupBy(*LOG).agg(F.max("_last").alias("_upto"), F.sum("n").alias("n"), F.sum("size").alias("size")).collect()  # a row per log
+        upto = spark.createDataFrame([(r["topic"], r["partition"], r["_upto"]) for r in counts], "topic string, partition int, _upto bigint")
         at = positions(spark, root, options.get("fmt", "parquet"))
-        known = open_ranges(read(), seek_bounds(upto, starting(at, options.get("mirrors"))))
-        mirror_once(spark, known, root, at=at, **options)
-
+        starts = starting(at, options.get("mirrors"))
+        bounds = seek_bounds(upto, starts)
+        if index is None:
+            mirror_once(spark, open_ranges(whole(), bounds), root, at=at, **options)
+        else:
+            index.add(batch_id, ranges, starts)
+            try:
+                mirror_once(spark, open_ranges(index.rows(bounds), bounds), root, at=at, **options)
+            except SourceGap:
+                mirror_once(spark, open_ranges(whole(), bounds), root, at=at, **options)
+        if progress is not None:
+            after = {tuple(r)[:2]: r["next_offset"] for r in starting(positions(spark, root, options.get("fmt", "parquet")), options.get("mirrors")).collect()}
+            before = {tuple(r)[:2]: r["next_offset"] for r in starts.collect()}
+            logs = [(r["topic"], r["partition"]) for r in counts]
+            progress.seen(batch_id, [(*log, r["n"], r["size"] or 0, int(after.get(log, 0) > before.get(log, 0)), after.get(log, 0)) for log, r in zip(logs, counts, strict=True)])
+
+    if progress is not None:
+        spark.streams.addListener(progress)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    query = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    if progress is not None:
+        progress.run = str(query.runId)
+    return query
+
+
+class FileRanges:
+    """Which offsets of which logs the source's files hold, as far as they aren't archived: a generation per batch.
+
+    A generation is the one before without files that end before their log's position, and the batch's own files; it is
+    written anew under the batch's number, so a batch that is tried again leaves the same.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.files, self.opened = spark, folder, Files(spark, folder), []
+
+    def _generations(self) -> list[int]:
+        return sorted(int(n) for n in self.files.names(self.folder) if n.isdigit()) if self.files.exists(self.folder) else []
+
+    def add(self, batch_id: int, ranges: DataFrame, starts: DataFrame) -> None:
+        own, earlier = ranges.select(*LOG, "_file", "_first", "_last"), [g for g in self._generations() if g < batch_id]
+        if earlier:
+            known = self.spark.read.schema(own.schema).parquet(f"{self.folder}/{earlier[-1]}")
+            own = own.unionByName(known.join(starts, LOG, "left").filter("_last >= coalesce(next_offset, 0)").select(own.columns))
+        own.write.mode("overwrite").parquet(f"{self.folder}/{batch_id}")
+        for old in earlier[:-1]:
+            self.files.delete(f"{self.folder}/{old}")
+        self.known = self.spark.read.schema(own.schema).parquet(f"{self.folder}/{batch_id}")
+
+    def rows(self, bounds: DataFrame) -> DataFrame:
+        """The rows of the files that meet the bounds (topic, partition, _from, _upto)."""
+        met = self.known.join(bounds, LOG).filter("_first <= _upto and _last >= _from").select("_file").distinct()
+        self.opened = [r["_file"] for r in met.collect()]  # open tails' and the batch's files
+        return self.spark.read.schema(ENVELOPE).parquet(*[unquote(f) for f in self.opened]) if self.opened else self.spark.createDataFrame([], ENVELOPE)
 
 
 def seek_bounds(upto: DataFrame, starts: DataFrame) -> DataFrame:
@@ -61,13 +116,3 @@ def open_ranges(log: DataFrame, bounds: DataFrame, most: int = 128) -> DataFrame
             this &= F.col("topic") == topic
         pick |= this
     return log.filter(pick).join(bounds, LOG).filter("offset between _from and _upto").drop("_from", "_upto")
-
-
-def progress(query) -> list[dict]:
-    """batch_id, n_records, payload_bytes of the query's recent batches."""
-    found = []
-    for p in query.recentProgress:
-        seen = (p["observedMetrics"] if isinstance(p, dict) else p.observedMetrics).get("mirror")
-        if seen is not None:
-            found.append({"batch_id": p["batchId"] if isinstance(p, dict) else p.batchId, "n_records": seen["n_records"], "payload_bytes": seen["payload_bytes"] or 0})
-    return found
