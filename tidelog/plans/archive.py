@@ -45,7 +45,8 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
     run = uuid.uuid4().hex
     folder = records.run_folder(root, run) if by_record else f"{root.rstrip('/')}/{STAGING}/{run}"
     keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
-    dealt = rows.withColumns(keys).repartition("destination", "partition", "from_offset").sortWithinPartitions(*keys, "offset")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: files take time however little is in them
+    dealt = rows.withColumns(keys).repartition(tasks, "destination", "partition", "from_offset").sortWithinPartitions(*keys, "offset")
     columns = [ndjson_line().alias("value")] if fmt == "ndjson" else ENVELOPE.fieldNames()
     # Tasks put their files in place themselves: nobody reads the folder before the job has ended, and a task that is run again writes the same names.
     writer = dealt.select(*columns, *keys).write.partitionBy(*keys).option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 0)

@@ -52,14 +52,15 @@ def starting(at: DataFrame, mirrors: DataFrame | None = None) -> DataFrame:
     return names.join(at.withColumnRenamed("topic", "destination"), ["destination", "partition"]).select(*LOG, "next_offset")
 
 
-def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", at: DataFrame | None = None, by_record: bool | None = None, **limits: int) -> int:
+def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFrame | None = None, fmt: str = "parquet", codec: str = "zstd", drain: bool = False, on_gap: str = "fail", mode: str = "directory", at: DataFrame | None = None, by_record: bool | None = None, report: list | None = None, **limits: int) -> int:
     """Bring the archive at root up to log: position, seek, gate, cut, write, commit; returns the segments committed.
 
     All logs of one call are mirrored by the same jobs, in parallel. mirrors (see assigned) choose logs and name their
     destinations; by default every log goes to its topic. Rows of an open segment stay unwritten unless drain, and are
     read again next time; what a writer that died has left in the staging folder is cleared after a day. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
     at: the archive's positions where the caller has them already. by_record: segments count by commit records (see
-    records), by default where the archive has them or its file system gives no names afterwards.
+    records), by default where the archive has them or its file system gives no names afterwards. report: gets, per log
+    with new segments, topic, partition, last offset and segments.
     """
     rows = log.withColumn("destination", F.col("topic")) if mirrors is None else assigned(log, mirrors).drop("mirror")
     clean_staging(spark, root)
@@ -75,7 +76,7 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
         step = max(1, limits.get("max_offsets", segments.ENDLESS))
         cut = segments.by_count(rows, step, starts)
         bounds = cut.groupBy(*LOG, "from_offset").agg(F.max("offset").alias("to_offset"), F.count("*").alias("n_records")).withColumn("closed", F.col("n_records") >= step)
-        bounds = segments.drained(bounds, drain)
+        bounds = stored(segments.drained(bounds, drain), "segments")
         rows = cut.join(bounds.select(*LOG, "from_offset", "to_offset"), [*LOG, "from_offset"])
     else:
         bounds = stored(segments.drained(segments.cut(rows, mode=mode, **limits), drain), "segments")
@@ -85,7 +86,10 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
     staged = stage_segments(rows, root, fmt, codec, by_record)
     names = bounds.withColumn("destination", F.col("topic")) if mirrors is None else assigned(bounds, mirrors)
     written = names.groupBy("destination", "partition").agg(F.min("from_offset").alias("first"), F.max("to_offset").alias("last"), F.count("*").alias("segments"))
-    return commit_segments(spark, root, staged, fmt, written=written)
+    done = commit_segments(spark, root, staged, fmt, written=written)
+    if report is not None:
+        report += [tuple(r) for r in bounds.groupBy(*LOG).agg(F.max("to_offset"), F.count("*")).collect()]
+    return done
 
 
 def append_log(delta: DataFrame, destination: DataFrame, timestamps: str = "source", ingest_ms: int | None = None, at: DataFrame | None = None) -> DataFrame:

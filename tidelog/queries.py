@@ -362,8 +362,8 @@ def parallel_mirrors(spark, sf_dir):
     return _catalogue(spark, root).drop("name")
 
 
-def _streamed(spark, sf_dir):
-    """The log as it arrives, in as many files as its longest log has steps of 190 offsets, one file a batch."""
+def _streamed(spark, sf_dir, seen=None):
+    """The log as it arrives, in as many files as its longest log has steps of 190 offsets, in four batches."""
     source, root = fresh_root(spark, "source"), fresh_root(spark, "streamed")
     log = stored_log(spark, sf_dir)
     log.withColumn("_arrival", F.floor(F.col("offset") / 190)).repartition("_arrival").sortWithinPartitions("_arrival").write.partitionBy("_arrival").parquet(f"{source}-parts")
@@ -371,25 +371,30 @@ def _streamed(spark, sf_dir):
     parts.make(source)
     for name in sorted((n for n in parts.names(f"{source}-parts") if "=" in n), key=lambda n: int(n.split("=")[1])):
         for i, part in enumerate(sorted(n for n in parts.names(f"{source}-parts/{name}") if n.startswith("part-"))):
-            parts.fs.rename(parts.path(f"{source}-parts/{name}/{part}"), parts.path(f"{source}/{name.split('=')[1].zfill(12)}-{i}.parquet"))
-    seen = streaming.MirrorProgress()
-    query = streaming.mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=max(1, len(parts.names(source)) // 4), progress=seen, max_offsets=STEP)
+            step, to = int(name.split("=")[1]), parts.path(f"{source}/{name.split('=')[1].zfill(12)}-{i}.parquet")
+            parts.fs.rename(parts.path(f"{source}-parts/{name}/{part}"), to)
+            parts.fs.setTimes(to, 1_700_000_000_000 + 1000 * step, -1)  # files arrive in this order
+    query = streaming.mirror_stream(spark, source, root, f"{root}-checkpoint", files_per_batch=-(-len(parts.names(source)) // 4), progress=seen, max_offsets=STEP)
     query.awaitTermination()
-    seen.over.wait(60)
-    return root, seen
+    if seen:
+        seen.over.wait(60)
+    return root
 
 
 def mirror_stream(spark, sf_dir):
-    return _catalogue(spark, _streamed(spark, sf_dir)[0])
+    return _catalogue(spark, _streamed(spark, sf_dir))
 
 
 def progress_metrics(spark, sf_dir):
     """What the stream's batches add up to, by the listener's sums per log."""
-    return _streamed(spark, sf_dir)[1].table(spark).agg(F.sum("records_total").cast("bigint").alias("n_records"), F.sum("bytes_total").cast("bigint").alias("payload_bytes"))
+    _streamed(spark, sf_dir, seen := streaming.MirrorProgress())
+    return seen.table(spark).agg(F.sum("records_total").cast("bigint").alias("n_records"), F.sum("bytes_total").cast("bigint").alias("payload_bytes"))
 
 
 def progress_by_log(spark, sf_dir):
-    return _streamed(spark, sf_dir)[1].table(spark).drop("flushes_total")
+    """Rows, bytes and segments that the stream's batches came to, and each log's next offset."""
+    _streamed(spark, sf_dir, seen := streaming.MirrorProgress())
+    return seen.table(spark)
 
 
 QUERIES = {f.__name__: f for f in (
@@ -538,6 +543,6 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
     "resume_from_destination": _sql(_SEGMENT_LIST.format(_BY_STEP)),
     "parallel_mirrors": _sql('select coalesce(m.destination_name_override, topic) as topic, "partition", ("offset" // 100) * 100 as from_offset, max("offset") as to_offset from log join mirrors m using (topic, "partition") group by 1, 2, 3'),
     "mirror_stream": _sql(_SEGMENT_LIST.format(_COMMITTED)),
-    "progress_by_log": _sql('select topic, "partition", count(*) as records_total, sum(size)::bigint as bytes_total, (count(*) // 100) * 100 as expected from sized group by 1, 2'),
+    "progress_by_log": _sql('select topic, "partition", count(*) as records_total, sum(size)::bigint as bytes_total, count(*) // 100 as flushes_total, (count(*) // 100) * 100 as expected from sized group by 1, 2'),
     "progress_metrics": _sql("select count(*) as n_records, sum(size)::bigint as payload_bytes from sized"),
 }

@@ -38,19 +38,18 @@ def mirror_stream(spark: SparkSession, source: str, root: str, checkpoint: str,
         at = positions(spark, root, options.get("fmt", "parquet"))
         starts = starting(at, options.get("mirrors"))
         bounds = seek_bounds(upto, starts)
+        done: list[tuple] = []
         if index is None:
-            mirror_once(spark, open_ranges(whole(), bounds), root, at=at, **options)
+            mirror_once(spark, open_ranges(whole(), bounds), root, at=at, report=done, **options)
         else:
             index.add(batch_id, ranges, starts)
             try:
-                mirror_once(spark, open_ranges(index.rows(bounds), bounds), root, at=at, **options)
+                mirror_once(spark, open_ranges(index.rows(bounds), bounds), root, at=at, report=done, **options)
             except SourceGap:
-                mirror_once(spark, open_ranges(whole(), bounds), root, at=at, **options)
+                mirror_once(spark, open_ranges(whole(), bounds), root, at=at, report=done, **options)
         if progress is not None:
-            after = {tuple(r)[:2]: r["next_offset"] for r in starting(positions(spark, root, options.get("fmt", "parquet")), options.get("mirrors")).collect()}
-            before = {tuple(r)[:2]: r["next_offset"] for r in starts.collect()}
-            logs = [(r["topic"], r["partition"]) for r in counts]
-            progress.seen(batch_id, [(*log, r["n"], r["size"] or 0, int(after.get(log, 0) > before.get(log, 0)), after.get(log, 0)) for log, r in zip(logs, counts, strict=True)])
+            made = {(t, p): (n, last + 1) for t, p, last, n in done}
+            progress.seen(batch_id, [(r["topic"], r["partition"], r["n"], r["size"] or 0, *made.get((r["topic"], r["partition"]), (0, 0))) for r in counts])
 
     if progress is not None:
         spark.streams.addListener(progress)
