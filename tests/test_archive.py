@@ -10,6 +10,7 @@ from tidelog.plans import archive, mirror, storage
 from tidelog.plans import records as commit_records
 from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENVELOPE
+from tidelog.sources import archive_source
 from tidelog.sources import log as logs
 from tidelog.streaming import mirror as streaming_mirror
 from tidelog.streaming.mirror import MirrorProgress, mirror_stream
@@ -428,3 +429,54 @@ def test_appends_to_nothing_and_with_a_gap(spark, root):
     with pytest.raises(ValueError, match="position"):
         mirror.append_once(spark, records(spark, 5, first=7), root, "source", 1)
     assert mirror.log_table(spark, root).count() == 5
+
+
+# -- the data source -----------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("by_record", [False, True])
+def test_the_source_reads_in_order_without_a_shuffle(spark, root, by_record):
+    archive_source.register(spark)
+    log = records(spark, 95).unionByName(records(spark, 40, "a b", 3))
+    mirror.mirror_once(spark, log, root, drain=True, by_record=by_record, max_offsets=10)
+    read = spark.read.format("tidelog").option("path", root).option("task_bytes", 1 << 14)
+    df = read.load()
+    assert same(df, log)
+    parts = df.select("topic", "partition", "offset").rdd.glom().collect()
+    assert len(parts) > 2
+    for own in parts:
+        assert len({tuple(r)[:2] for r in own}) <= 1 and [r["offset"] for r in own] == sorted(r["offset"] for r in own)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    some = read.option("starts", '{"t": {"0": 33}, "none": {"0": 1}}').load()
+    assert same(some, log.filter("topic = 't' and offset >= 33"))
+    assert same(df.filter("topic = 'a b' and partition = 3 and offset > 8"), log.filter("topic = 'a b' and offset > 8")) and same(df, log)
+    assert spark.read.format("tidelog").option("path", root).option("first", 1000).load().count() == 0
+    assert read.option("path", f"{root}-none").load().count() == 0
+
+
+def test_the_source_opens_only_segments_in_range(spark, root):
+    archive_source.register(spark)
+    mirror.mirror_once(spark, records(spark, 60), root, drain=True, max_offsets=10)
+    with open(f"{plain(root)}/t/0/{0:020d}-{9:020d}.parquet", "wb") as f:
+        f.write(b"garbage")
+    read = spark.read.format("tidelog").option("path", root)
+    with pytest.raises(Exception):  # noqa: B017
+        read.load().collect()
+    assert same(read.option("first", 12).option("last", 48).load(), records(spark, 37, first=12))
+    assert same(archive.replay(spark, root, first=25, last=44), records(spark, 20, first=25))
+
+
+def test_the_source_streams_on_after_a_restart(spark, root):
+    archive_source.register(spark)
+    log, seen = records(spark, 60), []
+
+    def run():
+        stream = spark.readStream.format("tidelog").option("path", root).option("starts", '{"t": {"0": 5}}').load()
+        query = stream.writeStream.foreachBatch(lambda b, _: seen.append([r["offset"] for r in b.collect()])).option("checkpointLocation", f"{root}-c").trigger(availableNow=True).start()
+        query.awaitTermination(120)
+
+    for upto in (22, 41, 60):
+        mirror.mirror_once(spark, log.filter(f"offset < {upto}"), root, max_offsets=10)
+        run()
+    assert [o for b in seen for o in b] == list(range(5, 60))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import payload_bytes, segment_name
@@ -13,6 +14,7 @@ from tidelog.operators import chains, reports, segments
 from tidelog.plans import archive, mirror
 from tidelog.plans.storage import Files, shared_dir
 from tidelog.schema import ENVELOPE, HEADERS, LOG
+from tidelog.sources import archive_source
 from tidelog.sources import log as logs
 from tidelog.streaming import mirror as streaming
 
@@ -296,6 +298,21 @@ def replay(spark, sf_dir):
     return shown(archive.replay(spark, _written(spark, sf_dir, "parquet"), first=150, last=349))
 
 
+def replay_in_order(spark, sf_dir):
+    """Offsets 150 to 349 of the logs of partitions 0 and 1 by the archive's data source; a row is in order if it follows the one before in its task."""
+    archive_source.register(spark)
+    root = _written(spark, sf_dir, "parquet")
+    logs_there = archive.archived(spark, root).select(*LOG).distinct().filter("partition < 2").collect()
+    starts: dict = {}
+    for r in logs_there:
+        starts.setdefault(r["topic"], {})[r["partition"]] = 150
+    rows = spark.read.format("tidelog").option("path", root).option("starts", json.dumps(starts)).option("last", 349).load()
+    place = F.monotonically_increasing_id().alias("_place")
+    found = shown(rows).select("*", place)
+    before = F.lag("_place").over(Window.partitionBy(*LOG).orderBy("offset"))
+    return found.withColumn("in_order", F.coalesce(before < F.col("_place"), F.lit(True))).drop("_place")
+
+
 def write_archive(spark, sf_dir):
     lines = spark.read.text([r["path"] for r in archive.archived(spark, _written(spark, sf_dir, "ndjson")).select("path").toLocalIterator()])
     return lines.groupBy(F.get_json_object("value", "$.topic").alias("topic"), F.get_json_object("value", "$.partition").cast("int").alias("partition")).agg(F.count("*").alias("n_lines"), F.sum(F.length("value")).cast("bigint").alias("n_chars"))
@@ -398,7 +415,7 @@ def progress_by_log(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics, progress_by_log,
+    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, replay_in_order, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics, progress_by_log,
 )}
 
 # -- SQL ----------------------------------------------------------------------------------------------------------
@@ -532,6 +549,7 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
     "scan_parquet": _sql(f"select {SHOWN} from log"),
     "scan_ndjson": _sql(f"select {SHOWN} from log"),
     "replay": _sql(f'select {SHOWN} from log where "offset" between 150 and 349'),
+    "replay_in_order": _sql(f'select {SHOWN}, true as in_order from log where "partition" < 2 and "offset" between 150 and 349'),
     "write_archive": _sql(f'select topic, "partition", count(*) as n_lines, sum(length({_LINE}))::bigint as n_chars from log group by 1, 2'),
     "archive_report": _sql(f'select topic, "partition", count(*) as records_total, sum(length({_LINE}) + 1)::bigint as bytes_total, count(distinct "offset" // 100) as flushes_total, max("offset") + 1 as offset_verified, count(distinct "offset" // 100) as n_intervals, false as alert, true as flushed from log group by 1, 2'),
     "status_archive": _sql("""select m.name, h.high as source_high, case when m."partition" != 1 then h.high // 100 * 100 end as dest_next, case when m."partition" != 1 then h.high % 100 end as lag,
