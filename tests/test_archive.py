@@ -1,5 +1,6 @@
 import os
 import random
+import time
 import uuid
 
 import pytest
@@ -13,7 +14,7 @@ from tidelog.schema import ENVELOPE
 from tidelog.sources import archive_source
 from tidelog.sources import log as logs
 from tidelog.streaming import mirror as streaming_mirror
-from tidelog.streaming.mirror import MirrorProgress, mirror_stream
+from tidelog.streaming.mirror import MirrorProgress, heartbeat, mirror_stream, stop_mirror
 
 
 def records(spark, n, topic="t", partition=0, first=0):
@@ -431,6 +432,48 @@ def test_appends_to_nothing_and_with_a_gap(spark, root):
     assert mirror.log_table(spark, root).count() == 5
 
 
+def wait_for(what, seconds=90):
+    end = time.time() + seconds
+    while not (found := what()):
+        assert time.time() < end
+        time.sleep(0.5)
+    return found
+
+
+def test_a_stopped_stream_drains_its_open_tails(spark, root):
+    source = f"{root}-source"
+    records(spark, 25).unionByName(records(spark, 3, "u")).coalesce(1).write.parquet(source)
+    options = {"available_now": False, "interval": "1 second", "max_offsets": 10}
+    query = mirror_stream(spark, source, root, f"{root}-c", **options)
+    wait_for(lambda: archive.archived(spark, root).count() == 2)
+    assert stop_mirror(query) == 2 and not query.isActive
+    assert same(archive.replay(spark, root), records(spark, 25).unionByName(records(spark, 3, "u")))
+    records(spark, 8, first=25).coalesce(1).write.mode("append").parquet(source)
+    query = mirror_stream(spark, source, root, f"{root}-c", **options)
+    wait_for(lambda: query.lastProgress and query.lastProgress.batchId >= 1)
+    assert stop_mirror(query, drain=False) == 0 and archive.archived(spark, root).count() == 4
+    mirror_stream(spark, source, root, f"{root}-c", max_offsets=8).awaitTermination()
+    mirror.mirror_once(spark, spark.read.schema(ENVELOPE).parquet(source), root, drain=True, max_offsets=8)
+    assert archive.replay(spark, root).count() == 36 and chains.violations(archive.archived(spark, root), "parquet", ("topic", "partition")).count() == 0
+
+
+def test_the_heartbeat_beats_without_input_and_finds_drift(spark, root):
+    """Rows 20 to 24 stay open; somebody else archives them while the mirror is idle."""
+    source, beats, seen = f"{root}-source", f"{root}-beats", MirrorProgress()
+    records(spark, 25).coalesce(1).write.parquet(source)
+    query = mirror_stream(spark, source, root, f"{root}-c", available_now=False, interval="1 second", progress=seen, max_offsets=10)
+    wait_for(lambda: seen.batches)
+    heart = heartbeat(query, "1 second", beats)
+    rows = wait_for(lambda: Files(spark, root).exists(beats) and (lambda r: r if len(r) >= 3 else None)(spark.read.parquet(beats).orderBy("beat").collect()))
+    assert {(r["topic"], r["partition"], r["expected"]) for r in rows} == {("t", 0, 20)}
+    assert [r["n_records"] for r in rows] == [25] + [0] * (len(rows) - 1)
+    mirror.mirror_once(spark, records(spark, 25), root, drain=True, max_offsets=10)
+    with pytest.raises(Exception, match="destination drift"):
+        heart.awaitTermination(90)
+    assert not query.isActive
+    spark.streams.removeListener(seen)
+
+
 # -- the data source -----------------------------------------------------------------------------------------------
 
 

@@ -60,7 +60,7 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
     read again next time; what a writer that died has left in the staging folder is cleared after a day. on_gap: `fail` writes nothing if any log has a gap, `commit_prefix` writes what comes before.
     at: the archive's positions where the caller has them already. by_record: segments count by commit records (see
     records), by default where the archive has them or its file system gives no names afterwards. report: gets, per log
-    with new segments, topic, partition, last offset and segments.
+    with new segments, topic, partition, destination, last offset and segments.
     """
     rows = log.withColumn("destination", F.col("topic")) if mirrors is None else assigned(log, mirrors).drop("mirror")
     clean_staging(spark, root)
@@ -84,11 +84,11 @@ def mirror_once(spark: SparkSession, log: DataFrame, root: str, mirrors: DataFra
     if by_record is None:
         by_record = records.kept_by_records(spark, root)
     staged = stage_segments(rows, root, fmt, codec, by_record)
-    names = bounds.withColumn("destination", F.col("topic")) if mirrors is None else assigned(bounds, mirrors)
-    written = names.groupBy("destination", "partition").agg(F.min("from_offset").alias("first"), F.max("to_offset").alias("last"), F.count("*").alias("segments"))
+    named = bounds.withColumn("destination", F.col("topic")) if mirrors is None else assigned(bounds, mirrors)
+    written = named.groupBy("destination", "partition").agg(F.min("from_offset").alias("first"), F.max("to_offset").alias("last"), F.count("*").alias("segments"))
     done = commit_segments(spark, root, staged, fmt, written=written)
     if report is not None:
-        report += [tuple(r) for r in bounds.groupBy(*LOG).agg(F.max("to_offset"), F.count("*")).collect()]
+        report += [tuple(r) for r in named.groupBy(*LOG, "destination").agg(F.max("to_offset"), F.count("*")).collect()]
     return done
 
 

@@ -379,7 +379,7 @@ def parallel_mirrors(spark, sf_dir):
     return _catalogue(spark, root).drop("name")
 
 
-def _streamed(spark, sf_dir, seen=None):
+def _streamed(spark, sf_dir, seen=None, drain=False):
     """The log as it arrives, in as many files as its longest log has steps of 190 offsets, in four batches."""
     source, root = fresh_root(spark, "source"), fresh_root(spark, "streamed")
     log = stored_log(spark, sf_dir)
@@ -395,6 +395,8 @@ def _streamed(spark, sf_dir, seen=None):
     query.awaitTermination()
     if seen:
         seen.over.wait(60)
+    if drain:
+        streaming.stop_mirror(query)
     return root
 
 
@@ -402,6 +404,11 @@ def mirror_stream(spark, sf_dir):
     return _catalogue(spark, _streamed(spark, sf_dir))
 
 
+def drained_stream(spark, sf_dir):
+    """A stream that is stopped with open segments: what they hold is archived."""
+    return _catalogue(spark, _streamed(spark, sf_dir, drain=True))
+
+
 def progress_metrics(spark, sf_dir):
     """What the stream's batches add up to, by the listener's sums per log."""
     _streamed(spark, sf_dir, seen := streaming.MirrorProgress())
@@ -415,7 +422,7 @@ def progress_by_log(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, replay_in_order, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics, progress_by_log,
+    summary, make_log, envelope, log_source, high_watermark, log_sizes, header_index, mirror_assignment, seek, segment_by_count, segment_by_bytes, segment_by_time, segment, drain_tail, manifest, next_expected, counters, gauges, flush_age, flush_intervals, heartbeat_progress, catalog_segments, chain_validate, conflicts, conflicts_same_key, gate_contiguous, gate_position, gate_produced, idle_drift, status, health, end_to_end_lag, audit_mirror, append_log, append_log_restamped, append_once, status_archive, archive_report, scan_parquet, scan_ndjson, replay, replay_in_order, write_archive, commit_segments, mirror_once, mirror_store, resume_from_destination, parallel_mirrors, mirror_stream, progress_metrics, progress_by_log, drained_stream,
 )}
 
 # -- SQL ----------------------------------------------------------------------------------------------------------
@@ -561,6 +568,7 @@ union all select topic, "partition", 'gap_or_overlap', from_offset, to_offset, w
     "resume_from_destination": _sql(_SEGMENT_LIST.format(_BY_STEP)),
     "parallel_mirrors": _sql('select coalesce(m.destination_name_override, topic) as topic, "partition", ("offset" // 100) * 100 as from_offset, max("offset") as to_offset from log join mirrors m using (topic, "partition") group by 1, 2, 3'),
     "mirror_stream": _sql(_SEGMENT_LIST.format(_COMMITTED)),
+    "drained_stream": _sql(_SEGMENT_LIST.format(_BY_STEP)),
     "progress_by_log": _sql('select topic, "partition", count(*) as records_total, sum(size)::bigint as bytes_total, count(*) // 100 as flushes_total, (count(*) // 100) * 100 as expected from sized group by 1, 2'),
     "progress_metrics": _sql("select count(*) as n_records, sum(size)::bigint as payload_bytes from sized"),
 }
