@@ -4,6 +4,8 @@ import json
 import os
 import random
 import re
+import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -247,6 +249,42 @@ def test_keys_in_armour_of_every_length(spark):
     assert (0, 800, "der") in secret_scan.find_spans(der(400).hex() + "abcdef0123")
 
 
+def test_keys_in_the_layouts_of_other_formats(spark):
+    numbers = [b"\x02\x01\x00", *[b"\x02\x0c" + bytes(range(1, 13))] * 7]
+    last = 396 - sum(map(len, numbers)) - 4
+    key = b"\x30\x82" + (396).to_bytes(2, "big") + b"".join(numbers) + b"\x02\x82" + last.to_bytes(2, "big") + b"\x05" * last
+    lines = textwrap.wrap(base64.b64encode(key).decode(), 64)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    layouts = {
+        "json": (f'{{"private_key": "{begin}\\n', "\\n", f'\\n{end}\\n"}}'),
+        "json in json": (f'\\"{begin}\\\\n', "\\\\n", f'\\\\n{end}'),
+        "written out CRLF": (f"{begin}\\r\\n", "\\r\\n", f"\\r\\n{end}"),
+        "yaml": (f"key: |\n    {begin}\n    ", "\n    ", f"\n    {end}\n"),
+        "mail": (f"> {begin}\n> ", "\n> ", f"\n> {end}\n"),
+        "blank at the line end": (f"{begin} \n", " \n", f" \n{end}"),
+        "code": ('"', '" +\n    "', '";'),
+        "comment": (f"# {begin}\n# ", "\n# ", f"\n# {end}"),
+        "name": ("api-key_", "", " and"),
+        "path": ("data/", "", ""),
+        "number": ("0123456789" * 4, "\n", ""),
+    }
+    rows, want = [], {}
+    for i, (name, (before, between, after)) in enumerate(layouts.items()):
+        text = before + between.join(lines) + after
+        assert (len(before), len(text) - len(after), "der") in secret_scan.find_spans(text), name
+        rows.append((i, text))
+        want[i] = before + "[SECRET]" + after
+    for digit in ("", "a", "ab", "3"):
+        assert (len(digit), len(digit) + 800, "der") in secret_scan.find_spans(digit + key.hex()), digit
+        assert (len(digit), len(digit) + 800, "der") in secret_scan.find_spans(digit + key.hex().upper() + "abc"), digit
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i: t for i, t in clean.items() if not rows[i][1].startswith("0123")} == {i: t for i, t in want.items() if not rows[i][1].startswith("0123")}
+    long = base64.b64encode(b"\x30\x83\x02\x00\x00\x02\x01\x00\x02\x0c" + b"x" * 20).decode()
+    began = time.perf_counter()
+    assert [s for s in secret_scan.find_spans(long * 20_000) if s[2] == "der"] == []
+    assert time.perf_counter() - began < 20  # candidates that claim great lengths aren't decoded whole
+
+
 def brute_order_minhash(text):
     """Straight from the definition, with plain integers."""
     mask, golden = (1 << 64) - 1, 0x9E3779B97F4A7C15

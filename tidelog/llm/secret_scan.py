@@ -6,8 +6,8 @@ import base64
 import binascii
 import json
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,14 @@ KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
 #: Candidates for the structural check.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]+)*={0,2}")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
-HEX_ANY = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
+#: Between a key's lines: a line end, also one written out as \\n, with the quote marks, blanks and signs of the text around it.
+LINE_END = re.compile(r"""["']?[\x20\t]*+(?:[+\\,][\x20\t]*+)?(?:\r?\n|(?:\\{1,2}r)?\\{1,2}n)[\x20\t>"'|#*]*+(?!-----)""")
+BASE64_RUN = re.compile(rf"[A-Za-z0-9+/_-]{{32,}}(?:{LINE_END.pattern}[A-Za-z0-9+/_-]+)*={{0,2}}")
+HEX_ANY = re.compile(r"[0-9a-fA-F]{48,}")
+#: Where a key may begin within a run: the SEQUENCE tag and a length, or the magic.
+BASE64_BEGIN = re.compile(r"(?=M[A-I]|b3BlbnNzaC1rZXktdjEA)")
+HEX_BEGIN = re.compile(r"(?=30[0-8]|6f70656e7373682d6b65792d763100)", re.IGNORECASE)
 #: Cheap test that picks the texts worth a closer look: whatever any pattern above matches, this one does.
 HINT = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{32}|[A-Za-z0-9_-]{10}\\.[A-Za-z0-9_-]{2,}\\."
 
@@ -53,24 +58,26 @@ def der_size(data: bytes) -> int | None:
     return outer[0] + outer[1]
 
 
-def der_key(data: bytes) -> int | None:
-    """Bytes of the key that data begins with: a SEQUENCE that its nested lengths fill and that begins as PKCS#1, PKCS#8, SEC1 or SPKI keys do."""
-    end = der_size(data)
-    if end is None or not 16 <= end <= len(data):
-        return None
-    at, tags = der_length(data, 1)[1], []
+def der_key(read: Callable[[int, int], bytes], end: int) -> bool:
+    """Whether `end` bytes are a key: a SEQUENCE that its nested lengths fill and that begins as PKCS#1, PKCS#8, SEC1 or SPKI keys do.
+
+    read(at, n) gives n of the bytes; only the elements' headers are read, and only while they may still be a key's.
+    """
+    if end < 16:
+        return False
+    at, tags = der_length(read(0, 6), 1)[1], []
     while at < end:
-        tag = data[at]
-        if not (inner := der_length(data, at + 1)) or inner[1] + inner[0] > end:
-            return None
-        tags.append((tag, data[inner[1] : inner[1] + inner[0]]))
-        at = inner[1] + inner[0]
-    kinds = [t for t, _ in tags]
+        head = read(at, min(7, end - at))
+        if not (inner := der_length(head, 1)) or at + inner[1] + inner[0] > end or len(tags) == 8 and {t for t, _, _ in tags} != {0x02}:
+            return False
+        tags.append((head[0], inner[0], head[inner[1] : inner[1] + 1] if inner[0] else b""))
+        at += inner[1] + inner[0]
+    kinds = [t for t, _, _ in tags]
     integers = len(kinds) >= 8 and all(k == 0x02 for k in kinds[:8])  # PKCS#1 private key
-    wrapped = kinds[:3] == [0x02, 0x30, 0x04] and tags[1][1][:1] == b"\x06"  # PKCS#8
-    curve = kinds[:2] == [0x02, 0x04] and tags[0][1] == b"\x01"  # SEC1
-    public = kinds == [0x30, 0x03] and tags[0][1][:1] == b"\x06"
-    return end if integers or wrapped or curve or public else None
+    wrapped = kinds[:3] == [0x02, 0x30, 0x04] and tags[1][2] == b"\x06"  # PKCS#8
+    curve = kinds[:2] == [0x02, 0x04] and tags[0][1:] == (1, b"\x01")  # SEC1
+    public = kinds == [0x30, 0x03] and tags[0][2] == b"\x06"
+    return integers or wrapped or curve or public
 
 
 MAGIC = b"openssh-key-v1\0"
@@ -107,46 +114,72 @@ def is_token_header(segment: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
-def key_at(data: bytes) -> tuple[str, int] | None:
-    """Kind and bytes of the key that data begins with."""
-    if size := der_key(data):
-        return "der", size
-    return ("openssh", size) if (size := openssh_key(data)) else None
+def der_begins(head: bytes) -> bool:
+    """Whether head, a value's first bytes, begins as keys do: version 0 and an INTEGER or SEQUENCE, version 1 and an OCTET STRING, or an algorithm."""
+    at = der_length(head, 1)[1]
+    if head[at : at + 1] == b"\x30":
+        return bool(inner := der_length(head, at + 1)) and head[inner[1] : inner[1] + 1] == b"\x06"
+    return head[at : at + 4] in (b"\x02\x01\x00\x02", b"\x02\x01\x00\x30", b"\x02\x01\x01\x04")
+
+
+def key_in(decoded: Callable[[int, int, int], bytes], at: int, left: int, strict: bool) -> tuple[str, int] | None:
+    """Kind and bytes of the key that begins at place `at` of a run; decoded(at, skip, n) gives n bytes, `skip` bytes from there; `left` exist.
+
+    strict: at a place that begins no line, the first values must be a key's before any more is decoded.
+    """
+    head = decoded(at, 0, min(left, 15))
+    if (size := der_size(head)) is not None:
+        if size > left or strict and not der_begins(head):
+            return None
+        return ("der", size) if der_key(lambda place, n: decoded(at, place, n), size) else None
+    if head != MAGIC:
+        return None
+    found = openssh_key(decoded(at, 0, left))
+    return ("openssh", found) if found else None
 
 
 def base64_keys(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
-    """Spans of the keys that begin a line of the base64 run text[start:end]; a key ends where its own lengths say."""
-    lines = [(m.start(), m.end()) for m in BASE64_LINE.finditer(text, start, end)]
+    """Spans of the keys in the base64 run text[start:end], wherever in a line they begin; a key ends where its own lengths say."""
+    lines, at = [], start
+    while m := BASE64_LINE.match(text, at, end):
+        lines.append(m.span())
+        if not (m := LINE_END.match(text, m.end(), end)):
+            break
+        at = m.end()
     begins = np.cumsum([0, *(e - s for s, e in lines)]).tolist()  # places in run
     run = "".join(text[s:e] for s, e in lines).replace("-", "+").replace("_", "/")
 
-    def decoded(at: int, chars: int) -> bytes:
-        part = run[at : at + chars]
+    def decoded(at: int, skip: int, size: int) -> bytes:
+        part = run[at + skip // 3 * 4 : at + -(-4 * (skip + size) // 3)]
         part = part[: len(part) - (len(part) % 4 == 1)]
-        return base64.b64decode(part + "=" * (-len(part) % 4))
+        return base64.b64decode(part + "=" * (-len(part) % 4))[skip % 3 :]
 
-    done = 0
-    for i, at in enumerate(begins[:-1]):
-        if at < done or run[at] not in "Mb":  # 0x30 and the magic's first byte encode to these
-            continue
-        head = decoded(at, 20)
-        if (size := der_size(head)) is not None:
-            chars = -(-4 * size // 3)
-            if at + chars > len(run):
-                continue
-        elif head.startswith(MAGIC):
-            chars = len(run) - at
-        else:
-            continue
-        if not (found := key_at(decoded(at, chars))):
+    done, edges = 0, set(begins)
+    for m in BASE64_BEGIN.finditer(run):
+        at = m.start()
+        if at < done or not (found := key_in(decoded, at, 3 * (len(run) - at) // 4, at not in edges)):
             continue
         kind, size = found
         done = min(at + -(-4 * size // 3), len(run))
-        last = bisect_left(begins, done) - 1
+        first, last = bisect_right(begins, at) - 1, bisect_left(begins, done) - 1
         stop = lines[last][0] + done - begins[last]
         while stop < end and text[stop] == "=":
             stop += 1
-        yield lines[i][0], stop, kind
+        yield lines[first][0] + at - begins[first], stop, kind
+
+
+def hex_keys(run: str, start: int) -> Iterator[tuple[int, int, str]]:
+    """Spans of the keys in a run of hex digits that begins at start, at odd places too."""
+
+    def decoded(at: int, skip: int, size: int) -> bytes:
+        return bytes.fromhex(run[at + 2 * skip : at + 2 * (skip + size)])
+
+    done = 0
+    for m in HEX_BEGIN.finditer(run):
+        at = m.start()
+        if at >= done and (found := key_in(decoded, at, (len(run) - at) // 2, at > 0)):
+            done = at + 2 * found[1]
+            yield start + at, start + done, found[0]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -161,8 +194,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     for m in BASE64_RUN.finditer(text):
         out += base64_keys(text, m.start(), m.end())
     for m in HEX_ANY.finditer(text):
-        if (m[0].startswith("30") or m[0].lower().startswith("6f70")) and (found := key_at(bytes.fromhex(m[0]))):
-            out.append((m.start(), m.start() + 2 * found[1], found[0]))
+        out += hex_keys(m[0], m.start())
     return out + [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_token_header(m[1])]
 
 
