@@ -50,6 +50,69 @@ def test_components_equal_brute_force(spark, k, percent):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(pairs(docs), k, percent)
 
 
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80), (2, 60)])
+def test_components_where_every_list_is_crowded(spark, monkeypatch, k, percent):
+    monkeypatch.setattr(ngram_join, "LIST", 1)
+    r = np.random.default_rng(k)
+    pool = [" ".join(f"w{x}" for x in r.integers(0, 60, 9)) for _ in range(12)]
+    rows = [(i, ". ".join(pool[x] for x in r.integers(0, 12, r.integers(1, 25)))) for i in range(200)]
+    rows += [(1000 + i, t.replace("w7", "w8", 1) + " more" * (i % 3)) for i, t in rows[::2]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(documents(spark).select("doc_id", "text")).cache()
+    found = ngram_join.ngram_components(docs, ngram_join.Join(words=k, percent=percent)).collect()
+    assert Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in found) == brute_components(pairs(docs), k, percent)
+
+
+def test_parts_hold_every_link_and_few_other_pairs(spark):
+    r = np.random.default_rng(3)
+    hashes = ngram_join.mix64(np.arange(1, 4000, dtype=np.uint64))
+    for percent in (60, 80, 90, 95, 100):
+        least = ngram_join.size_classes(percent, 4000)
+        for _ in range(300):
+            n = int(r.integers(1, 400))
+            a = r.choice(hashes, n, replace=False)
+            drop = int(r.integers(0, n * (100 - percent) // 100 + 1))
+            room = (n - drop) * 100 // percent - n  # of a union's size
+            b = np.concatenate((a[drop:], r.choice(np.setdiff1d(hashes, a), int(r.integers(0, max(room, 0) + 1)), replace=False)))
+            if len(np.intersect1d(a, b)) * 100 < percent * len(np.union1d(a, b)):
+                continue
+            c = max(np.searchsorted(least, len(x), "right") - 1 for x in (a, b))
+            assert c - min(np.searchsorted(least, len(x), "right") - 1 for x in (a, b)) <= 1
+            found = [ngram_join.part_signatures(np.sort(x), c, least[c + 1] - 1, percent) for x in (a, b)]
+            assert len(np.intersect1d(*found)), (percent, n, len(b))
+
+
+def test_texts_of_one_pool_form_few_pairs(spark, monkeypatch):
+    """Texts of 30 sentences out of 20, which hardly link but nearly all share n-grams with each other: few of their pairs are compared."""
+    compared = []
+    plain = ngram_join.verified
+    join = ngram_join.Join(words=3, percent=90)
+
+    def counted(pairs, sets, join):
+        compared[-1] += pairs.count()
+        return plain(pairs, sets, join)
+
+    def grams(rows, join):
+        held = rows.groupBy("gram").count()
+        compared[-1] += held.selectExpr("coalesce(sum(count * (count - 1) div 2), 0)").first()[0]
+        return plain_grams(rows, join)
+
+    def parts(sets, join):
+        met = plain_parts(sets, join).cache()
+        compared[-1] += met.count()
+        return met
+
+    plain_grams, plain_parts = ngram_join.met_by_grams, ngram_join.met_by_parts
+    for name, f in (("verified", counted), ("met_by_grams", grams), ("met_by_parts", parts)):
+        monkeypatch.setattr(ngram_join, name, f)
+    r = np.random.default_rng(1)
+    pool = [" ".join(f"s{i}w{x}" for x in range(10)) for i in range(20)]
+    for n in (1000, 2000, 4000):
+        rows = [(i, " ".join(pool[x] for x in r.integers(0, 20, 30))) for i in range(n)]
+        compared.append(0)
+        ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"), join).count()
+    assert all(100 * c < 4 * n * (n - 1) // 2 for n, c in zip((2000, 4000), compared[1:], strict=True)), compared
+
+
 def test_components_of_a_real_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = QUERIES["op2_ngram_jaccard"](spark, sf).collect()
