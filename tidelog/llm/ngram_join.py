@@ -310,11 +310,18 @@ def may_link(join: Join):
 
     The n-gram counts as the first that both share, so no more are shared than either has from there on.
     """
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    need = (n_a + n_b) * join.percent / (100 + join.percent) - 1e-6
     open_ = F.least(F.col("shared_a") - F.col("place_a"), F.col("shared_b") - F.col("place_b"))
+    return alike_in_size("n_a", "n_b", join) & (open_ >= needed(join)) & alike_in_bits(join)
+
+
+def needed(join: Join):
+    """N-grams that a pair must share."""
+    return (F.col("n_a") + F.col("n_b")) * join.percent / (100 + join.percent) - 1e-6
+
+
+def alike_in_bits(join: Join):
     apart = sum((F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))).cast("double") for i in range(WORDS)), F.lit(0.0))
-    return alike_in_size("n_a", "n_b", join) & (open_ >= need) & (apart <= n_a + n_b - 2 * need)
+    return apart <= F.col("n_a") + F.col("n_b") - 2 * needed(join)
 
 
 def alike_in_size(a: str, b: str, join: Join):
@@ -350,8 +357,8 @@ def part_signatures(s: np.ndarray, c: int, most: int, percent: int) -> np.ndarra
     return mix64(sums + mix64(np.arange(m, dtype=U64) + salt))[sizes_kept]
 
 
-def met_by_parts(sets: DataFrame, join: Join) -> DataFrame:
-    """Pairs a, b, n_a, n_b of sets (sid, root, n, grams) of different roots that may link: a part of theirs is equal, and their sizes fit.
+def met_by_parts(sets: DataFrame, bits: DataFrame, join: Join) -> DataFrame:
+    """Pairs a, b of sets (sid, root, n, grams) of different roots that may link: a part of theirs is equal, and sizes and bitmaps (sid, w0, w1, …) fit.
 
     Every pair that links is among them. A set has a row per part, some six tenths of its n-grams at 80 percent, a quarter at 90.
     """
@@ -367,21 +374,13 @@ def met_by_parts(sets: DataFrame, join: Join) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found), *[pa.array(np.full(k, v, np.int64)) for v in (c - own, sid, root, n)]], names=["signature", "below", "sid", "root", "n"])
 
     rows = map_batches(sets.select("sid", "root", "n", "grams"), sign, "signature bigint, below bigint, sid bigint, root bigint, n bigint")
-    rows = settled(rows, "signatures")
-    several = rows.groupBy("signature").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("signature")
-    rows = rows.join(several, "signature")
-    x, y = (rows.select("signature", *[F.col(c).alias(f"{c}_{e}") for c in ("below", "sid", "root", "n")]) for e in "ab")
-    met = x.join(y, "signature").filter((F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("below_a") + F.col("below_b") < 2))
-    return met.filter(alike_in_size("n_a", "n_b", join)).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), "n_a", "n_b").distinct()
-
-
-def apart_enough(pairs: DataFrame, bits: DataFrame, join: Join) -> DataFrame:
-    """Those pairs (a, b, n_a, n_b) whose bitmaps (sid, bits) allow the similarity."""
-    for e in "ab":
-        pairs = pairs.join(bits.select(F.col("sid").alias(e), F.col("bits").alias(f"bits_{e}")), e)
-    need = (F.col("n_a") + F.col("n_b")) * join.percent / (100 + join.percent) - 1e-6
-    apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])).cast("double") for i in range(WORDS)), F.lit(0.0))
-    return pairs.filter(apart <= F.col("n_a") + F.col("n_b") - 2 * need).select("a", "b")
+    marked = settled(rows, "signatures")
+    several = marked.groupBy("signature").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("signature")
+    rows = settled(marked.join(several, "signature").join(bits, "sid"), "met")
+    forget(marked)
+    x, y = (rows.select("signature", *[F.col(c).alias(f"{c}_{e}") for c in rows.columns if c != "signature"]) for e in "ab")
+    other = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("below_a") + F.col("below_b") < 2)
+    return x.join(y, "signature").filter(other & alike_in_size("n_a", "n_b", join) & alike_in_bits(join)).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
 
 
 def met_by_grams(rows: DataFrame, join: Join) -> DataFrame:
@@ -441,14 +440,12 @@ def links(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
     forget(bundles, whole)
     mixed = prefix.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).filter("lo != hi").select("gram", "held")
     listed = settled(prefix.join(mixed, "gram"), "open")
-    bits = settled(bitmaps(sets.join(by_size(listed.select("sid").distinct()), "sid", "left_semi")), "bits")
     words = [F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)]
-    rows = listed.filter(F.col("held") <= LIST).join(bits, "sid").select(*prefix.columns, *words)
-    pairs = met_by_grams(rows, join)
+    bits = settled(bitmaps(sets.join(by_size(listed.select("sid").distinct()), "sid", "left_semi")).select("sid", *words), "bits")
+    pairs = met_by_grams(listed.filter(F.col("held") <= LIST).drop("held").join(bits, "sid"), join)
     crowded = settled(listed.filter(F.col("held") > LIST).select("sid", "root").distinct(), "crowded")
     if not crowded.isEmpty():
-        met = met_by_parts(sets.join(by_size(crowded), "sid"), join)
-        pairs = pairs.unionByName(apart_enough(met, bits, join)).distinct()
+        pairs = pairs.unionByName(met_by_parts(sets.join(by_size(crowded), "sid"), bits, join)).distinct()
     done = settled(found.unionByName(verified(pairs, sets, join)), "links")
     forget(found, listed, bits, crowded, prefix, sets)
     return done
