@@ -1,14 +1,18 @@
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.helpers import DOCS, documents, pairs, texts
+from tests.llm.test_text_operators import plain_base
 from tests.oracle import duck_rows, spark_rows
+from tokenizers import Tokenizer
 
-from tidelog.llm import chat_format, ngram_join, suffix_dedup
+from tidelog.llm import chat_format, ngram_join, secret_scan, suffix_dedup
 from tidelog.llm.components import components
 from tidelog.llm.queries import ORACLE_SQL, QUERIES
 
@@ -132,6 +136,13 @@ def test_long_chain_of_links(spark):
     assert components(links).filter("root != 0").count() == 0
 
 
+def test_components_of_nulls_loops_and_nothing(spark):
+    rows = [(5, 5), (None, 1), (1, None), (None, None), (3, 2), (2, 3), (3, 2), (9, 4), (4, 7), (6, 6)]
+    found = components(spark.createDataFrame(rows, "a bigint, b bigint")).collect()
+    assert sorted(map(tuple, found)) == [(2, 2), (3, 2), (4, 4), (7, 4), (9, 4)]
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def brute_repeats(found, length):
     data = [(d, (t or "").encode()) for d, t in found]
     seen = Counter(t[i : i + length] for _, t in data for i in range(len(t) - length + 1))
@@ -220,14 +231,56 @@ def test_marks_must_be_defusable():
         chat_format.ChatTemplate(other=chat_format.Turn("<<A>", "</A>"))
 
 
+def brute_cut(found, length):
+    """(doc_id, text) without what is repeated; characters that lose a byte go whole."""
+    data = [(d, t.encode()) for d, t in found]
+    seen = Counter(t[i : i + length] for _, t in data for i in range(len(t) - length + 1))
+    for d, t in data:
+        kept = bytearray(b"\1" * len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                kept[i : i + length] = bytes(length)
+        yield d, bytes(x for x, k in zip(t, kept, strict=True) if k).decode("utf-8", "ignore")
+
+
+def brute_mask(text):
+    """Every character that a base pattern or a decoded key covers, a mask for each run of overlapping ones."""
+    found = [tuple(map(int, s.split(":")[1:])) for s in plain_base(text).split(",") if s] + [(s, e) for s, e, _ in secret_scan.confirmed_spans(text)]
+    joined = []
+    for s, e in sorted(found):
+        if joined and s < joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], e)
+        else:
+            joined.append([s, e])
+    for s, e in reversed(joined):
+        text = text[:s] + "[SECRET]" + text[e:]
+    return text
+
+
 def test_pipeline(spark, sf):
+    """The whole output against all five stages by brute force; no text of the table that has a letter is beyond its languages."""
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    done = corpus_pipeline.run(spark, sf)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_join", "suffix_dedup", "secret_scan", "packing"]
-    want = brute_components(pairs(docs), 5, 80)
-    assert {r["doc_id"] for r in done.select("doc_id").collect()} == {d for d, _, c in want if d == c}
+    docs = [(d, t) for d, t in pairs(spark.read.parquet(f"{sf}/documents.parquet")) if any(c.isalpha() for c in t or "")]
+    near = {d for d, _, c in brute_components(docs, 5, 80) if d == c}
+    want = {d: brute_mask(t) for d, t in brute_cut([x for x in docs if x[0] in near], 200)}
+    before = dict(docs)
+    assert len(near) < len(docs) and any(want[d] != before[d] for d in near) and any("[SECRET]" in t for t in want.values())
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    by_doc, by_sequence = {}, {}
+    for r in corpus_pipeline.run(spark, sf).collect():
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert by_doc.keys() == want.keys()
+    for d, t in want.items():
+        ids, at = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4"), 0
+        for r in sorted(by_doc[d], key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids[at : at + r["length"]].tobytes())), d
+            at += r["length"]
+        assert at == len(ids)
+    for v in by_sequence.values():
+        assert [o for o, _ in sorted(v)] == np.cumsum([0, *(n for _, n in sorted(v))])[:-1].tolist() and sum(n for _, n in v) <= 1024
 
 
 def test_near_copies_go_by_row(spark):

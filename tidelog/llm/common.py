@@ -65,7 +65,7 @@ def with_free_names(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def by_size(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
-    """df, broadcast only if it has at most most_rows rows (of ids: some 16 MB)."""
+    """df, broadcast only if it has at most most_rows rows (of ids: some 16 MB, of 128-bit keys 100)."""
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
@@ -83,6 +83,13 @@ def with_rid(docs: DataFrame, name: str = "rid") -> DataFrame:
     return docs.withColumn(name, F.when(h == 0, F.lit(1)).otherwise(h).cast("bigint"))
 
 
+def with_key(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the column name: 128 bits that stand for doc_id and text, nulls apart from empty texts."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    text = F.when(F.col("text").isNull(), F.lit("null")).otherwise(F.concat(F.lit("text "), F.col("text")))
+    return docs.withColumn(name, F.unhex(F.md5(F.concat(F.length(doc_id).cast("string"), F.lit(" "), doc_id, text).cast("binary"))))
+
+
 def release() -> None:
     """Give freed memory back to the system: Python workers stay on between tasks, beside the next ones."""
     pa.default_memory_pool().release_unused()

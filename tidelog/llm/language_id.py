@@ -9,7 +9,8 @@ with it.
 
 Training texts are dealt to two halves by their content, each half has its own counts, and every text is scored by the
 half that it is not in. So no text is judged by what it taught itself: its language is that of the lowest cross-entropy
-per symbol, and it is rejected if that lies beyond what training texts of its language and length show.
+per symbol, and it is rejected if that lies beyond what training texts of its language and length show. One part of the
+training texts sets these ceilings, the rest says how far above them a rejection must lie for its rate to be kept.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
+from math import ceil, inf
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ BLANK = 32
 CHUNK = 1 << 17
 #: The quantile of a length class of at least LEAST training texts that rejection starts from; up to a twentieth may be no language.
 HIGH, LEAST = 0.95, 100
+#: Share of texts like the training texts that may be rejected at most; what is no language among these included.
+RATE = 0.1
 #: Bytes up to which tasks get the whole model.
 MOST_MODEL = 64 << 20
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
@@ -334,11 +338,11 @@ def score_by_joins(docs: DataFrame, table: DataFrame, langs: list[str], unseen:
 
 
 def ceilings(scored: DataFrame, langs: list[str]) -> DataFrame:
-    """lang_best, size, ceiling: the quantile HIGH of the entropies of the training texts of that language and length class.
+    """lang_best, size, ceiling: the quantile HIGH of the entropies of the training texts with `sets` of that language and length class.
 
     A class of under LEAST training texts takes the quantile of its length in all languages, or else that of all texts.
     """
-    found = scored.filter("teaches and entropy is not null").cube("lang_best", "size").agg(F.count("*").alias("n"), F.percentile_approx("entropy", F.lit(HIGH), F.lit(10_000)).alias("ceiling")).collect()
+    found = scored.filter("teaches and sets and entropy is not null").cube("lang_best", "size").agg(F.count("*").alias("n"), F.percentile_approx("entropy", F.lit(HIGH), F.lit(10_000)).alias("ceiling")).collect()
     known = {(r["lang_best"], r["size"]): r["ceiling"] for r in found if r["n"] >= LEAST or r["lang_best"] is None and r["size"] is None}
     rows = []
     for lang in langs:
@@ -348,19 +352,39 @@ def ceilings(scored: DataFrame, langs: list[str]) -> DataFrame:
     return scored.sparkSession.createDataFrame(rows, "lang_best string, size int, ceiling double")
 
 
-def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, key: str = "doc_id", most_model: int = MOST_MODEL) -> DataFrame:
+def rooms(measured: DataFrame, langs: list[str], slack: float, rate: float) -> DataFrame:
+    """lang_best, room: an excess over the ceiling beyond which at most `rate` of texts like the training texts lie; slack at least.
+
+    It is the excess of rank (n + 1) * (1 - rate) among the n training texts without `sets` that are taken for the
+    language: a further text of their kind exceeds it with a probability of at most rate, whatever their distribution.
+    Languages of under LEAST such texts share the room of all texts; too few texts in all (n < 1 / rate - 1) give none a
+    limit.
+    """
+    shares = [1 - rate * i / 40 for i in range(39, -1, -1)]
+    found = measured.filter("teaches and not sets and excess is not null").rollup("lang_best").agg(F.count("*").alias("n"), F.percentile_approx("excess", shares, 10_000).alias("at")).collect()
+    room = {None: inf}
+    for r in found:
+        rank, n = ceil((r["n"] + 1) * (1 - rate)), r["n"]
+        if r["lang_best"] is None or n >= LEAST:  # quantiles are exact to a 10,000th of the ranks
+            room[r["lang_best"]] = inf if rank > n else max(slack, next((v for p, v in zip(shares, r["at"], strict=True) if p * n >= rank + n / 10_000), r["at"][-1]))
+    return measured.sparkSession.createDataFrame([(lang, room.get(lang, room[None])) for lang in langs], "lang_best string, room double")
+
+
+def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0, key: str = "doc_id", most_model: int = MOST_MODEL, rate: float = RATE) -> DataFrame:
     """doc_id (or the column key), lang_pred, score, rejected, n_symbols, entropy; a row per row of docs (doc_id, text, lang).
 
     teaches: condition over docs' columns that picks the rows to learn from (default all); rows with a null lang or
     without a letter teach nothing. A text that is null, empty or without a letter is `und` with score 0 and rejected.
     score: share of the best language against the next, from the margin over the text's symbols. rejected: the text's
     cross-entropy, by the half of the training texts that it is not in, lies more than slack nats (of n symbols,
-    1 + 4 / sqrt(n) times as much) above the ceiling of its language and length class in powers of two (ceilings).
-    Ties go to the language first in order. Without any training text all are `und` and rejected. Other columns are
+    1 + 4 / sqrt(n) times as much) above the ceiling of its language and length class in powers of two (ceilings), and
+    more than rate allows: of texts with letters that are like the training texts taken for a language at most that
+    share is rejected (rooms), slack only makes it less. Copies count as often as they occur. Ties go to the language first in order. Without any training text all are `und` and rejected. Other columns are
     ignored. most_model: bytes of a model that every task may hold; a larger one is joined.
     """
     df = docs.withColumn("teaches", (F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))) & F.col("lang").isNotNull())
     df = with_free_names(df, [key, "text", "lang", "teaches"]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))  # copies share a fold
+    df = df.withColumn("sets", F.pmod(F.shiftright(F.xxhash64("text"), 1), F.lit(2)) == 0)
     taught = df.filter("teaches").select(F.col("lang").cast("string").alias("lang"), "fold", "text")
     langs = sorted(r["lang"] for r in taught.select("lang").distinct().collect())
     made = model_table(settled(count_ngrams(taught, langs), "ngrams"), langs) if langs else None
@@ -369,18 +393,19 @@ def identify(docs: DataFrame, teaches: Column | None = None, slack: float = 1.0,
         return df.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(0).cast("bigint").alias("n_symbols"), none.alias("entropy"))
     langs, table, unseen = made
     if table.count() * (12 + 8 * len(langs)) <= most_model:
-        scored = score_texts(df, Model.of(table.toArrow(), langs, unseen), [key, "teaches"])
+        scored = score_texts(df, Model.of(table.toArrow(), langs, unseen), [key, "teaches", "sets"])
         release()
     else:
-        scored = score_by_joins(df, table, langs, unseen, [key, "teaches"])
+        scored = score_by_joins(df, table, langs, unseen, [key, "teaches", "sets"])
     scored = settled(scored.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_symbols"), F.lit(1)))).cast("int")), "languages")
-    scored = scored.join(F.broadcast(ceilings(scored, langs)), ["lang_best", "size"], "left")
-    room = slack * (1 + 4 / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1))))
+    unit = 1 + 4 / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1)))
+    scored = scored.join(F.broadcast(ceilings(scored, langs)), ["lang_best", "size"], "left").withColumn("excess", (F.col("entropy") - F.col("ceiling")) / unit)
+    scored = scored.join(F.broadcast(rooms(scored, langs, slack, rate)), "lang_best", "left")
     return scored.select(
         key,
         F.coalesce("lang_best", F.lit(UNKNOWN)).alias("lang_pred"),
         F.coalesce(F.round(1 / (1 + F.exp(-F.col("margin") * F.least(F.col("n_symbols"), F.lit(50)))), 9), F.lit(0.0)).alias("score"),
-        (F.col("entropy").isNull() | F.coalesce(F.col("entropy") > F.col("ceiling") + room, F.lit(False))).alias("rejected"),
+        (F.col("entropy").isNull() | F.coalesce(F.col("excess") > F.col("room"), F.lit(False))).alias("rejected"),
         "n_symbols",
         "entropy",
     )
