@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import language_id, ngram_join, packing, secret_scan, suffix_dedup
-from tidelog.llm.common import by_size, free_name, settled, table, with_rid
+from tidelog.llm.common import by_size, free_name, settled, table, with_key
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows of equal doc_id and text share their fate; a null lang teaches nothing; an empty table stays empty.
     """
     rid = free_name(docs, "rid")
-    keyed = with_rid(docs, rid)
+    keyed = with_key(docs, rid)
     found = language_id.identify(keyed, key=rid)
     return keyed.join(by_size(found.filter("rejected").select(rid).distinct()), rid, "left_anti").select(*docs.columns)
 
@@ -32,7 +32,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     each goes by its own text, and rows without doc_id come last. Texts without words all stay, repeated rows aside.
     """
     rid = free_name(docs, "rid")
-    keyed = with_rid(docs, rid)
+    keyed = with_key(docs, rid)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(rid).alias("rid"))
     found = settled(ngram_join.ngram_components(keyed.select(rank.alias("doc_id"), "text"), ngram_join.Join(words=5, percent=80)), "near")
     copies = by_size(found.filter("component_id.rid != doc_id.rid").select(F.col("doc_id.rid").alias(rid)).distinct())
