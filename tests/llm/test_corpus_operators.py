@@ -257,11 +257,17 @@ def brute_mask(text):
     return text
 
 
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, tmp_path):
     """The whole output against all five stages by brute force; no text of the table that has a letter is beyond its languages."""
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_join", "suffix_dedup", "secret_scan", "packing"]
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    secrets = ["password = hunter22x", f"AKIA{'Q7' * 9} and token: 'abc123def'", f"api_key={'0a1b' * 9}", "secret: short", f"x{'9f' * 20}-"]
+    table = table.withColumn("text", F.concat("text", F.lit(" "), F.element_at(F.array(*map(F.lit, secrets)), (F.col("doc_id") % 5 + 1).cast("int"))))
+    odd = [(10_000, None), (10_001, ""), (10_002, "12 + 34 = 46"), (10_003, " \n\t")]
+    sf = str(tmp_path)
+    table.unionByName(spark.createDataFrame([(*x, "en", None, None) for x in odd], table.schema)).write.parquet(f"{sf}/documents.parquet")
     docs = [(d, t) for d, t in pairs(spark.read.parquet(f"{sf}/documents.parquet")) if any(c.isalpha() for c in t or "")]
     near = {d for d, _, c in brute_components(docs, 5, 80) if d == c}
     want = {d: brute_mask(t) for d, t in brute_cut([x for x in docs if x[0] in near], 200)}
