@@ -164,6 +164,65 @@ def test_commit_again_after_a_lost_task(spark, root):
     assert same(archive.replay(spark, root), records(spark, 30))
 
 
+@pytest.mark.parametrize("by_record", [False, True])
+@pytest.mark.parametrize("fmt", ["parquet", "ndjson"])
+def test_staging_takes_a_folder_per_chain(spark, root, fmt, by_record):
+    """However many segments: no folder for each, and nothing of the staging is left."""
+    log = records(spark, 200, "a b%+é").unionByName(records(spark, 33, "u", 2))
+    rows = segments.by_count(log.withColumn("destination", F.col("topic")), 10)
+    rows = rows.join(rows.groupBy("topic", "from_offset").agg(F.max("offset").alias("to_offset")), ["topic", "from_offset"])
+    staged = archive.stage_segments(rows, root, fmt, by_record=by_record)
+    assert len(list(os.walk(plain(staged)))) == 5
+    want = {("a b%+é", "0", i, i + 9) for i in range(0, 200, 10)} | {("u", "2", i, min(i + 9, 32)) for i in range(0, 33, 10)}
+    assert {tuple(r)[:4] for r in archive.staged_segments(spark, staged).collect()} == want
+    assert archive.commit_segments(spark, root, staged, fmt) == 24
+    assert same(archive.replay(spark, root, fmt), log) and same(archive.replay(spark, root, fmt, first=15, last=34), log.filter("offset between 15 and 34"))
+    assert {tuple(r) for r in mirror.verified(spark, root, fmt, whole=True).collect()} == {("a b%+é", 0, 200, None), ("u", 2, 33, None)}
+    assert by_record or not os.path.exists(plain(staged))
+
+
+def test_a_segment_of_many_batches(spark, tmp_path):
+    """A segment whose rows come in several batches is one file; what a failed attempt leaves is no segment."""
+    log = records(spark, 60).withColumns({"_destination": F.col("topic"), "_partition": F.col("partition"), "_from_offset": F.when(F.col("offset") < 45, 0).otherwise(45).cast("bigint"), "_to_offset": F.when(F.col("offset") < 45, 44).otherwise(59).cast("bigint")})
+    table = log.select(F.struct(*ENVELOPE.fieldNames()).alias("row"), "_destination", "_partition", "_from_offset", "_to_offset").toArrow().combine_chunks()
+    write = archive.written_segments(str(tmp_path), "parquet", "zstd", 600)
+
+    def dies(batches):
+        yield from batches[:3]
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        list(write(dies(table.to_batches(max_chunksize=8))))
+    assert archive.staged_segments(spark, str(tmp_path)).count() == 0
+    for _ in range(2):
+        assert sum(b["n"][0].as_py() for b in write(table.to_batches(max_chunksize=8))) == 2
+    assert {tuple(r)[:4] for r in archive.staged_segments(spark, str(tmp_path)).collect()} == {("t", "0", 0, 44), ("t", "0", 45, 59)}
+    assert same(archive.scan_parquet(spark, str(tmp_path)), records(spark, 60))
+
+
+def test_runs_of_both_layouts_are_read(spark, root):
+    """A run by Spark's writer, with a folder per segment, as on stores and in earlier archives, and then one by tasks."""
+    keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
+    folder = commit_records.run_folder(root, "old")
+    by_tens(spark, 20).withColumns(keys).repartition(1).select(*ENVELOPE.fieldNames(), *keys).write.partitionBy(*keys).parquet(folder)
+    assert archive.commit_segments(spark, root, folder) == 2
+    assert mirror.mirror_once(spark, records(spark, 47), root, drain=True, max_offsets=10) == 3
+    assert same(archive.replay(spark, root), records(spark, 47)) and same(archive.replay(spark, root, first=12, last=33), records(spark, 22, first=12))
+    assert {tuple(r)[:3] for r in mirror.verified(spark, root, whole=True).collect()} == {("t", 0, 47)}
+    archive_source.register(spark)
+    assert same(spark.read.format("tidelog").option("path", root).load(), records(spark, 47))
+
+
+def test_folders_are_listed_as_sparks_readers_see_them(spark, tmp_path):
+    for name in ("x", "a/y", "a/0/z z%+é", "a/0/b/c/deep", "_d=1/_p=2/w", "a/0/.hidden", "_staging/r/no", "a/_no/0/no", ".no/no"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = chains.list_files(spark, f"file:{tmp_path}")
+    plain_read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    assert {(r["path"], r["length"], r["modified"]) for r in found.collect()} == {(r["path"], r["length"], r["modificationTime"]) for r in plain_read.collect()}
+    assert {(r["dir"].rsplit("/", 1)[-1], r["name"]) for r in found.collect()} == {(tmp_path.name, "x"), ("a", "y"), ("0", "z z%+é"), ("c", "deep"), ("_p=2", "w")}
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     """A folder by a path of another scheme, where nothing is linked or renamed."""

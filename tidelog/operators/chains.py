@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.columns import parsed_name
+from tidelog.plans.storage import Files, plain
 from tidelog.schema import ENDINGS, LOG
 
+#: Tasks that folders are dealt to when they are listed, at most.
+MOST_LISTERS = 1000
+
 
 def catalogue(files: DataFrame) -> DataFrame:
     """dir, name, from_offset, to_offset, ext of the files (dir, name, other columns stay) whose names are segment-shaped.
@@ -19,13 +28,53 @@ def catalogue(files: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """dir, name, length, modified, path of all files below root; no rows if root doesn't exist."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    """dir, name, length, modified, path of all files below root; no rows if root doesn't exist. Hidden names (those that
+    Spark's readers skip) are left out, with what is below them.
+
+    Folders of the file system are listed in tasks, one for each folder two levels down (a chain), so no list of all
+    files is held anywhere.
+    """
+    files = Files(spark, root)
+    if not files.exists(root):
         return spark.createDataFrame([], "dir string, name string, length bigint, modified timestamp, path string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
-    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modified", "path")
+    if files.local:
+        seeds = [(plain(root).rstrip("/") or "/", False)]
+        seeds += [(x, False) for x in _folders(seeds[0][0])]
+        seeds += [(y, True) for x, _ in seeds[1:] for y in _folders(x)]
+        found = spark.createDataFrame(seeds, "folder string, deep boolean").repartition(min(len(seeds), MOST_LISTERS)).mapInArrow(_listed, "path string, length bigint, modified bigint")
+        found = found.withColumn("modified", F.timestamp_millis("modified"))
+    else:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    return found.select(F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modified", "path")
+
+
+def _visible(name: str) -> bool:
+    return not (name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"))
+
+
+def _folders(at: str) -> list[str]:
+    return [x.path for x in os.scandir(at) if _visible(x.name) and x.is_dir()]
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files in each folder, where asked those further below too. What is deleted meanwhile is no longer there."""
+    for b in batches:
+        for seed, deep in zip(b["folder"].to_pylist(), b["deep"].to_pylist(), strict=True):
+            folders = [seed]
+            while folders:
+                found = []
+                with contextlib.suppress(FileNotFoundError), os.scandir(folders.pop()) as entries:
+                    for x in entries:
+                        with contextlib.suppress(FileNotFoundError):
+                            if not _visible(x.name):
+                                continue
+                            if not x.is_dir():
+                                at = x.stat()
+                                found.append((f"file:{x.path}", at.st_size, at.st_mtime_ns // 1_000_000))
+                            elif deep:
+                                folders.append(x.path)
+                for i in range(0, len(found), 10_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found[i : i + 10_000], strict=True)], names=["path", "length", "modified"])
 
 
 def violations(segments: DataFrame, fmt: str = "parquet", by: tuple[str, ...] = ("dir",)) -> DataFrame:

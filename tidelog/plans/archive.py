@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import shutil
 import time
 import uuid
 from collections.abc import Iterator
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,9 +27,11 @@ from tidelog.schema import ENDINGS, ENVELOPE
 from tidelog.sources.log import normalised
 
 STAGING = "_staging"
+#: Fixed value: the folder that Spark's writer gives a destination without a name.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 SEGMENT = re.compile(rf"(\d+)-(\d+)\.(?:{'|'.join(re.escape(x) for x in ENDINGS.values())})")
-#: Codec names of the archive and what Spark calls them.
-CODECS = {"zstd": "zstd", "snappy": "snappy", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
+#: Codec names of the archive and what Spark calls them (and Arrow, without _raw).
+CODECS = {"zstd": "zstd", "snappy": "snappy", "lz4": "lz4_raw", "uncompressed": "none"}
 
 
 def ndjson_line() -> Column:
@@ -38,18 +45,26 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
 
     Segments are dealt to tasks whole and each task writes its segments one by one in offset order. by_record: the
     folder is a run's, where its segments stay (see records; default: what the archive is, or the file system needs);
-    else it is in the staging folder.
+    else it is in the staging folder. On folders of the file system tasks write the files themselves (see
+    written_segments): Spark's writer takes far longer to open and close a file than small segments take to write. On
+    stores, which it alone reaches, it writes a folder per segment.
     """
+    spark = rows.sparkSession
     if by_record is None:
-        by_record = records.kept_by_records(rows.sparkSession, root)
+        by_record = records.kept_by_records(spark, root)
     run = uuid.uuid4().hex
     folder = records.run_folder(root, run) if by_record else f"{root.rstrip('/')}/{STAGING}/{run}"
-    keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: files take time however little is in them
-    dealt = rows.withColumns(keys).repartition(tasks, "destination", "partition", "from_offset").sortWithinPartitions(*keys, "offset")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: files take time however little is in them
+    segment = ["destination", "partition", "from_offset"]
+    dealt = rows.repartition(tasks, *segment).sortWithinPartitions(*segment, "offset")
     columns = [ndjson_line().alias("value")] if fmt == "ndjson" else ENVELOPE.fieldNames()
+    if Files(spark, root).local:
+        keyed = dealt.select(F.struct(*columns).alias("row"), *(F.col(c).alias(f"_{c}") for c in (*segment, "to_offset")))
+        keyed.mapInArrow(written_segments(plain(folder), fmt, codec), "n bigint").agg(F.sum("n")).collect()
+        return folder
+    keys = {"_d": F.col("destination"), "_p": F.col("partition"), "_s": F.format_string("%020d-%020d", "from_offset", "to_offset")}
     # Tasks put their files in place themselves: nobody reads the folder before the job has ended, and a task that is run again writes the same names.
-    writer = dealt.select(*columns, *keys).write.partitionBy(*keys).option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 0)
+    writer = dealt.withColumns(keys).select(*columns, *keys).write.partitionBy(*keys).option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 0)
     if fmt == "ndjson":
         writer.text(folder)
     else:
@@ -57,6 +72,77 @@ def stage_segments(rows: DataFrame, root: str, fmt: str = "parquet", codec: str
     return folder
 
 
+def folder_value(text: str | None) -> str:
+    """text as the value in a folder's name, so that Spark's readers get it back: they decode characters, not bytes."""
+    return re.sub(r"[\x00-\x7f]+", lambda m: quote(m[0], safe=""), text) if text else NO_NAME
+
+
+class SegmentFile:
+    """A segment's file in a chain's folder of a run; it has a hidden name, of this attempt alone, until it is whole."""
+
+    def __init__(self, folder: str, key: tuple, fmt: str, codec: str, group_bytes: int):
+        destination, partition, first, last = key
+        self.key, self.fmt, self.codec, self.group_bytes = key, fmt, codec, group_bytes
+        chain = os.path.join(folder, f"_d={folder_value(destination)}", f"_p={partition}")
+        os.makedirs(chain, exist_ok=True)
+        self.target, self.own = os.path.join(chain, f"{first:020d}-{last:020d}.{ENDINGS[fmt]}"), os.path.join(chain, f".{first}-{uuid.uuid4().hex}")
+        self.out, self.writer, self.held, self.size = pa.OSFile(self.own, "wb"), None, [], 0
+
+    def add(self, rows: pa.StructArray, size: int) -> None:
+        self.held.append(rows)
+        self.size += size
+        if self.size >= self.group_bytes:
+            self._write()
+
+    def _write(self) -> None:
+        t = pa.Table.from_batches([pa.RecordBatch.from_struct_array(r) for r in self.held])
+        if self.fmt == "ndjson":
+            self.out.write("".join(f"{line}\n" for line in t["value"].to_pylist()).encode())
+        else:
+            if self.writer is None:
+                self.writer = pq.ParquetWriter(self.out, t.schema, compression=CODECS[self.codec].removesuffix("_raw"), use_dictionary=["topic", "timestamp_type"], store_schema=False)
+            self.writer.write_table(t, row_group_size=max(1, t.num_rows))
+        self.held, self.size = [], 0
+
+    def close(self) -> None:
+        if self.held:
+            self._write()
+        if self.writer is not None:
+            self.writer.close()
+        self.out.close()
+        os.rename(self.own, self.target)
+
+
+def written_segments(folder: str, fmt: str, codec: str, group_bytes: int = 64 << 20):
+    """Writes rows, which come segment after segment, to folder/_d=<destination>/_p=<partition>/<first>-<last>.<ending>.
+
+    Rows of some group_bytes are held at a time, so a segment may be of any size.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, n = None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            each = max(1, b.nbytes // b.num_rows)
+            codes = b["_destination"].dictionary_encode()
+            columns = [codes.indices.fill_null(-1), b["_partition"].fill_null(-1), b["_from_offset"], b["_to_offset"]]
+            numbers = [c.to_numpy(zero_copy_only=False) for c in columns]
+            starts = np.flatnonzero(np.any([np.diff(c) != 0 for c in numbers], axis=0)) + 1
+            for begin, end in itertools.pairwise([0, *starts.tolist(), b.num_rows]):
+                key = (b["_destination"][begin].as_py(), b["_partition"][begin].as_py(), int(numbers[2][begin]), int(numbers[3][begin]))
+                if current is None or current.key != key:
+                    if current is not None:
+                        current.close()
+                    current, n = SegmentFile(folder, key, fmt, codec, group_bytes), n + 1
+                current.add(b["row"].slice(begin, end - begin), each * (end - begin))
+        if current is not None:
+            current.close()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return write
+
+
 def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "parquet", threads: int = 16, written: DataFrame | None = None) -> int:
     """Make what is staged part of the archive, chain by chain, never over what is there; returns the number of segments.
 
@@ -71,7 +157,11 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
         if written is None:
             written = staged_segments(spark, staged).groupBy("destination", F.col("partition").cast("int").alias("partition")).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("segments"))
         return records.commit_run(spark, root, staged, written, fmt, threads)
-    sums = _commit_in_tasks(spark, root, staged, fmt).agg(F.sum("done").alias("done"), F.min(F.struct("kind", "message")).alias("failure")).first()
+    below = plain(staged)
+    chains = [(d, p) for d in _folders(below, "_d=") for p in _folders(os.path.join(below, d), "_p=")]
+    given = spark.createDataFrame(chains, "d string, p string").repartition(max(1, min(len(chains), spark.sparkContext.defaultParallelism)))
+    sums = given.mapInPandas(_links(plain(root), below, fmt), "done bigint, kind string, message string").agg(F.sum("done").alias("done"), F.min(F.struct("kind", "message")).alias("failure")).first()
+    given.mapInPandas(_cleared(below), "d string").agg(F.count("*")).collect()
     Files(spark, root).delete(staged)
     if (failure := sums["failure"]) is not None and failure["message"] is not None:
         raise {"exists": FileExistsError, "overlap": ValueError}.get(failure["kind"], OSError)(failure["message"])
@@ -80,18 +170,17 @@ def commit_segments(spark: SparkSession, root: str, staged: str, fmt: str = "par
 
 def staged_segments(spark: SparkSession, staged: str) -> DataFrame:
     """destination, partition, first, last, path of the files of a staging folder."""
-    files = list_files(spark, staged).filter(F.col("name").startswith("part-"))
     part = lambda key: F.regexp_extract("path", f"/_{key}=([^/]*)/", 1)
-    return files.select(records._decoded(part("d")).alias("destination"), part("p").alias("partition"), F.substring_index(part("s"), "-", 1).cast("bigint").alias("first"), F.substring_index(part("s"), "-", -1).cast("bigint").alias("last"), "path")
+    first, last = records.range_of(F.col("path"))
+    return list_files(spark, staged).select(records._decoded(part("d")).alias("destination"), part("p").alias("partition"), first.alias("first"), last.alias("last"), "path").filter("first is not null")
 
 
-def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> DataFrame:
-    """done, kind and message of the failure (or null) per chain. Staged files stay as second links of what they became.
+def _links(base: str, below: str, fmt: str):
+    """Gives what is staged of chains (d, p) its names: done, kind and message of the failure (or null) per chain.
 
-    The driver names the chains, tasks list what is staged of theirs.
+    Tasks list what is staged of their chains. Staged files stay as second links of what they became.
     """
-    base, ending, below = plain(root), ENDINGS[fmt], plain(staged)
-    chains = [(d, p) for d in _folders(below, "_d=") for p in _folders(os.path.join(below, d), "_p=")]
+    ending = ENDINGS[fmt]
 
     def link(d: str, p: str) -> tuple[int, str | None, str | None]:
         chain, segments, done = (unquote(d[3:]), p[3:]), _staged_in(os.path.join(below, d, p)), 0
@@ -119,8 +208,19 @@ def _commit_in_tasks(spark: SparkSession, root: str, staged: str, fmt: str) -> D
             for d, p in b.itertuples(index=False):
                 yield pd.DataFrame([link(d, p)], columns=["done", "kind", "message"])
 
-    given = spark.createDataFrame(chains, "d string, p string").repartition(max(1, min(len(chains), spark.sparkContext.defaultParallelism)))
-    return given.mapInPandas(links, "done bigint, kind string, message string")
+    return links
+
+
+def _cleared(below: str):
+    """Deletes what is staged of chains (d, p), once no task needs it any more."""
+
+    def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for d, p in b.itertuples(index=False):
+                shutil.rmtree(os.path.join(below, d, p), ignore_errors=True)
+            yield b[["d"]]
+
+    return clear
 
 
 def _folders(at: str, prefix: str) -> list[str]:
@@ -129,11 +229,7 @@ def _folders(at: str, prefix: str) -> list[str]:
 
 def _staged_in(chain: str) -> list[tuple[int, int, str]]:
     """First and last offset and path of the segments in a chain's staging folder, in order."""
-    found = []
-    for name in _folders(chain, "_s="):
-        first, last = name[3:].split("-")
-        found += [(int(first), int(last), os.path.join(chain, name, x)) for x in _folders(os.path.join(chain, name), "part-")]
-    return sorted(found)
+    return sorted((int(m[1]), int(m[2]), os.path.join(chain, name)) for name in os.listdir(chain) if (m := SEGMENT.fullmatch(name)))
 
 
 def _only_own(folder: str, segments: list[tuple[int, int, str]]) -> bool:

@@ -1,7 +1,7 @@
 """Archives whose segments count by commit records, for stores where a name can't be given afterwards (object stores).
 
-Tasks write segments straight to their place, root/_runs/_r=<run>/_d=<destination>/_p=<partition>/_s=<from>-<to>/. A run
-counts, for a chain, by one small record root/_commits/<destination>/<partition>/<first>.json, which can be created only
+Tasks write segments straight to their place, root/_runs/_r=<run>/_d=<destination>/_p=<partition>/_s=<from>-<to>/, or, on
+folders of the file system, to <from>-<to>.<ending> below the partition's folder. A run counts, for a chain, by one small record root/_commits/<destination>/<partition>/<first>.json, which can be created only
 once; so of two writers at the same position one commits, and the other's files are never seen. A commit takes three
 calls per chain, whatever the number of segments, and the driver holds a row per chain. Positions are read from the
 records alone.
@@ -101,14 +101,16 @@ def committed_files(spark: SparkSession, root: str) -> DataFrame:
     runs = f"{root.rstrip('/')}/{RUNS}"
     files = chains.list_files(spark, runs)
     part = lambda key: F.regexp_extract("path", f"/_{key}=([^/]*)/", 1)
-    found = files.select("path", "length", "modified", "dir", part("r").alias("run"), _decoded(part("d")).alias("topic"), part("p").try_cast("int").alias("partition"), *_range(part("s")))
+    found = files.select("path", "length", "modified", "dir", part("r").alias("run"), _decoded(part("d")).alias("topic"), part("p").try_cast("int").alias("partition"), *range_of(F.col("path")))
     counted = commits(spark, root).select(*LOG, "run", "first", "last", "format", "committed_at")
     found = found.join(counted, [*LOG, "run"]).filter("from_offset >= first and to_offset <= last")
     return found.select(*LOG, "from_offset", "to_offset", (F.col("to_offset") - F.col("from_offset") + 1).alias("n_records"), F.col("length").alias("encoded_bytes"), "committed_at", F.col("format").alias("ext"), "dir", F.format_string("%020d-%020d.%s", "from_offset", "to_offset", "format").alias("name"), "length", "modified", "path")
 
 
-def _range(s: Column) -> list[Column]:
-    return [F.substring_index(s, "-", 1).try_cast("bigint").alias("from_offset"), F.substring_index(s, "-", -1).try_cast("bigint").alias("to_offset")]
+def range_of(path: Column) -> list[Column]:
+    """from_offset, to_offset of a run's file, by its own name or the folder that Spark's writer made for it; else null."""
+    at = lambda i: F.regexp_extract(path, r"(?:/_s=|/_p=[^/]*/)([0-9]+)-([0-9]+)[./]", i).try_cast("bigint")
+    return [at(1).alias("from_offset"), at(2).alias("to_offset")]
 
 
 def _decoded(s: Column) -> Column:
@@ -121,15 +123,25 @@ def committed_rows(spark: SparkSession, root: str, fmt: str, schema: T.StructTyp
 
     Segments are chosen by the folders' values before any file is opened, also by the records, which are joined.
     """
-    runs = f"{root.rstrip('/')}/{RUNS}"
-    whole = T.StructType([*(schema or ENVELOPE).fields, *PLACE.fields])
-    if not Files(spark, root).exists(runs):
+    runs, files = f"{root.rstrip('/')}/{RUNS}", Files(spark, root)
+    whole = schema or ENVELOPE
+    if not files.exists(runs):
         return spark.createDataFrame([], ENVELOPE).withColumns({"_first": F.lit(None).cast("bigint"), "_last": F.lit(None).cast("bigint")})
-    reader = spark.read.schema(whole)
+    reader = spark.read.schema(whole).option("recursiveFileLookup", "true") if files.local else spark.read.schema(T.StructType([*whole.fields, *PLACE.fields]))
     rows = reader.option("mode", "FAILFAST").json(runs) if fmt == "ndjson" else reader.parquet(runs)
-    first, last = _range(F.col("_s"))
+    if files.local:  # of either layout, so places are read from paths
+        path = _decoded(F.col("_metadata.file_path"))
+        part = lambda key: F.regexp_extract(path, f"/_{key}=([^/]*)/", 1)
+        first, last = range_of(path)
+        rows = rows.withColumns({"_r": part("r"), "_d": _decoded(part("d")), "_p": part("p"), "_first": first, "_last": last})
+        known = [r["run"] for r in commits(spark, root).select("run").distinct().limit(1001).collect()]
+        if len(known) <= 1000:  # leaves the files of other runs unopened; beyond, the join alone decides
+            rows = rows.filter(F.col("_r").isin(known))
+    else:
+        first, last = range_of(F.concat(F.lit("/_s="), "_s", F.lit("/")))
+        rows = rows.withColumns({"_first": first, "_last": last})
     counted = commits(spark, root).filter(F.col("format") == fmt).select(F.col("run").alias("_r"), F.col("topic").alias("_d"), F.col("partition").cast("string").alias("_p")).distinct()
-    return rows.join(counted, ["_r", "_d", "_p"], "left_semi").withColumns({"_first": first, "_last": last}).drop(*PLACE.fieldNames())
+    return rows.join(counted, ["_r", "_d", "_p"], "left_semi").drop(*PLACE.fieldNames())
 
 
 def clean_runs(spark: SparkSession, root: str, before_ms: int) -> int:

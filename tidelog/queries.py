@@ -314,7 +314,7 @@ def replay_in_order(spark, sf_dir):
 
 
 def write_archive(spark, sf_dir):
-    lines = spark.read.text([r["path"] for r in archive.archived(spark, _written(spark, sf_dir, "ndjson")).select("path").toLocalIterator()])
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson").text(_written(spark, sf_dir, "ndjson"))
     return lines.groupBy(F.get_json_object("value", "$.topic").alias("topic"), F.get_json_object("value", "$.partition").cast("int").alias("partition")).agg(F.count("*").alias("n_lines"), F.sum(F.length("value")).cast("bigint").alias("n_chars"))
 
 

@@ -26,7 +26,7 @@ from tidelog.schema import ENVELOPE, TIMESTAMP_TYPES
 
 LAST = 2**63 - 1
 NAME = re.compile(r"\+?(\d+)-\+?(\d+)\.parquet")
-PLACE = re.compile(r"/_runs/_r=([^/]*)/_d=([^/]*)/_p=(\d+)/_s=(\d+)-(\d+)/part-[^/]*$")
+PLACE = re.compile(r"/_runs/_r=([^/]*)/_d=([^/]*)/_p=(\d+)/(?:_s=(\d+)-(\d+)/part-[^/]*|(\d+)-(\d+)\.parquet)$")
 
 
 @dataclass
@@ -85,7 +85,7 @@ class Chains:
             if m := PLACE.search(x.path):
                 log = (unquote(m[2]), int(m[3]))
                 if (*log, m[1]) in counted:
-                    found.setdefault(log, []).append((int(m[4]), int(m[5]), x.size, x.path))
+                    found.setdefault(log, []).append((int(m[4] or m[6]), int(m[5] or m[7]), x.size, x.path))
             elif len(below) >= 3 and not below[0].startswith("_") and below[-2].isdigit() and (m := NAME.fullmatch(below[-1])):
                 found.setdefault((below[-3], int(below[-2])), []).append((int(m[1]), int(m[2]), x.size, x.path))
         return {log: sorted(own) for log, own in found.items() if self.starts is None or log in self.starts}
@@ -93,10 +93,10 @@ class Chains:
     def start(self, log: tuple[str, int]) -> int:
         return 0 if self.starts is None else self.starts.get(log, 0)
 
-    def pieces(self, wanted: dict[tuple[str, int], tuple[int, int]]) -> list[Piece]:
-        """The work of the offsets wanted (first, last) of each log, in runs of segments of some task_bytes."""
+    def pieces(self, found: dict[tuple[str, int], list[tuple[int, int, int, str]]], wanted: dict[tuple[str, int], tuple[int, int]]) -> list[Piece]:
+        """The work of the offsets wanted (first, last) of each log in found, in runs of segments of some task_bytes."""
         out = []
-        for log, own in sorted(self.segments().items()):
+        for log, own in sorted(found.items()):
             if log not in wanted:
                 continue
             first, last = wanted[log]
@@ -140,7 +140,8 @@ class ArchiveReader(DataSourceReader):
     def partitions(self) -> list[Piece]:
         chains = Chains(self.options)
         low, high = int(self.options.get("first", 0)), int(self.options.get("last", LAST))
-        return chains.pieces({log: (max(low, chains.start(log)), high) for log in chains.segments()}) or [Piece("", 0, [], 0, -1)]
+        found = chains.segments()
+        return chains.pieces(found, {log: (max(low, chains.start(log)), high) for log in found}) or [Piece("", 0, [], 0, -1)]
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
         return Chains(self.options).read(partition)
@@ -169,7 +170,8 @@ class ArchiveStream(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Piece]:
         wanted = {tuple(json.loads(log)): (start.get(log, 0), upto - 1) for log, upto in end.items() if upto > start.get(log, 0)}
-        return Chains(self.options).pieces(wanted)
+        chains = Chains(self.options)
+        return chains.pieces(chains.segments(), wanted)
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
         return Chains(self.options).read(partition)
