@@ -119,6 +119,56 @@ def test_texts_of_one_pool_form_few_pairs(spark, monkeypatch):
     assert all(100 * c < 4 * n * (n - 1) // 2 for n, c in zip((2000, 4000), compared[1:], strict=True)), compared
 
 
+def sets_of(spark, texts, join):
+    rows = [(int(ngram_join.set_id(s) >> 1), len(s), s.tobytes()) for s in map(join.shingles, texts)]
+    return spark.createDataFrame([(i, i, n, g) for i, n, g in rows], "sid bigint, root bigint, n bigint, grams binary")
+
+
+def test_copies_just_below_the_limit_form_no_rows(spark):
+    """Copies of one text with five words changed each, 78 percent alike: bitmaps don't part them, so nearly all pairs were rows."""
+    r = np.random.default_rng(5)
+    words, join = [f"w{i}" for i in range(400)], ngram_join.Join(words=5, percent=80)
+    texts = []
+    for k in range(60):
+        own = list(words)
+        for at in r.choice(np.arange(2, 79), 5, replace=False) * 5:
+            own[at] = f"x{k}y{at}"
+        texts.append(" ".join(own))
+    texts.append(" ".join(words[:380]))  # links with some
+    sets = sets_of(spark, texts, join)
+    bits = ngram_join.bitmaps(sets).select("sid", *[F.col("bits")[i].alias(f"w{i}") for i in range(ngram_join.WORDS)])
+    found = {tuple(sorted(x)) for x in ngram_join.met_by_parts(sets, bits, join).collect()}
+    held = [(int(ngram_join.set_id(join.shingles(t)) >> 1), shingles(t, 5)) for t in texts]
+    links = {tuple(sorted((i, j))) for k, (i, a) in enumerate(held) for j, b in held[:k] if 100 * len(a & b) >= 80 * len(a | b)}
+    assert links and found <= links and len(found) < len(texts)
+
+
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_components_where_sets_fill_many_blocks(spark, monkeypatch, k, percent):
+    monkeypatch.setattr(ngram_join, "LIST", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    r = np.random.default_rng(11)
+    base = [f"w{x}" for x in range(120)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for at in r.integers(0, 120, r.integers(0, 6)):
+            own[at] = f"x{r.integers(0, 30)}"
+        rows.append((i, " ".join(own[: int(r.integers(90, 121))])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").cache()
+    found = ngram_join.ngram_components(docs, ngram_join.Join(words=k, percent=percent)).collect()
+    assert Counter((x["doc_id"], x["n_shingles"], x["component_id"]) for x in found) == brute_components(pairs(docs), k, percent)
+
+
+def test_overlaps_and_forest():
+    r = np.random.default_rng(2)
+    a, b = ([np.unique(r.integers(0, 90, r.integers(1, 60))) for _ in range(k)] for k in (7, 5))
+    sizes = [np.array([len(x) for x in own]) for own in (a, b)]
+    found = ngram_join.overlaps(sizes[0], np.concatenate(a), sizes[1], np.concatenate(b), width=16)
+    assert found.tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert ngram_join.forest([1, 2, 1, 5], [2, 3, 3, 6]) == [0, 1, 3]
+
+
 def test_components_of_a_real_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = QUERIES["op2_ngram_jaccard"](spark, sf).collect()

@@ -12,7 +12,8 @@ fragments count again, now only n-grams that sets of different components share:
 links it with nothing else, so most components are complete and drop out, however large they are. Only sets that remain
 are compared with each other, and a pair is formed only where it can be the first n-gram that both share. N-grams with
 long lists form no pairs: their sets are cut into so many parts that linked sets must hold equal n-grams in some of them,
-and meet by the parts' signatures. Overlaps of pairs are counted fragment by fragment and summed per pair.
+and blocks of sets meet by the parts' signatures. Overlaps of pairs are counted fragment by fragment and summed per pair,
+those of two blocks' sets by a product of matrices in a task.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ WORDS = 16
 FRAGMENT, BUNDLE, GROUP = 200_000, 300_000, 20_000
 #: Sets of an n-gram's list are compared with each other up to so many; sets of longer lists meet by signatures of parts.
 LIST = 32
+#: Sets and n-grams to a block whose sets one task compares with another block's: its memory, whatever the input.
+BLOCK, BLOCK_GRAMS = 512, 500_000
 
 
 @dataclass(frozen=True)
@@ -358,9 +361,12 @@ def part_signatures(s: np.ndarray, c: int, most: int, percent: int) -> np.ndarra
 
 
 def met_by_parts(sets: DataFrame, bits: DataFrame, join: Join) -> DataFrame:
-    """Pairs a, b of sets (sid, root, n, grams) of different roots that may link: a part of theirs is equal, and sizes and bitmaps (sid, w0, w1, …) fit.
+    """Links a, b between sets (sid, root, n, grams) of different roots; with the roots' own they connect what all links do.
 
-    Every pair that links is among them. A set has a row per part, some six tenths of its n-grams at 80 percent, a quarter at 90.
+    Linked sets have an equal part. Sets go to blocks with others of their parts, blocks meet where a part in one equals
+    one in the other, and a task counts exactly what the sets of two blocks share; so a row is made for two blocks and a
+    part, and for a link, never for two sets that don't link. A set has a row per part, some six tenths of its n-grams at
+    80 percent, a quarter at 90. bits aren't needed, as counts are exact.
     """
     percent = join.percent
 
@@ -376,11 +382,83 @@ def met_by_parts(sets: DataFrame, bits: DataFrame, join: Join) -> DataFrame:
     rows = map_batches(sets.select("sid", "root", "n", "grams"), sign, "signature bigint, below bigint, sid bigint, root bigint, n bigint")
     marked = settled(rows, "signatures")
     several = marked.groupBy("signature").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("signature")
-    rows = settled(marked.join(several, "signature").join(bits, "sid"), "met")
+    met = settled(marked.join(several, "signature").select("signature", "below", "sid", "n"), "met")
     forget(marked)
-    x, y = (rows.select("signature", *[F.col(c).alias(f"{c}_{e}") for c in rows.columns if c != "signature"]) for e in "ab")
-    other = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("below_a") + F.col("below_b") < 2)
-    return x.join(y, "signature").filter(other & alike_in_size("n_a", "n_b", join) & alike_in_bits(join)).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+    places = settled(placed(met), "places")
+    held = met.join(places, "sid").groupBy("signature", "block").agg(F.min("below").alias("below"))
+    x, y = (held.select("signature", F.col("block").alias(e), F.col("below").alias(f"below_{e}")) for e in "pq")
+    both = settled(x.join(y, "signature").filter("p <= q and below_p + below_q < 2").select("p", "q").distinct(), "blocks")
+    packed = settled(sets.join(places, "sid").select("block", "sid", "root", "n", "grams").groupBy("block").applyInArrow(pack, "block bigint, sids binary, roots binary, sizes binary, grams binary"), "packed")
+    forget(met, places)
+
+    def compare(t: pa.Table) -> pa.Table:
+        (sids_a, roots_a, n_a, g_a), (sids_b, roots_b, n_b, g_b) = (arrays(t, i, "sids", "roots", "sizes", "grams") for i in (0, t.num_rows - 1))
+        shared = overlaps(n_a, g_a, n_b, g_b)
+        i, j = np.nonzero((shared * 100 >= (n_a[:, None] + n_b - shared) * percent) & (roots_a[:, None] != roots_b))
+        kept = forest(roots_a[i].tolist(), roots_b[j].tolist())
+        return pa.table({"a": sids_a[i[kept]], "b": sids_b[j[kept]]})
+
+    asked = both.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
+    return asked.join(packed, "block").groupBy("p", "q").applyInArrow(compare, "a bigint, b bigint")
+
+
+def placed(met: DataFrame) -> DataFrame:
+    """sid, block: sets of the same least signature go to the same blocks, of about BLOCK sets or BLOCK_GRAMS n-grams."""
+    pieces = lambda k, n: F.ceil(F.greatest(k / BLOCK, n / BLOCK_GRAMS))
+    own = settled(met.groupBy("sid").agg(F.min(F.struct("below", "signature"))["signature"].alias("key"), F.max("n").alias("n")), "own")
+    sized = own.groupBy("key").agg(pieces(F.count("*"), F.sum("n")).alias("of"))
+    small = own.agg(F.coalesce(pieces(F.count("*"), F.sum("n")), F.lit(1))).first()[0]  # blocks that hold several keys
+    one, many = F.pmod(F.xxhash64("key"), F.lit(max(1, small))), F.xxhash64("key", F.pmod(F.xxhash64("sid"), F.col("of")))
+    return own.join(sized, "key").select("sid", F.when(F.col("of") > 1, many).otherwise(one).alias("block"))
+
+
+def pack(t: pa.Table) -> pa.Table:
+    """A block's sets in one row."""
+    grams = t.column("grams").to_pylist()
+    sizes = np.array([len(g) // 8 for g in grams], np.int64)
+    packed = [t.column("sid").to_numpy().tobytes(), t.column("root").to_numpy().tobytes(), sizes.tobytes(), b"".join(grams)]
+    return pa.table({"block": t.column("block")[:1], **{c: pa.array([x], pa.binary()) for c, x in zip(("sids", "roots", "sizes", "grams"), packed, strict=True)}})
+
+
+def overlaps(n_a: np.ndarray, g_a: np.ndarray, n_b: np.ndarray, g_b: np.ndarray, width: int = 4096) -> np.ndarray:
+    """How many n-grams each set of a block (sizes, n-grams) shares with each of another: products of 0/1 matrices, some columns at a time."""
+    common, found = np.intersect1d(g_a, g_b), np.zeros((len(n_a), len(n_b)), np.int64)
+    if not len(common):
+        return found
+    sides = []
+    for n, g in ((n_a, g_a), (n_b, g_b)):
+        at = np.minimum(np.searchsorted(common, g), len(common) - 1)
+        hit = common[at] == g
+        at, own = at[hit], np.repeat(np.arange(len(n)), n)[hit]
+        order = np.argsort(at, kind="stable")
+        sides.append((len(n), at[order], own[order]))
+    for begin in range(0, len(common), width):
+        parts = []
+        for k, at, own in sides:
+            lo, hi = np.searchsorted(at, (begin, begin + width))
+            m = np.zeros((k, width), np.float32)
+            m[own[lo:hi], at[lo:hi] - begin] = 1
+            parts.append(m)
+        found += (parts[0] @ parts[1].T).astype(np.int64)
+    return found
+
+
+def forest(a: list[int], b: list[int]) -> list[int]:
+    """Places of links that connect what all links a[i], b[i] do."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    kept = []
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            up[x] = y
+            kept.append(i)
+    return kept
 
 
 def met_by_grams(rows: DataFrame, join: Join) -> DataFrame:
